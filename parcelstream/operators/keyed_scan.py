@@ -2,22 +2,23 @@
 
 The order state machine needs, for every change row, the latest earlier
 value of some state within the same order (previous status, latest cargo
-row, the order stored waiting for cargo).  ``Window.partitionBy(key)`` would
-put every row of a hot key into one task, so the scan is done in three
-distributed steps instead:
-
-1. ``repartitionByRange(key, *order)`` — Spark samples the full sort key, so a
-   key holding a third of all rows is spread over many partitions.
-2. a window over ``(partition id, key)`` computes the scan locally; no group
-   is larger than one range partition.
-3. each partition's end state for its *last* key (the only key that can
-   continue into the next partition) is reduced to one row per partition;
-   a window over that tiny table (``#partitions`` rows) yields the carry-in
-   for each partition, which is broadcast back (its size is bounded by the
-   partition count, not by the data) and used where the local scan found
-   nothing.
-
-All steps are built-in expressions: the scan stays JVM-side.
+row, the order waiting for cargo).  ``Window.partitionBy(key)`` would put
+every row of a hot key into one task, so the scan is salted by time:
+
+1. rows are grouped by ``(key, bucket)`` with ``bucket = time // bucket_ms``
+   (a deterministic salt that keeps the order: a hot key's history is cut
+   into consecutive time slices held by different tasks);
+2. a window over ``(key, bucket)`` computes the scan inside each slice;
+3. each slice's end state (last non-null value) is reduced to one row per
+   ``(key, bucket)`` — the data is already partitioned that way, so this
+   aggregation adds no shuffle;
+4. a window over that summary, per key ordered by bucket, gives each slice
+   its carry-in (for a hot key that is one row per slice, not per change);
+5. the carry is joined back on ``(key, bucket)`` — the big side keeps its
+   partitioning, only the summary moves — and fills rows whose slice had no
+   earlier value.
+
+Everything is built-in expressions, so the scan stays JVM-side.
 """
 
 from __future__ import annotations
@@ -27,66 +28,48 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Carry tables have one row per shuffle partition; beyond this many
-# partitions the carry is joined by shuffle instead of broadcast.
-MAX_BROADCAST_PARTITIONS = 200_000
-
-
-def _order_struct(order: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order])
+DEFAULT_BUCKET_MS = 60 * 60 * 1000
 
 
 def asof_last(df: DataFrame, key: str, order: Sequence[str],
               values: Mapping[str, Column], inclusive: bool = False,
-              num_partitions: int | None = None) -> DataFrame:
+              bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
     """Add one column per ``values`` entry: the last non-null value of that
     expression among rows with the same ``key`` that come before the row in
     ``order`` (``inclusive=True`` also counts the row itself).
 
-    ``order`` must make rows of one key unique (e.g. ``(ts, seq)``).
-    Wrap a possibly-null payload in a struct to make "present" explicit.
+    ``order[0]`` is the event time in epoch millis; ``order`` must make rows
+    of one key unique (e.g. ``(ts_ms, seq)``); ``key`` must be non-null.  Wrap a possibly-null payload
+    in a struct to make "present" explicit.
     """
     names = list(values)
-    vcols = {f"__v_{n}": values[n] for n in names}
-    base = df.withColumns(vcols)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = base.repartitionByRange(n, F.col(key), *[F.col(c) for c in order])
-    ranged = ranged.withColumn("__pid", F.spark_partition_id())
+    tmp = df.withColumns({f"__v_{n}": values[n] for n in names})
+    tmp = tmp.withColumn("__b", F.floor(F.col(order[0]) / F.lit(bucket_ms)).cast("long"))
+    ordcols = [F.col(c) for c in order]
 
-    frame = (Window.partitionBy("__pid", key).orderBy(*order)
+    frame = (Window.partitionBy(key, "__b").orderBy(*ordcols)
              .rowsBetween(Window.unboundedPreceding,
                           Window.currentRow if inclusive else -1))
-    local = ranged.withColumns(
-        {f"__l_{n_}": F.last(f"__v_{n_}", ignorenulls=True).over(frame) for n_ in names})
-
-    # One row per partition: its last key and, for that key, the last
-    # non-null value seen in the partition (null if none).
-    ordk = F.struct(F.col(key), *[F.col(c) for c in order])
-    aggs = [F.max(key).alias("__k")]
-    for n_ in names:
-        v = F.col(f"__v_{n_}")
-        aggs.append(F.max_by(F.struct(F.col(key).alias("k"), v.alias("v")),
-                             F.struct(F.col(key), v.isNotNull(), ordk)).alias(f"__e_{n_}"))
-    ends = local.groupBy("__pid").agg(*aggs)
-    ends = ends.select("__pid", "__k", *[
-        F.when(F.col(f"__e_{n_}.k").eqNullSafe(F.col("__k")), F.col(f"__e_{n_}.v"))
-        .alias(f"__e_{n_}") for n_ in names])
-    upto = (Window.partitionBy("__k").orderBy("__pid")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = tmp.withColumns(
+        {f"__l_{n}": F.last(f"__v_{n}", ignorenulls=True).over(frame) for n in names})
+
+    ordk = F.struct(*ordcols)
+    ends = local.groupBy(key, "__b").agg(*[
+        F.max_by(F.col(f"__v_{n}"), F.when(F.col(f"__v_{n}").isNotNull(), ordk))
+        .alias(f"__e_{n}") for n in names])
+    before = (Window.partitionBy(key).orderBy("__b")
+              .rowsBetween(Window.unboundedPreceding, -1))
     carry = ends.select(
-        (F.col("__pid") + 1).alias("__cpid"), F.col("__k").alias("__ck"),
-        *[F.last(f"__e_{n_}", ignorenulls=True).over(upto).alias(f"__c_{n_}") for n_ in names])
-    if n <= MAX_BROADCAST_PARTITIONS:
-        carry = F.broadcast(carry)
+        F.col(key).alias("__ck"), F.col("__b").alias("__cb"),
+        *[F.last(f"__e_{n}", ignorenulls=True).over(before).alias(f"__c_{n}") for n in names])
 
+    # Plain equality keeps the join co-partitioned with ``local`` (rows with
+    # a null key are quarantined upstream and never reach the state rules).
     joined = local.join(
-        carry,
-        (local["__pid"] == carry["__cpid"]) & local[key].eqNullSafe(carry["__ck"]),
-        "left")
+        carry, (local[key] == carry["__ck"]) & (local["__b"] == carry["__cb"]), "left")
     out = joined.withColumns(
-        {n_: F.coalesce(F.col(f"__l_{n_}"), F.col(f"__c_{n_}")) for n_ in names})
-    drop = ["__pid", "__cpid", "__ck"] + [f"__{p}_{n_}" for p in "vlc" for n_ in names]
+        {n: F.coalesce(F.col(f"__l_{n}"), F.col(f"__c_{n}")) for n in names})
+    drop = ["__b", "__ck", "__cb"] + [f"__{p}_{n}" for p in "vlc" for n in names]
     return out.drop(*drop)
 
 

@@ -173,9 +173,265 @@ SELECT id, {mask('sender_name')} AS sender_name, {mask('receiver_name')} AS rece
 FROM order_attr""")
 
 
+
+
+# ------------------------------------------------------------------------
+# Order life-cycle change log from events, and the per-order state rules
+# ------------------------------------------------------------------------
+def _codes_array() -> str:
+    return "[" + ", ".join(f"'{c}'" for c in STATUS_CODES) + "]"
+
+
+EV_LOG = f"""
+ev0 AS (
+  SELECT event_id AS seq, {ms('ts')} AS ts_ms, {iso('ts')} AS change_time,
+    user_id AS order_key,
+    CASE event_type WHEN 'purchase' THEN 'order_cargo' ELSE 'order_info' END AS tbl,
+    CASE event_type WHEN 'signup' THEN 'c' WHEN 'purchase' THEN 'c' ELSE 'u' END AS op,
+    {_codes_array()}[(CAST(json_extract_string(props, '$.k') AS INTEGER) % 9 + 9) % 9 + 1]
+      AS status,
+    CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, value
+  FROM events WHERE event_type <> 'error'),
+ev AS (
+  SELECT *, last_value(CASE WHEN tbl = 'order_info' THEN status END IGNORE NULLS) OVER (
+      PARTITION BY order_key ORDER BY ts_ms, seq
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before_status
+  FROM ev0),
+ev_cargo AS (
+  SELECT seq, CAST(seq AS VARCHAR) AS id, CAST(order_key AS VARCHAR) AS order_id,
+    'K' || CAST(k AS VARCHAR) AS cargo_type, k AS volumn_length,
+    CAST(NULL AS INTEGER) AS volumn_width, CAST(NULL AS INTEGER) AS volumn_height,
+    CAST(value AS DECIMAL(16,2)) AS weight, change_time AS create_time
+  FROM ev WHERE tbl = 'order_cargo'),
+ev_order AS (
+  SELECT e.seq, a.order_no, e.status, a.collect_type, a.user_id, a.receiver_complex_id,
+    a.receiver_province_id, a.receiver_city_id, a.receiver_district_id, a.receiver_name,
+    a.sender_complex_id, a.sender_province_id, a.sender_city_id, a.sender_district_id,
+    a.sender_name, a.payment_type, a.cargo_num, a.amount, a.estimate_arrive_time, a.distance,
+    e.change_time AS update_time
+  FROM ev e LEFT JOIN order_attr a ON a.order_key = e.order_key
+  WHERE e.tbl = 'order_info')"""
+
+ROUTES = [("60010 -> 60020", "dwd_trade_pay_suc_detail", "pay_time"),
+          ("60020 -> 60030", "dwd_trans_receive_detail", "receive_time"),
+          ("60040 -> 60050", "dwd_trans_dispatch_detail", "dispatch_time"),
+          ("60050 -> 60060", "dwd_trans_bound_finish_detail", "bound_finish_time"),
+          ("60060 -> 60070", "dwd_trans_deliver_detail", "deliver_time"),
+          ("60070 -> 60080", "dwd_trans_sign_detail", "sign_time")]
+CANCEL = ("dwd_trade_cancel_detail", "cancel_time")
+FACT_TIME = {f: t for _, f, t in ROUTES}
+FACT_TIME[CANCEL[0]] = CANCEL[1]
+
+
+def _route_case() -> str:
+    whens = " ".join(f"WHEN '{lab}' THEN '{f}'" for lab, f, _ in ROUTES)
+    return (f"CASE WHEN tbl = 'order_info' AND op = 'u' AND before_status IS NOT NULL "
+            f"AND status IS NOT NULL AND before_status <> status THEN "
+            f"CASE before_status || ' -> ' || status {whens} "
+            f"ELSE CASE WHEN status = '60999' THEN '{CANCEL[0]}' END END END")
+
+
+def state_machine(window_ms: int = 5000) -> str:
+    return f"""
+sm0 AS (SELECT *, {_route_case()} AS route FROM ev),
+sm1 AS (
+  SELECT *, last_value(CASE WHEN tbl = 'order_cargo' AND op = 'c' THEN seq
+                            WHEN route IN ('dwd_trans_sign_detail', '{CANCEL[0]}') THEN -1
+                       END IGNORE NULLS) OVER (
+      PARTITION BY order_key ORDER BY ts_ms, seq
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS dref
+  FROM sm0),
+sm2 AS (
+  SELECT *, CASE WHEN dref >= 0 THEN dref END AS detail_seq FROM sm1),
+sm3 AS (
+  SELECT *, last_value(CASE WHEN tbl = 'order_info' AND op = 'c' AND detail_seq IS NULL
+                            THEN seq END IGNORE NULLS) OVER (
+      PARTITION BY order_key ORDER BY ts_ms, seq
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS stored_ref
+  FROM sm2),
+sm AS (
+  SELECT s.*, CASE WHEN s.tbl = 'order_cargo' AND s.op = 'c'
+                    AND s.ts_ms < st.ts_ms + {window_ms} THEN s.stored_ref END AS stored_seq
+  FROM sm3 s LEFT JOIN sm3 st ON st.seq = s.stored_ref)"""
+
+
+def q_transition_fact(fact: str) -> str:
+    return with_(ORDER_ATTR, EV_LOG, state_machine(), body=f"""
+SELECT {fact_select('c', 'o', FACT_TIME[fact], 'o.update_time')}
+FROM sm s JOIN ev_cargo c ON c.seq = s.detail_seq JOIN ev_order o ON o.seq = s.seq
+WHERE s.route = '{fact}'""")
+
+
+def q_place_from_state(window_ms: int) -> str:
+    return with_(ORDER_ATTR, EV_LOG, state_machine(window_ms), body=f"""
+SELECT {fact_select('c', 'o', 'order_time', 'c.create_time')}
+FROM sm s JOIN ev_cargo c ON c.seq = s.seq JOIN ev_order o ON o.seq = s.stored_seq
+UNION ALL
+SELECT {fact_select('c', 'o', 'order_time', 'c.create_time')}
+FROM sm s JOIN ev_cargo c ON c.seq = s.detail_seq JOIN ev_order o ON o.seq = s.seq
+WHERE s.tbl = 'order_info' AND s.op = 'c'""")
+
+
+def q_status_change_filter() -> str:
+    return with_(EV_LOG, body="""
+SELECT seq, CAST(order_key AS VARCHAR) AS order_id, before_status, status, ts_ms
+FROM ev WHERE tbl = 'order_info' AND op = 'u' AND before_status <> status""")
+
+
+def q_status_transition_label() -> str:
+    return with_(EV_LOG, body=f"""
+SELECT seq, CAST(order_key AS VARCHAR) AS order_id,
+       before_status || ' -> ' || status AS change_label, {_route_case()} AS route
+FROM ev WHERE tbl = 'order_info' AND op = 'u' AND before_status <> status""")
+
+
+def q_status_route_counts() -> str:
+    return with_(EV_LOG, body=f"""
+SELECT coalesce(route, 'unrouted') AS route, count(*) AS n
+FROM (SELECT {_route_case()} AS route FROM ev
+      WHERE tbl = 'order_info' AND op = 'u' AND before_status <> status) t
+GROUP BY 1""")
+
+
+def q_status_asof_detail() -> str:
+    return with_(ORDER_ATTR, EV_LOG, state_machine(), body="""
+SELECT s.seq, CAST(s.order_key AS VARCHAR) AS order_id, s.route, c.id AS detail_id,
+       c.weight AS detail_weight
+FROM sm s LEFT JOIN ev_cargo c ON c.seq = s.detail_seq
+WHERE s.route IS NOT NULL""")
+
+
+def q_orders_without_detail() -> str:
+    return with_(ORDER_ATTR, EV_LOG, state_machine(), body="""
+SELECT seq, ts_ms, order_key, status, before_status,
+       CASE WHEN tbl = 'order_info' AND op = 'u' AND before_status IS NULL
+            THEN 'no_before_status' ELSE 'no_detail' END AS reason, route
+FROM sm
+WHERE (route IS NOT NULL AND detail_seq IS NULL)
+   OR (tbl = 'order_info' AND op = 'u' AND before_status IS NULL)""")
+
+
+def q_conditional_key() -> str:
+    return with_(EV_LOG, body="""
+SELECT seq, tbl AS "table", CAST(order_key AS VARCHAR) AS key FROM ev""")
+
+
+def q_op_dispatch() -> str:
+    return with_(EV_LOG, body="""
+SELECT tbl AS "table", op,
+       CASE WHEN tbl = 'order_info' AND op = 'c' THEN 'place_order'
+            WHEN tbl = 'order_info' AND op = 'u' THEN 'transition'
+            WHEN tbl = 'order_cargo' AND op = 'c' THEN 'cargo'
+            ELSE 'ignored' END AS path,
+       count(*) AS n
+FROM ev GROUP BY ALL""")
+
+
+# ------------------------------------------------------------------------
+# Daily aggregates
+# ------------------------------------------------------------------------
+def _centre(district_expr: str) -> str:
+    return (f"(SELECT o.id FROM organ o WHERE o.org_parent_id IS NULL "
+            f"AND o.region_id = {district_expr})")
+
+
+def _org_geo(src: str, with_province: bool) -> str:
+    """Join org -> name, join org (parent or itself) -> city -> province."""
+    prov = ("p.id AS province_id, p.name AS province_name," if with_province else "")
+    return f"""
+  FROM {src} a
+  LEFT JOIN organ og ON og.id = a.org_id
+  LEFT JOIN organ jo ON jo.id = coalesce(og.org_parent_id, a.org_id)
+  LEFT JOIN region_info ci ON ci.id = jo.region_id
+  LEFT JOIN region_info p ON p.id = ci.parent_id"""
+
+
+def q_org_order_day() -> str:
+    return with_(ORDER_ATTR, ORDER_CARGO, PLACE_FACTS, ORGAN, REGION_INFO, body=f"""
+SELECT a.cur_date, a.org_id, og.org_name, jo.region_id AS city_id, ci.name AS city_name,
+       a.order_amount_base, a.order_count_base, a.ts
+FROM (SELECT {local_day('f.ts')} AS cur_date, c.id AS org_id,
+             CAST(sum(f.amount) AS DECIMAL(38,2)) AS order_amount_base,
+             count(*) AS order_count_base, max(f.ts) AS ts
+      FROM place_facts f
+      LEFT JOIN organ c ON c.org_parent_id IS NULL AND c.region_id = f.sender_district_id
+      GROUP BY 1, 2) a
+LEFT JOIN organ og ON og.id = a.org_id
+LEFT JOIN organ jo ON jo.id = coalesce(og.org_parent_id, a.org_id)
+LEFT JOIN region_info ci ON ci.id = jo.region_id""")
+
+
+def _transition_facts_cte(fact: str, name: str) -> str:
+    return f"""
+{name} AS (
+  SELECT {fact_select('c', 'o', FACT_TIME[fact], 'o.update_time')}
+  FROM sm s JOIN ev_cargo c ON c.seq = s.detail_seq JOIN ev_order o ON o.seq = s.seq
+  WHERE s.route = '{fact}')"""
+
+
+def q_org_receive_day() -> str:
+    return with_(ORDER_ATTR, EV_LOG, state_machine(),
+                 _transition_facts_cte("dwd_trans_receive_detail", "rf"), ORGAN, REGION_INFO,
+                 body=f"""
+SELECT a.cur_date, a.org_id, og.org_name, jo.region_id AS city_id, ci.name AS city_name,
+       p.id AS province_id, p.name AS province_name, a.receive_order_count_base, a.ts
+FROM (SELECT cur_date, c.id AS org_id, count(*) AS receive_order_count_base, max(ts) AS ts
+      FROM (SELECT {local_day('ts')} AS cur_date, sender_district_id, order_id,
+                   max(ts) AS ts FROM rf GROUP BY 1, 2, 3) f
+      LEFT JOIN organ c ON c.org_parent_id IS NULL AND c.region_id = f.sender_district_id
+      GROUP BY 1, 2) a
+LEFT JOIN organ og ON og.id = a.org_id
+LEFT JOIN organ jo ON jo.id = coalesce(og.org_parent_id, a.org_id)
+LEFT JOIN region_info ci ON ci.id = jo.region_id
+LEFT JOIN region_info p ON p.id = ci.parent_id""")
+
+
+def q_orders_per_day(fact: str, measure: str) -> str:
+    return with_(ORDER_ATTR, EV_LOG, state_machine(), _transition_facts_cte(fact, "f0"),
+                 body=f"""
+SELECT cur_date, count(*) AS {measure}, max(ts) AS ts
+FROM (SELECT {local_day('ts')} AS cur_date, order_id, max(ts) AS ts FROM f0 GROUP BY 1, 2) t
+GROUP BY 1""")
+
+
+def q_org_deliver_suc_day() -> str:
+    return with_(ORDER_ATTR, EV_LOG, state_machine(),
+                 _transition_facts_cte("dwd_trans_deliver_detail", "df"), ORGAN, REGION_INFO,
+                 body=f"""
+SELECT a.cur_date, a.org_id, og.org_name, jo.region_id AS city_id, ci.name AS city_name,
+       p.id AS province_id, p.name AS province_name, a.deliver_suc_count_base, a.ts
+FROM (SELECT {local_day('f.ts')} AS cur_date, c.id AS org_id,
+             count(*) AS deliver_suc_count_base, max(f.ts) AS ts
+      FROM df f
+      LEFT JOIN organ c ON c.org_parent_id IS NULL AND c.region_id = f.receiver_district_id
+      GROUP BY 1, 2) a
+LEFT JOIN organ og ON og.id = a.org_id
+LEFT JOIN organ jo ON jo.id = coalesce(og.org_parent_id, a.org_id)
+LEFT JOIN region_info ci ON ci.id = jo.region_id
+LEFT JOIN region_info p ON p.id = ci.parent_id""")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {
+    out = {
         "dwd_trade_order_detail": q_place_facts(),
         "mask_names": q_mask_names(),
         "dws_trade_cargo_type_order_day": q_cargo_type_order_day(),
+        "dws_trade_org_order_day": q_org_order_day(),
+        "status_change_filter": q_status_change_filter(),
+        "status_transition_label": q_status_transition_label(),
+        "status_route_counts": q_status_route_counts(),
+        "status_asof_detail": q_status_asof_detail(),
+        "orders_without_detail": q_orders_without_detail(),
+        "dwd_conditional_key": q_conditional_key(),
+        "cdc_op_dispatch": q_op_dispatch(),
+        "order_cargo_interval_join": q_place_from_state(24 * 60 * 60 * 1000),
+        "dws_trans_org_receive_day": q_org_receive_day(),
+        "dws_trans_dispatch_day": q_orders_per_day("dwd_trans_dispatch_detail",
+                                                   "dispatch_order_count_base"),
+        "dws_trans_bound_finish_day": q_orders_per_day("dwd_trans_bound_finish_detail",
+                                                       "bound_finish_order_count_base"),
+        "dws_trans_org_deliver_suc_day": q_org_deliver_suc_day(),
     }
+    for fact in FACT_TIME:
+        out[fact] = q_transition_fact(fact)
+    return out
