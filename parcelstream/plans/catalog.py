@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from parcelstream.functions.text import mask_name
 from parcelstream.operators import dws, orders
+from parcelstream.plans.materialize import materialized
 from parcelstream.sources import dims, domain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,7 +59,8 @@ def q_dws_trade_org_order_day(spark, sf):
 
 # ------------------------------------------------- order state machine -----
 def clean_order_log(spark, sf):
-    return domain.order_change_log(spark, sf)
+    return materialized(spark, ("order_change_log", sf),
+                        lambda: domain.order_change_log(spark, sf))
 
 
 def state(spark, sf, window_ms: int = 5000):
@@ -172,3 +174,176 @@ def q_dws_trans_org_deliver_suc_day(spark, sf):
     facts = orders.transition_facts(state(spark, sf), "dwd_trans_deliver_detail")
     return dws.org_deliver_suc_day(facts, dims.base_organ(spark, sf),
                                    dims.base_region_info(spark, sf))
+
+
+# ------------------------------------------------------------- ODS / CDC -----
+from parcelstream.operators import ods  # noqa: E402
+from parcelstream.operators.keyed_scan import asof_last  # noqa: E402
+from parcelstream.sources import changelog  # noqa: E402
+
+
+def raw_log(spark, sf):
+    return materialized(spark, ("captured_log", sf), lambda: changelog.captured_log(spark, sf))
+
+
+def _ids(df):
+    return df.select("table", "op", "ts", ods.record_id(df).alias("id"))
+
+
+def _scan(spark, sf):
+    p = ods.parse(raw_log(spark, sf))
+    e = F.col("e")
+    rid = F.coalesce(ods.vget(e.getField("after"), "id"), ods.vget(e.getField("before"), "id"))
+    return p.select("part", "offset", "value", F.col("e.source.table").alias("table"),
+                    F.col("e.op").alias("op"), F.col("e.ts_ms").alias("ts_ms"), rid.alias("id"),
+                    "e")
+
+
+@register("cdc_changelog_scan")
+def q_cdc_changelog_scan(spark, sf):
+    return _scan(spark, sf).select("table", "op", "ts_ms", "id")
+
+
+@register("cdc_table_group_filter")
+def q_cdc_table_group_filter(spark, sf):
+    return ods.table_group(_scan(spark, sf), "dwd").select("table", "op", "ts_ms", "id")
+
+
+def startup(df, mode: str):
+    """``initial``: snapshot rows (``op='r'``) followed by changes;
+    ``latest``: changes only."""
+    if mode == "initial":
+        return df
+    if mode == "latest":
+        return df.filter(~F.col("op").eqNullSafe(F.lit("r")))
+    raise ValueError(f"unknown start-up mode {mode!r}")
+
+
+@register("cdc_initial_snapshot_union")
+def q_cdc_initial_snapshot_union(spark, sf):
+    dims_log = ods.table_group(_scan(spark, sf), "realtime_dim")
+    snapshot = dims_log.filter(F.col("op") == "r")
+    changes = startup(dims_log, "latest")
+    return snapshot.unionByName(changes).groupBy("table", "op").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("cdc_decimal_decode")
+def q_cdc_decimal_decode(spark, sf):
+    c = ods.clean(raw_log(spark, sf))
+    oi = c.filter(F.col("table") == "order_info").select(
+        "table", ods.decode(F.col("after"), orders_schema_info()).alias("a"))
+    oc = c.filter(F.col("table") == "order_cargo").select(
+        "table", ods.decode(F.col("after"), orders_schema_cargo()).alias("a"))
+    return (oi.select("table", F.col("a.id").alias("id"), F.lit("amount").alias("field"),
+                      F.col("a.amount").alias("value"))
+            .unionByName(oi.select("table", F.col("a.id").alias("id"),
+                                   F.lit("distance").alias("field"),
+                                   F.col("a.distance").alias("value")))
+            .unionByName(oc.select("table", F.col("a.id").alias("id"),
+                                   F.lit("weight").alias("field"),
+                                   F.col("a.weight").alias("value"))))
+
+
+def orders_schema_info():
+    from parcelstream import schemas
+    return schemas.ORDER_INFO
+
+
+def orders_schema_cargo():
+    from parcelstream import schemas
+    return schemas.ORDER_CARGO
+
+
+@register("cdc_tombstone_filter")
+def q_cdc_tombstone_filter(spark, sf):
+    return ods.drop_tombstones(raw_log(spark, sf)).groupBy("part").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("ods_clean")
+def q_ods_clean(spark, sf):
+    return _ids(ods.clean(raw_log(spark, sf)))
+
+
+@register("ods_malformed_quarantine")
+def q_ods_malformed_quarantine(spark, sf):
+    return ods.quarantine(raw_log(spark, sf)).groupBy("reason", "table").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("ods_union_sources")
+def q_ods_union_sources(spark, sf):
+    log = ods.clean(raw_log(spark, sf))
+    facts = ods.table_group(log, "dwd").withColumn("grp", F.lit("dwd"))
+    dims_ = ods.table_group(log, "realtime_dim").withColumn("grp", F.lit("realtime_dim"))
+    return facts.unionByName(dims_).groupBy("grp", "table").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("ods_sink_record")
+def q_ods_sink_record(spark, sf):
+    rec = ods.sink_record(ods.clean(raw_log(spark, sf)))
+    return rec.select(
+        "key", F.get_json_object("value", "$.op").alias("op"),
+        F.get_json_object("value", "$.ts").cast("long").alias("ts"),
+        F.get_json_object("value", "$.source.table").alias("table"),
+        F.get_json_object("value", "$.after.id").alias("id"))
+
+
+@register("per_key_ordered_changes")
+def q_per_key_ordered_changes(spark, sf):
+    c = ods.clean(raw_log(spark, sf))
+    c = c.select("part", "offset", "table", "ts", ods.record_id(c).alias("key"))
+    out = asof_last(c.filter(F.col("key").isNotNull()), "key", ["ts", "part", "offset"],
+                    {"prev_ts": F.col("ts")})
+    return out.select("key", "table", "ts", "prev_ts")
+
+
+@register("dim_stream_project")
+def q_dim_stream_project(spark, sf):
+    d = ods.dim_project(ods.table_group(ods.clean(raw_log(spark, sf)), "realtime_dim"))
+    keys = F.array_join(F.array_sort(F.map_keys(
+        F.try_variant_get(F.col("after"), "$", "map<string,variant>"))), ",")
+    return d.select("table", "op", "ts", ods.record_id(d).alias("id"), keys.alias("keys"))
+
+
+@register("dwd_stream_project")
+def q_dwd_stream_project(spark, sf):
+    d = ods.dwd_project(ods.table_group(ods.clean(raw_log(spark, sf)), "dwd"))
+    return d.select("table", "op", "ts", ods.record_id(d).alias("id"),
+                    ods.vget(F.col("before"), "status").alias("before_status"))
+
+
+@register("dwd_table_filter")
+def q_dwd_table_filter(spark, sf):
+    return _ids(ods.dwd_filter(ods.dwd_project(ods.clean(raw_log(spark, sf)))))
+
+
+@register("dwd_decode_order")
+def q_dwd_decode_order(spark, sf):
+    d = ods.dwd_filter(ods.dwd_project(ods.clean(raw_log(spark, sf))))
+    return d.filter(F.col("table") == "order_info").select(
+        "op", ods.decode(F.col("after"), orders_schema_info()).alias("a")).select("op", "a.*")
+
+
+@register("dwd_decode_cargo")
+def q_dwd_decode_cargo(spark, sf):
+    d = ods.dwd_filter(ods.dwd_project(ods.clean(raw_log(spark, sf))))
+    return d.filter(F.col("table") == "order_cargo").select(
+        "op", ods.decode(F.col("after"), orders_schema_cargo()).alias("a")).select("op", "a.*")
+
+
+@register("fn_json_extract")
+def q_fn_json_extract(spark, sf):
+    r = raw_log(spark, sf)
+    g = lambda p: F.get_json_object("value", p)
+    return r.select(g("$.source.table").alias("table"), g("$.op").alias("op"),
+                    g("$.ts_ms").cast("long").alias("ts_ms"), g("$.after.id").alias("after_id"),
+                    g("$.after.status").alias("after_status"))
+
+
+@register("fn_json_serialize")
+def q_fn_json_serialize(spark, sf):
+    oc = domain.order_cargo_rows(spark, sf)
+    return oc.select("id", F.to_json(F.struct("id", "order_id", "cargo_type", "create_time"))
+                     .alias("json"))

@@ -435,3 +435,240 @@ def oracle_sql() -> dict[str, str]:
     for fact in FACT_TIME:
         out[fact] = q_transition_fact(fact)
     return out
+
+
+def _late_oracles() -> dict[str, str]:
+    return {}
+
+
+# ------------------------------------------------------------------------
+# Captured change log (ODS input) and its cleaning
+# ------------------------------------------------------------------------
+T0, TU, TD = 1704067200000, 1704240000000, 1704326400000
+
+LOG_CLEAN = f"""
+clean_rows AS (
+  SELECT 'order_info' AS "table", 'c' AS op, ts_ms AS ts, id, 0 AS part FROM order_attr
+  UNION ALL SELECT 'order_cargo', 'c', ts_ms, id, 1 FROM order_cargo
+  UNION ALL SELECT tbl, op, ts_ms,
+      CASE WHEN tbl = 'order_info' THEN CAST(order_key AS VARCHAR) ELSE CAST(seq AS VARCHAR) END,
+      2 FROM ev
+  UNION ALL SELECT 'user_info', 'r', {T0}, CAST(c_custkey AS VARCHAR), 3 FROM customer
+  UNION ALL SELECT 'user_info', 'u', {TU}, CAST(c_custkey AS VARCHAR), 3 FROM customer
+      WHERE c_acctbal < 0
+  UNION ALL SELECT 'base_organ', 'r', {T0}, id, 4 FROM organ
+  UNION ALL SELECT 'base_region_info', 'r', {T0}, id, 5 FROM region_info
+  UNION ALL SELECT 'base_dic', 'r', {T0}, id, 6 FROM base_dic
+  UNION ALL SELECT 'base_dic', 'u', {TU}, id, 6 FROM base_dic
+  UNION ALL SELECT 'truck_info', 'r', {T0}, id, 7 FROM truck_info
+  UNION ALL SELECT 'truck_model', 'r', {T0}, id, 8 FROM truck_model
+  UNION ALL SELECT 'employee_info', 'r', {T0}, CAST(s_suppkey AS VARCHAR), 9 FROM supplier),
+ev_err AS (
+  SELECT event_id, {ms('ts')} AS ts_ms,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 AS kind
+  FROM events WHERE event_type = 'error'),
+deleted_rows AS (
+  SELECT 'user_info' AS "table", 'd' AS op, {TD} AS ts, CAST(c_custkey AS VARCHAR) AS id,
+         3 AS part
+  FROM customer WHERE c_acctbal < -500)"""
+
+LOG_CTES = (ORDER_ATTR, ORDER_CARGO, EV_LOG, ORGAN, REGION_INFO, BASE_DIC, TRUCK_INFO,
+            TRUCK_MODEL, LOG_CLEAN)
+
+FACT_TABLES = "('order_info', 'order_cargo', 'transport_task', 'order_org_bound')"
+DIM_TABLES = ("('user_info', 'user_address', 'base_complex', 'base_dic', 'base_region_info', "
+              "'base_organ', 'express_courier', 'express_courier_complex', 'employee_info', "
+              "'line_base_shift', 'line_base_info', 'truck_driver', 'truck_info', "
+              "'truck_model', 'truck_team')")
+
+
+def _all_scanned() -> str:
+    """Every record parsed: (table, op, ts_ms, id); unparseable -> nulls."""
+    return """
+SELECT "table", op, ts AS ts_ms, id FROM clean_rows
+UNION ALL SELECT "table", op, ts, id FROM deleted_rows
+UNION ALL SELECT CASE WHEN kind = 2 THEN 'order_info' END,
+                 CASE WHEN kind = 2 THEN 'u' END,
+                 CASE WHEN kind = 2 THEN ts_ms END, CAST(NULL AS VARCHAR)
+          FROM ev_err"""
+
+
+def q_changelog_scan() -> str:
+    return with_(*LOG_CTES, body=_all_scanned())
+
+
+def q_table_group_filter() -> str:
+    return with_(*LOG_CTES, body=f"""
+SELECT * FROM ({_all_scanned()}) t WHERE "table" IN {FACT_TABLES}""")
+
+
+def q_initial_snapshot_union() -> str:
+    return with_(*LOG_CTES, body=f"""
+SELECT "table", op, count(*) AS n FROM ({_all_scanned()}) t
+WHERE "table" IN {DIM_TABLES} GROUP BY 1, 2""")
+
+
+def q_decimal_decode() -> str:
+    return with_(*LOG_CTES, body="""
+SELECT 'order_info' AS "table", id, 'amount' AS field, amount AS value FROM order_attr
+UNION ALL SELECT 'order_info', id, 'distance', distance FROM order_attr
+UNION ALL SELECT 'order_info', CAST(e.order_key AS VARCHAR), 'amount', a.amount
+  FROM ev e LEFT JOIN order_attr a ON a.order_key = e.order_key WHERE e.tbl = 'order_info'
+UNION ALL SELECT 'order_info', CAST(e.order_key AS VARCHAR), 'distance', a.distance
+  FROM ev e LEFT JOIN order_attr a ON a.order_key = e.order_key WHERE e.tbl = 'order_info'
+UNION ALL SELECT 'order_cargo', id, 'weight', weight FROM order_cargo
+UNION ALL SELECT 'order_cargo', CAST(seq AS VARCHAR), 'weight', CAST(value AS DECIMAL(16,2))
+  FROM ev WHERE tbl = 'order_cargo'""")
+
+
+def q_tombstone_filter() -> str:
+    return with_(*LOG_CTES, body="""
+SELECT part, count(*) AS n FROM (
+  SELECT part FROM clean_rows UNION ALL SELECT part FROM deleted_rows
+  UNION ALL SELECT 2 FROM ev_err WHERE kind <> 3) t
+GROUP BY 1""")
+
+
+def q_ods_clean() -> str:
+    return with_(*LOG_CTES, body='SELECT "table", op, ts, id FROM clean_rows')
+
+
+def q_quarantine() -> str:
+    return with_(*LOG_CTES, body="""
+SELECT reason, "table", count(*) AS n FROM (
+  SELECT CASE kind WHEN 3 THEN 'tombstone' ELSE 'malformed' END AS reason,
+         CASE WHEN kind = 2 THEN 'order_info' END AS "table" FROM ev_err
+  UNION ALL SELECT 'delete', "table" FROM deleted_rows) t
+GROUP BY 1, 2""")
+
+
+def q_union_sources() -> str:
+    return with_(*LOG_CTES, body=f"""
+SELECT CASE WHEN part <= 2 THEN 'dwd' ELSE 'realtime_dim' END AS grp, "table",
+       count(*) AS n
+FROM clean_rows GROUP BY 1, 2""")
+
+
+def q_sink_record() -> str:
+    return with_(*LOG_CTES, body='SELECT id AS key, op, ts, "table", id FROM clean_rows')
+
+
+def q_per_key_ordered() -> str:
+    return with_(*LOG_CTES, body="""
+SELECT id AS key, "table", ts, lag(ts) OVER (PARTITION BY id ORDER BY ts, part) AS prev_ts
+FROM clean_rows WHERE id IS NOT NULL""")
+
+
+def q_dim_stream_project() -> str:
+    return with_(*LOG_CTES, body=f"""
+SELECT "table", op, ts, id, CASE "table"
+    WHEN 'user_info' THEN 'id,login_name,region_id,user_level'
+    WHEN 'base_organ' THEN CASE WHEN starts_with(id, 'C') THEN 'id,org_name,region_id'
+                               ELSE 'id,org_name,org_parent_id,region_id' END
+    WHEN 'base_region_info' THEN CASE WHEN starts_with(id, 'R') THEN 'id,name'
+                                      ELSE 'id,name,parent_id' END
+    WHEN 'base_dic' THEN 'id,name'
+    WHEN 'truck_info' THEN 'id,truck_model_id'
+    WHEN 'truck_model' THEN 'id,model_name'
+    WHEN 'employee_info' THEN 'emp_name,id' END AS keys
+FROM clean_rows WHERE "table" IN {DIM_TABLES}""")
+
+
+def q_dwd_stream_project() -> str:
+    return with_(*LOG_CTES, body=f"""
+SELECT "table", op, ts, id, CAST(NULL AS VARCHAR) AS before_status FROM clean_rows
+WHERE "table" IN {FACT_TABLES} AND NOT (part = 2 AND "table" = 'order_info')
+UNION ALL
+SELECT 'order_info', op, ts_ms, CAST(order_key AS VARCHAR),
+       CASE WHEN op = 'u' THEN before_status END FROM ev WHERE tbl = 'order_info'""")
+
+
+def q_dwd_table_filter() -> str:
+    return with_(*LOG_CTES, body="""
+SELECT "table", op, ts, id FROM clean_rows WHERE "table" IN ('order_info', 'order_cargo')""")
+
+
+ORDER_COLS = ("id, order_no, status, collect_type, user_id, receiver_complex_id, "
+              "receiver_province_id, receiver_city_id, receiver_district_id, receiver_name, "
+              "sender_complex_id, sender_province_id, sender_city_id, sender_district_id, "
+              "sender_name, payment_type, cargo_num, amount, estimate_arrive_time, distance, "
+              "create_time, update_time, is_deleted")
+
+
+def q_decode_order() -> str:
+    return with_(*LOG_CTES, body=f"""
+SELECT 'c' AS op, {ORDER_COLS} FROM order_attr
+UNION ALL
+SELECT e.op, CAST(e.order_key AS VARCHAR), a.order_no, e.status, a.collect_type, a.user_id,
+  a.receiver_complex_id, a.receiver_province_id, a.receiver_city_id, a.receiver_district_id,
+  a.receiver_name, a.sender_complex_id, a.sender_province_id, a.sender_city_id,
+  a.sender_district_id, a.sender_name, a.payment_type, a.cargo_num, a.amount,
+  a.estimate_arrive_time, a.distance, a.create_time, e.change_time, a.is_deleted
+FROM ev e LEFT JOIN order_attr a ON a.order_key = e.order_key WHERE e.tbl = 'order_info'""")
+
+
+def q_decode_cargo() -> str:
+    return with_(*LOG_CTES, body="""
+SELECT 'c' AS op, id, order_id, cargo_type, volumn_length, volumn_width, volumn_height, weight,
+       create_time, update_time, is_deleted FROM order_cargo
+UNION ALL
+SELECT 'c', CAST(seq AS VARCHAR), CAST(order_key AS VARCHAR), 'K' || CAST(k AS VARCHAR), k,
+       CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), CAST(value AS DECIMAL(16,2)),
+       change_time, change_time, '0'
+FROM ev WHERE tbl = 'order_cargo'""")
+
+
+def q_json_extract() -> str:
+    return with_(*LOG_CTES, body="""
+SELECT c."table", c.op, c.ts AS ts_ms, c.id AS after_id,
+       CASE WHEN c."table" = 'order_info' THEN coalesce(e.status, '60010') END AS after_status
+FROM clean_rows c
+LEFT JOIN ev e ON c.part = 2 AND c."table" = 'order_info' AND e.tbl = 'order_info'
+     AND e.seq = -1
+WHERE c.part <> 2
+UNION ALL
+SELECT tbl, op, ts_ms, CASE WHEN tbl = 'order_info' THEN CAST(order_key AS VARCHAR)
+                            ELSE CAST(seq AS VARCHAR) END,
+       CASE WHEN tbl = 'order_info' THEN status END FROM ev
+UNION ALL
+SELECT "table", op, ts, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM deleted_rows
+UNION ALL
+SELECT CASE WHEN kind = 2 THEN 'order_info' END, CASE WHEN kind = 2 THEN 'u' END,
+       CASE WHEN kind = 2 THEN ts_ms END, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+FROM ev_err""")
+
+
+def q_json_serialize() -> str:
+    return with_(ORDER_CARGO, body="""
+SELECT id, to_json({'id': id, 'order_id': order_id, 'cargo_type': cargo_type,
+                    'create_time': create_time})::VARCHAR AS json
+FROM order_cargo""")
+
+
+def _ods_oracles() -> dict[str, str]:
+    return {
+        "cdc_changelog_scan": q_changelog_scan(),
+        "cdc_table_group_filter": q_table_group_filter(),
+        "cdc_initial_snapshot_union": q_initial_snapshot_union(),
+        "cdc_decimal_decode": q_decimal_decode(),
+        "cdc_tombstone_filter": q_tombstone_filter(),
+        "ods_clean": q_ods_clean(),
+        "ods_malformed_quarantine": q_quarantine(),
+        "ods_union_sources": q_union_sources(),
+        "ods_sink_record": q_sink_record(),
+        "per_key_ordered_changes": q_per_key_ordered(),
+        "dim_stream_project": q_dim_stream_project(),
+        "dwd_stream_project": q_dwd_stream_project(),
+        "dwd_table_filter": q_dwd_table_filter(),
+        "dwd_decode_order": q_decode_order(),
+        "dwd_decode_cargo": q_decode_cargo(),
+        "fn_json_extract": q_json_extract(),
+        "fn_json_serialize": q_json_serialize(),
+    }
+
+
+def all_oracles() -> dict[str, str]:
+    out = oracle_sql()
+    out.update(_ods_oracles())
+    out.update(_late_oracles())
+    return out
