@@ -347,3 +347,71 @@ def q_fn_json_serialize(spark, sf):
     oc = domain.order_cargo_rows(spark, sf)
     return oc.select("id", F.to_json(F.struct("id", "order_id", "cargo_type", "create_time"))
                      .alias("json"))
+
+
+# --------------------------------------------------- config-driven DIM -----
+from parcelstream.operators import config_dim, dim_store  # noqa: E402
+
+
+def dim_records(spark, sf):
+    return ods.table_group(ods.clean(raw_log(spark, sf)), "realtime_dim")
+
+
+def config_versions(spark):
+    return config_dim.config_versions(spark, config_dim.preload(config_dim.config_table(spark)),
+                                      config_dim.config_changelog(spark))
+
+
+def routed(spark, sf):
+    return config_dim.routed_rows(dim_records(spark, sf), config_versions(spark))
+
+
+@register("dim_config_join")
+def q_dim_config_join(spark, sf):
+    r = routed(spark, sf)
+    return r.select("table", "sink_table", "sink_pk",
+                    F.element_at("row", F.col("sink_pk")).alias("id"), "ts")
+
+
+@register("dim_column_projection")
+def q_dim_column_projection(spark, sf):
+    r = routed(spark, sf)
+    return r.select("sink_table", F.element_at("row", F.col("sink_pk")).alias("id"), "ts",
+                    F.array_join(F.array_sort(F.map_keys("row")), ",").alias("columns"))
+
+
+@register("config_two_level_lookup")
+def q_config_two_level_lookup(spark, sf):
+    return routed(spark, sf).groupBy("table", "origin").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("config_changelog_fold")
+def q_config_changelog_fold(spark, sf):
+    state = config_dim.fold(config_dim.config_changelog(spark))
+    per_table = dim_records(spark, sf).groupBy("table").agg(F.count(F.lit(1)).alias("n_records"))
+    return state.join(per_table, state["source_table"] == per_table["table"], "left").select(
+        "source_table", "sink_table", "sink_columns", "sink_pk",
+        F.coalesce("n_records", F.lit(0)).alias("n_records"))
+
+
+@register("dim_route_counts")
+def q_dim_route_counts(spark, sf):
+    return dim_store.route_counts(routed(spark, sf))
+
+
+@register("dim_cells_exploded")
+def q_dim_cells_exploded(spark, sf):
+    return dim_store.cells(routed(spark, sf)).select("sink_table", "row_key", "column", "value",
+                                                     "ts")
+
+
+@register("dim_upsert_cell_merge")
+def q_dim_upsert_cell_merge(spark, sf):
+    return dim_store.merge(dim_store.cells(routed(spark, sf))).select(
+        "sink_table", "row_key", "column", "value")
+
+
+@register("dim_upsert_latest")
+def q_dim_upsert_latest(spark, sf):
+    merged = dim_store.merge(dim_store.cells(routed(spark, sf)))
+    return dim_store.wide(merged, "dim_user_info", ["login_name", "user_level", "region_id"])

@@ -670,5 +670,124 @@ def _ods_oracles() -> dict[str, str]:
 def all_oracles() -> dict[str, str]:
     out = oracle_sql()
     out.update(_ods_oracles())
+    out.update(_dim_oracles())
     out.update(_late_oracles())
     return out
+
+
+# ------------------------------------------------------------------------
+# Config-driven dimension routing and the cell-merge store
+# ------------------------------------------------------------------------
+ROUTED = f"""
+routed AS (
+  SELECT 'user_info' AS "table", 'dim_user_info' AS sink_table, 'id' AS sink_pk,
+         CAST(c_custkey AS VARCHAR) AS id, {T0} AS ts, 'preload' AS origin,
+         'id,login_name,region_id,user_level' AS columns
+  FROM customer
+  UNION ALL
+  SELECT 'user_info', 'dim_user_info', 'id', CAST(c_custkey AS VARCHAR), {TU}, 'live',
+         'id,login_name,region_id'
+  FROM customer WHERE c_acctbal < 0
+  UNION ALL
+  SELECT 'base_organ', 'dim_base_organ', 'id', id, {T0}, 'preload',
+         CASE WHEN org_parent_id IS NULL THEN 'id,org_name,region_id'
+              ELSE 'id,org_name,org_parent_id,region_id' END
+  FROM organ
+  UNION ALL
+  SELECT 'base_region_info', 'dim_base_region_info', 'id', id, {T0}, 'preload',
+         CASE WHEN parent_id IS NULL THEN 'id,name' ELSE 'id,name,parent_id' END
+  FROM region_info
+  UNION ALL
+  SELECT 'base_dic', 'dim_base_dic', 'id', id, {T0}, 'preload', 'id,name' FROM base_dic
+  UNION ALL
+  SELECT 'truck_info', 'dim_truck_info', 'id', id, {T0}, 'preload', 'id,truck_model_id'
+  FROM truck_info
+  UNION ALL
+  SELECT 'truck_model', 'dim_truck_model', 'id', id, {T0}, 'preload', 'id,model_name'
+  FROM truck_model),
+dim_cells AS (
+  SELECT 'dim_user_info' AS sink_table, CAST(c_custkey AS VARCHAR) AS row_key,
+         'login_name' AS "column", c_name AS value, {T0} AS ts FROM customer
+  UNION ALL SELECT 'dim_user_info', CAST(c_custkey AS VARCHAR), 'user_level', c_mktsegment, {T0}
+  FROM customer
+  UNION ALL SELECT 'dim_user_info', CAST(c_custkey AS VARCHAR), 'region_id',
+         CAST(c_nationkey AS VARCHAR), {T0} FROM customer
+  UNION ALL SELECT 'dim_user_info', CAST(c_custkey AS VARCHAR), 'login_name', upper(c_name), {TU}
+  FROM customer WHERE c_acctbal < 0
+  UNION ALL SELECT 'dim_user_info', CAST(c_custkey AS VARCHAR), 'region_id',
+         CAST(c_nationkey AS VARCHAR), {TU} FROM customer WHERE c_acctbal < 0
+  UNION ALL SELECT 'dim_base_organ', id, 'org_name', org_name, {T0} FROM organ
+  UNION ALL SELECT 'dim_base_organ', id, 'org_parent_id', org_parent_id, {T0} FROM organ
+      WHERE org_parent_id IS NOT NULL
+  UNION ALL SELECT 'dim_base_organ', id, 'region_id', region_id, {T0} FROM organ
+  UNION ALL SELECT 'dim_base_region_info', id, 'name', name, {T0} FROM region_info
+  UNION ALL SELECT 'dim_base_region_info', id, 'parent_id', parent_id, {T0} FROM region_info
+      WHERE parent_id IS NOT NULL
+  UNION ALL SELECT 'dim_base_dic', id, 'name', name, {T0} FROM base_dic
+  UNION ALL SELECT 'dim_truck_info', id, 'truck_model_id', truck_model_id, {T0} FROM truck_info
+  UNION ALL SELECT 'dim_truck_model', id, 'model_name', model_name, {T0} FROM truck_model),
+merged_cells AS (
+  SELECT sink_table, row_key, "column", arg_max(value, ts) AS value
+  FROM dim_cells GROUP BY 1, 2, 3)"""
+
+DIM_CTES = (ORGAN, REGION_INFO, BASE_DIC, TRUCK_INFO, TRUCK_MODEL, ROUTED)
+
+
+def q_dim_config_join() -> str:
+    return with_(*DIM_CTES, body='SELECT "table", sink_table, sink_pk, id, ts FROM routed')
+
+
+def q_dim_column_projection() -> str:
+    return with_(*DIM_CTES, body="SELECT sink_table, id, ts, columns FROM routed")
+
+
+def q_two_level_lookup() -> str:
+    return with_(*DIM_CTES, body='SELECT "table", origin, count(*) AS n FROM routed GROUP BY 1, 2')
+
+
+def q_config_fold() -> str:
+    return with_(*LOG_CTES, body="""
+SELECT f.source_table, f.sink_table, f.sink_columns, f.sink_pk,
+       coalesce(c.n, 0) AS n_records
+FROM (VALUES ('user_info', 'dim_user_info', 'id,login_name,region_id', 'id'),
+             ('base_organ', 'dim_base_organ', 'id,org_name,org_parent_id,region_id', 'id'),
+             ('base_region_info', 'dim_base_region_info', 'id,name,parent_id', 'id'),
+             ('truck_info', 'dim_truck_info', 'truck_model_id', 'id'),
+             ('truck_model', 'dim_truck_model', 'id,model_name', 'id'))
+     AS f(source_table, sink_table, sink_columns, sink_pk)
+LEFT JOIN (SELECT "table", count(*) AS n FROM clean_rows GROUP BY 1) c
+  ON c."table" = f.source_table""")
+
+
+def q_route_counts() -> str:
+    return with_(*DIM_CTES, body="SELECT sink_table, count(*) AS n FROM routed GROUP BY 1")
+
+
+def q_cells_exploded() -> str:
+    return with_(*DIM_CTES, body='SELECT sink_table, row_key, "column", value, ts FROM dim_cells')
+
+
+def q_cell_merge() -> str:
+    return with_(*DIM_CTES, body='SELECT sink_table, row_key, "column", value FROM merged_cells')
+
+
+def q_upsert_latest() -> str:
+    return with_(*DIM_CTES, body="""
+SELECT row_key AS id,
+       max(CASE WHEN "column" = 'login_name' THEN value END) AS login_name,
+       max(CASE WHEN "column" = 'user_level' THEN value END) AS user_level,
+       max(CASE WHEN "column" = 'region_id' THEN value END) AS region_id
+FROM merged_cells WHERE sink_table = 'dim_user_info' GROUP BY 1""")
+
+
+def _dim_oracles() -> dict[str, str]:
+    return {
+        "dim_config_join": q_dim_config_join(),
+        "dim_column_projection": q_dim_column_projection(),
+        "config_two_level_lookup": q_two_level_lookup(),
+        "config_changelog_fold": q_config_fold(),
+        "dim_route_counts": q_route_counts(),
+        "dim_cells_exploded": q_cells_exploded(),
+        "dim_upsert_cell_merge": q_cell_merge(),
+        "dim_upsert_latest": q_upsert_latest(),
+    }
