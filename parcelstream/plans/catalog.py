@@ -415,3 +415,123 @@ def q_dim_upsert_cell_merge(spark, sf):
 def q_dim_upsert_latest(spark, sf):
     merged = dim_store.merge(dim_store.cells(routed(spark, sf)))
     return dim_store.wide(merged, "dim_user_info", ["login_name", "user_level", "region_id"])
+
+
+# ------------------------------------------------------------- transit -----
+from parcelstream.functions import timefn  # noqa: E402
+from parcelstream.operators import lookups, transit  # noqa: E402
+from parcelstream.sources import transit as transit_src  # noqa: E402
+
+
+@register("dwd_bound_inbound")
+def q_dwd_bound_inbound(spark, sf):
+    return transit.bound_inbound(transit_src.bound_changelog(spark, sf))
+
+
+@register("dwd_bound_sort")
+def q_dwd_bound_sort(spark, sf):
+    return transit.bound_sort(transit_src.bound_changelog(spark, sf))
+
+
+@register("dwd_bound_outbound")
+def q_dwd_bound_outbound(spark, sf):
+    return transit.bound_outbound(transit_src.bound_changelog(spark, sf))
+
+
+@register("dwd_trans_finish")
+def q_dwd_trans_finish(spark, sf):
+    return transit.trans_finish(transit_src.task_changelog(spark, sf))
+
+
+@register("dws_bound_org_sort_day")
+def q_dws_bound_org_sort_day(spark, sf):
+    facts = transit.bound_sort(transit_src.bound_changelog(spark, sf))
+    return dws.org_sort_day(facts, dims.base_organ(spark, sf), dims.base_region_info(spark, sf))
+
+
+@register("dws_trans_org_truck_model_finish_day")
+def q_dws_trans_org_truck_model_finish_day(spark, sf):
+    facts = transit.trans_finish(transit_src.task_changelog(spark, sf))
+    return dws.org_truck_model_finish_day(facts, dims.truck_info(spark, sf),
+                                          dims.truck_model(spark, sf),
+                                          dims.base_organ(spark, sf),
+                                          dims.base_region_info(spark, sf))
+
+
+# ------------------------------------------------------------- lookups -----
+@register("dim_lookup_join")
+def q_dim_lookup_join(spark, sf):
+    facts = place_facts(spark, sf).select("id", "cargo_type")
+    return lookups.dim_lookup(facts, "cargo_type", dims.base_dic(spark, sf), "id",
+                              {"name": "cargo_type_name"})
+
+
+@register("dim_hierarchy_join")
+def q_dim_hierarchy_join(spark, sf):
+    organ = dims.base_organ(spark, sf)
+    orgs = organ.select(F.col("id").alias("org_id"))
+    out = lookups.org_city_province(orgs, "org_id", organ, dims.base_region_info(spark, sf))
+    return out.select("org_id", "org_name", "join_org_id", "city_id", "city_name",
+                      "province_id", "province_name")
+
+
+@register("dim_fk_lookup")
+def q_dim_fk_lookup(spark, sf):
+    """Lookup through the foreign key the configuration declares for
+    ``user_info`` (read from the configuration, not hard-wired)."""
+    fks = config_dim.fk_columns(config_dim.config_table(spark))
+    fk = fks.filter(F.col("source_table") == "user_info").first()["fk_column"]
+    users = dims.user_info(spark, sf).select("id", fk)
+    out = lookups.fk_lookup(users, fk, dims.base_region_info(spark, sf).select(
+        F.col("id").alias("rid"), F.col("name").alias("region_name")), "rid", ["region_name"])
+    return out.select("id", F.col(fk).alias("fk_value"), "region_name")
+
+
+# ----------------------------------------------------- scalar functions -----
+def _events(spark, sf):
+    from parcelstream.sources.tables import epoch_ms, read
+    return read(spark, sf, "events", "event_id", "ts").select(
+        "event_id", epoch_ms("ts").alias("ts_ms"))
+
+
+@register("fn_to_ts")
+def q_fn_to_ts(spark, sf):
+    from parcelstream.sources.tables import read
+    o = read(spark, sf, "orders", "o_orderkey", "o_orderdate")
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        timefn.text_to_millis(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("full_ms"),
+        timefn.text_to_millis(F.date_format("o_orderdate", "yyyy-MM-dd"), full=False)
+        .alias("date_ms"))
+
+
+@register("fn_to_date")
+def q_fn_to_date(spark, sf):
+    e = _events(spark, sf)
+    return e.select("event_id", timefn.millis_to_date("ts_ms").alias("d"))
+
+
+@register("fn_to_partition_date")
+def q_fn_to_partition_date(spark, sf):
+    e = _events(spark, sf)
+    return e.select("event_id", timefn.millis_to_partition_date("ts_ms").alias("dt"))
+
+
+@register("fn_to_ymd_hms")
+def q_fn_to_ymd_hms(spark, sf):
+    e = _events(spark, sf)
+    return e.select("event_id", timefn.millis_to_ymd_hms("ts_ms").alias("local_time"))
+
+
+@register("fn_iso_event_time")
+def q_fn_iso_event_time(spark, sf):
+    oc = domain.order_cargo_rows(spark, sf)
+    return oc.select("id", timefn.iso_to_millis("create_time").alias("ts"),
+                     timefn.iso_to_local_text("create_time").alias("local_time"))
+
+
+@register("fn_estimate_arrive")
+def q_fn_estimate_arrive(spark, sf):
+    oi = domain.order_info_rows(spark, sf)
+    return oi.select("id", timefn.estimate_arrive_text("estimate_arrive_time")
+                     .alias("estimate_arrive_time"))

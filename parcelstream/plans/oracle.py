@@ -791,3 +791,150 @@ def _dim_oracles() -> dict[str, str]:
         "dim_upsert_cell_merge": q_cell_merge(),
         "dim_upsert_latest": q_upsert_latest(),
     }
+
+
+# ------------------------------------------------------------------------
+# Transit facts, their aggregates, lookups and scalar functions
+# ------------------------------------------------------------------------
+def _plus_h(ts: str, h: int) -> str:
+    return f"({ts} + INTERVAL {h} HOUR)"
+
+
+def _bound_select(time_col: str, emp_col: str, hours: int, emp_prefix: str) -> str:
+    t = _plus_h("l.l_shipdate", hours)
+    return f"""
+SELECT {CARGO_ID} AS id, CAST(l.l_orderkey AS VARCHAR) AS order_id,
+       CAST(l.l_suppkey AS VARCHAR) AS org_id, {local_text(t)} AS {time_col},
+       '{emp_prefix}' || CAST(l.l_suppkey AS VARCHAR) AS {emp_col}, {ms(t)} AS ts
+FROM lineitem l"""
+
+
+def q_bound_inbound() -> str:
+    return _bound_select("inbound_time", "inbound_emp_id", 0, "E")
+
+
+def q_bound_sort() -> str:
+    return _bound_select("sort_time", "sorter_emp_id", 2, "S")
+
+
+def q_bound_outbound() -> str:
+    return _bound_select("outbound_time", "outbound_emp_id", 5, "O") + \
+        " WHERE l.l_linestatus = 'F'"
+
+
+TRANS_FINISH = f"""
+finish AS (
+  SELECT {CARGO_ID} AS id, 'SH' || CAST(l.l_linenumber AS VARCHAR) AS shift_id,
+    'LN' || CAST(l.l_suppkey AS VARCHAR) AS line_id, CAST(l.l_suppkey AS VARCHAR) AS start_org_id,
+    CAST(NULL AS VARCHAR) AS start_org_name, CAST(NULL AS VARCHAR) AS end_org_id,
+    CAST(NULL AS VARCHAR) AS end_org_name, CAST(l.l_quantity AS INTEGER) AS order_num,
+    'D' || CAST(l.l_suppkey AS VARCHAR) AS driver1_emp_id, CAST(NULL AS VARCHAR) AS driver1_name,
+    CAST(NULL AS VARCHAR) AS driver2_emp_id, CAST(NULL AS VARCHAR) AS driver2_name,
+    CAST(l.l_partkey AS VARCHAR) AS truck_id, 'TRK' || CAST(l.l_partkey AS VARCHAR) AS truck_no,
+    {local_text('o.o_orderdate')} AS actual_start_time,
+    {local_text('l.l_shipdate')} AS actual_end_time,
+    {ms('l.l_shipdate')} - {ms('o.o_orderdate')} AS transport_time,
+    CAST(l.l_extendedprice AS DECIMAL(16,2)) AS actual_distance,
+    {ms('l.l_shipdate')} AS ts
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+
+def q_trans_finish() -> str:
+    return with_(TRANS_FINISH, body="SELECT * FROM finish")
+
+
+ORG_GEO = """
+LEFT JOIN organ og ON og.id = a.org_id
+LEFT JOIN organ jo ON jo.id = coalesce(og.org_parent_id, a.org_id)
+LEFT JOIN region_info ci ON ci.id = jo.region_id
+LEFT JOIN region_info p ON p.id = ci.parent_id"""
+
+
+def q_org_sort_day() -> str:
+    return with_(ORGAN, REGION_INFO, f"\nsorts AS ({_bound_select('sort_time', 'sorter_emp_id', 2, 'S')})",
+                 body=f"""
+SELECT a.cur_date, a.org_id, og.org_name, jo.region_id AS city_id, ci.name AS city_name,
+       p.id AS province_id, p.name AS province_name, a.sort_count_base, a.ts
+FROM (SELECT {local_day('ts')} AS cur_date, org_id, count(*) AS sort_count_base, max(ts) AS ts
+      FROM sorts GROUP BY 1, 2) a {ORG_GEO}""")
+
+
+def q_truck_model_finish_day() -> str:
+    return with_(ORGAN, REGION_INFO, TRUCK_INFO, TRUCK_MODEL, TRANS_FINISH, body=f"""
+SELECT a.cur_date, a.org_id, og.org_name, a.truck_model_id, m.model_name AS truck_model_name,
+       jo.region_id AS city_id, ci.name AS city_name, a.trans_finish_count_base,
+       a.trans_finish_distance_base, a.trans_finish_dur_time_base, a.ts
+FROM (SELECT {local_day('f.ts')} AS cur_date, f.start_org_id AS org_id, t.truck_model_id,
+             count(*) AS trans_finish_count_base,
+             CAST(sum(f.actual_distance) AS DECIMAL(38,2)) AS trans_finish_distance_base,
+             CAST(sum(f.transport_time) AS BIGINT) AS trans_finish_dur_time_base,
+             max(f.ts) AS ts
+      FROM finish f LEFT JOIN truck_info t ON t.id = f.truck_id
+      GROUP BY 1, 2, 3) a
+LEFT JOIN truck_model m ON m.id = a.truck_model_id {ORG_GEO}""")
+
+
+def q_dim_lookup_join() -> str:
+    return with_(ORDER_ATTR, ORDER_CARGO, PLACE_FACTS, BASE_DIC, body="""
+SELECT f.id, f.cargo_type, d.name AS cargo_type_name
+FROM place_facts f LEFT JOIN base_dic d ON d.id = f.cargo_type""")
+
+
+def q_dim_hierarchy_join() -> str:
+    return with_(ORGAN, REGION_INFO, body=f"""
+SELECT a.org_id, og.org_name, coalesce(og.org_parent_id, a.org_id) AS join_org_id,
+       jo.region_id AS city_id, ci.name AS city_name, p.id AS province_id,
+       p.name AS province_name
+FROM (SELECT id AS org_id FROM organ) a {ORG_GEO}""")
+
+
+def q_dim_fk_lookup() -> str:
+    return with_(REGION_INFO, body="""
+SELECT CAST(c.c_custkey AS VARCHAR) AS id, CAST(c.c_nationkey AS VARCHAR) AS fk_value,
+       r.name AS region_name
+FROM customer c LEFT JOIN region_info r ON r.id = CAST(c.c_nationkey AS VARCHAR)""")
+
+
+def q_fn_to_ts() -> str:
+    return f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS id, {ms('o_orderdate')} - 28800000 AS full_ms,
+       {ms("date_trunc('day', o_orderdate)")} - 28800000 AS date_ms
+FROM orders"""
+
+
+def q_fn_events(col: str, fmt: str) -> str:
+    return f"""
+SELECT event_id, strftime(epoch_ms({ms('ts')}) + INTERVAL 8 HOUR, '{fmt}') AS {col}
+FROM events"""
+
+
+def q_fn_iso_event_time() -> str:
+    return with_(ORDER_CARGO, body=f"""
+SELECT id, {iso_ms('create_time')} AS ts, {iso_local('create_time')} AS local_time
+FROM order_cargo""")
+
+
+def q_fn_estimate_arrive() -> str:
+    return with_(ORDER_ATTR, body=f"""
+SELECT id, {local_text('epoch_ms(estimate_arrive_time - 28800000)')} AS estimate_arrive_time
+FROM order_attr""")
+
+
+def _late_oracles() -> dict[str, str]:  # noqa: F811
+    return {
+        "dwd_bound_inbound": q_bound_inbound(),
+        "dwd_bound_sort": q_bound_sort(),
+        "dwd_bound_outbound": q_bound_outbound(),
+        "dwd_trans_finish": q_trans_finish(),
+        "dws_bound_org_sort_day": q_org_sort_day(),
+        "dws_trans_org_truck_model_finish_day": q_truck_model_finish_day(),
+        "dim_lookup_join": q_dim_lookup_join(),
+        "dim_hierarchy_join": q_dim_hierarchy_join(),
+        "dim_fk_lookup": q_dim_fk_lookup(),
+        "fn_to_ts": q_fn_to_ts(),
+        "fn_to_date": q_fn_events("d", "%Y-%m-%d"),
+        "fn_to_partition_date": q_fn_events("dt", "%Y%m%d"),
+        "fn_to_ymd_hms": q_fn_events("local_time", "%Y-%m-%d %H:%M:%S"),
+        "fn_iso_event_time": q_fn_iso_event_time(),
+        "fn_estimate_arrive": q_fn_estimate_arrive(),
+    }
