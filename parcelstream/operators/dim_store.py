@@ -14,9 +14,6 @@ replayed batch rewrites the same version (idempotent).
 
 from __future__ import annotations
 
-import json
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,21 +51,22 @@ def route_counts(routed: DataFrame) -> DataFrame:
 
 def write_batch(merged_batch: DataFrame, root: str, batch_id: int) -> None:
     """Write one micro-batch's merged state per sink table as version
-    ``batch_id`` and then swap ``_CURRENT`` (idempotent on replay)."""
+    ``batch_id``, then point ``_CURRENT`` at it.  Both writes go through
+    Spark, so ``root`` may be any shared file system; a replayed batch
+    rewrites the same version and pointer (idempotent)."""
+    spark = merged_batch.sparkSession
     tables = [r[0] for r in merged_batch.select("sink_table").distinct().collect()]
     for t in tables:
-        path = os.path.join(root, t, f"v{batch_id:010d}")
+        path = f"{root.rstrip('/')}/{t}/v{batch_id:010d}"
         merged_batch.filter(F.col("sink_table") == t).write.mode("overwrite").parquet(path)
-        pointer = os.path.join(root, t, "_CURRENT")
-        tmp = pointer + ".tmp"
-        with open(tmp, "w") as fh:
-            json.dump({"version": batch_id, "path": path}, fh)
-        os.replace(tmp, pointer)
+        spark.createDataFrame([(batch_id, path)], "version long, path string") \
+            .coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/{t}/_CURRENT")
 
 
 def read_current(spark, root: str, sink_table: str) -> DataFrame | None:
-    pointer = os.path.join(root, sink_table, "_CURRENT")
-    if not os.path.exists(pointer):
+    try:
+        ptr = spark.read.schema("version long, path string").json(
+            f"{root.rstrip('/')}/{sink_table}/_CURRENT").first()
+    except Exception:  # noqa: BLE001 - no pointer yet
         return None
-    with open(pointer) as fh:
-        return spark.read.parquet(json.load(fh)["path"])
+    return None if ptr is None else spark.read.parquet(ptr["path"])
