@@ -49,11 +49,12 @@ def reason(e: Column | None = None, value: Column | None = None) -> Column:
     value = F.col("value") if value is None else value
     after = e.getField("after")
     parsed = e.isNotNull() & e.getField("source").getField("table").isNotNull()
-    bad_after = after.isNotNull() & ~is_object(after)
+    missing = after.isNull() | F.is_variant_null(after)      # absent or JSON null
+    bad_after = ~missing & ~is_object(after)
     return (F.when(value.isNull(), F.lit(TOMBSTONE))
             .when(~parsed | bad_after, F.lit(MALFORMED))
             .when(e.getField("op").eqNullSafe(F.lit("d")), F.lit(DELETE))
-            .when(after.isNull(), F.lit(NO_AFTER)))
+            .when(missing, F.lit(NO_AFTER)))
 
 
 def clean(raw: DataFrame) -> DataFrame:
