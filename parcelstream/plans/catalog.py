@@ -186,6 +186,13 @@ def raw_log(spark, sf):
     return materialized(spark, ("captured_log", sf), lambda: changelog.captured_log(spark, sf))
 
 
+def ods_topic(spark, sf):
+    """The cleaned ODS output (the topic the DIM and DWD layers consume),
+    stored partitioned by source table so a consumer reads only its tables."""
+    return materialized(spark, ("ods_topic", sf), lambda: ods.clean(raw_log(spark, sf)),
+                        partition_by=("table",))
+
+
 def _ids(df):
     return df.select("table", "op", "ts", ods.record_id(df).alias("id"))
 
@@ -230,19 +237,19 @@ def q_cdc_initial_snapshot_union(spark, sf):
 
 @register("cdc_decimal_decode")
 def q_cdc_decimal_decode(spark, sf):
-    c = ods.clean(raw_log(spark, sf))
-    oi = c.filter(F.col("table") == "order_info").select(
-        "table", ods.decode(F.col("after"), orders_schema_info()).alias("a"))
-    oc = c.filter(F.col("table") == "order_cargo").select(
-        "table", ods.decode(F.col("after"), orders_schema_cargo()).alias("a"))
-    return (oi.select("table", F.col("a.id").alias("id"), F.lit("amount").alias("field"),
-                      F.col("a.amount").alias("value"))
-            .unionByName(oi.select("table", F.col("a.id").alias("id"),
-                                   F.lit("distance").alias("field"),
-                                   F.col("a.distance").alias("value")))
-            .unionByName(oc.select("table", F.col("a.id").alias("id"),
-                                   F.lit("weight").alias("field"),
-                                   F.col("a.weight").alias("value"))))
+    """Money columns decoded from the row image as DECIMAL(16,2), exactly
+    (only the fields needed are extracted from the VARIANT)."""
+    c = ods.dwd_filter(ods_topic(spark, sf))
+    money = "decimal(16,2)"
+    rid = ods.vget(F.col("after"), "id")
+
+    def pair(field):
+        return F.struct(rid.alias("id"), F.lit(field).alias("field"),
+                        ods.vget(F.col("after"), field, money).alias("value"))
+
+    pairs = F.when(F.col("table") == "order_info", F.array(pair("amount"), pair("distance"))) \
+        .otherwise(F.array(pair("weight")))
+    return c.select("table", F.inline(pairs))
 
 
 def orders_schema_info():
@@ -274,7 +281,7 @@ def q_ods_malformed_quarantine(spark, sf):
 
 @register("ods_union_sources")
 def q_ods_union_sources(spark, sf):
-    log = ods.clean(raw_log(spark, sf))
+    log = ods_topic(spark, sf)
     facts = ods.table_group(log, "dwd").withColumn("grp", F.lit("dwd"))
     dims_ = ods.table_group(log, "realtime_dim").withColumn("grp", F.lit("realtime_dim"))
     return facts.unionByName(dims_).groupBy("grp", "table").agg(F.count(F.lit(1)).alias("n"))
@@ -292,7 +299,7 @@ def q_ods_sink_record(spark, sf):
 
 @register("per_key_ordered_changes")
 def q_per_key_ordered_changes(spark, sf):
-    c = ods.clean(raw_log(spark, sf))
+    c = ods_topic(spark, sf)
     c = c.select("part", "offset", "table", "ts", ods.record_id(c).alias("key"))
     out = asof_last(c.filter(F.col("key").isNotNull()), "key", ["ts", "part", "offset"],
                     {"prev_ts": F.col("ts")})
@@ -301,7 +308,7 @@ def q_per_key_ordered_changes(spark, sf):
 
 @register("dim_stream_project")
 def q_dim_stream_project(spark, sf):
-    d = ods.dim_project(ods.table_group(ods.clean(raw_log(spark, sf)), "realtime_dim"))
+    d = ods.dim_project(ods.table_group(ods_topic(spark, sf), "realtime_dim"))
     keys = F.array_join(F.array_sort(F.map_keys(
         F.try_variant_get(F.col("after"), "$", "map<string,variant>"))), ",")
     return d.select("table", "op", "ts", ods.record_id(d).alias("id"), keys.alias("keys"))
@@ -309,26 +316,26 @@ def q_dim_stream_project(spark, sf):
 
 @register("dwd_stream_project")
 def q_dwd_stream_project(spark, sf):
-    d = ods.dwd_project(ods.table_group(ods.clean(raw_log(spark, sf)), "dwd"))
+    d = ods.dwd_project(ods.table_group(ods_topic(spark, sf), "dwd"))
     return d.select("table", "op", "ts", ods.record_id(d).alias("id"),
                     ods.vget(F.col("before"), "status").alias("before_status"))
 
 
 @register("dwd_table_filter")
 def q_dwd_table_filter(spark, sf):
-    return _ids(ods.dwd_filter(ods.dwd_project(ods.clean(raw_log(spark, sf)))))
+    return _ids(ods.dwd_filter(ods.dwd_project(ods_topic(spark, sf))))
 
 
 @register("dwd_decode_order")
 def q_dwd_decode_order(spark, sf):
-    d = ods.dwd_filter(ods.dwd_project(ods.clean(raw_log(spark, sf))))
+    d = ods.dwd_filter(ods.dwd_project(ods_topic(spark, sf)))
     return d.filter(F.col("table") == "order_info").select(
         "op", ods.decode(F.col("after"), orders_schema_info()).alias("a")).select("op", "a.*")
 
 
 @register("dwd_decode_cargo")
 def q_dwd_decode_cargo(spark, sf):
-    d = ods.dwd_filter(ods.dwd_project(ods.clean(raw_log(spark, sf))))
+    d = ods.dwd_filter(ods.dwd_project(ods_topic(spark, sf)))
     return d.filter(F.col("table") == "order_cargo").select(
         "op", ods.decode(F.col("after"), orders_schema_cargo()).alias("a")).select("op", "a.*")
 
@@ -354,7 +361,7 @@ from parcelstream.operators import config_dim, dim_store  # noqa: E402
 
 
 def dim_records(spark, sf):
-    return ods.table_group(ods.clean(raw_log(spark, sf)), "realtime_dim")
+    return ods.table_group(ods_topic(spark, sf), "realtime_dim")
 
 
 def config_versions(spark):

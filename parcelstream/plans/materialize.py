@@ -20,7 +20,8 @@ from parcelstream.session import ensure_checkpoint_dir
 _MEMO: dict[tuple, DataFrame] = {}
 
 
-def materialized(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+def materialized(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
+                 partition_by: tuple[str, ...] = ()) -> DataFrame:
     ensure_checkpoint_dir(spark)
     memo_key = (spark.sparkContext.applicationId,) + key
     df = _MEMO.get(memo_key)
@@ -28,7 +29,7 @@ def materialized(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]
         root = ensure_checkpoint_dir(spark).rstrip("/")
         name = "_".join(str(k).strip("/").replace("/", "_") for k in key)
         path = f"{root}/tables/{name}"
-        build().write.mode("overwrite").parquet(path)
+        build().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         df = spark.read.parquet(path)
         _MEMO[memo_key] = df
     return df

@@ -35,17 +35,24 @@ def _image(fields, values: dict) -> F.Column:
 def bound_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
               "l_extendedprice", "l_shipdate", "l_linestatus")
-    t0 = epoch_ms("l_shipdate")
-    sup = F.col("l_suppkey").cast("string")
-    base = {"id": cargo_id(), "order_id": F.col("l_orderkey").cast("string"), "org_id": sup,
-            "inbound_time": _iso_ms(t0), "inbound_emp_id": F.concat(F.lit("E"), sup),
-            "create_time": _iso_ms(t0), "is_deleted": F.lit("0")}
-    received = dict(base, status=F.lit("67001"), update_time=_iso_ms(t0))
-    sorted_ = dict(received, status=F.lit("67002"), sort_time=_iso_ms(t0 + 2 * HOUR_MS),
-                   sorter_emp_id=F.concat(F.lit("S"), sup), update_time=_iso_ms(t0 + 2 * HOUR_MS))
-    shipped = dict(sorted_, status=F.lit("67003"), outbound_time=_iso_ms(t0 + 5 * HOUR_MS),
-                   outbound_emp_id=F.concat(F.lit("O"), sup),
-                   update_time=_iso_ms(t0 + 5 * HOUR_MS))
+    # Per-row values are computed once in a projection: the generator below
+    # would otherwise evaluate every repeated expression per image.
+    li = li.select(
+        "l_linestatus", epoch_ms("l_shipdate").alias("t0"), cargo_id().alias("cid"),
+        F.col("l_orderkey").cast("string").alias("oid"),
+        F.col("l_suppkey").cast("string").alias("sup"))
+    li = li.select("*", _iso_ms(F.col("t0")).alias("i0"),
+                   _iso_ms(F.col("t0") + 2 * HOUR_MS).alias("i2"),
+                   _iso_ms(F.col("t0") + 5 * HOUR_MS).alias("i5"))
+    t0, sup = F.col("t0"), F.col("sup")
+    base = {"id": F.col("cid"), "order_id": F.col("oid"), "org_id": sup,
+            "inbound_time": F.col("i0"), "inbound_emp_id": F.concat(F.lit("E"), sup),
+            "create_time": F.col("i0"), "is_deleted": F.lit("0")}
+    received = dict(base, status=F.lit("67001"), update_time=F.col("i0"))
+    sorted_ = dict(received, status=F.lit("67002"), sort_time=F.col("i2"),
+                   sorter_emp_id=F.concat(F.lit("S"), sup), update_time=F.col("i2"))
+    shipped = dict(sorted_, status=F.lit("67003"), outbound_time=F.col("i5"),
+                   outbound_emp_id=F.concat(F.lit("O"), sup), update_time=F.col("i5"))
     null_img = F.lit(None).cast(schemas.ORDER_ORG_BOUND)
     changes = F.array(
         F.struct(F.lit("c").alias("op"), t0.alias("ts_ms"), null_img.alias("before"),
@@ -64,17 +71,22 @@ def task_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
               "l_quantity", "l_extendedprice", "l_shipdate")
     o = read(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
-    sup, part = F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        cargo_id().alias("cid"), F.col("l_linenumber").cast("string").alias("ln"),
+        F.col("l_suppkey").cast("string").alias("sup"),
+        F.col("l_partkey").cast("string").alias("prt"),
+        F.col("l_quantity").cast("int").alias("qty"),
+        F.col("l_extendedprice").cast(schemas.MONEY).alias("dist"),
+        iso_text("o_orderdate").alias("start_iso"), iso_text("l_shipdate").alias("end_iso"),
+        epoch_ms("o_orderdate").alias("start_ms"), epoch_ms("l_shipdate").alias("end_ms"))
+    sup, part = F.col("sup"), F.col("prt")
     started = {
-        "id": cargo_id(), "shift_id": F.concat(F.lit("SH"), F.col("l_linenumber").cast("string")),
+        "id": F.col("cid"), "shift_id": F.concat(F.lit("SH"), F.col("ln")),
         "line_id": F.concat(F.lit("LN"), sup), "start_org_id": sup,
-        "order_num": F.col("l_quantity").cast("int"), "driver1_emp_id": F.concat(F.lit("D"), sup),
+        "order_num": F.col("qty"), "driver1_emp_id": F.concat(F.lit("D"), sup),
         "truck_id": part, "truck_no": F.concat(F.lit("TRK"), part),
-        "actual_start_time": iso_text("o_orderdate"),
-        "actual_distance": F.col("l_extendedprice").cast(schemas.MONEY)}
-    started["order_num"] = started["order_num"]
-    finished = dict(started, actual_end_time=iso_text("l_shipdate"))
+        "actual_start_time": F.col("start_iso"), "actual_distance": F.col("dist")}
+    finished = dict(started, actual_end_time=F.col("end_iso"))
 
     def img(vals):
         return F.struct(*[(vals[n] if n in vals else
@@ -83,8 +95,8 @@ def task_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     null_img = F.lit(None).cast(schemas.TRANSPORT_TASK)
     changes = F.array(
-        F.struct(F.lit("c").alias("op"), epoch_ms("o_orderdate").alias("ts_ms"),
+        F.struct(F.lit("c").alias("op"), F.col("start_ms").alias("ts_ms"),
                  null_img.alias("before"), img(started).alias("after")),
-        F.struct(F.lit("u").alias("op"), epoch_ms("l_shipdate").alias("ts_ms"),
+        F.struct(F.lit("u").alias("op"), F.col("end_ms").alias("ts_ms"),
                  img(started).alias("before"), img(finished).alias("after")))
     return j.select(F.inline(changes))
