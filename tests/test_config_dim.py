@@ -85,3 +85,12 @@ def test_cell_merge_latest_wins_regardless_of_input_order(spark):
     df = spark.createDataFrame(rows, "sink_table string, row_key string, column string, "
                                      "value string, ts long, part int, offset long")
     assert dim_store.merge(df).first()["value"] == "v19"
+
+
+def test_preload_last_row_wins(spark):
+    from parcelstream import schemas
+    rows = [("t", "s1", "", "id", "id", None), ("u", "s2", "", "id", "id", None),
+            ("t", "s3", "", "id,x", "id", None)]
+    got = {r["source_table"]: r["sink_table"] for r in
+           config_dim.preload(spark.createDataFrame(rows, schemas.CONFIG)).collect()}
+    assert got == {"t": "s3", "u": "s2"}
