@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelstream.functions.timefn import DEFAULT_TZ, millis_to_date
-from parcelstream.operators.lookups import (centre_of_district, city_province, dim_lookup,
-                                            org_city_province)
+from parcelstream.operators.lookups import centre_of_district, dim_lookup, org_city_province
 
 SUM = "decimal(38,2)"
 
@@ -125,6 +124,26 @@ def org_truck_model_finish_day(finish_facts: DataFrame, trucks: DataFrame, model
                       "trans_finish_distance_base", "trans_finish_dur_time_base", "ts")
 
 
-__all__ = ["cargo_type_order_day", "org_order_day", "org_receive_day", "orders_per_day",
-           "org_deliver_suc_day", "org_sort_day", "org_truck_model_finish_day",
-           "city_province", "drop_transient"]
+# --------------------------------------------------------------------------
+# Streaming form: local-day tumbling windows with a watermark
+# --------------------------------------------------------------------------
+def local_day_window(tz_offset_hours: int = 8) -> tuple[str, str, str]:
+    """``window()`` arguments for days that start at local midnight of a
+    fixed-offset zone (+8 h -> windows start at 16:00 UTC)."""
+    return "1 day", "1 day", f"{(24 - tz_offset_hours) % 24} hours"
+
+
+def stream_orders_per_day(facts: DataFrame, measure: str, watermark: str = "1 day",
+                          tz: str = DEFAULT_TZ, tz_offset_hours: int = 8) -> DataFrame:
+    """Distinct orders per local day over a fact stream (``update`` mode).
+    A repeated order is dropped while it is inside the watermark delay, so
+    the delay must cover the time an order can repeat within a day."""
+    ev = facts.withColumn("event_time", F.timestamp_millis("ts")) \
+        .withColumn("cur_date", millis_to_date(F.col("ts"), tz)) \
+        .withWatermark("event_time", watermark)
+    once = ev.dropDuplicatesWithinWatermark(["cur_date", "order_id"])
+    agg = once.groupBy(F.window("event_time", *local_day_window(tz_offset_hours))).agg(
+        F.count(F.lit(1)).alias(measure), F.max("ts").alias("ts"))
+    return agg.select(
+        F.date_format(F.from_utc_timestamp(F.col("window.start"), tz), "yyyy-MM-dd")
+        .alias("cur_date"), measure, "ts")

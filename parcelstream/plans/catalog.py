@@ -183,7 +183,8 @@ from parcelstream.sources import changelog  # noqa: E402
 
 
 def raw_log(spark, sf):
-    return materialized(spark, ("captured_log", sf), lambda: changelog.captured_log(spark, sf))
+    return materialized(spark, ("captured_log", sf),
+                        lambda: changelog.captured_log(spark, sf, clean_order_log(spark, sf)))
 
 
 def ods_topic(spark, sf):

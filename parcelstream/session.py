@@ -19,6 +19,41 @@ BASE_CONF = {
 }
 
 
+# Settings for the 100 TB target, applied by ``configure_for_scale`` only
+# where the cluster has not set them: partitions are sized by bytes (AQE
+# coalesces small ones and splits skewed ones), file splits stay at 256 MB
+# so a scan task fits in executor memory, and broadcasts stay well under
+# driver/executor memory.
+SCALE_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def configure_for_scale(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply ``SCALE_CONF`` (plus ``overrides``) to keys the cluster left
+    unset; explicit cluster settings always win."""
+    conf = dict(SCALE_CONF, **(overrides or {}))
+    sc_conf = spark.sparkContext.getConf()
+    for k, v in conf.items():
+        if not sc_conf.contains(k):
+            try:
+                spark.conf.set(k, v)
+            except Exception:  # noqa: BLE001 - static confs are set at launch
+                pass
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "parcelstream", extra: dict | None = None) -> SparkSession:
     """Local/test session.  On a cluster, use the cluster's own session and

@@ -58,7 +58,7 @@ def null_image() -> F.Column:
     return F.lit(None).cast("struct<id:string>")
 
 
-def fact_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fact_records(spark: SparkSession, sf_dir: str, order_log: DataFrame | None = None) -> DataFrame:
     oi = domain.order_info_rows(spark, sf_dir)
     info_cols = [f.name for f in schemas.ORDER_INFO.fields]
     orders_rec = _record(oi, PART["order_info"], F.col("id").cast("long"),
@@ -69,12 +69,13 @@ def fact_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     cargo_rec = _record(oc, PART["order_cargo"], F.xxhash64("id"),
                         envelope("c", F.col("ts_ms"), null_image(),
                                  _struct_of(oc, cargo_cols), "order_cargo"))
-    return union_all([orders_rec, cargo_rec, event_records(spark, sf_dir)])
+    return union_all([orders_rec, cargo_rec, event_records(spark, sf_dir, order_log)])
 
 
-def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order life-cycle records; capture errors for ``error`` events."""
-    log = domain.order_change_log(spark, sf_dir)
+def event_records(spark: SparkSession, sf_dir: str, order_log: DataFrame | None = None) -> DataFrame:
+    """Order life-cycle records; capture errors for ``error`` events.
+    ``order_log`` may pass an already stored order change log."""
+    log = order_log if order_log is not None else domain.order_change_log(spark, sf_dir)
     is_order = F.col("table") == "order_info"
     good = log.select(
         F.lit(PART["events"]).alias("part"), F.col("seq").alias("offset"),
@@ -143,6 +144,6 @@ def dim_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(recs)
 
 
-def captured_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def captured_log(spark: SparkSession, sf_dir: str, order_log: DataFrame | None = None) -> DataFrame:
     """The whole captured log: fact group then dimension group."""
-    return fact_records(spark, sf_dir).unionByName(dim_records(spark, sf_dir))
+    return fact_records(spark, sf_dir, order_log).unionByName(dim_records(spark, sf_dir))

@@ -96,3 +96,34 @@ def dwd_query(order_log_stream: DataFrame, checkpoint: str, query_name: str,
     out = order_state.apply_state(order_state.stream_input(order_log_stream), window_ms)
     return (out.writeStream.format("memory").queryName(query_name)
             .option("checkpointLocation", checkpoint).outputMode("append").start())
+
+
+def dwd_facts_writer(root: str):
+    """``foreachBatch`` body splitting the processor output into one table
+    per fact (and the quarantine).  The batch is persisted once and read by
+    every output; each output is written under ``batch=<id>`` with
+    overwrite, so a replayed batch replaces its own files."""
+    from parcelstream.operators import orders as _orders
+
+    facts = [order_state.PLACE] + list(_orders.FACT_TIME)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for fact in facts:
+                order_state.facts_from_output(batch, fact).write.mode("overwrite").parquet(
+                    f"{root.rstrip('/')}/{fact}/batch={batch_id}")
+            batch.filter(F.col("route").isin(order_state.NO_DETAIL, order_state.NO_BEFORE,
+                                             order_state.EXPIRED)) \
+                .write.mode("overwrite").parquet(f"{root.rstrip('/')}/quarantine/batch={batch_id}")
+        finally:
+            batch.unpersist()
+    return run
+
+
+def dwd_facts_query(order_log_stream: DataFrame, root: str, checkpoint: str,
+                    window_ms: int = 5000, available_now: bool = True):
+    out = order_state.apply_state(order_state.stream_input(order_log_stream), window_ms)
+    w = out.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="6 seconds")
+    return w.foreachBatch(dwd_facts_writer(root)).start()
