@@ -31,9 +31,12 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKET_MS = 60 * 60 * 1000
 
 
+BUCKET = "__scan_bucket"
+
+
 def asof_last(df: DataFrame, key: str, order: Sequence[str],
               values: Mapping[str, Column], inclusive: bool = False,
-              bucket_ms: int = DEFAULT_BUCKET_MS) -> DataFrame:
+              bucket_ms: int = DEFAULT_BUCKET_MS, keep_bucket: bool = False) -> DataFrame:
     """Add one column per ``values`` entry: the last non-null value of that
     expression among rows with the same ``key`` that come before the row in
     ``order`` (``inclusive=True`` also counts the row itself).
@@ -41,10 +44,16 @@ def asof_last(df: DataFrame, key: str, order: Sequence[str],
     ``order[0]`` is the event time in epoch millis; ``order`` must make rows
     of one key unique (e.g. ``(ts_ms, seq)``); ``key`` must be non-null.  Wrap a possibly-null payload
     in a struct to make "present" explicit.
+
+    ``keep_bucket=True`` leaves the bucket column on the output; a following
+    scan over the same key then reuses it and inherits the partitioning by
+    ``(key, bucket)`` instead of shuffling the data again.
     """
     names = list(values)
     tmp = df.withColumns({f"__v_{n}": values[n] for n in names})
-    tmp = tmp.withColumn("__b", F.floor(F.col(order[0]) / F.lit(bucket_ms)).cast("long"))
+    if BUCKET not in df.columns:
+        tmp = tmp.withColumn(BUCKET, F.floor(F.col(order[0]) / F.lit(bucket_ms)).cast("long"))
+    tmp = tmp.withColumnRenamed(BUCKET, "__b")
     ordcols = [F.col(c) for c in order]
 
     frame = (Window.partitionBy(key, "__b").orderBy(*ordcols)
@@ -69,8 +78,9 @@ def asof_last(df: DataFrame, key: str, order: Sequence[str],
         carry, (local[key] == carry["__ck"]) & (local["__b"] == carry["__cb"]), "left")
     out = joined.withColumns(
         {n: F.coalesce(F.col(f"__l_{n}"), F.col(f"__c_{n}")) for n in names})
-    drop = ["__b", "__ck", "__cb"] + [f"__{p}_{n}" for p in "vlc" for n in names]
-    return out.drop(*drop)
+    drop = ["__ck", "__cb"] + [f"__{p}_{n}" for p in "vlc" for n in names]
+    out = out.drop(*drop)
+    return out.withColumnRenamed("__b", BUCKET) if keep_bucket else out.drop("__b")
 
 
 def asof_last_window(df: DataFrame, key: str, order: Sequence[str],

@@ -131,7 +131,7 @@ def order_state_machine(log: DataFrame, window_ms: int = 5000) -> DataFrame:
            .when(F.col("route").isin(*TERMINAL_FACTS),
                  F.struct(F.lit(True).alias("clear"),
                           F.lit(None).cast(schemas.ORDER_CARGO).alias("cargo"))))
-    df = asof_last(df, "order_key", ["ts_ms", "seq"], {"__d": upd})
+    df = asof_last(df, "order_key", ["ts_ms", "seq"], {"__d": upd}, keep_bucket=True)
     df = df.withColumn("detail", F.when(~F.col("__d.clear"), F.col("__d.cargo"))).drop("__d")
     store = F.when(is_order_c & F.col("detail").isNull(),
                    F.struct(F.col("ts_ms").alias("at"), F.col("order_after").alias("order")))
