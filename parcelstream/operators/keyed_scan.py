@@ -29,6 +29,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_MS = 60 * 60 * 1000
+# Session setting overriding the bucket width.  The largest window task
+# holds the rows one key produces in one bucket, so on a cluster choose the
+# width from the peak change rate of the hottest key (e.g. 1 minute when a
+# single order can produce tens of GB per hour).
+BUCKET_CONF = "spark.parcelstream.scan.bucketMs"
+
+
+def bucket_width(df: DataFrame, default: int | None = None) -> int:
+    conf = df.sparkSession.conf.get(BUCKET_CONF, None)
+    return int(conf) if conf else (default or DEFAULT_BUCKET_MS)
 
 
 BUCKET = "__scan_bucket"
@@ -36,7 +46,7 @@ BUCKET = "__scan_bucket"
 
 def asof_last(df: DataFrame, key: str, order: Sequence[str],
               values: Mapping[str, Column], inclusive: bool = False,
-              bucket_ms: int = DEFAULT_BUCKET_MS, keep_bucket: bool = False) -> DataFrame:
+              bucket_ms: int | None = None, keep_bucket: bool = False) -> DataFrame:
     """Add one column per ``values`` entry: the last non-null value of that
     expression among rows with the same ``key`` that come before the row in
     ``order`` (``inclusive=True`` also counts the row itself).
@@ -50,6 +60,7 @@ def asof_last(df: DataFrame, key: str, order: Sequence[str],
     ``(key, bucket)`` instead of shuffling the data again.
     """
     names = list(values)
+    bucket_ms = bucket_ms or bucket_width(df)
     tmp = df.withColumns({f"__v_{n}": values[n] for n in names})
     if BUCKET not in df.columns:
         tmp = tmp.withColumn(BUCKET, F.floor(F.col(order[0]) / F.lit(bucket_ms)).cast("long"))

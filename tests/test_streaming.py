@@ -103,3 +103,16 @@ def test_fact_split_writer_and_daily_stream_aggregate(spark, scratch):
     batch = {r["cur_date"]: r["dispatch_order_count_base"]
              for r in dws.orders_per_day(want, "dispatch_order_count_base").collect()}
     assert final == batch
+
+
+def test_two_consumers_read_the_same_source_independently(spark, scratch):
+    raw = changelog.dim_records(spark, SF_SMALL)
+    raw.write.parquet(f"{scratch}/raw")
+    s = jobs.StreamSettings(source_format="parquet", source_path=f"{scratch}/raw")
+    outs = []
+    for name in ("dim_app_group", "dwd_app_group"):      # own checkpoint = own offsets
+        q = jobs.ods_query(spark, s, f"{scratch}/{name}/out", f"{scratch}/{name}/ckpt",
+                           available_now=True)
+        q.awaitTermination(300)
+        outs.append(spark.read.parquet(f"{scratch}/{name}/out"))
+    assert outs[0].count() == outs[1].count() == ods.clean(raw).count()
