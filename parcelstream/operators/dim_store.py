@@ -7,9 +7,10 @@ state is the latest value per ``(sink_table, row_key, column)`` by
 ``(ts, part, offset)`` — a ``max_by`` aggregation, combined map-side before
 the shuffle, so a hot row or table does not land in one task.
 
-Batches are written per sink table into a new version directory and the
-table pointer is swapped after the write, keyed by the batch id, so a
-replayed batch rewrites the same version (idempotent).
+A micro-batch appends only its own cells (partition ``batch=<id>``,
+overwritten on replay, so the sink is idempotent); readers merge on read
+with the same rule, and ``compact`` periodically folds old batches into a
+versioned base.  No table is rewritten per batch.
 """
 
 from __future__ import annotations
@@ -49,24 +50,55 @@ def route_counts(routed: DataFrame) -> DataFrame:
     return routed.groupBy("sink_table").agg(F.count(F.lit(1)).alias("n"))
 
 
-def write_batch(merged_batch: DataFrame, root: str, batch_id: int) -> None:
-    """Write one micro-batch's merged state per sink table as version
-    ``batch_id``, then point ``_CURRENT`` at it.  Both writes go through
-    Spark, so ``root`` may be any shared file system; a replayed batch
-    rewrites the same version and pointer (idempotent)."""
-    spark = merged_batch.sparkSession
-    tables = [r[0] for r in merged_batch.select("sink_table").distinct().collect()]
-    for t in tables:
-        path = f"{root.rstrip('/')}/{t}/v{batch_id:010d}"
-        merged_batch.filter(F.col("sink_table") == t).write.mode("overwrite").parquet(path)
-        spark.createDataFrame([(batch_id, path)], "version long, path string") \
-            .coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/{t}/_CURRENT")
+CELL_COLS = ["sink_table", "row_key", "column", "value", "ts", "part", "offset"]
+
+
+def _root(root: str, sink_table: str) -> str:
+    return f"{root.rstrip('/')}/{sink_table}"
+
+
+def append_cells(batch_cells: DataFrame, root: str, batch_id: int) -> None:
+    """Store one micro-batch's cells under ``cells/batch=<id>`` per sink
+    table (overwrite of that one partition: a replayed batch replaces its
+    own files).  Only the batch's cells are written, never the table."""
+    (batch_cells.select(*CELL_COLS).withColumn("batch", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("sink_table", "batch").parquet(f"{root.rstrip('/')}/_cells"))
+
+
+def _base_pointer(spark, root: str, sink_table: str):
+    try:
+        return spark.read.schema("version long, path string").json(
+            f"{_root(root, sink_table)}/_BASE").first()
+    except Exception:  # noqa: BLE001 - no compaction yet
+        return None
 
 
 def read_current(spark, root: str, sink_table: str) -> DataFrame | None:
+    """Merged state of one sink table: the compacted base (if any) plus all
+    later batches, merged on read with the same ``max_by`` rule."""
     try:
-        ptr = spark.read.schema("version long, path string").json(
-            f"{root.rstrip('/')}/{sink_table}/_CURRENT").first()
-    except Exception:  # noqa: BLE001 - no pointer yet
+        cells = spark.read.parquet(f"{root.rstrip('/')}/_cells").filter(
+            F.col("sink_table") == sink_table)
+    except Exception:  # noqa: BLE001 - nothing written yet
         return None
-    return None if ptr is None else spark.read.parquet(ptr["path"])
+    ptr = _base_pointer(spark, root, sink_table)
+    if ptr is not None:
+        cells = cells.filter(F.col("batch") > ptr["version"]).select(*CELL_COLS)
+        cells = spark.read.parquet(ptr["path"]).select(*CELL_COLS).unionByName(cells)
+    return merge(cells.select(*CELL_COLS))
+
+
+def compact(spark, root: str, sink_table: str, upto_batch: int) -> None:
+    """Write the merged state up to ``upto_batch`` as a new base version and
+    move the ``_BASE`` pointer (readers keep merging later batches on top)."""
+    cells = spark.read.parquet(f"{root.rstrip('/')}/_cells").filter(
+        (F.col("sink_table") == sink_table) & (F.col("batch") <= upto_batch))
+    ptr = _base_pointer(spark, root, sink_table)
+    if ptr is not None:
+        cells = spark.read.parquet(ptr["path"]).select(*CELL_COLS).unionByName(
+            cells.filter(F.col("batch") > ptr["version"]).select(*CELL_COLS))
+    path = f"{_root(root, sink_table)}/base/v{upto_batch:010d}"
+    merge(cells.select(*CELL_COLS)).write.mode("overwrite").parquet(path)
+    spark.createDataFrame([(upto_batch, path)], "version long, path string") \
+        .coalesce(1).write.mode("overwrite").json(f"{_root(root, sink_table)}/_BASE")

@@ -4,8 +4,9 @@
   checkpointed file sink (or a Kafka topic when the connector is present).
 * DIM:  clean dimension records -> ``foreachBatch``: the configuration is
   re-folded from its change log every micro-batch (live configuration),
-  rows are routed, projected and merged cell-wise into the store; each
-  batch writes a version keyed by ``batch_id`` (a replay rewrites it).
+  rows are routed and projected, and the batch's cells are appended to the
+  store under ``batch=<id>`` (a replay rewrites that partition); readers
+  merge cell-wise, compaction folds old batches periodically.
 * DWD:  clean order/cargo records -> per-order state -> one output per fact.
 
 Source and sink formats are settings: ``parquet``/``json``/``text`` files
@@ -64,28 +65,29 @@ def ods_query(spark: SparkSession, s: StreamSettings, sink_path: str, checkpoint
     return w.format("parquet").option("path", sink_path).start()
 
 
-def dim_batch_writer(spark: SparkSession, store_root: str, config_changes_fn):
-    """``foreachBatch`` body of the DIM job."""
+def dim_batch_writer(spark: SparkSession, store_root: str, config_changes_fn,
+                     compact_every: int = 100):
+    """``foreachBatch`` body of the DIM job: route with the configuration in
+    force, append the batch's cells, compact every ``compact_every``
+    batches."""
     def run(batch: DataFrame, batch_id: int) -> None:
         cfg = config_dim.preload(config_dim.config_table(spark))
         versions = config_dim.config_versions(spark, cfg, config_changes_fn())
         dims_ = ods.table_group(batch, "realtime_dim")
-        new_cells = dim_store.cells(config_dim.routed_rows(dims_, versions))
-        touched = [r[0] for r in new_cells.select("sink_table").distinct().collect()]
-        for t in touched:
-            old = dim_store.read_current(spark, store_root, t)
-            state = None if old is None else old.select(
-                "sink_table", "row_key", "column", "value", "ts", "part", "offset")
-            merged = dim_store.merge(new_cells.filter(F.col("sink_table") == t), state)
-            dim_store.write_batch(merged, store_root, batch_id)
+        dim_store.append_cells(dim_store.cells(config_dim.routed_rows(dims_, versions)),
+                               store_root, batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            for r in config_dim.fold(config_changes_fn()).select("sink_table").collect():
+                dim_store.compact(spark, store_root, r["sink_table"], batch_id)
     return run
 
 
 def dim_query(spark: SparkSession, clean_stream: DataFrame, store_root: str, checkpoint: str,
-              config_changes_fn, available_now: bool = False):
+              config_changes_fn, available_now: bool = False, compact_every: int = 100):
     w = clean_stream.writeStream.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="6 seconds")
-    return w.foreachBatch(dim_batch_writer(spark, store_root, config_changes_fn)).start()
+    return w.foreachBatch(dim_batch_writer(spark, store_root, config_changes_fn,
+                                           compact_every)).start()
 
 
 def dwd_query(order_log_stream: DataFrame, checkpoint: str, query_name: str,

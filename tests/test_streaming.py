@@ -59,8 +59,11 @@ def test_dim_foreach_batch_store_equals_batch_merge(spark, scratch):
     stream = ods.clean(spark.readStream.schema(jobs.RAW_DDL).option("maxFilesPerTrigger", 1)
                        .parquet(f"{scratch}/raw"))
     q = jobs.dim_query(spark, stream, f"{scratch}/store", f"{scratch}/ckpt",
-                       lambda: config_dim.config_changelog(spark), available_now=True)
+                       lambda: config_dim.config_changelog(spark), available_now=True,
+                       compact_every=4)
     q.awaitTermination(600)
+    # one more compaction over everything, then state = base only
+    dim_store.compact(spark, f"{scratch}/store", "dim_user_info", 10**9)
     versions = config_dim.config_versions(
         spark, config_dim.preload(config_dim.config_table(spark)),
         config_dim.config_changelog(spark))
