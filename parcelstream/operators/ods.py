@@ -114,9 +114,28 @@ def table_group(df: DataFrame, option: str) -> DataFrame:
     return df.filter(F.col("table").isin(*schemas.TABLE_GROUPS[option]))
 
 
-def sink_record(clean_df: DataFrame) -> DataFrame:
+def sink_record(clean_df: DataFrame, with_position: bool = False) -> DataFrame:
     """Message layout for the ODS topic: key = ``after.id`` so one row's
-    changes stay in one partition; value = the cleaned envelope as JSON."""
+    changes stay in one partition; value = the cleaned envelope as JSON.
+    ``with_position`` keeps the source ``part, offset`` (file sinks; a
+    Kafka consumer gets its own partition/offset)."""
     value = F.to_json(F.struct(
         "op", "ts", "before", "after", F.struct(F.col("table").alias("table")).alias("source")))
-    return clean_df.select(record_id(clean_df).alias("key"), value.alias("value"))
+    pos = ["part", "offset"] if with_position else []
+    return clean_df.select(record_id(clean_df).alias("key"), value.alias("value"), *pos)
+
+
+ODS_RECORD_DDL = ("op string, ts bigint, before variant, after variant, "
+                  "source struct<table:string>")
+
+
+def parse_ods_records(records: DataFrame) -> DataFrame:
+    """Consumer side of the ODS topic (``key, value`` [+ ``part, offset``]):
+    the cleaned envelope back as ``part, offset, op, ts, table, before,
+    after`` — parsed once, same single-parse barrier as :func:`parse`."""
+    parsed = F.struct(F.from_json(F.col("value"), ODS_RECORD_DDL).alias("r"))
+    r = records.select("*", F.inline(F.array(parsed)))
+    return r.filter(F.col("r").isNotNull()).select(
+        "part", "offset", F.col("r.op").alias("op"), F.col("r.ts").alias("ts"),
+        F.col("r.source.table").alias("table"), F.col("r.before").alias("before"),
+        F.col("r.after").alias("after"))

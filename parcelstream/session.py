@@ -40,10 +40,21 @@ SCALE_CONF = {
 }
 
 
-def configure_for_scale(spark: SparkSession, overrides: dict | None = None) -> None:
+# Stateful streaming fixes its state partitions at the first start (one
+# state store per partition), so it gets a moderate count of its own.
+STREAM_SHUFFLE_PARTITIONS = "400"
+
+
+def configure_for_scale(spark: SparkSession, overrides: dict | None = None,
+                        streaming: bool = False) -> None:
     """Apply ``SCALE_CONF`` (plus ``overrides``) to keys the cluster left
-    unset; explicit cluster settings always win."""
+    unset; explicit cluster settings always win.  Local masters keep their
+    core-sized partition count."""
     conf = dict(SCALE_CONF, **(overrides or {}))
+    if streaming:
+        conf["spark.sql.shuffle.partitions"] = STREAM_SHUFFLE_PARTITIONS
+    if spark.sparkContext.master.startswith("local"):
+        conf.pop("spark.sql.shuffle.partitions", None)
     sc_conf = spark.sparkContext.getConf()
     for k, v in conf.items():
         if not sc_conf.contains(k):

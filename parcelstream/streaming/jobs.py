@@ -55,7 +55,8 @@ def read_raw(spark: SparkSession, s: StreamSettings) -> DataFrame:
 
 def ods_query(spark: SparkSession, s: StreamSettings, sink_path: str, checkpoint: str,
               available_now: bool = False):
-    records = ods.sink_record(ods.clean(read_raw(spark, s)))
+    records = ods.sink_record(ods.clean(read_raw(spark, s)),
+                              with_position=s.source_format != "kafka")
     w = records.writeStream.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=f"{s.trigger_seconds} seconds")

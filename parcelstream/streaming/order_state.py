@@ -35,7 +35,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from parcelstream import schemas
 from parcelstream.operators import orders
 
-OUTPUT_DDL = ("route string, seq long, ts_ms long, order_key long, order_json string, "
+OUTPUT_DDL = ("route string, seq long, ts_ms long, order_key string, order_json string, "
               "cargo_json string")
 INFO_DDL = "order_json string, at long"
 DETAIL_DDL = "cargo_json string"
@@ -71,7 +71,7 @@ class OrderCargoProcessor(StatefulProcessor):
         info = self.info.get() if self.info.exists() else None
         info_json, info_at = (info[0], int(info[1])) if info is not None else (None, None)
         detail = self.detail.get()[0] if self.detail.exists() else None
-        okey = int(key[0])
+        okey = str(key[0])
         out = []
 
         def emit(route, r, order_json, cargo_json):
@@ -117,7 +117,7 @@ class OrderCargoProcessor(StatefulProcessor):
             order_json, at = self.info.get()
             if int(at) + self.window_ms <= expiredTimerInfo.getExpiryTimeInMs():
                 self.info.clear()
-                out.append((EXPIRED, -1, int(at), int(key[0]), order_json, None))
+                out.append((EXPIRED, -1, int(at), str(key[0]), order_json, None))
         yield pd.DataFrame(out, columns=["route", "seq", "ts_ms", "order_key", "order_json",
                                          "cargo_json"])
 
@@ -129,7 +129,8 @@ def stream_input(log: DataFrame) -> DataFrame:
     """Shape a clean order change log (batch or stream) for the processor:
     row images travel as JSON text (typed decimals survive the round trip)."""
     return log.select(
-        "order_key", "seq", "ts_ms", "op", "table", "status", "before_status",
+        F.col("order_key").cast("string").alias("order_key"), "seq", "ts_ms", "op", "table",
+        "status", "before_status",
         F.to_json("order_after").alias("order_json"),
         F.to_json("cargo_after").alias("cargo_json"),
         F.timestamp_millis("ts_ms").alias("event_time"))
@@ -152,3 +153,23 @@ def facts_from_output(out: DataFrame, fact: str) -> DataFrame:
     time_name = schemas.PLACE_FACT[1] if fact == PLACE else orders.FACT_TIME[fact]
     return out.filter(F.col("route") == fact).select(
         *orders.fact_columns(c, o, time_name, time_from))
+
+
+def order_log_from_ods(ods_rows: DataFrame) -> DataFrame:
+    """Order/cargo change log from parsed ODS records (batch or stream):
+    the order key is ``after.id`` for an order and ``after.order_id`` for a
+    cargo row; ``seq`` is the record position."""
+    from parcelstream.operators import ods
+    d = ods.dwd_filter(ods_rows)
+    is_order = F.col("table") == "order_info"
+    order = ods.decode(F.col("after"), schemas.ORDER_INFO)
+    cargo = ods.decode(F.col("after"), schemas.ORDER_CARGO)
+    key = F.when(is_order, ods.vget(F.col("after"), "id")) \
+        .otherwise(ods.vget(F.col("after"), "order_id"))
+    return d.select(
+        key.alias("order_key"), (F.col("part").cast("long") * F.lit(1 << 48) + F.col("offset"))
+        .alias("seq"), F.col("ts").alias("ts_ms"), "op", "table",
+        F.when(is_order, order.getField("status")).alias("status"),
+        F.when(is_order, ods.vget(F.col("before"), "status")).alias("before_status"),
+        F.when(is_order, order).alias("order_after"),
+        F.when(~is_order, cargo).alias("cargo_after"))

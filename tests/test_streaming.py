@@ -48,7 +48,7 @@ def test_ods_stream_equals_batch_and_replay_writes_nothing_twice(spark, scratch)
         q = jobs.ods_query(spark, s, f"{scratch}/out", f"{scratch}/ckpt", available_now=True)
         q.awaitTermination(300)
     got = spark.read.parquet(f"{scratch}/out")
-    want = ods.sink_record(ods.clean(raw))
+    want = ods.sink_record(ods.clean(raw), with_position=True)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
 
@@ -119,3 +119,41 @@ def test_two_consumers_read_the_same_source_independently(spark, scratch):
         q.awaitTermination(300)
         outs.append(spark.read.parquet(f"{scratch}/{name}/out"))
     assert outs[0].count() == outs[1].count() == ods.clean(raw).count()
+
+
+def test_end_to_end_ods_then_dwd_stream(spark, scratch):
+    """Captured order records -> ODS stream -> DWD stream reading the ODS
+    output -> facts equal the batch state machine."""
+    log = domain.order_change_log(spark, SF_SMALL)
+    changelog.event_records(spark, SF_SMALL, log).repartition(3).write.parquet(f"{scratch}/raw")
+    s = jobs.StreamSettings(source_format="parquet", source_path=f"{scratch}/raw")
+    q = jobs.ods_query(spark, s, f"{scratch}/ods", f"{scratch}/ckpt_ods", available_now=True)
+    q.awaitTermination(300)
+    ods_stream = spark.readStream.schema(spark.read.parquet(f"{scratch}/ods").schema) \
+        .parquet(f"{scratch}/ods")
+    order_log = order_state.order_log_from_ods(ods.parse_ods_records(ods_stream))
+    out = order_state.apply_state(order_state.stream_input(order_log), DAY)
+    sq = (out.writeStream.format("memory").queryName("e2e_out").outputMode("append")
+          .option("checkpointLocation", f"{scratch}/ckpt_dwd").start())
+    sq.processAllAvailable()
+    sq.stop()
+    got = spark.table("e2e_out")
+    sm = orders.order_state_machine(log, DAY)
+    for fact in orders.FACT_TIME:
+        b, s_ = orders.transition_facts(sm, fact), order_state.facts_from_output(got, fact)
+        assert b.exceptAll(s_).count() == 0 and s_.exceptAll(b).count() == 0, fact
+    b = orders.place_order_from_state(sm)
+    s_ = order_state.facts_from_output(got, "dwd_trade_order_detail")
+    assert b.exceptAll(s_).count() == 0 and s_.exceptAll(b).count() == 0
+
+
+def test_apps_ods_then_dim(spark, scratch):
+    from parcelstream import apps
+    changelog.dim_records(spark, SF_SMALL).write.parquet(f"{scratch}/raw")
+    apps.main(["ods", "--source", f"{scratch}/raw", "--sink", f"{scratch}/ods",
+               "--checkpoint", f"{scratch}/ck1", "--available-now"])
+    apps.main(["dim", "--source", f"{scratch}/ods", "--sink", f"{scratch}/store",
+               "--checkpoint", f"{scratch}/ck2", "--available-now"])
+    got = dim_store.read_current(spark, f"{scratch}/store", "dim_truck_model")
+    assert got.count() == spark.read.parquet(f"{SF_SMALL}/part.parquet") \
+        .select("p_brand").distinct().count()
