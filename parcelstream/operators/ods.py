@@ -19,7 +19,8 @@ ENVELOPE_DDL = ("op string, ts_ms bigint, before variant, after variant, "
                 "source struct<table:string>, transaction variant")
 
 # Quarantine reasons (a record that is not forwarded has exactly one).
-TOMBSTONE, MALFORMED, DELETE, NO_AFTER = "tombstone", "malformed", "delete", "no_after"
+TOMBSTONE, MALFORMED, DELETE, NO_AFTER, NO_KEY = (
+    "tombstone", "malformed", "delete", "no_after", "no_key")
 
 
 def is_object(v: Column) -> Column:
@@ -44,7 +45,8 @@ def reason(e: Column | None = None, value: Column | None = None) -> Column:
     Empty or non-JSON text, a non-object ``after`` and a record without a
     table are malformed (the reference's parse raised); a null record is a
     tombstone; ``op='d'`` and a missing ``after`` are dropped by the clean
-    step (a null ``op`` passes)."""
+    step (a null ``op`` passes); a row without ``after.id`` has no partition
+    key and is quarantined instead of failing the keyed sink."""
     e = F.col("e") if e is None else e
     value = F.col("value") if value is None else value
     after = e.getField("after")
@@ -54,7 +56,8 @@ def reason(e: Column | None = None, value: Column | None = None) -> Column:
     return (F.when(value.isNull(), F.lit(TOMBSTONE))
             .when(~parsed | bad_after, F.lit(MALFORMED))
             .when(e.getField("op").eqNullSafe(F.lit("d")), F.lit(DELETE))
-            .when(missing, F.lit(NO_AFTER)))
+            .when(missing, F.lit(NO_AFTER))
+            .when(F.try_variant_get(after, "$.id", "string").isNull(), F.lit(NO_KEY)))
 
 
 def clean(raw: DataFrame) -> DataFrame:

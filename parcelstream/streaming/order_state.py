@@ -162,6 +162,9 @@ def order_log_from_ods(ods_rows: DataFrame) -> DataFrame:
     from parcelstream.operators import ods
     d = ods.dwd_filter(ods_rows)
     is_order = F.col("table") == "order_info"
+    # a cargo row without ``order_id`` has no key for the per-order state
+    d = d.filter(F.when(is_order, ods.vget(F.col("after"), "id"))
+                 .otherwise(ods.vget(F.col("after"), "order_id")).isNotNull())
     order = ods.decode(F.col("after"), schemas.ORDER_INFO)
     cargo = ods.decode(F.col("after"), schemas.ORDER_CARGO)
     key = F.when(is_order, ods.vget(F.col("after"), "id")) \

@@ -24,7 +24,7 @@ def _raw(spark):
 def test_quarantine_reasons(spark):
     q = {r["offset"]: r["reason"] for r in ods.quarantine(_raw(spark)).collect()}
     assert q == {2: "malformed", 3: "malformed", 4: "tombstone", 5: "malformed",
-                 6: "no_after", 7: "delete"}
+                 6: "no_after", 7: "delete", 9: "no_key"}
 
 
 def test_clean_renames_lifts_and_keeps_null_op(spark):
@@ -32,10 +32,9 @@ def test_clean_renames_lifts_and_keeps_null_op(spark):
     assert c.columns == ["part", "offset", "op", "ts", "table", "before", "after"]
     rows = {r["offset"]: r for r in c.select("offset", "op", "ts", "table",
                                              ods.record_id(c).alias("id")).collect()}
-    assert set(rows) == {1, 8, 9}
+    assert set(rows) == {1, 8}                         # 9 has no after.id: quarantined
     assert rows[1]["ts"] == 10 and rows[1]["table"] == "order_info" and rows[1]["id"] == "a"
     assert rows[8]["op"] is None                      # a null op passes the clean step
-    assert rows[9]["id"] is None                      # missing after.id: key is null
 
 
 def test_table_group_and_unknown_option(spark):
