@@ -99,3 +99,38 @@ def test_route_column_matches_python_twin(spark):
                                                   F.col("s")).alias("r")).collect()
     for r in got:
         assert r["r"] == route_of(r["b"], r["s"]), (r["b"], r["s"])
+
+
+def _order_first_log(spark, plan):
+    """plan: list of (order_key, order_ts, [cargo offsets]) with offsets in
+    (0, window) — every cargo arrives inside the order's waiting window."""
+    rows, infos, cargos = [], [], []
+    for key, ts, offsets in plan:
+        o = _order(key, ts, "c", "60010")
+        rows.append(o)
+        infos.append(o[7])
+        for i, off in enumerate(offsets):
+            c = _cargo(key, ts + off, f"k{key}-{i}")
+            rows.append(c)
+            cargos.append(c[8])
+    return rows, infos, cargos
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 10_000), st.lists(st.integers(1, 4_999), max_size=4)),
+                min_size=1, max_size=6))
+def test_state_rules_equal_equi_join_inside_window(spark, orders_plan):
+    plan = [(k + 100, ts, offs) for k, (ts, offs) in enumerate(orders_plan)]
+    rows, infos, cargos = _order_first_log(spark, plan)
+    log = spark.createDataFrame(rows, LOG_SCHEMA)
+    by_state = orders.place_order_from_state(orders.order_state_machine(log, window_ms=5000))
+    info_df = spark.createDataFrame(infos, schemas.ORDER_INFO)
+    cargo_df = spark.createDataFrame(cargos, schemas.ORDER_CARGO) if cargos else \
+        spark.createDataFrame([], schemas.ORDER_CARGO)
+    by_join = orders.place_order_facts(info_df, cargo_df)
+    assert by_state.exceptAll(by_join).count() == 0
+    assert by_join.exceptAll(by_state).count() == 0
