@@ -52,12 +52,15 @@ def reason(e: Column | None = None, value: Column | None = None) -> Column:
     after = e.getField("after")
     parsed = e.isNotNull() & e.getField("source").getField("table").isNotNull()
     missing = after.isNull() | F.is_variant_null(after)      # absent or JSON null
-    bad_after = ~missing & ~is_object(after)
+    no_id = F.try_variant_get(after, "$.id", "string").isNull()
+    # Only a row image without ``id`` can be a non-object (a scalar has no
+    # fields): the costlier object test runs for those rows alone.
+    bad_after = ~missing & no_id & ~is_object(after)
     return (F.when(value.isNull(), F.lit(TOMBSTONE))
             .when(~parsed | bad_after, F.lit(MALFORMED))
             .when(e.getField("op").eqNullSafe(F.lit("d")), F.lit(DELETE))
             .when(missing, F.lit(NO_AFTER))
-            .when(F.try_variant_get(after, "$.id", "string").isNull(), F.lit(NO_KEY)))
+            .when(no_id, F.lit(NO_KEY)))
 
 
 def clean(raw: DataFrame) -> DataFrame:
