@@ -40,7 +40,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--source", help="input folder (file formats)")
     p.add_argument("--source-format", default="parquet")
     p.add_argument("--kafka-servers")
-    p.add_argument("--topic", default="tms_ods")
+    p.add_argument("--topic", default="ods_changes")
     p.add_argument("--sink", required=True, help="output folder / store root")
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--trigger-seconds", type=int, default=6)

@@ -56,7 +56,7 @@ TABLE_SCHEMAS = {
     "order_cargo": ORDER_CARGO,
     "order_org_bound": ORDER_ORG_BOUND,
     "transport_task": TRANSPORT_TASK,
-    "tms_config_dim": CONFIG,
+    "dim_config": CONFIG,
 }
 
 # Table groups a change-log reader selects.
@@ -67,7 +67,7 @@ TABLE_GROUPS = {
                      "express_courier_complex", "employee_info", "line_base_shift",
                      "line_base_info", "truck_driver", "truck_info", "truck_model",
                      "truck_team"),
-    "config_dim": ("tms_config_dim",),
+    "config_dim": ("dim_config",),
 }
 
 # Order status codes and the transitions that produce facts.

@@ -32,7 +32,7 @@ class StreamSettings:
     source_format: str = "parquet"
     source_path: str | None = None
     kafka_servers: str | None = None      # one field for source and sink
-    topic: str = "tms_ods"
+    topic: str = "ods_changes"
     trigger_seconds: int = 6              # reference checkpoint interval
     max_files_per_trigger: int | None = None
     options: dict = field(default_factory=dict)
