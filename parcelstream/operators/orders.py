@@ -134,7 +134,8 @@ def order_state_machine(log: DataFrame, window_ms: int = 5000) -> DataFrame:
     df = asof_last(df, "order_key", ["ts_ms", "seq"], {"__d": upd}, keep_bucket=True)
     df = df.withColumn("detail", F.when(~F.col("__d.clear"), F.col("__d.cargo"))).drop("__d")
     store = F.when(is_order_c & F.col("detail").isNull(),
-                   F.struct(F.col("ts_ms").alias("at"), F.col("order_after").alias("order")))
+                   F.struct(F.col("ts_ms").alias("at"), F.col("seq").alias("seq"),
+                            F.col("order_after").alias("order")))
     df = asof_last(df, "order_key", ["ts_ms", "seq"], {"stored": store})
     live = F.col("ts_ms") < F.col("stored.at") + F.lit(window_ms)
     return df.withColumn("stored", F.when(is_cargo_c & live, F.col("stored")))
@@ -161,12 +162,21 @@ def transition_facts(sm: DataFrame, fact: str, tz: str = DEFAULT_TZ) -> DataFram
 
 
 def orders_without_detail(sm: DataFrame) -> DataFrame:
-    """Quarantine: routed updates that found no cargo detail, and updates
-    without a previous status."""
+    """Quarantine: routed updates that found no cargo detail, updates without
+    a previous status, and orders that waited for cargo and never got any
+    (expired or replaced by a newer waiting order)."""
     no_detail = F.col("route").isNotNull() & F.col("detail").isNull()
     no_before = ((F.col("table") == "order_info") & (F.col("op") == "u")
                  & F.col("before_status").isNull())
-    return sm.filter(no_detail | no_before).select(
+    updates = sm.filter(no_detail | no_before).select(
         "seq", "ts_ms", F.col("order_key"), "status", "before_status",
         F.when(no_before, F.lit("no_before_status")).otherwise(F.lit("no_detail")).alias("reason"),
         F.col("route"))
+    waited = sm.filter((F.col("table") == "order_info") & (F.col("op") == "c")
+                       & F.col("detail").isNull())
+    joined = sm.filter(F.col("stored").isNotNull()).select(
+        "order_key", F.col("stored.seq").alias("seq")).distinct()
+    expired = waited.join(joined, ["order_key", "seq"], "left_anti").select(
+        "seq", "ts_ms", "order_key", "status", "before_status",
+        F.lit("expired_without_cargo").alias("reason"), F.lit(None).cast("string").alias("route"))
+    return updates.unionByName(expired)

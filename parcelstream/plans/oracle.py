@@ -308,7 +308,13 @@ SELECT seq, ts_ms, order_key, status, before_status,
             THEN 'no_before_status' ELSE 'no_detail' END AS reason, route
 FROM sm
 WHERE (route IS NOT NULL AND detail_seq IS NULL)
-   OR (tbl = 'order_info' AND op = 'u' AND before_status IS NULL)""")
+   OR (tbl = 'order_info' AND op = 'u' AND before_status IS NULL)
+UNION ALL
+SELECT w.seq, w.ts_ms, w.order_key, w.status, w.before_status,
+       'expired_without_cargo', CAST(NULL AS VARCHAR)
+FROM sm w
+WHERE w.tbl = 'order_info' AND w.op = 'c' AND w.detail_seq IS NULL
+  AND NOT EXISTS (SELECT 1 FROM sm c WHERE c.stored_seq = w.seq)""")
 
 
 def q_conditional_key() -> str:

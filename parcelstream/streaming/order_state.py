@@ -7,9 +7,10 @@ job).
 
 State per order key:
 
-* ``info``   — the order waiting for cargo (image + event time); it expires
-  ``window_ms`` after it was stored: an event-time timer clears it and emits
-  a ``expired_without_cargo`` quarantine row;
+* ``info``   — the order waiting for cargo (image, event time, whether a
+  cargo joined it); it expires ``window_ms`` after it was stored: an
+  event-time timer clears it, and an order that no cargo joined (expired, or
+  replaced by a newer waiting order) is emitted as ``expired_without_cargo``;
 * ``detail`` — the latest cargo row; cleared after a sign or cancel.
 
 Rules (per change, in ``(ts_ms, seq)`` order):
@@ -37,7 +38,7 @@ from parcelstream.operators import orders
 
 OUTPUT_DDL = ("route string, seq long, ts_ms long, order_key string, order_json string, "
               "cargo_json string")
-INFO_DDL = "order_json string, at long"
+INFO_DDL = "order_json string, at long, seq long, joined boolean"
 DETAIL_DDL = "cargo_json string"
 
 ROUTES = {lab: fact for lab, (fact, _) in schemas.TRANSITION_FACTS.items()}
@@ -69,7 +70,9 @@ class OrderCargoProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts_ms", "seq"])
         info = self.info.get() if self.info.exists() else None
-        info_json, info_at = (info[0], int(info[1])) if info is not None else (None, None)
+        info_json, info_at, info_seq, joined = (
+            (info[0], int(info[1]), int(info[2]), bool(info[3])) if info is not None
+            else (None, None, None, False))
         detail = self.detail.get()[0] if self.detail.exists() else None
         okey = str(key[0])
         out = []
@@ -82,7 +85,10 @@ class OrderCargoProcessor(StatefulProcessor):
                 if detail is not None:
                     emit(PLACE, r, r.order_json, detail)
                 else:
-                    info_json, info_at = r.order_json, int(r.ts_ms)
+                    if info_json is not None and not joined:
+                        out.append((EXPIRED, info_seq, info_at, okey, info_json, None))
+                    info_json, info_at, info_seq, joined = (r.order_json, int(r.ts_ms),
+                                                            int(r.seq), False)
                     self.handle.registerTimer(info_at + self.window_ms)
             elif r.table == "order_info" and r.op == "u":
                 if r.before_status is None or pd.isna(r.before_status):
@@ -101,9 +107,10 @@ class OrderCargoProcessor(StatefulProcessor):
                 detail = r.cargo_json
                 if info_json is not None and int(r.ts_ms) < info_at + self.window_ms:
                     emit(PLACE, r, info_json, r.cargo_json)
+                    joined = True
 
         if info_json is not None:
-            self.info.update((info_json, info_at))
+            self.info.update((info_json, info_at, info_seq, joined))
         if detail is not None:
             self.detail.update((detail,))
         elif self.detail.exists():
@@ -114,10 +121,11 @@ class OrderCargoProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         out = []
         if self.info.exists():
-            order_json, at = self.info.get()
+            order_json, at, seq, joined = self.info.get()
             if int(at) + self.window_ms <= expiredTimerInfo.getExpiryTimeInMs():
                 self.info.clear()
-                out.append((EXPIRED, -1, int(at), str(key[0]), order_json, None))
+                if not joined:
+                    out.append((EXPIRED, int(seq), int(at), str(key[0]), order_json, None))
         yield pd.DataFrame(out, columns=["route", "seq", "ts_ms", "order_key", "order_json",
                                          "cargo_json"])
 

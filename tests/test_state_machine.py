@@ -82,6 +82,16 @@ def test_quarantine(spark):
     assert got == [(4, "no_detail"), (5, "no_before_status"), (5, "no_detail")]
 
 
+def test_expired_without_cargo(spark):
+    rows = [_order(7, 0, "c", "60010"), _order(7, 100, "c", "60010"),   # first replaced
+            _cargo(7, 200, "c7"),                                         # joins the second
+            _order(8, 0, "c", "60010"), _cargo(8, 9000, "c8")]            # cargo too late
+    sm = orders.order_state_machine(spark.createDataFrame(rows, LOG_SCHEMA), window_ms=5000)
+    got = sorted((r["order_key"], r["ts_ms"]) for r in orders.orders_without_detail(sm)
+                 .filter("reason = 'expired_without_cargo'").collect())
+    assert got == [(7, 0), (8, 0)]
+
+
 def test_fact_has_28_columns_and_masked_names(spark):
     sm = orders.order_state_machine(_log(spark), window_ms=5000)
     f = orders.transition_facts(sm, "dwd_trans_sign_detail")
