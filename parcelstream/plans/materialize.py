@@ -11,6 +11,7 @@ replaying the derivation.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,21 +19,23 @@ from pyspark.sql import DataFrame, SparkSession
 from parcelstream.session import ensure_checkpoint_dir
 
 _MEMO: dict[tuple, DataFrame] = {}
+# Re-entrant: building one derived table may read another one.
+_LOCK = threading.RLock()
 
 
 def materialized(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
                  partition_by: tuple[str, ...] = ()) -> DataFrame:
-    ensure_checkpoint_dir(spark)
     memo_key = (spark.sparkContext.applicationId,) + key
-    df = _MEMO.get(memo_key)
-    if df is None:
-        root = ensure_checkpoint_dir(spark).rstrip("/")
-        name = "_".join(str(k).strip("/").replace("/", "_") for k in key)
-        path = f"{root}/tables/{name}"
-        build().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        df = spark.read.parquet(path)
-        _MEMO[memo_key] = df
-    return df
+    with _LOCK:
+        df = _MEMO.get(memo_key)
+        if df is None:
+            root = ensure_checkpoint_dir(spark).rstrip("/")
+            name = "_".join(str(k).strip("/").replace("/", "_") for k in key)
+            path = f"{root}/tables/{name}"
+            build().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+            df = spark.read.parquet(path)
+            _MEMO[memo_key] = df
+        return df
 
 
 def forget() -> None:
