@@ -74,9 +74,13 @@ def place_order_facts(order_info: DataFrame, order_cargo: DataFrame,
     order's waiting window.  A shuffle (sort-merge) join on the order id;
     AQE splits a hot order's partition (skew join) and may switch to a
     broadcast at run time when one side turns out small."""
-    o = order_info.select(F.col("id").alias("__oid"),
+    # Join on the numeric order key when both sides carry it (``id`` is its
+    # text form, so the result is the same; hashing and sorting longs is
+    # cheaper than strings), else on the text ids.
+    numeric = "order_key" in order_info.columns and "order_key" in order_cargo.columns
+    o = order_info.select(F.col("order_key" if numeric else "id").alias("__oid"),
                           mask_order(as_struct(order_info, ORDER_FIELDS)).alias("order"))
-    c = order_cargo.select(F.col("order_id").alias("__cid"),
+    c = order_cargo.select(F.col("order_key" if numeric else "order_id").alias("__cid"),
                            as_struct(order_cargo, CARGO_FIELDS).alias("cargo"))
     j = c.join(o, c["__cid"] == o["__oid"])
     return j.select(

@@ -70,8 +70,9 @@ def order_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_info_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed ``order_info`` images (creation) plus ``ts_ms``."""
-    return order_attributes(spark, sf_dir).drop("order_key")
+    """Typed ``order_info`` images (creation) plus ``ts_ms`` and the numeric
+    ``order_key`` (``id`` is its text form) for joins."""
+    return order_attributes(spark, sf_dir)
 
 
 def order_cargo_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +94,7 @@ def order_cargo_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         created.alias("update_time"),
         F.lit("0").alias("is_deleted"),
         epoch_ms("l_shipdate").alias("ts_ms"),
+        F.col("l_orderkey").alias("order_key"),
     )
 
 
