@@ -11,10 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelstream import schemas
+from parcelstream.functions import timefn
 from parcelstream.functions.text import mask_name
-from parcelstream.operators import dws, orders
+from parcelstream.operators import config_dim, dim_store, dws, lookups, ods, orders, transit
+from parcelstream.operators.keyed_scan import asof_last
 from parcelstream.plans.materialize import materialized
-from parcelstream.sources import dims, domain
+from parcelstream.sources import changelog, dims, domain
+from parcelstream.sources import transit as transit_src
+from parcelstream.sources.tables import epoch_ms, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -177,9 +182,6 @@ def q_dws_trans_org_deliver_suc_day(spark, sf):
 
 
 # ------------------------------------------------------------- ODS / CDC -----
-from parcelstream.operators import ods  # noqa: E402
-from parcelstream.operators.keyed_scan import asof_last  # noqa: E402
-from parcelstream.sources import changelog  # noqa: E402
 
 
 def raw_log(spark, sf):
@@ -253,16 +255,6 @@ def q_cdc_decimal_decode(spark, sf):
     return c.select("table", F.inline(pairs))
 
 
-def orders_schema_info():
-    from parcelstream import schemas
-    return schemas.ORDER_INFO
-
-
-def orders_schema_cargo():
-    from parcelstream import schemas
-    return schemas.ORDER_CARGO
-
-
 @register("cdc_tombstone_filter")
 def q_cdc_tombstone_filter(spark, sf):
     return ods.drop_tombstones(raw_log(spark, sf)).groupBy("part").agg(
@@ -331,14 +323,14 @@ def q_dwd_table_filter(spark, sf):
 def q_dwd_decode_order(spark, sf):
     d = ods.dwd_filter(ods.dwd_project(ods_topic(spark, sf)))
     return d.filter(F.col("table") == "order_info").select(
-        "op", ods.decode(F.col("after"), orders_schema_info()).alias("a")).select("op", "a.*")
+        "op", ods.decode(F.col("after"), schemas.ORDER_INFO).alias("a")).select("op", "a.*")
 
 
 @register("dwd_decode_cargo")
 def q_dwd_decode_cargo(spark, sf):
     d = ods.dwd_filter(ods.dwd_project(ods_topic(spark, sf)))
     return d.filter(F.col("table") == "order_cargo").select(
-        "op", ods.decode(F.col("after"), orders_schema_cargo()).alias("a")).select("op", "a.*")
+        "op", ods.decode(F.col("after"), schemas.ORDER_CARGO).alias("a")).select("op", "a.*")
 
 
 @register("fn_json_extract")
@@ -358,7 +350,6 @@ def q_fn_json_serialize(spark, sf):
 
 
 # --------------------------------------------------- config-driven DIM -----
-from parcelstream.operators import config_dim, dim_store  # noqa: E402
 
 
 def dim_records(spark, sf):
@@ -426,9 +417,6 @@ def q_dim_upsert_latest(spark, sf):
 
 
 # ------------------------------------------------------------- transit -----
-from parcelstream.functions import timefn  # noqa: E402
-from parcelstream.operators import lookups, transit  # noqa: E402
-from parcelstream.sources import transit as transit_src  # noqa: E402
 
 
 @register("dwd_bound_inbound")
@@ -497,14 +485,12 @@ def q_dim_fk_lookup(spark, sf):
 
 # ----------------------------------------------------- scalar functions -----
 def _events(spark, sf):
-    from parcelstream.sources.tables import epoch_ms, read
     return read(spark, sf, "events", "event_id", "ts").select(
         "event_id", epoch_ms("ts").alias("ts_ms"))
 
 
 @register("fn_to_ts")
 def q_fn_to_ts(spark, sf):
-    from parcelstream.sources.tables import read
     o = read(spark, sf, "orders", "o_orderkey", "o_orderdate")
     return o.select(
         F.col("o_orderkey").cast("string").alias("id"),

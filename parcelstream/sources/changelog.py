@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from parcelstream import schemas
 from parcelstream.sources import dims, domain
-from parcelstream.sources.tables import epoch_ms, iso_text, read, union_all
+from parcelstream.sources.tables import epoch_ms, read, union_all
 
 # Capture times of the dimension snapshot and later changes.
 SNAPSHOT_MS = 1704067200000            # 2024-01-01T00:00:00Z
