@@ -182,8 +182,6 @@ def q_dws_trans_org_deliver_suc_day(spark, sf):
 
 
 # ------------------------------------------------------------- ODS / CDC -----
-
-
 def raw_log(spark, sf):
     return materialized(spark, ("captured_log", sf),
                         lambda: changelog.captured_log(spark, sf, clean_order_log(spark, sf)))
@@ -350,8 +348,6 @@ def q_fn_json_serialize(spark, sf):
 
 
 # --------------------------------------------------- config-driven DIM -----
-
-
 def dim_records(spark, sf):
     return ods.table_group(ods_topic(spark, sf), "realtime_dim")
 
@@ -417,8 +413,6 @@ def q_dim_upsert_latest(spark, sf):
 
 
 # ------------------------------------------------------------- transit -----
-
-
 @register("dwd_bound_inbound")
 def q_dwd_bound_inbound(spark, sf):
     return transit.bound_inbound(transit_src.bound_changelog(spark, sf))
