@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 from parcelstream import schemas
 
 ENVELOPE_DDL = ("op string, ts_ms bigint, before variant, after variant, "
-                "source struct<table:string>, transaction variant")
+                "source struct<table:string>")
+# What the quarantine needs: no ``before`` image is built.
+CLASSIFY_DDL = "op string, ts_ms bigint, after variant, source struct<table:string>"
 
 # Quarantine reasons (a record that is not forwarded has exactly one).
 TOMBSTONE, MALFORMED, DELETE, NO_AFTER, NO_KEY = (
@@ -27,7 +29,7 @@ def is_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
 
 
-def parse(raw: DataFrame, value: str = "value") -> DataFrame:
+def parse(raw: DataFrame, value: str = "value", ddl: str = ENVELOPE_DDL) -> DataFrame:
     """Add the parsed envelope ``e`` (PERMISSIVE: bad text gives nulls).
 
     The text is parsed exactly once per record.  A plain projection would
@@ -35,7 +37,7 @@ def parse(raw: DataFrame, value: str = "value") -> DataFrame:
     (one parse per predicate); producing ``e`` from a one-row generator is a
     barrier the optimizer does not inline through, while nested-field
     pruning still narrows the parse schema to the fields used."""
-    parsed = F.struct(F.from_json(F.col(value), ENVELOPE_DDL).alias("e"))
+    parsed = F.struct(F.from_json(F.col(value), ddl).alias("e"))
     return raw.select("*", F.inline(F.array(parsed)))
 
 
@@ -77,7 +79,7 @@ def clean(raw: DataFrame) -> DataFrame:
 def quarantine(raw: DataFrame) -> DataFrame:
     """Records that are not forwarded, with their reason and source table
     (null when unparseable)."""
-    p = parse(raw)
+    p = parse(raw, ddl=CLASSIFY_DDL)
     return p.withColumn("reason", reason()).filter(F.col("reason").isNotNull()).select(
         "part", "offset", "reason", F.col("e.source.table").alias("table"), "value")
 
