@@ -140,14 +140,21 @@ def project_columns(m: Column, sink_columns: Column, sink_pk: Column) -> Column:
 
 
 def routed_rows(records: DataFrame, versions: DataFrame) -> DataFrame:
-    """Routed, projected dimension rows: ``part, offset, ts, table, origin,
-    sink_table, sink_pk, row`` (``row`` a map of kept columns)."""
+    """Routed dimension rows: ``part, offset, ts, table, origin, sink_table,
+    sink_pk, row_key, columns, after_map`` and ``row`` (the projected map).
+
+    ``row`` is only computed where it is selected (a map lambda runs
+    interpreted); the cell path uses ``after_map`` + ``columns`` with plain,
+    code-generated expressions instead."""
     r = route(records, versions)
+    m = row_map(F.col("after"))
     return r.select(
         "part", "offset", "ts", "table", "origin",
         F.col("cfg.sink_table").alias("sink_table"), F.col("cfg.sink_pk").alias("sink_pk"),
-        project_columns(row_map(F.col("after")), F.col("cfg.sink_columns"),
-                        F.col("cfg.sink_pk")).alias("row"))
+        F.element_at(m, F.col("cfg.sink_pk")).alias("row_key"),
+        F.split(F.col("cfg.sink_columns"), ",").alias("columns"),
+        m.alias("after_map"),
+        project_columns(m, F.col("cfg.sink_columns"), F.col("cfg.sink_pk")).alias("row"))
 
 
 def table_plan(changes: DataFrame) -> DataFrame:

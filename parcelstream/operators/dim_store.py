@@ -21,12 +21,16 @@ from pyspark.sql import functions as F
 
 def cells(routed: DataFrame) -> DataFrame:
     """One row per written cell: ``sink_table, row_key, column, value, ts,
-    part, offset``.  Null values are not written; the key is not a cell."""
-    r = routed.withColumn("row_key", F.element_at(F.col("row"), F.col("sink_pk")))
-    r = r.filter(F.col("row_key").isNotNull())
-    kv = F.map_filter(F.col("row"), lambda k, v: (k != F.col("sink_pk")) & v.isNotNull())
-    return r.select("sink_table", "row_key", F.explode(kv).alias("column", "value"),
-                    "ts", "part", "offset")
+    part, offset``.  Only configured columns are written, the key is not a
+    cell, null values are not written.  Explode + filter keeps the row in
+    generated code (no per-row map lambda)."""
+    r = routed.filter(F.col("row_key").isNotNull())
+    e = r.select("sink_table", "row_key", "sink_pk", "columns", "ts", "part", "offset",
+                 F.explode("after_map").alias("column", "value"))
+    keep = (F.array_contains(F.col("columns"), F.col("column"))
+            & (F.col("column") != F.col("sink_pk")) & F.col("value").isNotNull())
+    return e.filter(keep).select("sink_table", "row_key", "column", "value", "ts", "part",
+                                 "offset")
 
 
 def merge(cell_df: DataFrame, state: DataFrame | None = None) -> DataFrame:

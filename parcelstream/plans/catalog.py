@@ -364,14 +364,13 @@ def routed(spark, sf):
 @register("dim_config_join")
 def q_dim_config_join(spark, sf):
     r = routed(spark, sf)
-    return r.select("table", "sink_table", "sink_pk",
-                    F.element_at("row", F.col("sink_pk")).alias("id"), "ts")
+    return r.select("table", "sink_table", "sink_pk", F.col("row_key").alias("id"), "ts")
 
 
 @register("dim_column_projection")
 def q_dim_column_projection(spark, sf):
     r = routed(spark, sf)
-    return r.select("sink_table", F.element_at("row", F.col("sink_pk")).alias("id"), "ts",
+    return r.select("sink_table", F.col("row_key").alias("id"), "ts",
                     F.array_join(F.array_sort(F.map_keys("row")), ",").alias("columns"))
 
 
