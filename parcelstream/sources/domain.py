@@ -33,7 +33,7 @@ def nation_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``order_info`` row image per order key (``o_orderkey``), status 60010."""
     o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
-             "o_totalprice", "o_orderdate", "o_orderpriority")
+             "o_totalprice", "o_orderdate", "o_orderpriority", spread=True)
     c = read(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal",
              "c_mktsegment")
     j = o.join(c, o.o_custkey == c.c_custkey).join(
@@ -78,7 +78,7 @@ def order_info_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_cargo_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``order_cargo`` images: one cargo per line item, typed by its part."""
     li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
-              "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
+              "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate", spread=True)
     p = read(spark, sf_dir, "part", "p_partkey", "p_type", "p_size")
     j = li.join(p, li.l_partkey == p.p_partkey)
     created = iso_text("l_shipdate")
@@ -134,7 +134,7 @@ def order_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     order (skew-safe scan), null for the first one.
     """
     ev = read(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value",
-              "props").filter(F.col("event_type") != "error")
+              "props", spread=True).filter(F.col("event_type") != "error")
     table = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in EVENT_TABLE.items()])
     op = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in EVENT_OP.items()])
     ev = ev.select(

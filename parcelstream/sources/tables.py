@@ -14,9 +14,23 @@ from pyspark.sql import functions as F
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
-def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+def read(spark: SparkSession, sf_dir: str, name: str, *cols: str,
+         spread: bool = False) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*cols) if cols else df
+    df = df.select(*cols) if cols else df
+    return spread_input(df) if spread else df
+
+
+def spread_input(df: DataFrame) -> DataFrame:
+    """A large input stored as fewer splits than the cluster has task slots
+    (e.g. one big row group) would run all the per-row work that follows in
+    a few tasks.  Such an input is spread round-robin over the default
+    parallelism; a well-split input (the normal case at scale) is returned
+    untouched, so this costs nothing there."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots)
 
 
 def utc(c) -> F.Column:

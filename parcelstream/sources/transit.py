@@ -34,7 +34,7 @@ def _image(fields, values: dict) -> F.Column:
 
 def bound_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-              "l_extendedprice", "l_shipdate", "l_linestatus")
+              "l_extendedprice", "l_shipdate", "l_linestatus", spread=True)
     # Per-row values are computed once in a projection: the generator below
     # would otherwise evaluate every repeated expression per image.
     li = li.select(
@@ -71,7 +71,7 @@ def bound_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def task_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-              "l_quantity", "l_extendedprice", "l_shipdate")
+              "l_quantity", "l_extendedprice", "l_shipdate", spread=True)
     o = read(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey).select(
         cargo_id().alias("cid"), F.col("l_linenumber").cast("string").alias("ln"),
