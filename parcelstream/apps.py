@@ -3,6 +3,7 @@
 * ``ods`` — captured change records -> cleaned, keyed ODS records.
 * ``dim`` — ODS records -> configuration routing -> dimension cell store.
 * ``dwd`` — ODS records -> per-order state -> one table per fact.
+* ``dws`` — fact tables + dimension store -> daily aggregates (batch).
 
 Settings are one small object per pipeline (no global overrides), one
 server field serves both Kafka directions, and every query has its own
@@ -17,7 +18,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from parcelstream.operators import config_dim, ods
+from parcelstream.operators import config_dim, dim_store, dws, ods
 from parcelstream.session import configure_for_scale
 from parcelstream.streaming import jobs, order_state
 
@@ -34,14 +35,54 @@ def _ods_stream(spark: SparkSession, a) -> "DataFrame":  # noqa: F821
         spark.readStream.schema(ODS_RECORD_DDL).format(a.source_format).load(a.source))
 
 
+def _dim(spark: SparkSession, store: str, sink_table: str, columns: list[str]):
+    merged = dim_store.read_current(spark, store, sink_table)
+    return dim_store.wide(merged, sink_table, columns)
+
+
+def run_dws(spark: SparkSession, facts_root: str, store_root: str, out_root: str) -> list[str]:
+    """Daily aggregates from the DWD fact tables, looked up in the DIM
+    store.  Returns the aggregates written (an aggregate whose facts are
+    not present is skipped)."""
+    organ = _dim(spark, store_root, "dim_base_organ", ["org_name", "org_parent_id", "region_id"])
+    region = _dim(spark, store_root, "dim_base_region_info", ["name", "parent_id"])
+    dic = _dim(spark, store_root, "dim_base_dic", ["name"])
+
+    def facts(name):
+        return spark.read.parquet(f"{facts_root.rstrip('/')}/{name}").drop("batch")
+
+    plans = {
+        "dws_trade_cargo_type_order_day":
+            lambda: dws.cargo_type_order_day(facts("dwd_trade_order_detail"), dic),
+        "dws_trade_org_order_day":
+            lambda: dws.org_order_day(facts("dwd_trade_order_detail"), organ, region),
+        "dws_trans_org_receive_day":
+            lambda: dws.org_receive_day(facts("dwd_trans_receive_detail"), organ, region),
+        "dws_trans_dispatch_day":
+            lambda: dws.orders_per_day(facts("dwd_trans_dispatch_detail"),
+                                       "dispatch_order_count_base"),
+        "dws_trans_bound_finish_day":
+            lambda: dws.orders_per_day(facts("dwd_trans_bound_finish_detail"),
+                                       "bound_finish_order_count_base"),
+        "dws_trans_org_deliver_suc_day":
+            lambda: dws.org_deliver_suc_day(facts("dwd_trans_deliver_detail"), organ, region),
+    }
+    written = []
+    for name, plan in plans.items():
+        plan().write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/{name}")
+        written.append(name)
+    return written
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="parcelstream.apps")
-    p.add_argument("job", choices=["ods", "dim", "dwd"])
+    p.add_argument("job", choices=["ods", "dim", "dwd", "dws"])
     p.add_argument("--source", help="input folder (file formats)")
     p.add_argument("--source-format", default="parquet")
     p.add_argument("--kafka-servers")
     p.add_argument("--topic", default="ods_changes")
     p.add_argument("--sink", required=True, help="output folder / store root")
+    p.add_argument("--dims", help="dimension store root (dws)")
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--trigger-seconds", type=int, default=6)
     p.add_argument("--window-ms", type=int, default=5000)
@@ -50,7 +91,10 @@ def main(argv: list[str] | None = None) -> None:
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"parcelstream-{a.job}").getOrCreate()
-    configure_for_scale(spark, streaming=True)
+    configure_for_scale(spark, streaming=a.job != "dws")
+    if a.job == "dws":
+        run_dws(spark, a.source, a.dims, a.sink)
+        return
     if a.job == "ods":
         s = jobs.StreamSettings(source_format=a.source_format, source_path=a.source,
                                 kafka_servers=a.kafka_servers, topic=a.topic,
