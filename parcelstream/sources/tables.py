@@ -27,10 +27,12 @@ def spread_input(df: DataFrame) -> DataFrame:
     a few tasks.  Such an input is spread round-robin over the default
     parallelism; a well-split input (the normal case at scale) is returned
     untouched, so this costs nothing there."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
         return df
-    return df.repartition(slots)
+    return df if splits >= slots else df.repartition(slots)
 
 
 def utc(c) -> F.Column:
