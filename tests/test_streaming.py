@@ -186,3 +186,27 @@ def test_apps_full_pipeline_to_daily_aggregates(spark, scratch):
     assert got.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert spark.read.parquet(f"{scratch}/dws/dws_trans_org_receive_day").count() >= 0
+
+
+def test_stream_org_receive_day_equals_batch(spark, scratch):
+    from parcelstream.operators import dws
+    from parcelstream.sources import dims
+    log = domain.order_change_log(spark, SF_SMALL)
+    facts = orders.transition_facts(orders.order_state_machine(log, DAY),
+                                    "dwd_trans_receive_detail")
+    _slices(facts, "ts", 3, f"{scratch}/facts")
+    organ, region = dims.base_organ(spark, SF_SMALL), dims.base_region_info(spark, SF_SMALL)
+    stream = spark.readStream.schema(facts.schema).option("maxFilesPerTrigger", 1) \
+        .parquet(f"{scratch}/facts/slice*")
+    agg = dws.stream_org_receive_day(stream, organ, region, watermark="2 days")
+    q = (agg.writeStream.format("memory").queryName("receive_days").outputMode("update")
+         .option("checkpointLocation", f"{scratch}/ckpt").start())
+    q.processAllAvailable()
+    q.stop()
+    final = {}
+    for r in spark.table("receive_days").collect():
+        k = (r["cur_date"], r["org_id"])
+        final[k] = max(final.get(k, 0), r["receive_order_count_base"])
+    batch = {(r["cur_date"], r["org_id"]): r["receive_order_count_base"]
+             for r in dws.org_receive_day(facts, organ, region).collect()}
+    assert final == batch and batch
