@@ -119,10 +119,14 @@ def order_state_machine(log: DataFrame, window_ms: int = 5000) -> DataFrame:
     ``log`` columns: ``seq, ts_ms, op, table, order_key, status, before_status,
     order_after, cargo_after`` (images typed ORDER_INFO / ORDER_CARGO).
 
-    Adds ``route`` (fact name or null), ``detail`` (cargo image the state
-    holds *before* this row: latest cargo ``c`` row of the order, cleared
-    after a sign or cancel) and ``stored`` (order waiting for cargo at this
-    row: latest order ``c`` row that found no detail, with its time).
+    Adds ``route`` (fact name or null), ``detail_seq`` (the cargo row the
+    state holds *before* this row: latest cargo ``c`` row of the order,
+    cleared after a sign or cancel) and, on cargo rows, ``stored_seq`` (the
+    order waiting for cargo that this cargo joins: latest order ``c`` row
+    that found no detail, still inside ``window_ms``).
+
+    The scans carry only sequence numbers; row images are joined back for
+    the rows that emit (on ``(order_key, seq)``, unique, so not skewed).
     """
     is_order = F.col("table") == "order_info"
     is_cargo_c = (F.col("table") == "order_cargo") & (F.col("op") == "c")
@@ -130,30 +134,50 @@ def order_state_machine(log: DataFrame, window_ms: int = 5000) -> DataFrame:
     df = log.withColumn("order_after", F.when(is_order, mask_order(F.col("order_after"))))
     df = df.withColumn("route", route_column(F.col("op"), F.col("table"),
                                              F.col("before_status"), F.col("status")))
-    upd = (F.when(is_cargo_c, F.struct(F.lit(False).alias("clear"),
-                                       F.col("cargo_after").alias("cargo")))
+    upd = (F.when(is_cargo_c, F.struct(F.lit(False).alias("clear"), F.col("seq").alias("ref")))
            .when(F.col("route").isin(*TERMINAL_FACTS),
-                 F.struct(F.lit(True).alias("clear"),
-                          F.lit(None).cast(schemas.ORDER_CARGO).alias("cargo"))))
+                 F.struct(F.lit(True).alias("clear"), F.lit(None).cast("long").alias("ref"))))
     df = asof_last(df, "order_key", ["ts_ms", "seq"], {"__d": upd}, keep_bucket=True)
-    df = df.withColumn("detail", F.when(~F.col("__d.clear"), F.col("__d.cargo"))).drop("__d")
-    store = F.when(is_order_c & F.col("detail").isNull(),
-                   F.struct(F.col("ts_ms").alias("at"), F.col("seq").alias("seq"),
-                            F.col("order_after").alias("order")))
-    df = asof_last(df, "order_key", ["ts_ms", "seq"], {"stored": store})
-    live = F.col("ts_ms") < F.col("stored.at") + F.lit(window_ms)
-    return df.withColumn("stored", F.when(is_cargo_c & live, F.col("stored")))
+    df = df.withColumn("detail_seq", F.when(~F.col("__d.clear"), F.col("__d.ref"))).drop("__d")
+    store = F.when(is_order_c & F.col("detail_seq").isNull(),
+                   F.struct(F.col("ts_ms").alias("at"), F.col("seq").alias("seq")))
+    df = asof_last(df, "order_key", ["ts_ms", "seq"], {"__s": store})
+    live = F.col("ts_ms") < F.col("__s.at") + F.lit(window_ms)
+    return df.withColumn("stored_seq", F.when(is_cargo_c & live, F.col("__s.seq"))).drop("__s")
+
+
+def _cargo_images(sm: DataFrame) -> DataFrame:
+    return sm.filter((F.col("table") == "order_cargo") & (F.col("op") == "c")).select(
+        F.col("order_key").alias("__ck"), F.col("seq").alias("__cs"),
+        F.col("cargo_after").alias("detail"))
+
+
+def _order_images(sm: DataFrame) -> DataFrame:
+    return sm.filter((F.col("table") == "order_info") & (F.col("op") == "c")).select(
+        F.col("order_key").alias("__ok"), F.col("seq").alias("__os"),
+        F.col("order_after").alias("stored_order"))
+
+
+def with_detail(rows: DataFrame, sm: DataFrame, how: str = "inner") -> DataFrame:
+    """Attach the cargo image referenced by ``detail_seq``."""
+    c = _cargo_images(sm)
+    j = rows.join(c, (rows["order_key"] == c["__ck"]) & (rows["detail_seq"] == c["__cs"]), how)
+    return j.drop("__ck", "__cs")
 
 
 def place_order_from_state(sm: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
     """Place-order facts in both arrival orders:
     order after cargo -> joins the latest cargo once; cargo after order ->
     every cargo inside the order's waiting window joins the stored order."""
-    order_first = sm.filter(F.col("stored").isNotNull()).select(
-        *fact_columns(F.col("cargo_after"), F.col("stored.order"), schemas.PLACE_FACT[1],
+    o = _order_images(sm)
+    waiting = sm.filter(F.col("stored_seq").isNotNull())
+    order_first = waiting.join(o, (waiting["order_key"] == o["__ok"])
+                               & (waiting["stored_seq"] == o["__os"])).select(
+        *fact_columns(F.col("cargo_after"), F.col("stored_order"), schemas.PLACE_FACT[1],
                       "cargo", tz))
-    cargo_first = sm.filter((F.col("table") == "order_info") & (F.col("op") == "c")
-                            & F.col("detail").isNotNull()).select(
+    found = sm.filter((F.col("table") == "order_info") & (F.col("op") == "c")
+                      & F.col("detail_seq").isNotNull())
+    cargo_first = with_detail(found, sm).select(
         *fact_columns(F.col("detail"), F.col("order_after"), schemas.PLACE_FACT[1],
                       "cargo", tz))
     return order_first.unionByName(cargo_first)
@@ -161,7 +185,8 @@ def place_order_from_state(sm: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
 
 def transition_facts(sm: DataFrame, fact: str, tz: str = DEFAULT_TZ) -> DataFrame:
     """One of the seven status-transition facts (rows with a detail)."""
-    return sm.filter((F.col("route") == fact) & F.col("detail").isNotNull()).select(
+    rows = sm.filter((F.col("route") == fact) & F.col("detail_seq").isNotNull())
+    return with_detail(rows, sm).select(
         *fact_columns(F.col("detail"), F.col("order_after"), FACT_TIME[fact], "order", tz))
 
 
@@ -169,7 +194,7 @@ def orders_without_detail(sm: DataFrame) -> DataFrame:
     """Quarantine: routed updates that found no cargo detail, updates without
     a previous status, and orders that waited for cargo and never got any
     (expired or replaced by a newer waiting order)."""
-    no_detail = F.col("route").isNotNull() & F.col("detail").isNull()
+    no_detail = F.col("route").isNotNull() & F.col("detail_seq").isNull()
     no_before = ((F.col("table") == "order_info") & (F.col("op") == "u")
                  & F.col("before_status").isNull())
     updates = sm.filter(no_detail | no_before).select(
@@ -177,9 +202,9 @@ def orders_without_detail(sm: DataFrame) -> DataFrame:
         F.when(no_before, F.lit("no_before_status")).otherwise(F.lit("no_detail")).alias("reason"),
         F.col("route"))
     waited = sm.filter((F.col("table") == "order_info") & (F.col("op") == "c")
-                       & F.col("detail").isNull())
-    joined = sm.filter(F.col("stored").isNotNull()).select(
-        "order_key", F.col("stored.seq").alias("seq")).distinct()
+                       & F.col("detail_seq").isNull())
+    joined = sm.filter(F.col("stored_seq").isNotNull()).select(
+        "order_key", F.col("stored_seq").alias("seq")).distinct()
     expired = waited.join(joined, ["order_key", "seq"], "left_anti").select(
         "seq", "ts_ms", "order_key", "status", "before_status",
         F.lit("expired_without_cargo").alias("reason"), F.lit(None).cast("string").alias("route"))

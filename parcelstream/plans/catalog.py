@@ -106,7 +106,8 @@ def q_status_route_counts(spark, sf):
 @register("status_asof_detail")
 def q_status_asof_detail(spark, sf):
     sm = state(spark, sf)
-    return sm.filter(F.col("route").isNotNull()).select(
+    routed = orders.with_detail(sm.filter(F.col("route").isNotNull()), sm, how="left")
+    return routed.select(
         "seq", F.col("order_key").cast("string").alias("order_id"), "route",
         F.col("detail.id").alias("detail_id"), F.col("detail.weight").alias("detail_weight"))
 
