@@ -59,8 +59,13 @@ def route_of(before: str | None, status: str | None) -> str | None:
 
 
 class OrderCargoProcessor(StatefulProcessor):
-    def __init__(self, window_ms: int = 5000):
+    """``processing_time=True`` measures the waiting window in arrival
+    (processing) time, like the reference's state TTL; otherwise in event
+    time (deterministic replays and the batch twin)."""
+
+    def __init__(self, window_ms: int = 5000, processing_time: bool = False):
         self.window_ms = window_ms
+        self.processing_time = processing_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -75,6 +80,7 @@ class OrderCargoProcessor(StatefulProcessor):
             else (None, None, None, False))
         detail = self.detail.get()[0] if self.detail.exists() else None
         okey = str(key[0])
+        now = timerValues.getCurrentProcessingTimeInMs() if self.processing_time else None
         out = []
 
         def emit(route, r, order_json, cargo_json):
@@ -87,8 +93,9 @@ class OrderCargoProcessor(StatefulProcessor):
                 else:
                     if info_json is not None and not joined:
                         out.append((EXPIRED, info_seq, info_at, okey, info_json, None))
-                    info_json, info_at, info_seq, joined = (r.order_json, int(r.ts_ms),
-                                                            int(r.seq), False)
+                    info_json, info_at, info_seq, joined = (
+                        r.order_json, now if self.processing_time else int(r.ts_ms),
+                        int(r.seq), False)
                     self.handle.registerTimer(info_at + self.window_ms)
             elif r.table == "order_info" and r.op == "u":
                 if r.before_status is None or pd.isna(r.before_status):
@@ -105,7 +112,8 @@ class OrderCargoProcessor(StatefulProcessor):
                     detail = None
             elif r.table == "order_cargo" and r.op == "c":
                 detail = r.cargo_json
-                if info_json is not None and int(r.ts_ms) < info_at + self.window_ms:
+                at = now if self.processing_time else int(r.ts_ms)
+                if info_json is not None and at < info_at + self.window_ms:
                     emit(PLACE, r, info_json, r.cargo_json)
                     joined = True
 
@@ -144,9 +152,19 @@ def stream_input(log: DataFrame) -> DataFrame:
         F.timestamp_millis("ts_ms").alias("event_time"))
 
 
-def apply_state(inp: DataFrame, window_ms: int = 5000, watermark: str = "0 seconds") -> DataFrame:
-    """Run the processor keyed by order (event-time timers expire the order
-    waiting for cargo once the watermark passes ``stored time + window``)."""
+def apply_state(inp: DataFrame, window_ms: int = 5000, watermark: str = "0 seconds",
+                time_mode: str = "EventTime") -> DataFrame:
+    """Run the processor keyed by order.
+
+    ``EventTime``: the window is measured in event time and timers fire when
+    the watermark passes ``stored time + window`` (deterministic; rows older
+    than the watermark delay are dropped by Spark, so size the delay to the
+    stream's disorder).  ``ProcessingTime``: the window is measured in arrival
+    time like the reference's state TTL; no row is ever dropped as late."""
+    if time_mode == "ProcessingTime":
+        return inp.groupBy("order_key").transformWithStateInPandas(
+            OrderCargoProcessor(window_ms, processing_time=True), OUTPUT_DDL, "append",
+            "ProcessingTime")
     return (inp.withWatermark("event_time", watermark)
             .groupBy("order_key")
             .transformWithStateInPandas(OrderCargoProcessor(window_ms), OUTPUT_DDL, "append",

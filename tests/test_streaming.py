@@ -12,11 +12,13 @@ DAY = 24 * 3600 * 1000
 
 
 def _slices(df, col, n, path):
+    """Write ``n`` consecutive time slices, one file each, so that a stream
+    reading one file per trigger sees the rows in time order."""
     lo, hi = df.agg(F.min(col), F.max(col)).first()
     step = (hi - lo) // n + 1
     for i in range(n):
         df.filter((F.col(col) >= lo + i * step) & (F.col(col) < lo + (i + 1) * step)) \
-            .write.mode("overwrite").parquet(f"{path}/slice{i:02d}")
+            .coalesce(1).write.mode("overwrite").parquet(f"{path}/slice{i:02d}")
 
 
 def test_order_state_stream_equals_batch(spark, scratch):
@@ -177,7 +179,7 @@ def test_apps_full_pipeline_to_daily_aggregates(spark, scratch):
                "--checkpoint", f"{scratch}/c2", "--available-now"])
     apps.main(["dwd", "--source", f"{scratch}/ods", "--sink", f"{scratch}/facts",
                "--checkpoint", f"{scratch}/c3", "--available-now", "--window-ms", str(DAY),
-               "--watermark", "0 seconds"])
+               "--watermark", "0 seconds", "--event-time"])
     apps.main(["dws", "--source", f"{scratch}/facts", "--dims", f"{scratch}/store",
                "--sink", f"{scratch}/dws", "--checkpoint", f"{scratch}/c4"])
     got = spark.read.parquet(f"{scratch}/dws/dws_trade_cargo_type_order_day")
@@ -210,3 +212,63 @@ def test_stream_org_receive_day_equals_batch(spark, scratch):
     batch = {(r["cur_date"], r["org_id"]): r["receive_order_count_base"]
              for r in dws.org_receive_day(facts, organ, region).collect()}
     assert final == batch and batch
+
+
+def _random_log(rnd, n_keys=4, n_events=40):
+    """Random per-order histories: creates, cargo rows and status updates
+    whose previous status is the order's last status (first update: none)."""
+    from parcelstream import schemas
+    rows, last = [], {}
+    for seq in range(1, n_events + 1):
+        key = rnd.randint(1, n_keys)
+        ts = 1_700_000_000_000 + rnd.randint(0, 50_000)      # a realistic epoch
+        kind = rnd.choice(["order_c", "cargo", "update", "update"])
+        if kind == "cargo":
+            img = {f.name: None for f in schemas.ORDER_CARGO.fields}
+            img.update(id=f"c{seq}", order_id=str(key), create_time="2024-01-01T00:00:00Z")
+            rows.append((seq, ts, "c", "order_cargo", key, None, None, None, img))
+            continue
+        status = rnd.choice(list(schemas.STATUS_CODES))
+        img = {f.name: None for f in schemas.ORDER_INFO.fields}
+        img.update(id=str(key), status=status, sender_name="ab", receiver_name="cd",
+                   update_time="2024-01-01T00:00:00Z", estimate_arrive_time=0)
+        op = "c" if kind == "order_c" else "u"
+        rows.append((seq, ts, op, "order_info", key, status, None, img, None))
+    # previous status in (ts, seq) order per key
+    rows.sort(key=lambda r: (r[1], r[0]))
+    out = []
+    for r in rows:
+        before = last.get(r[4]) if r[3] == "order_info" else None
+        if r[3] == "order_info":
+            last[r[4]] = r[5]
+        out.append(r[:6] + (before if r[2] == "u" else None,) + r[7:])
+    return out
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+from test_state_machine import LOG_SCHEMA  # noqa: E402
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.randoms(use_true_random=False), st.integers(min_value=1, max_value=4))
+def test_property_stream_equals_batch_on_random_histories(spark, tmp_path_factory, rnd, parts):
+    scratch = str(tmp_path_factory.mktemp("prop"))
+    log = spark.createDataFrame(_random_log(rnd), LOG_SCHEMA)
+    _slices(log, "ts_ms", parts, f"{scratch}/src")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1) \
+        .parquet(f"{scratch}/src/slice*")
+    name = f"prop_{abs(hash(scratch)) % 10**8}"
+    q = jobs.dwd_query(stream, f"{scratch}/ckpt", name, 5000)
+    q.processAllAvailable()
+    q.stop()
+    out = spark.table(name)
+    sm = orders.order_state_machine(log, 5000)
+    pairs = [(orders.place_order_from_state(sm),
+              order_state.facts_from_output(out, "dwd_trade_order_detail"))]
+    pairs += [(orders.transition_facts(sm, f), order_state.facts_from_output(out, f))
+              for f in orders.FACT_TIME]
+    for b, s in pairs:
+        assert b.exceptAll(s).count() == 0 and s.exceptAll(b).count() == 0
+    q_b = orders.orders_without_detail(sm).filter(F.col("reason") != "expired_without_cargo")
+    assert out.filter(F.col("route").isin("no_detail", "no_before_status")).count() == q_b.count()
