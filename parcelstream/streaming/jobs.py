@@ -98,11 +98,12 @@ def dim_query(spark: SparkSession, clean_stream: DataFrame, store_root: str, che
 
 
 def dwd_query(order_log_stream: DataFrame, checkpoint: str, query_name: str,
-              window_ms: int = 5000):
+              window_ms: int = 5000, time_mode: str = "EventTime"):
     """Per-order state over a clean order change-log stream; the raw
     processor output goes to a memory table (tests) — facts are typed with
     :func:`order_state.facts_from_output`."""
-    out = order_state.apply_state(order_state.stream_input(order_log_stream), window_ms)
+    out = order_state.apply_state(order_state.stream_input(order_log_stream), window_ms,
+                                  time_mode=time_mode)
     return (out.writeStream.format("memory").queryName(query_name)
             .option("checkpointLocation", checkpoint).outputMode("append").start())
 
