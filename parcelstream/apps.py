@@ -83,7 +83,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--topic", default="ods_changes")
     p.add_argument("--sink", required=True, help="output folder / store root")
     p.add_argument("--dims", help="dimension store root (dws)")
-    p.add_argument("--checkpoint", required=True)
+    p.add_argument("--checkpoint", help="checkpoint folder (streaming jobs)")
     p.add_argument("--trigger-seconds", type=int, default=6)
     p.add_argument("--window-ms", type=int, default=5000)
     p.add_argument("--watermark", default="1 hour",
@@ -93,6 +93,8 @@ def main(argv: list[str] | None = None) -> None:
                         "default is arrival time, like the reference, and drops nothing")
     p.add_argument("--available-now", action="store_true")
     a = p.parse_args(argv)
+    if a.job != "dws" and not a.checkpoint:
+        p.error("--checkpoint is required for the streaming jobs")
 
     spark = SparkSession.builder.appName(f"parcelstream-{a.job}").getOrCreate()
     configure_for_scale(spark, streaming=a.job != "dws")

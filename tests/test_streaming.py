@@ -181,7 +181,7 @@ def test_apps_full_pipeline_to_daily_aggregates(spark, scratch):
                "--checkpoint", f"{scratch}/c3", "--available-now", "--window-ms", str(DAY),
                "--watermark", "0 seconds", "--event-time"])
     apps.main(["dws", "--source", f"{scratch}/facts", "--dims", f"{scratch}/store",
-               "--sink", f"{scratch}/dws", "--checkpoint", f"{scratch}/c4"])
+               "--sink", f"{scratch}/dws"])
     got = spark.read.parquet(f"{scratch}/dws/dws_trade_cargo_type_order_day")
     place = spark.read.parquet(f"{scratch}/facts/dwd_trade_order_detail").drop("batch")
     want = dws.cargo_type_order_day(place, dims.base_dic(spark, SF_SMALL))
