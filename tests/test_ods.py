@@ -49,3 +49,23 @@ def test_sink_record_keyed_by_after_id(spark):
     rec = ods.sink_record(ods.clean(_raw(spark))).filter(F.col("key") == "a").first()
     assert '"ts":10' in rec["value"] and '"table":"order_info"' in rec["value"]
     assert "ts_ms" not in rec["value"]
+
+
+def test_startup_modes(spark):
+    import pytest
+    from parcelstream.plans.catalog import startup
+    df = spark.createDataFrame([("r",), ("c",), ("u",), (None,)], "op string")
+    assert startup(df, "initial").count() == 4
+    assert sorted(str(r[0]) for r in startup(df, "latest").collect()) == ["None", "c", "u"]
+    with pytest.raises(ValueError):
+        startup(df, "earliest")
+
+
+def test_dwd_key_guard_drops_cargo_without_order_id(spark):
+    from parcelstream.streaming.order_state import order_log_from_ods
+    recs = spark.createDataFrame([
+        ("1", '{"op":"c","ts":5,"after":{"id":"c1","order_id":"9"},"source":{"table":"order_cargo"}}', 0, 1),
+        ("2", '{"op":"c","ts":6,"after":{"id":"c2"},"source":{"table":"order_cargo"}}', 0, 2),
+    ], "key string, value string, part int, offset long")
+    got = order_log_from_ods(ods.parse_ods_records(recs)).collect()
+    assert [(r["order_key"], r["seq"]) for r in got] == [("9", 1)]
