@@ -7,7 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelstream.llm import common, quality
+from parcelstream.llm import common, neardup, quality
+
+
+def op2_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(common.table(spark, sf_dir, "documents"))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
