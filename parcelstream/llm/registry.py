@@ -6,8 +6,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parcelstream.llm import common, neardup, quality
+from parcelstream.llm import common, neardup, pii, quality
+
+
+def op1_pii_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("found")
+    base = F.filter(spans, lambda s: s["base"])
+    n = lambda k: F.size(F.filter(base, lambda s: s["rank"] == pii.KINDS.index(k)))
+    return pii.find(common.table(spark, sf_dir, "documents")).select(
+        "doc_id", *[n(k).cast("long").alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(spans).alias("spans"))
 
 
 def op2_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
