@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelstream.llm import common, neardup, pii, quality
+from parcelstream.llm import common, mixing, neardup, pii, quality
 
 
 def op1_pii_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,15 @@ def op2_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(common.table(spark, sf_dir, "documents"))
 
 
+def op3_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    sized = common.stored(docs.select(F.col("doc_id").alias("key"), "source",
+                                      mixing.words("text").alias("size")), "sizes")
+    return mixing.copies(sized).select(
+        F.col("key").alias("doc_id"), "size", "source_size", "target",
+        (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(common.table(spark, sf_dir, "documents"))
 
