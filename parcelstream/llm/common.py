@@ -3,7 +3,10 @@ word/shingle hashing over Arrow batches."""
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +48,14 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [b or b"" for b in batch.column(column).cast(pa.large_binary()).to_pylist()]
 
 
+def kept(key: tuple, make: Callable):
+    """What ``make()`` returned in this Python worker's first task; a worker
+    keeps it for its later ones.  Only for caches, which change no result."""
+    held = sys.modules.setdefault("llm_worker_caches", types.ModuleType("llm_worker_caches"))
+    return held.__dict__.setdefault(repr(key), None) or held.__dict__.update(
+        {repr(key): make()}) or held.__dict__[repr(key)]
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, remembered up to ``WORD_CACHE`` words."""
 

@@ -8,7 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelstream.llm import common, mixing, neardup, pii, quality
+from parcelstream.llm import bpe, common, mixing, neardup, pii, quality
+
+
+def tokenizer(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
+    """The vocabulary file and the pattern that splits text before merging."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
 def op1_pii_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +40,15 @@ def op3_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = tokenizer()
+    tokens = bpe.encode(common.table(spark, sf_dir, "documents"), path, pattern)
+    return bpe.decode(tokens, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(common.table(spark, sf_dir, "documents"))
 
