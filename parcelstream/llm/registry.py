@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelstream.llm import bpe, common, mixing, neardup, pii, quality
+from parcelstream.llm import bpe, common, langid, mixing, neardup, pii, quality, topk
 
 
 def tokenizer(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
@@ -49,6 +49,18 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = langid.fit(docs.filter(~held))
+    return langid.predict(docs, model).select(
+        "doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op6_topk_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(common.table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(common.table(spark, sf_dir, "documents"))
 
