@@ -285,13 +285,6 @@ def with_spans(docs: DataFrame, text_col: str, out: str) -> DataFrame:
     return df.drop(*hits, *ends, every, base, extra, both, pre, post)
 
 
-def digest(spans: Column) -> Column:
-    """kind:start:end of each span, comma-joined."""
-    names = F.array(*map(F.lit, KINDS))
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
-        ":", F.element_at(names, s["rank"] + 1), s["start"], s["end"])), ",")
-
-
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, found): the spans of every text."""
     return with_spans(docs.select(id_col, text_col), text_col, "found").select(id_col, "found")

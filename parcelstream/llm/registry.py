@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelstream.llm import bpe, common, langid, mixing, neardup, pii, quality, topk
+from parcelstream.llm import bpe, common, langid, mixing, neardup, pii, quality, secrets, topk
 
 
 def tokenizer(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
@@ -18,13 +18,20 @@ def tokenizer(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
     return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
+def digest(spans: Column, kinds: list[str]) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    names = F.array(*map(F.lit, kinds))
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", F.element_at(names, s["rank"] + 1), s["start"], s["end"])), ",")
+
+
 def op1_pii_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("found")
     base = F.filter(spans, lambda s: s["base"])
     n = lambda k: F.size(F.filter(base, lambda s: s["rank"] == pii.KINDS.index(k)))
     return pii.find(common.table(spark, sf_dir, "documents")).select(
         "doc_id", *[n(k).cast("long").alias(f"n_{k}") for k in pii.BASE],
-        F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(spans).alias("spans"))
+        F.sha2(digest(base, pii.KINDS), 256).alias("base_sha256"), digest(spans, pii.KINDS).alias("spans"))
 
 
 def op2_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +72,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(common.table(spark, sf_dir, "documents"))
 
 
+def op10_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("found")
+    base = F.filter(spans, lambda s: s["base"])
+    n = lambda k: F.size(F.filter(base, lambda s: s["rank"] == secrets.KINDS.index(k)))
+    return secrets.find(common.table(spark, sf_dir, "documents")).select(
+        "doc_id", *[n(k).cast("long").alias(f"n_{k}") for k in secrets.BASE],
+        F.sha2(digest(base, secrets.KINDS), 256).alias("base_sha256"),
+        digest(spans, secrets.KINDS).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
