@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelstream.llm import bpe, common, langid, mixing, neardup, pii, quality, secrets, topk
+from parcelstream.llm import bpe, common, langid, mixing, neardup, pii, quality, repeats, secrets, topk, urls
 
 
 def tokenizer(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
@@ -49,8 +49,7 @@ def op3_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = tokenizer()
-    tokens = bpe.encode(common.table(spark, sf_dir, "documents"), path, pattern)
-    return bpe.decode(tokens, path).select(
+    return bpe.round_trip(common.table(spark, sf_dir, "documents"), path, pattern).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -72,6 +71,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(common.table(spark, sf_dir, "documents"))
 
 
+def op8_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats(common.table(spark, sf_dir, "documents"))
+
+
+def op9_url_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(common.table(spark, sf_dir, "pages"))
+
+
 def op10_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("found")
     base = F.filter(spans, lambda s: s["base"])
