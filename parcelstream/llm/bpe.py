@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame
 from parcelstream.llm import common
 
 STATES = 100_000       # states a worker keeps before starting afresh
-PIECES = 500_000       # short pieces whose tokens a worker remembers
-PIECE_CHARS = 40       # longer pieces are encoded anew each time
+WORDS = 400_000        # short words whose tokens a worker remembers
+WORD_CHARS = 40        # longer words are encoded anew each time
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -83,6 +83,7 @@ class Transducer:
         self.child: dict[int, tuple[int, int]] = {}
         self.edges: dict[int, tuple[list, list] | None] = {}
         self.pairs: dict[int, bool] = {}
+        self.single = {c: (ranks[c.encode()],) for c in ".,;:!?"}
         self.reset()
 
     def reset(self) -> None:
@@ -196,7 +197,12 @@ class Transducer:
 
 
 class Encoder(dict):
-    """piece -> tuple of ids, remembering short pieces."""
+    """A word after a single space -> its ids with the space, remembering short
+    ones; None where the word starts or ends with white space or is empty.
+
+    The pattern never matches across a place before a space that stands between
+    two other characters, so words cut there are encoded on their own; a text
+    with any other white space around its spaces is split as a whole."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
@@ -204,14 +210,31 @@ class Encoder(dict):
         super().__init__()
         self.machine, self.find = Transducer(ranks), regex.compile(pattern).findall
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(self.machine.encode(piece.encode("utf-8")))
-        if len(piece) <= PIECE_CHARS and len(self) < PIECES:
-            self[piece] = ids
+    def _ids(self, text: str) -> tuple[int, ...]:
+        encode = self.machine.encode
+        return tuple(i for piece in self.find(text) for i in encode(piece.encode("utf-8")))
+
+    def __missing__(self, word: str) -> tuple[int, ...] | None:
+        core = word[:-1]
+        if word.isalpha():  # one piece, letters being the same to the pattern
+            ids = tuple(self.machine.encode(b" " + word.encode("utf-8")))
+        elif core.isalpha() and word[-1] in ".,;:!?":  # two; the core is remembered
+            return self[core] + self.machine.single[word[-1]]
+        elif not word or word[0].isspace() or word[-1].isspace():
+            ids = None
+        else:
+            ids = self._ids(" " + word)
+        if len(word) <= WORD_CHARS and len(self) < WORDS:
+            self[word] = ids
         return ids
 
     def ids(self, text: str) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, self.find(text))), np.int32)
+        first, *words = text.split(" ")
+        if words and first and not first[-1].isspace():
+            parts = list(map(self.__getitem__, words))
+            if None not in parts:
+                    return np.fromiter(chain(self._ids(first), chain.from_iterable(parts)), np.int32)
+        return np.array(self._ids(text), np.int32)
 
 
 class Utf8Stream:
@@ -249,13 +272,7 @@ def vocabulary(path: str) -> bytes:
         return f.read()
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """(id, ids): the tokens of every text."""
-    spark = docs.sparkSession
-    common.bound_batches(spark)
-    file = spark.sparkContext.broadcast(vocabulary(path))  # below 1 MB, whatever the corpus
-
+def _encoding(file, pattern: str, id_col: str, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = hashlib.sha256(file.value + pattern.encode()).hexdigest()
         encoder = common.kept(("bpe", name), lambda: Encoder(read_ranks(file.value), pattern))
@@ -267,29 +284,56 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                 [b.column(id_col), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                 names=[id_col, "ids"])
 
-    kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
-
+    return run
 
-def decode(tokens: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
-    """(id, ids, decoded): the bytes of every list of tokens, decoded in chunks."""
-    spark = tokens.sparkSession
-    common.bound_batches(spark)
-    file = spark.sparkContext.broadcast(vocabulary(path))
 
+def _decoding(file, id_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {i: t for t, i in read_ranks(file.value).items()}
         for b in batches:
             out = []
-            for ids in b.column("ids").to_pylist():
+            for ids in b.column("ids"):
+                ids = ids.values.to_numpy() if ids.is_valid else np.empty(0, np.int32)
                 stream, parts = Utf8Stream(), []
-                for i in range(0, len(ids or ()), 4096):
-                    parts.append(stream.feed(b"".join(map(token.__getitem__, ids[i:i + 4096]))))
+                for i in range(0, len(ids), 4096):
+                    parts.append(stream.feed(b"".join(
+                        map(token.__getitem__, ids[i:i + 4096].tolist()))))
                 out.append(b"".join([*parts, stream.close()]))
             yield pa.RecordBatch.from_arrays(
                 [b.column(id_col), b.column("ids"), pa.array(out, pa.binary())],
                 names=[id_col, "ids", "decoded"])
 
+    return run
+
+
+def _file(df: DataFrame, path: str):
+    """The vocabulary for the executors: below 1 MB, whatever the corpus."""
+    common.bound_batches(df.sparkSession)
+    return df.sparkSession.sparkContext.broadcast(vocabulary(path))
+
+
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
+    """(id, ids): the tokens of every text."""
+    kind = dict(docs.dtypes)[id_col]
+    return docs.select(id_col, text_col).mapInArrow(
+        _encoding(_file(docs, path), pattern, id_col, text_col),
+        f"`{id_col}` {kind}, ids array<int>")
+
+
+def decode(tokens: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
+    """(id, ids, decoded): the bytes of every list of tokens, decoded in chunks."""
     kind = dict(tokens.dtypes)[id_col]
     return tokens.select(id_col, "ids").mapInArrow(
-        run, f"`{id_col}` {kind}, ids array<int>, decoded binary")
+        _decoding(_file(tokens, path), id_col), f"`{id_col}` {kind}, ids array<int>, decoded binary")
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """(id, ids, decoded): ``encode`` and then ``decode``, batch by batch in one
+    worker, so that only one of the two holds memory beside the other's rows."""
+    file = _file(docs, path)
+    first, then = _encoding(file, pattern, id_col, text_col), _decoding(file, id_col)
+    kind = dict(docs.dtypes)[id_col]
+    return docs.select(id_col, text_col).mapInArrow(
+        lambda batches: then(first(batches)), f"`{id_col}` {kind}, ids array<int>, decoded binary")
