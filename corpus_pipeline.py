@@ -33,7 +33,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The tokens of each drawn document, with a digest of what they decode to."""
     path, pattern = registry.tokenizer()
-    tokens = bpe.decode(bpe.encode(docs, path, pattern), path)
+    tokens = bpe.round_trip(docs, path, pattern)
     return tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                          F.sha2("decoded", 256).alias("decoded_sha256"))
 
