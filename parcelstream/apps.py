@@ -1,8 +1,9 @@
-"""Runnable jobs: ``python -m parcelstream.apps {ods,dim,dwd} [options]``.
+"""Runnable jobs: ``python -m parcelstream.apps {ods,dim,dwd,transit,dws} [options]``.
 
-* ``ods`` — captured change records -> cleaned, keyed ODS records.
+* ``ods`` — captured change records -> cleaned, keyed ODS records, and a quarantine.
 * ``dim`` — ODS records -> configuration routing -> dimension cell store.
 * ``dwd`` — ODS records -> per-order state -> one table per fact.
+* ``transit`` — ODS records -> bound and transport facts, one table each.
 * ``dws`` — fact tables + dimension store -> daily aggregates (batch).
 
 Settings are one small object per pipeline (no global overrides), one
@@ -16,67 +17,93 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from parcelstream.operators import config_dim, dim_store, dws, ods
 from parcelstream.session import configure_for_scale
 from parcelstream.streaming import jobs, order_state
 
-ODS_RECORD_DDL = "key string, value string, part int, offset long"
+ODS_RECORD_DDL = "key string, value string, part int, offset long, table string"
 
 
-def _ods_stream(spark: SparkSession, a) -> "DataFrame":  # noqa: F821
+def _settings(a) -> jobs.StreamSettings:
+    return jobs.StreamSettings(
+        source_format=a.source_format, source_path=a.source, kafka_servers=a.kafka_servers,
+        topic=a.topic, start_mode=a.start_mode, trigger_seconds=a.trigger_seconds,
+        max_files_per_trigger=a.max_files_per_trigger)
+
+
+def _ods_stream(spark: SparkSession, a, group: str) -> "DataFrame":  # noqa: F821
+    """The clean records of a table group, as ``run ods`` wrote them."""
+    s = _settings(a)
     if a.source_format == "kafka":
-        raw = jobs.read_raw(spark, jobs.StreamSettings(source_format="kafka",
-                                                        kafka_servers=a.kafka_servers,
-                                                        topic=a.topic))
-        return ods.parse_ods_records(raw)
-    return ods.parse_ods_records(
-        spark.readStream.schema(ODS_RECORD_DDL).format(a.source_format).load(a.source))
+        return ods.table_group(ods.parse_ods_records(jobs.read_raw(spark, s, s.clean_topic)), group)
+    reader = spark.readStream.schema(ODS_RECORD_DDL).format(a.source_format)
+    if s.max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", s.max_files_per_trigger)
+    return ods.parse_ods_records(reader.load(a.source), group)
 
 
 def _dim(spark: SparkSession, store: str, sink_table: str, columns: list[str]):
+    """A dimension from the store, empty where it holds nothing yet."""
     merged = dim_store.read_current(spark, store, sink_table)
+    if merged is None:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in ["id", *columns]))
     return dim_store.wide(merged, sink_table, columns)
 
 
+def _facts(spark: SparkSession, root: str, name: str):
+    """A fact table, or None where no row of it has been written yet."""
+    try:
+        return spark.read.parquet(f"{root.rstrip('/')}/{name}").drop("batch")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def run_dws(spark: SparkSession, facts_root: str, store_root: str, out_root: str) -> list[str]:
-    """Daily aggregates from the DWD fact tables, looked up in the DIM
-    store.  Returns the aggregates written (an aggregate whose facts are
-    not present is skipped)."""
+    """Daily aggregates from the DWD fact tables, looked up in the DIM store.
+    Returns the aggregates written; one whose facts have no row yet is skipped."""
     organ = _dim(spark, store_root, "dim_base_organ", ["org_name", "org_parent_id", "region_id"])
     region = _dim(spark, store_root, "dim_base_region_info", ["name", "parent_id"])
     dic = _dim(spark, store_root, "dim_base_dic", ["name"])
-
-    def facts(name):
-        return spark.read.parquet(f"{facts_root.rstrip('/')}/{name}").drop("batch")
-
+    trucks = _dim(spark, store_root, "dim_truck_info", ["truck_model_id"])
+    models = _dim(spark, store_root, "dim_truck_model", ["model_name"])
     plans = {
         "dws_trade_cargo_type_order_day":
-            lambda: dws.cargo_type_order_day(facts("dwd_trade_order_detail"), dic),
+            ("dwd_trade_order_detail", lambda f: dws.cargo_type_order_day(f, dic)),
         "dws_trade_org_order_day":
-            lambda: dws.org_order_day(facts("dwd_trade_order_detail"), organ, region),
+            ("dwd_trade_order_detail", lambda f: dws.org_order_day(f, organ, region)),
         "dws_trans_org_receive_day":
-            lambda: dws.org_receive_day(facts("dwd_trans_receive_detail"), organ, region),
+            ("dwd_trans_receive_detail", lambda f: dws.org_receive_day(f, organ, region)),
         "dws_trans_dispatch_day":
-            lambda: dws.orders_per_day(facts("dwd_trans_dispatch_detail"),
-                                       "dispatch_order_count_base"),
+            ("dwd_trans_dispatch_detail",
+             lambda f: dws.orders_per_day(f, "dispatch_order_count_base")),
         "dws_trans_bound_finish_day":
-            lambda: dws.orders_per_day(facts("dwd_trans_bound_finish_detail"),
-                                       "bound_finish_order_count_base"),
+            ("dwd_trans_bound_finish_detail",
+             lambda f: dws.orders_per_day(f, "bound_finish_order_count_base")),
         "dws_trans_org_deliver_suc_day":
-            lambda: dws.org_deliver_suc_day(facts("dwd_trans_deliver_detail"), organ, region),
+            ("dwd_trans_deliver_detail", lambda f: dws.org_deliver_suc_day(f, organ, region)),
+        "dws_bound_org_sort_day":
+            ("dwd_bound_sort", lambda f: dws.org_sort_day(f, organ, region)),
+        "dws_trans_org_truck_model_finish_day":
+            ("dwd_trans_finish",
+             lambda f: dws.org_truck_model_finish_day(f, trucks, models, organ, region)),
     }
     written = []
-    for name, plan in plans.items():
-        plan().write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/{name}")
-        written.append(name)
+    for name, (fact, plan) in plans.items():
+        facts = _facts(spark, facts_root, fact)
+        if facts is not None:
+            plan(facts).write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/{name}")
+            written.append(name)
     return written
 
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="parcelstream.apps")
-    p.add_argument("job", choices=["ods", "dim", "dwd", "dws"])
+    p.add_argument("job", choices=["ods", "dim", "dwd", "transit", "dws"])
     p.add_argument("--source", help="input folder (file formats)")
     p.add_argument("--source-format", default="parquet")
     p.add_argument("--kafka-servers")
@@ -86,8 +113,16 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--checkpoint", help="checkpoint folder (streaming jobs)")
     p.add_argument("--trigger-seconds", type=int, default=6)
     p.add_argument("--window-ms", type=int, default=5000)
-    p.add_argument("--watermark", default="1 hour",
-                   help="event-time mode only: accepted disorder before rows count as late")
+    p.add_argument("--watermark",
+                   help="event-time mode only, and required there: the disorder to accept before "
+                        "rows count as late and are dropped")
+    p.add_argument("--quarantine", help="folder of rejected records (default: SINK_quarantine)")
+    p.add_argument("--config", help="dim: path of the configuration table")
+    p.add_argument("--config-changes", help="dim: path of its captured change log (JSON envelopes)")
+    p.add_argument("--config-format", default="parquet")
+    p.add_argument("--start-mode", choices=["latest", "initial"], default="latest")
+    p.add_argument("--max-files-per-trigger", type=int, default=1000,
+                   help="bounds a micro-batch, the first one over a backlog too")
     p.add_argument("--event-time", action="store_true",
                    help="measure the order's waiting window in event time (replays); the "
                         "default is arrival time, like the reference, and drops nothing")
@@ -95,6 +130,14 @@ def main(argv: list[str] | None = None) -> None:
     a = p.parse_args(argv)
     if a.job != "dws" and not a.checkpoint:
         p.error("--checkpoint is required for the streaming jobs")
+    if a.job == "dim" and not (a.config and a.config_changes):
+        p.error("dim needs --config and --config-changes")
+    if a.job == "dwd" and a.event_time and not a.watermark:
+        p.error("--event-time needs --watermark")
+    if a.job == "dwd" and a.available_now and not a.event_time:
+        p.error("--available-now ends only with --event-time: processing-time timers never do")
+    rejected = a.quarantine or f"{a.sink.rstrip('/')}_quarantine"
+    also = f"{(a.checkpoint or '').rstrip('/')}_quarantine"
 
     spark = SparkSession.builder.appName(f"parcelstream-{a.job}").getOrCreate()
     configure_for_scale(spark, streaming=a.job != "dws")
@@ -102,23 +145,31 @@ def main(argv: list[str] | None = None) -> None:
         run_dws(spark, a.source, a.dims, a.sink)
         return
     if a.job == "ods":
-        s = jobs.StreamSettings(source_format=a.source_format, source_path=a.source,
-                                kafka_servers=a.kafka_servers, topic=a.topic,
-                                trigger_seconds=a.trigger_seconds)
-        q = jobs.ods_query(spark, s, a.sink, a.checkpoint, available_now=a.available_now)
+        s = _settings(a)
+        qs = [jobs.ods_query(spark, s, a.sink, a.checkpoint, available_now=a.available_now),
+              jobs.ods_quarantine_query(spark, s, rejected, also, available_now=a.available_now)]
     elif a.job == "dim":
-        q = jobs.dim_query(spark, _ods_stream(spark, a), a.sink, a.checkpoint,
-                           lambda: config_dim.config_changelog(spark),
-                           available_now=a.available_now)
+        qs = [jobs.dim_query(
+            spark, _ods_stream(spark, a, "realtime_dim"), a.sink, a.checkpoint,
+            lambda: config_dim.read_config(spark, a.config, a.config_format),
+            lambda: config_dim.read_config_changes(spark, a.config_changes, a.config_format),
+            available_now=a.available_now)]
+    elif a.job == "transit":
+        qs = [jobs.transit_query(_ods_stream(spark, a, "dwd"), a.sink, a.checkpoint,
+                                 a.available_now, a.trigger_seconds)]
     else:
-        log = order_state.order_log_from_ods(_ods_stream(spark, a))
-        out = order_state.apply_state(order_state.stream_input(log), a.window_ms, a.watermark,
-                                      "EventTime" if a.event_time else "ProcessingTime")
+        stream = _ods_stream(spark, a, "dwd")
+        out = order_state.apply_state(
+            order_state.stream_input(order_state.order_log_from_ods(stream)), a.window_ms,
+            a.watermark, "EventTime" if a.event_time else "ProcessingTime")
         w = out.writeStream.option("checkpointLocation", a.checkpoint).outputMode("append")
         w = w.trigger(availableNow=True) if a.available_now else \
             w.trigger(processingTime=f"{a.trigger_seconds} seconds")
-        q = w.foreachBatch(jobs.dwd_facts_writer(a.sink)).start()
-    q.awaitTermination()
+        qs = [w.foreachBatch(jobs.dwd_facts_writer(a.sink)).start(),
+              jobs.rejects_query(_ods_stream(spark, a, "dwd"), rejected, also, a.available_now,
+                                 a.trigger_seconds)]
+    for q in qs:
+        q.awaitTermination()
 
 
 if __name__ == "__main__":

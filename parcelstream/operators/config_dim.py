@@ -9,70 +9,54 @@ record is routed by the configuration in force at its time:
 
 A configuration delete removes the entry from both levels.  Records of
 unconfigured tables are dropped (inner join).
-
-The configuration is a control table (one row per source table and
-change), so it is broadcast — but only after its row count is checked; a
-configuration beyond the bound is joined with a salted shuffle join, which
-also keeps a hot source table (a third of all records) spread over tasks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelstream import schemas
 
-DAY_MS = 86_400_000
-SNAPSHOT_MS = 1704067200000              # dimension snapshot capture time
-CONFIG_SNAPSHOT_MS = SNAPSHOT_MS + 3_600_000
-CONFIG_CHANGE_MS = SNAPSHOT_MS + DAY_MS
-
-# Initial configuration rows
-# (source_table, sink_table, sink_family, sink_columns, sink_pk, foreign_keys).
-CONFIG_ROWS = [
-    ("user_info", "dim_user_info", "info", "id,login_name,user_level,region_id", "id",
-     "region_id"),
-    ("base_organ", "dim_base_organ", "", "id,org_name,org_parent_id,region_id", "id",
-     "org_parent_id,region_id"),
-    ("base_region_info", "dim_base_region_info", "info", "id,name,parent_id", "id", "parent_id"),
-    ("base_dic", "dim_base_dic", "info", "id,name", "id", None),
-    ("truck_info", "dim_truck_info", "info,ext", "truck_model_id", "id", "truck_model_id"),
-    ("truck_model", "dim_truck_model", None, "id,model_name", "id", None),
-]
-# Configuration changes after start-up
-# (op, ts, source_table, new row or None for a delete).
-CONFIG_CHANGES = [
-    ("u", CONFIG_CHANGE_MS, "user_info",
-     ("user_info", "dim_user_info", "info", "id,login_name,region_id", "id", "region_id")),
-    ("d", CONFIG_CHANGE_MS, "base_dic", None),
-]
-
-MAX_BROADCAST_CONFIG_ROWS = 100_000
 CFG_FIELDS = [f.name for f in schemas.CONFIG.fields]
 
 
-def config_table(spark: SparkSession) -> DataFrame:
-    """The configuration table as the start-up scan reads it."""
-    return spark.createDataFrame(CONFIG_ROWS, schemas.CONFIG)
+def read_config(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The configuration table as the start-up scan reads it; rows may carry
+    ``row_no``, their place in the table."""
+    df = spark.read.format(fmt).schema(
+        T.StructType(schemas.CONFIG.fields + [T.StructField("row_no", T.LongType())])).load(path)
+    return df
+
+
+def parse_config_changes(records: DataFrame) -> DataFrame:
+    """Captured configuration envelopes (``part, offset, value`` as JSON text) ->
+    ``op, ts, part, seq, source_table, after`` (after null for a delete).  Records
+    without a source table on either side are no configuration changes."""
+    row = schemas.CONFIG.simpleString()
+    e = F.from_json("value", f"op string, ts_ms bigint, before {row}, after {row}")
+    r = records.select("part", "offset", e.alias("e"))
+    return r.select(
+        F.col("e.op").alias("op"), F.col("e.ts_ms").alias("ts"), "part",
+        F.col("offset").alias("seq"),
+        F.coalesce("e.after.source_table", "e.before.source_table").alias("source_table"),
+        F.when(F.col("e.op") != "d", F.col("e.after")).alias("after")).filter(
+            "source_table is not null")
 
 
-def config_changelog(spark: SparkSession) -> DataFrame:
-    """Configuration change log: the snapshot (``op='r'``) the change stream
-    delivers after start-up, then the later changes.  Columns
-    ``op, ts, seq, source_table, after`` (after null for a delete)."""
-    rows = [("r", CONFIG_SNAPSHOT_MS, i, r[0], r) for i, r in enumerate(CONFIG_ROWS)]
-    rows += [(op, ts, len(rows) + i, src, row) for i, (op, ts, src, row) in
-             enumerate(CONFIG_CHANGES)]
-    schema = (f"op string, ts bigint, seq bigint, source_table string, "
-              f"after {schemas.CONFIG.simpleString()}")
-    return spark.createDataFrame(rows, schema)
+def read_config_changes(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    return parse_config_changes(
+        spark.read.format(fmt).schema("part int, offset long, value string").load(path))
 
 
 def preload(cfg: DataFrame) -> DataFrame:
-    """Start-up scan keyed by ``source_table`` (last row wins)."""
-    w = Window.partitionBy("source_table").orderBy(F.monotonically_increasing_id().desc())
-    return cfg.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    """Start-up scan keyed by ``source_table``: the row with the highest
+    ``row_no`` wins (a table without that column must not repeat a key; should
+    it, the greatest row wins, whatever files it came in)."""
+    row = F.struct(*[F.col(c) for c in CFG_FIELDS])
+    place = F.struct(F.col("row_no"), row) if "row_no" in cfg.columns else row
+    return cfg.groupBy("source_table").agg(F.max_by(row, place).alias("r")).select("r.*")
 
 
 def fold(changes: DataFrame) -> DataFrame:
@@ -101,29 +85,15 @@ def config_versions(spark: SparkSession, cfg: DataFrame, changes: DataFrame) ->
     return allv.withColumn("valid_to", F.lead("valid_from").over(w)).drop("seq")
 
 
-def _checked_broadcast(small: DataFrame, max_rows: int) -> DataFrame | None:
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else None
-
-
-def route(records: DataFrame, versions: DataFrame, salt_buckets: int = 64) -> DataFrame:
+def route(records: DataFrame, versions: DataFrame) -> DataFrame:
     """Attach the configuration in force at each record's ``ts`` (inner:
-    unconfigured or deleted tables drop out).  Adds ``cfg`` and ``origin``."""
+    unconfigured or deleted tables drop out).  Adds ``cfg`` and ``origin``.
+    The join has no hint: from the sizes it measures, the planner broadcasts the
+    configuration, or joins by table and splits a hot table's partition."""
     in_force = ((F.col("ts") >= F.coalesce(F.col("valid_from"), F.lit(-(1 << 62))))
                 & (F.col("ts") < F.coalesce(F.col("valid_to"), F.lit(1 << 62))))
     v = versions.withColumnRenamed("source_table", "__src")
-    small = _checked_broadcast(v, MAX_BROADCAST_CONFIG_ROWS)
-    if small is not None:
-        j = records.join(small, (F.col("table") == F.col("__src")) & in_force)
-    else:
-        # Salted shuffle join: records pick one of ``salt_buckets`` salts by
-        # their offset, configuration rows are replicated to every salt.
-        salts = F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-        v = v.withColumn("__salt", salts)
-        r = records.withColumn("__salt", F.pmod(F.xxhash64("part", "offset"),
-                                                F.lit(salt_buckets)).cast("int"))
-        j = r.join(v, (F.col("table") == F.col("__src")) & (r["__salt"] == v["__salt"])
-                   & in_force).drop("__salt")
+    j = records.join(v, (F.col("table") == F.col("__src")) & in_force)
     return j.filter(F.col("cfg").isNotNull()).drop("__src", "valid_from", "valid_to")
 
 

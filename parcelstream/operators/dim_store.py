@@ -9,12 +9,13 @@ the shuffle, so a hot row or table does not land in one task.
 
 A micro-batch appends only its own cells (partition ``batch=<id>``,
 overwritten on replay, so the sink is idempotent); readers merge on read
-with the same rule, and ``compact`` periodically folds old batches into a
-versioned base.  No table is rewritten per batch.
+with the same rule.  Folding old batches is the table store's work (``MERGE
+INTO`` where there is one), not this module's.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,10 +58,6 @@ def route_counts(routed: DataFrame) -> DataFrame:
 CELL_COLS = ["sink_table", "row_key", "column", "value", "ts", "part", "offset"]
 
 
-def _root(root: str, sink_table: str) -> str:
-    return f"{root.rstrip('/')}/{sink_table}"
-
-
 def append_cells(batch_cells: DataFrame, root: str, batch_id: int) -> None:
     """Store one micro-batch's cells under ``cells/batch=<id>`` per sink
     table (overwrite of that one partition: a replayed batch replaces its
@@ -70,39 +67,13 @@ def append_cells(batch_cells: DataFrame, root: str, batch_id: int) -> None:
      .partitionBy("sink_table", "batch").parquet(f"{root.rstrip('/')}/_cells"))
 
 
-def _base_pointer(spark, root: str, sink_table: str):
-    try:
-        return spark.read.schema("version long, path string").json(
-            f"{_root(root, sink_table)}/_BASE").first()
-    except Exception:  # noqa: BLE001 - no compaction yet
-        return None
-
-
 def read_current(spark, root: str, sink_table: str) -> DataFrame | None:
-    """Merged state of one sink table: the compacted base (if any) plus all
-    later batches, merged on read with the same ``max_by`` rule."""
+    """Merged state of one sink table over all batches, by the ``max_by`` rule;
+    None where nothing has been written yet.  Any other failure is raised."""
     try:
-        cells = spark.read.parquet(f"{root.rstrip('/')}/_cells").filter(
-            F.col("sink_table") == sink_table)
-    except Exception:  # noqa: BLE001 - nothing written yet
+        found = spark.read.parquet(f"{root.rstrip('/')}/_cells")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    ptr = _base_pointer(spark, root, sink_table)
-    if ptr is not None:
-        cells = cells.filter(F.col("batch") > ptr["version"]).select(*CELL_COLS)
-        cells = spark.read.parquet(ptr["path"]).select(*CELL_COLS).unionByName(cells)
-    return merge(cells.select(*CELL_COLS))
-
-
-def compact(spark, root: str, sink_table: str, upto_batch: int) -> None:
-    """Write the merged state up to ``upto_batch`` as a new base version and
-    move the ``_BASE`` pointer (readers keep merging later batches on top)."""
-    cells = spark.read.parquet(f"{root.rstrip('/')}/_cells").filter(
-        (F.col("sink_table") == sink_table) & (F.col("batch") <= upto_batch))
-    ptr = _base_pointer(spark, root, sink_table)
-    if ptr is not None:
-        cells = spark.read.parquet(ptr["path"]).select(*CELL_COLS).unionByName(
-            cells.filter(F.col("batch") > ptr["version"]).select(*CELL_COLS))
-    path = f"{_root(root, sink_table)}/base/v{upto_batch:010d}"
-    merge(cells.select(*CELL_COLS)).write.mode("overwrite").parquet(path)
-    spark.createDataFrame([(upto_batch, path)], "version long, path string") \
-        .coalesce(1).write.mode("overwrite").json(f"{_root(root, sink_table)}/_BASE")
+    return merge(found.filter(F.col("sink_table") == sink_table).select(*CELL_COLS))

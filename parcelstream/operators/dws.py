@@ -49,7 +49,12 @@ def _district_then_org(agg: DataFrame, district: str, organ: DataFrame,
 
 def org_order_day(place_facts: DataFrame, organ: DataFrame, region: DataFrame,
                   tz: str = DEFAULT_TZ) -> DataFrame:
-    agg = with_day(place_facts, tz).groupBy("cur_date", "sender_district_id").agg(
+    """Orders and their amounts per centre and day.  A place-order fact is one
+    cargo row; an order counts once a day, with its amount, however many cargo
+    rows it has."""
+    once = with_day(place_facts, tz).groupBy("cur_date", "sender_district_id", "order_id").agg(
+        F.max("amount").alias("amount"), F.max("ts").alias("ts"))
+    agg = once.groupBy("cur_date", "sender_district_id").agg(
         F.sum("amount").cast(SUM).alias("order_amount_base"),
         F.count(F.lit(1)).alias("order_count_base"), F.max("ts").alias("ts"))
     by_org = _district_then_org(agg, "sender_district_id", organ,

@@ -92,15 +92,3 @@ def asof_last(df: DataFrame, key: str, order: Sequence[str],
     drop = ["__ck", "__cb"] + [f"__{p}_{n}" for p in "vlc" for n in names]
     out = out.drop(*drop)
     return out.withColumnRenamed("__b", BUCKET) if keep_bucket else out.drop("__b")
-
-
-def asof_last_window(df: DataFrame, key: str, order: Sequence[str],
-                     values: Mapping[str, Column], inclusive: bool = False) -> DataFrame:
-    """Reference form of :func:`asof_last` with one plain window per key.
-    Used by tests as the brute-force check; not for hot keys."""
-    frame = (Window.partitionBy(key).orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding,
-                          Window.currentRow if inclusive else -1))
-    tmp = df.withColumns({f"__v_{n}": c for n, c in values.items()})
-    tmp = tmp.withColumns({n: F.last(f"__v_{n}", ignorenulls=True).over(frame) for n in values})
-    return tmp.drop(*[f"__v_{n}" for n in values])

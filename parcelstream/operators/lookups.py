@@ -50,8 +50,11 @@ def city_province(fact: DataFrame, city_col: str, region: DataFrame, prefix: str
 
 def centre_of_district(fact: DataFrame, district_col: str, organ: DataFrame,
                        out: str = "org_id") -> DataFrame:
-    """District -> the level-1 organisation (transit centre) serving it."""
-    centres = organ.filter(F.col("org_parent_id").isNull()).select("id", "region_id")
+    """District -> the level-1 organisation (transit centre) serving it.  Should
+    several serve one, the smallest id stands for the district, so that a
+    measure is never counted twice."""
+    centres = organ.filter(F.col("org_parent_id").isNull()).groupBy("region_id").agg(
+        F.min("id").alias("id"))
     return dim_lookup(fact, district_col, centres, "region_id", {"id": out})
 
 

@@ -115,21 +115,27 @@ def decode(v: Column, schema: T.StructType) -> Column:
     return F.try_variant_get(v, "$", schema.simpleString())
 
 
-def table_group(df: DataFrame, option: str) -> DataFrame:
-    """Rows of one reader table group; an unknown option is an error."""
+def table_group(df: DataFrame, option: str, config_table: str | None = None) -> DataFrame:
+    """Rows of one reader table group; an unknown option is an error.  The
+    configuration group's table may have another name in a deployment."""
     if option not in schemas.TABLE_GROUPS:
         raise ValueError(f"unknown table group {option!r}")
+    if option == "config_dim" and config_table:
+        return df.filter(F.col("table") == config_table)
     return df.filter(F.col("table").isin(*schemas.TABLE_GROUPS[option]))
 
 
-def sink_record(clean_df: DataFrame, with_position: bool = False) -> DataFrame:
+def sink_record(clean_df: DataFrame, with_position: bool = False,
+                with_table: bool = False) -> DataFrame:
     """Message layout for the ODS topic: key = ``after.id`` so one row's
     changes stay in one partition; value = the cleaned envelope as JSON.
     ``with_position`` keeps the source ``part, offset`` (file sinks; a
-    Kafka consumer gets its own partition/offset)."""
+    Kafka consumer gets its own partition/offset); ``with_table`` keeps the
+    table, to partition files by."""
     value = F.to_json(F.struct(
         "op", "ts", "before", "after", F.struct(F.col("table").alias("table")).alias("source")))
     pos = ["part", "offset"] if with_position else []
+    pos += ["table"] if with_table else []
     return clean_df.select(record_id(clean_df).alias("key"), value.alias("value"), *pos)
 
 
@@ -137,10 +143,12 @@ ODS_RECORD_DDL = ("op string, ts bigint, before variant, after variant, "
                   "source struct<table:string>")
 
 
-def parse_ods_records(records: DataFrame) -> DataFrame:
+def parse_ods_records(records: DataFrame, group: str | None = None) -> DataFrame:
     """Consumer side of the ODS topic (``key, value`` [+ ``part, offset``]):
     the cleaned envelope back as ``part, offset, op, ts, table, before,
     after`` — parsed once, same single-parse barrier as :func:`parse`."""
+    if group and "table" in records.columns:  # files are partitioned by table: read its own only
+        records = table_group(records, group)
     parsed = F.struct(F.from_json(F.col("value"), ODS_RECORD_DDL).alias("r"))
     r = records.select("*", F.inline(F.array(parsed)))
     return r.filter(F.col("r").isNotNull()).select(

@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelstream import schemas
 from parcelstream.functions.timefn import DEFAULT_TZ, iso_to_millis, iso_to_local_text
+from parcelstream.operators import ods
 
 
 def became_set(col: str) -> Column:
@@ -53,3 +55,24 @@ def trans_finish(log: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
                     iso_to_local_text(a("actual_end_time"), tz).alias("actual_end_time"),
                     (end_ms - start_ms).alias("transport_time"),
                     a("actual_distance").alias("actual_distance"), end_ms.alias("ts"))
+
+
+# The table that each fact's changes come from.
+FACT_TABLE = {"dwd_bound_inbound": "order_org_bound", "dwd_bound_sort": "order_org_bound",
+              "dwd_bound_outbound": "order_org_bound", "dwd_trans_finish": "transport_task"}
+
+
+def typed_log(clean: DataFrame, table: str) -> DataFrame:
+    """One table's clean change records with typed row images: op, before, after."""
+    schema = {"order_org_bound": schemas.ORDER_ORG_BOUND,
+              "transport_task": schemas.TRANSPORT_TASK}[table]
+    return clean.filter(F.col("table") == table).select(
+        "op", ods.decode(F.col("before"), schema).alias("before"),
+        ods.decode(F.col("after"), schema).alias("after"))
+
+
+def facts_of(clean: DataFrame, tz: str = DEFAULT_TZ) -> dict[str, DataFrame]:
+    """The four facts from clean records (batch, or one micro-batch)."""
+    make = {"dwd_bound_inbound": bound_inbound, "dwd_bound_sort": bound_sort,
+            "dwd_bound_outbound": bound_outbound, "dwd_trans_finish": trans_finish}
+    return {fact: make[fact](typed_log(clean, table), tz) for fact, table in FACT_TABLE.items()}

@@ -18,7 +18,7 @@ from parcelstream.operators import config_dim, dim_store, dws, lookups, ods, ord
 from parcelstream.operators.keyed_scan import asof_last
 from parcelstream.plans.materialize import materialized
 from parcelstream.sources import changelog, dims, domain
-from parcelstream.sources import transit as transit_src
+from parcelstream.sources import config as config_src
 from parcelstream.sources.tables import epoch_ms, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -354,8 +354,8 @@ def dim_records(spark, sf):
 
 
 def config_versions(spark):
-    return config_dim.config_versions(spark, config_dim.preload(config_dim.config_table(spark)),
-                                      config_dim.config_changelog(spark))
+    return config_dim.config_versions(spark, config_dim.preload(config_src.config_table(spark)),
+                                      config_src.config_changelog(spark))
 
 
 def routed(spark, sf):
@@ -382,7 +382,7 @@ def q_config_two_level_lookup(spark, sf):
 
 @register("config_changelog_fold")
 def q_config_changelog_fold(spark, sf):
-    state = config_dim.fold(config_dim.config_changelog(spark))
+    state = config_dim.fold(config_src.config_changelog(spark))
     per_table = dim_records(spark, sf).groupBy("table").agg(F.count(F.lit(1)).alias("n_records"))
     return state.join(per_table, state["source_table"] == per_table["table"], "left").select(
         "source_table", "sink_table", "sink_columns", "sink_pk",
@@ -413,35 +413,43 @@ def q_dim_upsert_latest(spark, sf):
 
 
 # ------------------------------------------------------------- transit -----
+def transit_topic(spark, sf):
+    """The cleaned ODS output of the transit tables: captured JSON records
+    through the same cleaning as the others, stored by source table."""
+    return materialized(spark, ("transit_topic", sf),
+                        lambda: ods.clean(changelog.transit_records(spark, sf)),
+                        partition_by=("table",))
+
+
 @register("dwd_bound_inbound")
 def q_dwd_bound_inbound(spark, sf):
-    return transit.bound_inbound(transit_src.bound_changelog(spark, sf))
+    return transit.bound_inbound(transit.typed_log(transit_topic(spark, sf), "order_org_bound"))
 
 
 @register("dwd_bound_sort")
 def q_dwd_bound_sort(spark, sf):
-    return transit.bound_sort(transit_src.bound_changelog(spark, sf))
+    return transit.bound_sort(transit.typed_log(transit_topic(spark, sf), "order_org_bound"))
 
 
 @register("dwd_bound_outbound")
 def q_dwd_bound_outbound(spark, sf):
-    return transit.bound_outbound(transit_src.bound_changelog(spark, sf))
+    return transit.bound_outbound(transit.typed_log(transit_topic(spark, sf), "order_org_bound"))
 
 
 @register("dwd_trans_finish")
 def q_dwd_trans_finish(spark, sf):
-    return transit.trans_finish(transit_src.task_changelog(spark, sf))
+    return transit.trans_finish(transit.typed_log(transit_topic(spark, sf), "transport_task"))
 
 
 @register("dws_bound_org_sort_day")
 def q_dws_bound_org_sort_day(spark, sf):
-    facts = transit.bound_sort(transit_src.bound_changelog(spark, sf))
+    facts = transit.bound_sort(transit.typed_log(transit_topic(spark, sf), "order_org_bound"))
     return dws.org_sort_day(facts, dims.base_organ(spark, sf), dims.base_region_info(spark, sf))
 
 
 @register("dws_trans_org_truck_model_finish_day")
 def q_dws_trans_org_truck_model_finish_day(spark, sf):
-    facts = transit.trans_finish(transit_src.task_changelog(spark, sf))
+    facts = transit.trans_finish(transit.typed_log(transit_topic(spark, sf), "transport_task"))
     return dws.org_truck_model_finish_day(facts, dims.truck_info(spark, sf),
                                           dims.truck_model(spark, sf),
                                           dims.base_organ(spark, sf),
@@ -469,7 +477,7 @@ def q_dim_hierarchy_join(spark, sf):
 def q_dim_fk_lookup(spark, sf):
     """Lookup through the foreign key the configuration declares for
     ``user_info`` (read from the configuration, not hard-wired)."""
-    fks = config_dim.fk_columns(config_dim.config_table(spark))
+    fks = config_dim.fk_columns(config_src.config_table(spark))
     fk = fks.filter(F.col("source_table") == "user_info").first()["fk_column"]
     users = dims.user_info(spark, sf).select("id", fk)
     out = lookups.fk_lookup(users, fk, dims.base_region_info(spark, sf).select(

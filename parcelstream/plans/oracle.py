@@ -356,10 +356,12 @@ def q_org_order_day() -> str:
     return with_(ORDER_ATTR, ORDER_CARGO, PLACE_FACTS, ORGAN, REGION_INFO, body=f"""
 SELECT a.cur_date, a.org_id, og.org_name, jo.region_id AS city_id, ci.name AS city_name,
        a.order_amount_base, a.order_count_base, a.ts
-FROM (SELECT {local_day('f.ts')} AS cur_date, c.id AS org_id,
+FROM (SELECT f.cur_date, c.id AS org_id,
              CAST(sum(f.amount) AS DECIMAL(38,2)) AS order_amount_base,
              count(*) AS order_count_base, max(f.ts) AS ts
-      FROM place_facts f
+      FROM (SELECT {local_day('ts')} AS cur_date, sender_district_id, order_id,
+                   max(amount) AS amount, max(ts) AS ts
+            FROM place_facts GROUP BY 1, 2, 3) f
       LEFT JOIN organ c ON c.org_parent_id IS NULL AND c.region_id = f.sender_district_id
       GROUP BY 1, 2) a
 LEFT JOIN organ og ON og.id = a.org_id

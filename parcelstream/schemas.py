@@ -45,19 +45,9 @@ TRANSPORT_TASK = _struct(
 CONFIG = _struct(("source_table", S), ("sink_table", S), ("sink_family", S),
                  ("sink_columns", S), ("sink_pk", S), ("foreign_keys", S))
 
-# Envelope as first parsed: row images stay raw JSON text until the table is
-# known, so one parse serves every table and each table decodes with its own
-# typed schema (decimals stay exact).
-ENVELOPE = _struct(("op", S), ("ts_ms", L), ("before", S), ("after", S),
-                   ("source", _struct(("table", S))), ("transaction", S))
-
-TABLE_SCHEMAS = {
-    "order_info": ORDER_INFO,
-    "order_cargo": ORDER_CARGO,
-    "order_org_bound": ORDER_ORG_BOUND,
-    "transport_task": TRANSPORT_TASK,
-    "dim_config": CONFIG,
-}
+# The captured configuration table's name; pass the deployment's own name to
+# ``ods.table_group`` where it differs.
+CONFIG_TABLE = "dim_config"
 
 # Table groups a change-log reader selects.
 TABLE_GROUPS = {
@@ -67,7 +57,7 @@ TABLE_GROUPS = {
                      "express_courier_complex", "employee_info", "line_base_shift",
                      "line_base_info", "truck_driver", "truck_info", "truck_model",
                      "truck_team"),
-    "config_dim": ("dim_config",),
+    "config_dim": (CONFIG_TABLE,),
 }
 
 # Order status codes and the transitions that produce facts.

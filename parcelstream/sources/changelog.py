@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelstream import schemas
-from parcelstream.sources import dims, domain
+from parcelstream.sources import dims, domain, transit
 from parcelstream.sources.tables import epoch_ms, read, union_all
 
 # Capture times of the dimension snapshot and later changes.
@@ -33,7 +33,7 @@ DIM_DELETE_MS = SNAPSHOT_MS + 3 * 86400000
 # Source partitions of the captured log.
 PART = {"order_info": 0, "order_cargo": 1, "events": 2, "user_info": 3, "base_organ": 4,
         "base_region_info": 5, "base_dic": 6, "truck_info": 7, "truck_model": 8,
-        "employee_info": 9}
+        "employee_info": 9, "order_org_bound": 10, "transport_task": 11}
 
 
 def envelope(op, ts_ms, before, after, table: str) -> F.Column:
@@ -144,6 +144,16 @@ def dim_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(recs)
 
 
+def transit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured changes of bound rows and transport tasks."""
+    recs = []
+    for table, log in (("order_org_bound", transit.bound_changelog(spark, sf_dir)),
+                       ("transport_task", transit.task_changelog(spark, sf_dir))):
+        recs.append(_record(log, PART[table], F.xxhash64("after.id", "op", "ts_ms"), envelope(
+            F.col("op"), F.col("ts_ms"), F.col("before"), F.col("after"), table)))
+    return union_all(recs)
+
+
 def captured_log(spark: SparkSession, sf_dir: str, order_log: DataFrame | None = None) -> DataFrame:
     """The whole captured log: fact group then dimension group."""
     return fact_records(spark, sf_dir, order_log).unionByName(dim_records(spark, sf_dir))

@@ -25,9 +25,8 @@ def _s(c) -> F.Column:
 
 
 def nation_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation -> region key.  TPC-H fixes nation at 25 rows at every scale,
-    so broadcasting it is size-safe."""
-    return F.broadcast(read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey"))
+    """Nation -> region key; the planner broadcasts it from its size."""
+    return read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
 
 
 def order_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:

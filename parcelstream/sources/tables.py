@@ -22,17 +22,12 @@ def read(spark: SparkSession, sf_dir: str, name: str, *cols: str,
 
 
 def spread_input(df: DataFrame) -> DataFrame:
-    """A large input stored as fewer splits than the cluster has task slots
-    (e.g. one big row group) would run all the per-row work that follows in
-    a few tasks.  Such an input is spread round-robin over the default
-    parallelism; a well-split input (the normal case at scale) is returned
-    untouched, so this costs nothing there."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
-        return df
-    return df if splits >= slots else df.repartition(slots)
+    """Inputs that a session reads from single row groups (the bench's test
+    tables) can be spread round-robin over ``spark.parcelstream.scan.spread``
+    partitions.  Without that setting, as on a cluster, nothing is shuffled:
+    the scan's own splits are the partitions."""
+    n = df.sparkSession.conf.get("spark.parcelstream.scan.spread", None)
+    return df.repartition(int(n)) if n else df
 
 
 def utc(c) -> F.Column:

@@ -6,7 +6,7 @@
   re-folded from its change log every micro-batch (live configuration),
   rows are routed and projected, and the batch's cells are appended to the
   store under ``batch=<id>`` (a replay rewrites that partition); readers
-  merge cell-wise, compaction folds old batches periodically.
+  merge cell-wise.
 * DWD:  clean order/cargo records -> per-order state -> one output per fact.
 
 Source and sink formats are settings: ``parquet``/``json``/``text`` files
@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelstream.operators import config_dim, dim_store, ods
+from parcelstream.operators import config_dim, dim_store, ods, transit
 from parcelstream.streaming import order_state
 
 RAW_DDL = "part int, offset long, value string"
@@ -32,18 +32,29 @@ class StreamSettings:
     source_format: str = "parquet"
     source_path: str | None = None
     kafka_servers: str | None = None      # one field for source and sink
-    topic: str = "ods_changes"
+    topic: str = "ods_changes"            # raw records; the clean ones go to ``clean_topic``
+    start_mode: str = "latest"            # or "initial": what is already there, then changes
     trigger_seconds: int = 6              # reference checkpoint interval
     max_files_per_trigger: int | None = None
     options: dict = field(default_factory=dict)
 
+    @property
+    def clean_topic(self) -> str:
+        """Where ODS writes and DIM and DWD read."""
+        return f"{self.topic}_clean"
 
-def read_raw(spark: SparkSession, s: StreamSettings) -> DataFrame:
+    @property
+    def starting_offsets(self) -> str:
+        return {"latest": "latest", "initial": "earliest"}[self.start_mode]
+
+
+def read_raw(spark: SparkSession, s: StreamSettings, topic: str | None = None) -> DataFrame:
     """Captured records as a stream of ``part, offset, value``."""
     if s.source_format == "kafka":
         df = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", s.kafka_servers)
-              .option("subscribe", s.topic).option("startingOffsets", "latest")
+              .option("subscribe", topic or s.topic)
+              .option("startingOffsets", s.starting_offsets)
               .options(**s.options).load())
         return df.select(F.col("partition").alias("part"), "offset",
                          F.col("value").cast("string").alias("value"))
@@ -53,57 +64,66 @@ def read_raw(spark: SparkSession, s: StreamSettings) -> DataFrame:
     return reader.options(**s.options).load(s.source_path)
 
 
+def ods_records(clean: DataFrame, for_topic: bool) -> DataFrame:
+    """Sink records.  A topic partitions by key, and one writer a key and
+    micro-batch keeps a key's records together; consumers order by time and
+    position.  A file sink keeps the source position and the table, by which it
+    is partitioned, so a consumer reads its own tables only."""
+    if for_topic:
+        return ods.sink_record(clean.repartition(ods.record_id(clean)))
+    return ods.sink_record(clean, with_position=True, with_table=True)
+
+
 def ods_query(spark: SparkSession, s: StreamSettings, sink_path: str, checkpoint: str,
               available_now: bool = False):
-    clean = ods.clean(read_raw(spark, s))
-    if s.source_format == "kafka":
-        # Per-key order in the topic needs one writer per key inside a
-        # micro-batch (the topic partitions by key anyway); file sinks skip
-        # this because consumers order by (ts, part, offset).
-        clean = clean.repartition(ods.record_id(clean)).sortWithinPartitions(
-            "ts", "part", "offset")
-    records = ods.sink_record(clean, with_position=s.source_format != "kafka")
+    records = ods_records(ods.clean(read_raw(spark, s)), for_topic=s.source_format == "kafka")
     w = records.writeStream.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=f"{s.trigger_seconds} seconds")
     if s.source_format == "kafka":
         return (w.format("kafka").option("kafka.bootstrap.servers", s.kafka_servers)
-                .option("topic", s.topic + "_clean").start())
-    return w.format("parquet").option("path", sink_path).start()
+                .option("topic", s.clean_topic).start())
+    return w.format("parquet").option("path", sink_path).partitionBy("table").start()
 
 
-def dim_batch_writer(spark: SparkSession, store_root: str, config_changes_fn,
-                     compact_every: int = 100):
-    """``foreachBatch`` body of the DIM job: route with the configuration in
-    force, append the batch's cells, compact every ``compact_every``
-    batches."""
+def ods_quarantine_query(spark: SparkSession, s: StreamSettings, path: str, checkpoint: str,
+                         available_now: bool = False):
+    """What :func:`ods_query` doesn't forward, with the reason: a consumer of
+    its own with its own checkpoint, so either can be restarted alone."""
+    w = ods.quarantine(read_raw(spark, s)).writeStream.option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else \
+        w.trigger(processingTime=f"{s.trigger_seconds} seconds")
+    return w.format("parquet").option("path", path).start()
+
+
+def dim_batch_writer(spark: SparkSession, store_root: str, config_fn, config_changes_fn):
+    """``foreachBatch`` body of the DIM job: read the configuration and its
+    change log as they are now, route with the one in force at each record's
+    time, and append the batch's cells."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        cfg = config_dim.preload(config_dim.config_table(spark))
-        versions = config_dim.config_versions(spark, cfg, config_changes_fn())
+        versions = config_dim.config_versions(spark, config_dim.preload(config_fn()),
+                                              config_changes_fn())
         dims_ = ods.table_group(batch, "realtime_dim")
         dim_store.append_cells(dim_store.cells(config_dim.routed_rows(dims_, versions)),
                                store_root, batch_id)
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            for r in config_dim.fold(config_changes_fn()).select("sink_table").collect():
-                dim_store.compact(spark, store_root, r["sink_table"], batch_id)
     return run
 
 
 def dim_query(spark: SparkSession, clean_stream: DataFrame, store_root: str, checkpoint: str,
-              config_changes_fn, available_now: bool = False, compact_every: int = 100):
+              config_fn, config_changes_fn, available_now: bool = False):
     w = clean_stream.writeStream.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="6 seconds")
-    return w.foreachBatch(dim_batch_writer(spark, store_root, config_changes_fn,
-                                           compact_every)).start()
+    return w.foreachBatch(dim_batch_writer(spark, store_root, config_fn, config_changes_fn)).start()
 
 
 def dwd_query(order_log_stream: DataFrame, checkpoint: str, query_name: str,
-              window_ms: int = 5000, time_mode: str = "EventTime"):
+              window_ms: int = 5000, time_mode: str = "EventTime",
+              watermark: str | None = None):
     """Per-order state over a clean order change-log stream; the raw
     processor output goes to a memory table (tests) — facts are typed with
     :func:`order_state.facts_from_output`."""
     out = order_state.apply_state(order_state.stream_input(order_log_stream), window_ms,
-                                  time_mode=time_mode)
+                                  watermark, time_mode)
     return (out.writeStream.format("memory").queryName(query_name)
             .option("checkpointLocation", checkpoint).outputMode("append").start())
 
@@ -111,29 +131,69 @@ def dwd_query(order_log_stream: DataFrame, checkpoint: str, query_name: str,
 def dwd_facts_writer(root: str):
     """``foreachBatch`` body splitting the processor output into one table
     per fact (and the quarantine).  The batch is persisted once and read by
-    every output; each output is written under ``batch=<id>`` with
+    every output that has rows in it (none for an empty one); each is written under ``batch=<id>`` with
     overwrite, so a replayed batch replaces its own files."""
     from parcelstream.operators import orders as _orders
 
     facts = [order_state.PLACE] + list(_orders.FACT_TIME)
+    rejected = [order_state.NO_DETAIL, order_state.NO_BEFORE, order_state.EXPIRED]
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            found = {r["route"] for r in batch.select("route").distinct().collect()}  # ten at most
+            path = f"{root.rstrip('/')}/{{}}/batch={batch_id}"
             for fact in facts:
-                order_state.facts_from_output(batch, fact).write.mode("overwrite").parquet(
-                    f"{root.rstrip('/')}/{fact}/batch={batch_id}")
-            batch.filter(F.col("route").isin(order_state.NO_DETAIL, order_state.NO_BEFORE,
-                                             order_state.EXPIRED)) \
-                .write.mode("overwrite").parquet(f"{root.rstrip('/')}/quarantine/batch={batch_id}")
+                if fact in found:
+                    order_state.facts_from_output(batch, fact).write.mode("overwrite").parquet(
+                        path.format(fact))
+            if found & set(rejected):
+                batch.filter(F.col("route").isin(rejected)).write.mode("overwrite").parquet(
+                    path.format("quarantine"))
         finally:
             batch.unpersist()
     return run
 
 
 def dwd_facts_query(order_log_stream: DataFrame, root: str, checkpoint: str,
-                    window_ms: int = 5000, available_now: bool = True):
-    out = order_state.apply_state(order_state.stream_input(order_log_stream), window_ms)
+                    window_ms: int = 5000, available_now: bool = True,
+                    watermark: str | None = None):
+    out = order_state.apply_state(order_state.stream_input(order_log_stream), window_ms, watermark)
     w = out.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="6 seconds")
     return w.foreachBatch(dwd_facts_writer(root)).start()
+
+
+def transit_writer(root: str):
+    """``foreachBatch`` body: bound and transport facts of a batch of clean
+    records, one table per fact, under ``batch=<id>`` with overwrite."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        for fact, rows in transit.facts_of(batch).items():
+            rows = rows.persist()
+            try:
+                if not rows.isEmpty():
+                    rows.write.mode("overwrite").parquet(
+                        f"{root.rstrip('/')}/{fact}/batch={batch_id}")
+            finally:
+                rows.unpersist()
+    return run
+
+
+def transit_query(clean_stream: DataFrame, root: str, checkpoint: str,
+                  available_now: bool = False, trigger_seconds: int = 6):
+    rows = ods.table_group(clean_stream, "dwd").filter(
+        F.col("table").isin("order_org_bound", "transport_task"))
+    w = rows.writeStream.option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else \
+        w.trigger(processingTime=f"{trigger_seconds} seconds")
+    return w.foreachBatch(transit_writer(root)).start()
+
+
+def rejects_query(clean_stream: DataFrame, path: str, checkpoint: str,
+                  available_now: bool = False, trigger_seconds: int = 6):
+    """Order and cargo records that have no key for the per-order state."""
+    w = order_state.order_log_rejects(clean_stream).writeStream.option(
+        "checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else \
+        w.trigger(processingTime=f"{trigger_seconds} seconds")
+    return w.format("parquet").option("path", path).start()

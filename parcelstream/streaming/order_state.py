@@ -13,7 +13,8 @@ State per order key:
   replaced by a newer waiting order) is emitted as ``expired_without_cargo``;
 * ``detail`` — the latest cargo row; cleared after a sign or cancel.
 
-Rules (per change, in ``(ts_ms, seq)`` order):
+Rules (per change, in ``(ts_ms, part, seq)`` order; ``part`` and ``seq`` are the
+record's position, compared as they are, whatever their size):
 
 * order ``c``: with a detail -> place-order fact (detail, order);
   without -> store the order;
@@ -36,9 +37,10 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from parcelstream import schemas
 from parcelstream.operators import orders
 
-OUTPUT_DDL = ("route string, seq long, ts_ms long, order_key string, order_json string, "
+OUTPUT_DDL = ("route string, part int, seq long, ts_ms long, order_key string, order_json string, "
               "cargo_json string")
-INFO_DDL = "order_json string, at long, seq long, joined boolean"
+INFO_DDL = "order_json string, at long, part int, seq long, joined boolean"
+COLUMNS = [c.split()[0] for c in OUTPUT_DDL.split(", ")]
 DETAIL_DDL = "cargo_json string"
 
 ROUTES = {lab: fact for lab, (fact, _) in schemas.TRANSITION_FACTS.items()}
@@ -73,18 +75,18 @@ class OrderCargoProcessor(StatefulProcessor):
         self.detail = handle.getValueState("detail", DETAIL_DDL)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts_ms", "seq"])
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts_ms", "part", "seq"])
         info = self.info.get() if self.info.exists() else None
-        info_json, info_at, info_seq, joined = (
-            (info[0], int(info[1]), int(info[2]), bool(info[3])) if info is not None
-            else (None, None, None, False))
+        info_json, info_at, info_part, info_seq, joined = (
+            (info[0], int(info[1]), int(info[2]), int(info[3]), bool(info[4]))
+            if info is not None else (None, None, None, None, False))
         detail = self.detail.get()[0] if self.detail.exists() else None
         okey = str(key[0])
         now = timerValues.getCurrentProcessingTimeInMs() if self.processing_time else None
         out = []
 
         def emit(route, r, order_json, cargo_json):
-            out.append((route, int(r.seq), int(r.ts_ms), okey, order_json, cargo_json))
+            out.append((route, int(r.part), int(r.seq), int(r.ts_ms), okey, order_json, cargo_json))
 
         for r in pdf.itertuples(index=False):
             if r.table == "order_info" and r.op == "c":
@@ -92,10 +94,10 @@ class OrderCargoProcessor(StatefulProcessor):
                     emit(PLACE, r, r.order_json, detail)
                 else:
                     if info_json is not None and not joined:
-                        out.append((EXPIRED, info_seq, info_at, okey, info_json, None))
-                    info_json, info_at, info_seq, joined = (
+                        out.append((EXPIRED, info_part, info_seq, info_at, okey, info_json, None))
+                    info_json, info_at, info_part, info_seq, joined = (
                         r.order_json, now if self.processing_time else int(r.ts_ms),
-                        int(r.seq), False)
+                        int(r.part), int(r.seq), False)
                     self.handle.registerTimer(info_at + self.window_ms)
             elif r.table == "order_info" and r.op == "u":
                 if r.before_status is None or pd.isna(r.before_status):
@@ -118,24 +120,22 @@ class OrderCargoProcessor(StatefulProcessor):
                     joined = True
 
         if info_json is not None:
-            self.info.update((info_json, info_at, info_seq, joined))
+            self.info.update((info_json, info_at, info_part, info_seq, joined))
         if detail is not None:
             self.detail.update((detail,))
         elif self.detail.exists():
             self.detail.clear()
-        yield pd.DataFrame(out, columns=["route", "seq", "ts_ms", "order_key", "order_json",
-                                         "cargo_json"])
+        yield pd.DataFrame(out, columns=COLUMNS)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         out = []
         if self.info.exists():
-            order_json, at, seq, joined = self.info.get()
+            order_json, at, part, seq, joined = self.info.get()
             if int(at) + self.window_ms <= expiredTimerInfo.getExpiryTimeInMs():
                 self.info.clear()
                 if not joined:
-                    out.append((EXPIRED, int(seq), int(at), str(key[0]), order_json, None))
-        yield pd.DataFrame(out, columns=["route", "seq", "ts_ms", "order_key", "order_json",
-                                         "cargo_json"])
+                    out.append((EXPIRED, int(part), int(seq), int(at), str(key[0]), order_json, None))
+        yield pd.DataFrame(out, columns=COLUMNS)
 
     def close(self) -> None:
         pass
@@ -144,28 +144,44 @@ class OrderCargoProcessor(StatefulProcessor):
 def stream_input(log: DataFrame) -> DataFrame:
     """Shape a clean order change log (batch or stream) for the processor:
     row images travel as JSON text (typed decimals survive the round trip)."""
+    part = F.col("part") if "part" in log.columns else F.lit(0)
     return log.select(
-        F.col("order_key").cast("string").alias("order_key"), "seq", "ts_ms", "op", "table",
+        F.col("order_key").cast("string").alias("order_key"), part.cast("int").alias("part"),
+        "seq", "ts_ms", "op", "table",
         "status", "before_status",
         F.to_json("order_after").alias("order_json"),
         F.to_json("cargo_after").alias("cargo_json"),
         F.timestamp_millis("ts_ms").alias("event_time"))
 
 
-def apply_state(inp: DataFrame, window_ms: int = 5000, watermark: str = "0 seconds",
+def state_relevant() -> F.Column:
+    """Rows the processor acts on.  An update with a previous status that routes
+    to no fact emits nothing and touches no state, so it never reaches Python."""
+    route = orders.route_column(F.col("op"), F.col("table"), F.col("before_status"),
+                                F.col("status"))
+    inert = ((F.col("table") == "order_info") & (F.col("op") == "u")
+             & F.col("before_status").isNotNull() & route.isNull())
+    return ~F.coalesce(inert, F.lit(False))
+
+
+def apply_state(inp: DataFrame, window_ms: int = 5000, watermark: str | None = None,
                 time_mode: str = "EventTime") -> DataFrame:
     """Run the processor keyed by order.
 
     ``EventTime``: the window is measured in event time and timers fire when
-    the watermark passes ``stored time + window`` (deterministic; rows older
-    than the watermark delay are dropped by Spark, so size the delay to the
-    stream's disorder).  ``ProcessingTime``: the window is measured in arrival
+    the watermark passes ``stored time + window`` (deterministic).  Spark drops
+    rows older than the watermark delay before the processor sees them and
+    counts them in the query's progress (``numRowsDroppedByWatermark``), so the
+    delay has no default: it must cover the stream's disorder.
+    ``ProcessingTime``: the window is measured in arrival
     time like the reference's state TTL; no row is ever dropped as late."""
     if time_mode == "ProcessingTime":
-        return inp.groupBy("order_key").transformWithStateInPandas(
+        return inp.filter(state_relevant()).groupBy("order_key").transformWithStateInPandas(
             OrderCargoProcessor(window_ms, processing_time=True), OUTPUT_DDL, "append",
             "ProcessingTime")
-    return (inp.withWatermark("event_time", watermark)
+    if watermark is None:
+        raise ValueError("event time needs a watermark delay that covers the stream's disorder")
+    return (inp.withWatermark("event_time", watermark).filter(state_relevant())
             .groupBy("order_key")
             .transformWithStateInPandas(OrderCargoProcessor(window_ms), OUTPUT_DDL, "append",
                                         "EventTime"))
@@ -181,23 +197,36 @@ def facts_from_output(out: DataFrame, fact: str) -> DataFrame:
         *orders.fact_columns(c, o, time_name, time_from))
 
 
+NO_ORDER_ID = "no_order_id"
+
+
+def _order_key() -> F.Column:
+    from parcelstream.operators import ods
+    return F.when(F.col("table") == "order_info", ods.vget(F.col("after"), "id")) \
+        .otherwise(ods.vget(F.col("after"), "order_id"))
+
+
+def order_log_rejects(ods_rows: DataFrame) -> DataFrame:
+    """Order and cargo records without a key for the per-order state, for the
+    quarantine: ``part, offset, reason, table, value`` (the row image)."""
+    from parcelstream.operators import ods
+    return ods.dwd_filter(ods_rows).filter(_order_key().isNull()).select(
+        "part", "offset", F.lit(NO_ORDER_ID).alias("reason"), "table",
+        F.to_json("after").alias("value"))
+
+
 def order_log_from_ods(ods_rows: DataFrame) -> DataFrame:
     """Order/cargo change log from parsed ODS records (batch or stream):
     the order key is ``after.id`` for an order and ``after.order_id`` for a
-    cargo row; ``seq`` is the record position."""
+    cargo row; ``(part, seq)`` is the record position.  Rows without that key
+    are in :func:`order_log_rejects`."""
     from parcelstream.operators import ods
-    d = ods.dwd_filter(ods_rows)
+    d = ods.dwd_filter(ods_rows).filter(_order_key().isNotNull())
     is_order = F.col("table") == "order_info"
-    # a cargo row without ``order_id`` has no key for the per-order state
-    d = d.filter(F.when(is_order, ods.vget(F.col("after"), "id"))
-                 .otherwise(ods.vget(F.col("after"), "order_id")).isNotNull())
     order = ods.decode(F.col("after"), schemas.ORDER_INFO)
     cargo = ods.decode(F.col("after"), schemas.ORDER_CARGO)
-    key = F.when(is_order, ods.vget(F.col("after"), "id")) \
-        .otherwise(ods.vget(F.col("after"), "order_id"))
     return d.select(
-        key.alias("order_key"), (F.col("part").cast("long") * F.lit(1 << 48) + F.col("offset"))
-        .alias("seq"), F.col("ts").alias("ts_ms"), "op", "table",
+        _order_key().alias("order_key"), "part", F.col("offset").alias("seq"), F.col("ts").alias("ts_ms"), "op", "table",
         F.when(is_order, order.getField("status")).alias("status"),
         F.when(is_order, ods.vget(F.col("before"), "status")).alias("before_status"),
         F.when(is_order, order).alias("order_after"),

@@ -4,9 +4,20 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from parcelstream.operators.keyed_scan import asof_last, asof_last_window
+from parcelstream.operators.keyed_scan import asof_last
+
+
+def asof_last_window(df, key, order, values, inclusive=False):
+    """The plain form of ``asof_last``: one window per key."""
+    frame = (Window.partitionBy(key).orderBy(*order)
+             .rowsBetween(Window.unboundedPreceding,
+                          Window.currentRow if inclusive else -1))
+    tmp = df.withColumns({f"__v_{n}": c for n, c in values.items()})
+    tmp = tmp.withColumns({n: F.last(f"__v_{n}", ignorenulls=True).over(frame) for n in values})
+    return tmp.drop(*[f"__v_{n}" for n in values])
 
 
 def _rows(n, hot_share, seed):

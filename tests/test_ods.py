@@ -61,11 +61,43 @@ def test_startup_modes(spark):
         startup(df, "earliest")
 
 
-def test_dwd_key_guard_drops_cargo_without_order_id(spark):
-    from parcelstream.streaming.order_state import order_log_from_ods
+def test_dwd_rows_without_order_id_are_quarantined(spark):
+    from parcelstream.streaming.order_state import order_log_from_ods, order_log_rejects
+    big = (1 << 48) + 5
     recs = spark.createDataFrame([
-        ("1", '{"op":"c","ts":5,"after":{"id":"c1","order_id":"9"},"source":{"table":"order_cargo"}}', 0, 1),
+        ("1", '{"op":"c","ts":5,"after":{"id":"c1","order_id":"9"},"source":{"table":"order_cargo"}}', 70000, -big),
         ("2", '{"op":"c","ts":6,"after":{"id":"c2"},"source":{"table":"order_cargo"}}', 0, 2),
+        ("3", '{"op":"c","ts":6,"after":{"id":"o"},"source":{"table":"order_info"}}', 1, 2**63 - 1),
     ], "key string, value string, part int, offset long")
-    got = order_log_from_ods(ods.parse_ods_records(recs)).collect()
-    assert [(r["order_key"], r["seq"]) for r in got] == [("9", 1)]
+    rows = ods.parse_ods_records(recs)
+    got = sorted((r["order_key"], r["part"], r["seq"]) for r in order_log_from_ods(rows).collect())
+    assert got == [("9", 70000, -big), ("o", 1, 2**63 - 1)]
+    out = [(r["part"], r["offset"], r["reason"], r["table"]) for r in order_log_rejects(rows).collect()]
+    assert out == [(0, 2, "no_order_id", "order_cargo")]
+    assert len(got) + len(out) == rows.count()
+
+
+def test_transit_facts_from_captured_json(spark):
+    """Bound and transport changes through JSON, cleaning and typed decode are
+    the facts of the typed images."""
+    from conftest import SF_SMALL
+    from parcelstream.operators import transit
+    from parcelstream.sources import changelog
+    from parcelstream.sources import transit as source
+    clean = ods.clean(changelog.transit_records(spark, SF_SMALL))
+    facts = transit.facts_of(clean)
+    bound, task = source.bound_changelog(spark, SF_SMALL), source.task_changelog(spark, SF_SMALL)
+    want = {"dwd_bound_inbound": transit.bound_inbound(bound), "dwd_bound_sort": transit.bound_sort(bound),
+            "dwd_bound_outbound": transit.bound_outbound(bound), "dwd_trans_finish": transit.trans_finish(task)}
+    for name, rows in want.items():
+        assert rows.count() > 0
+        assert facts[name].exceptAll(rows).count() == 0 and rows.exceptAll(facts[name]).count() == 0
+
+
+def test_group_pruning_reads_own_tables_only(spark, scratch):
+    clean = ods.clean(_raw(spark))
+    ods.sink_record(clean, with_position=True, with_table=True).write.partitionBy("table").parquet(scratch + "/o")
+    rows = ods.parse_ods_records(spark.read.parquet(scratch + "/o"), "dwd")
+    assert {r["table"] for r in rows.select("table").collect()} == {"order_info"}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [table" in plan

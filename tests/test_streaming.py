@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from parcelstream.operators import config_dim, dim_store, ods, orders
 from parcelstream.sources import changelog, domain
+from parcelstream.sources import config as config_src
 from parcelstream.streaming import jobs, order_state
 
 from conftest import SF_SMALL
@@ -26,7 +27,7 @@ def test_order_state_stream_equals_batch(spark, scratch):
     _slices(log, "ts_ms", 3, f"{scratch}/src")
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1) \
         .parquet(f"{scratch}/src/slice*")
-    q = jobs.dwd_query(stream, f"{scratch}/ckpt", "dwd_parity", DAY)
+    q = jobs.dwd_query(stream, f"{scratch}/ckpt", "dwd_parity", DAY, watermark="0 seconds")
     q.processAllAvailable()
     q.stop()
     out = spark.table("dwd_parity")
@@ -55,9 +56,16 @@ def test_ods_stream_equals_batch_and_replay_writes_nothing_twice(spark, scratch)
         q = jobs.ods_query(spark, s, f"{scratch}/out", f"{scratch}/ckpt", available_now=True)
         q.awaitTermination(300)
     got = spark.read.parquet(f"{scratch}/out")
-    want = ods.sink_record(ods.clean(raw), with_position=True)
+    want = ods.sink_record(ods.clean(raw), with_position=True, with_table=True)
     assert got.count() == want.count()
-    assert got.exceptAll(want).count() == 0
+    assert got.select(want.columns).exceptAll(want).count() == 0
+    # what isn't forwarded is in the quarantine, by the same reasons
+    q = jobs.ods_quarantine_query(spark, s, f"{scratch}/bad", f"{scratch}/ckpt_bad",
+                                  available_now=True)
+    q.awaitTermination(300)
+    bad, known = spark.read.parquet(f"{scratch}/bad"), ods.quarantine(raw)
+    assert bad.exceptAll(known).count() == 0 and known.exceptAll(bad).count() == 0
+    assert got.count() + bad.count() == raw.count()
 
 
 def test_dim_foreach_batch_store_equals_batch_merge(spark, scratch):
@@ -66,14 +74,12 @@ def test_dim_foreach_batch_store_equals_batch_merge(spark, scratch):
     stream = ods.clean(spark.readStream.schema(jobs.RAW_DDL).option("maxFilesPerTrigger", 1)
                        .parquet(f"{scratch}/raw"))
     q = jobs.dim_query(spark, stream, f"{scratch}/store", f"{scratch}/ckpt",
-                       lambda: config_dim.config_changelog(spark), available_now=True,
-                       compact_every=4)
+                       lambda: config_src.config_table(spark),
+                       lambda: config_src.config_changelog(spark), available_now=True)
     q.awaitTermination(600)
-    # one more compaction over everything, then state = base only
-    dim_store.compact(spark, f"{scratch}/store", "dim_user_info", 10**9)
     versions = config_dim.config_versions(
-        spark, config_dim.preload(config_dim.config_table(spark)),
-        config_dim.config_changelog(spark))
+        spark, config_dim.preload(config_src.config_table(spark)),
+        config_src.config_changelog(spark))
     want = dim_store.merge(dim_store.cells(config_dim.routed_rows(
         ods.table_group(ods.clean(raw), "realtime_dim"), versions)))
     for t in ("dim_user_info", "dim_base_organ", "dim_truck_info"):
@@ -90,7 +96,8 @@ def test_fact_split_writer_and_daily_stream_aggregate(spark, scratch):
     _slices(log, "ts_ms", 2, f"{scratch}/src")
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1) \
         .parquet(f"{scratch}/src/slice*")
-    q = jobs.dwd_facts_query(stream, f"{scratch}/facts", f"{scratch}/ckpt", DAY)
+    q = jobs.dwd_facts_query(stream, f"{scratch}/facts", f"{scratch}/ckpt", DAY,
+                             watermark="0 seconds")
     q.awaitTermination(600)
     sm = orders.order_state_machine(log, DAY)
     fact = "dwd_trans_dispatch_detail"
@@ -139,7 +146,7 @@ def test_end_to_end_ods_then_dwd_stream(spark, scratch):
     ods_stream = spark.readStream.schema(spark.read.parquet(f"{scratch}/ods").schema) \
         .parquet(f"{scratch}/ods")
     order_log = order_state.order_log_from_ods(ods.parse_ods_records(ods_stream))
-    out = order_state.apply_state(order_state.stream_input(order_log), DAY)
+    out = order_state.apply_state(order_state.stream_input(order_log), DAY, "0 seconds")
     sq = (out.writeStream.format("memory").queryName("e2e_out").outputMode("append")
           .option("checkpointLocation", f"{scratch}/ckpt_dwd").start())
     sq.processAllAvailable()
@@ -154,13 +161,19 @@ def test_end_to_end_ods_then_dwd_stream(spark, scratch):
     assert b.exceptAll(s_).count() == 0 and s_.exceptAll(b).count() == 0
 
 
+def _config_args(spark, scratch):
+    config_src.config_table(spark).write.parquet(f"{scratch}/config")
+    config_src.config_records(spark).write.parquet(f"{scratch}/config_changes")
+    return ["--config", f"{scratch}/config", "--config-changes", f"{scratch}/config_changes"]
+
+
 def test_apps_ods_then_dim(spark, scratch):
     from parcelstream import apps
     changelog.dim_records(spark, SF_SMALL).write.parquet(f"{scratch}/raw")
     apps.main(["ods", "--source", f"{scratch}/raw", "--sink", f"{scratch}/ods",
                "--checkpoint", f"{scratch}/ck1", "--available-now"])
     apps.main(["dim", "--source", f"{scratch}/ods", "--sink", f"{scratch}/store",
-               "--checkpoint", f"{scratch}/ck2", "--available-now"])
+               "--checkpoint", f"{scratch}/ck2", "--available-now", *_config_args(spark, scratch)])
     got = dim_store.read_current(spark, f"{scratch}/store", "dim_truck_model")
     assert got.count() == spark.read.parquet(f"{SF_SMALL}/part.parquet") \
         .select("p_brand").distinct().count()
@@ -172,11 +185,14 @@ def test_apps_full_pipeline_to_daily_aggregates(spark, scratch):
     from parcelstream import apps
     from parcelstream.operators import dws
     from parcelstream.sources import dims
-    changelog.captured_log(spark, SF_SMALL).write.parquet(f"{scratch}/raw")
+    changelog.captured_log(spark, SF_SMALL).unionByName(
+        changelog.transit_records(spark, SF_SMALL)).write.parquet(f"{scratch}/raw")
     apps.main(["ods", "--source", f"{scratch}/raw", "--sink", f"{scratch}/ods",
                "--checkpoint", f"{scratch}/c1", "--available-now"])
     apps.main(["dim", "--source", f"{scratch}/ods", "--sink", f"{scratch}/store",
-               "--checkpoint", f"{scratch}/c2", "--available-now"])
+               "--checkpoint", f"{scratch}/c2", "--available-now", *_config_args(spark, scratch)])
+    apps.main(["transit", "--source", f"{scratch}/ods", "--sink", f"{scratch}/facts",
+               "--checkpoint", f"{scratch}/c4", "--available-now"])
     apps.main(["dwd", "--source", f"{scratch}/ods", "--sink", f"{scratch}/facts",
                "--checkpoint", f"{scratch}/c3", "--available-now", "--window-ms", str(DAY),
                "--watermark", "0 seconds", "--event-time"])
@@ -187,7 +203,57 @@ def test_apps_full_pipeline_to_daily_aggregates(spark, scratch):
     want = dws.cargo_type_order_day(place, dims.base_dic(spark, SF_SMALL))
     assert got.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    assert spark.read.parquet(f"{scratch}/dws/dws_trans_org_receive_day").count() >= 0
+    from parcelstream.sources import transit as transit_src
+    from parcelstream.operators import transit
+    want = dws.org_sort_day(transit.bound_sort(transit_src.bound_changelog(spark, SF_SMALL)),
+                            dims.base_organ(spark, SF_SMALL), dims.base_region_info(spark, SF_SMALL))
+    got = spark.read.parquet(f"{scratch}/dws/dws_bound_org_sort_day")
+    assert got.count() > 0 and got.exceptAll(want).count() == 0
+    assert spark.read.parquet(f"{scratch}/dws/dws_trans_org_truck_model_finish_day").count() > 0
+
+
+def test_apps_dws_on_an_empty_store_writes_nothing(spark, scratch):
+    from parcelstream import apps
+    assert apps.run_dws(spark, f"{scratch}/facts", f"{scratch}/store", f"{scratch}/out") == []
+
+
+def test_apps_reject_settings_that_lose_rows_or_never_end():
+    import pytest
+    from parcelstream import apps
+    base = ["dwd", "--source", "x", "--sink", "y", "--checkpoint", "z"]
+    for bad in (["--event-time"], ["--available-now"]):
+        with pytest.raises(SystemExit):
+            apps.main(base + bad)
+    with pytest.raises(SystemExit):
+        apps.main(["dim", "--source", "x", "--sink", "y", "--checkpoint", "z"])
+
+
+def test_topic_records_are_a_legal_stream(spark, scratch):
+    """The plan of the topic branch, run on a file stream into memory."""
+    changelog.dim_records(spark, SF_SMALL).write.parquet(f"{scratch}/raw")
+    s = jobs.StreamSettings(source_path=f"{scratch}/raw", start_mode="initial")
+    assert (s.clean_topic, s.starting_offsets) == ("ods_changes_clean", "earliest")
+    records = jobs.ods_records(ods.clean(jobs.read_raw(spark, s)), for_topic=True)
+    q = (records.writeStream.format("memory").queryName("topic_records")
+         .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination(200)
+    assert spark.table("topic_records").count() == ods.clean(spark.read.parquet(f"{scratch}/raw")).count()
+
+
+def test_idle_batches_write_no_folders(spark, scratch):
+    import os
+    empty = spark.createDataFrame([], order_state.OUTPUT_DDL)
+    write = jobs.dwd_facts_writer(f"{scratch}/facts")
+    for i in range(3):
+        write(empty, i)
+    assert not os.path.exists(f"{scratch}/facts")
+
+
+def test_event_time_needs_a_watermark(spark):
+    import pytest
+    log = spark.createDataFrame([], LOG_SCHEMA)
+    with pytest.raises(ValueError):
+        order_state.apply_state(order_state.stream_input(log))
 
 
 def test_stream_org_receive_day_equals_batch(spark, scratch):
@@ -259,7 +325,7 @@ def test_property_stream_equals_batch_on_random_histories(spark, tmp_path_factor
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1) \
         .parquet(f"{scratch}/src/slice*")
     name = f"prop_{abs(hash(scratch)) % 10**8}"
-    q = jobs.dwd_query(stream, f"{scratch}/ckpt", name, 5000)
+    q = jobs.dwd_query(stream, f"{scratch}/ckpt", name, 5000, watermark="0 seconds")
     q.processAllAvailable()
     q.stop()
     out = spark.table(name)
