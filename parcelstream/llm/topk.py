@@ -31,7 +31,8 @@ SEGMENTS = (1, 4, 16)
 CANDIDATES = 8192      # of a block
 QUERIES = 1024         # of a block
 CHUNK = 2048           # candidates that are bounded at a time
-SLICE = 1 << 17        # pairs that are multiplied at a time
+SLICE = 1 << 15        # pairs that are multiplied at a time
+DENSE = 32             # one matrix product pays from one survivor in so many pairs
 
 
 def quantised(rows: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -63,15 +64,22 @@ def statistics(x: np.ndarray, segments: int) -> np.ndarray:
     return np.concatenate([mean, dev], axis=1)
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact row-by-row inner products: floating point where every sum is below
-    2^53, whole numbers of any size otherwise; sums beyond 63 bits stop there."""
-    top = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
-    if top < 2.0 ** 53:
-        return np.einsum("ij,ij->i", a.astype(np.float64), b.astype(np.float64)).astype(np.int64)
-    most = (1 << 63) - 1
-    return np.array([max(-most, min(most, sum(int(x) * int(y) for x, y in zip(p, q))))
-                     for p, q in zip(a, b)], np.int64)
+def products(q: np.ndarray, c: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Exact inner products of the survivors ``(rows, cols)``: floating point
+    where every sum is below 2^53 (pair by pair, or as one matrix product where
+    many pairs survive), whole numbers of any size otherwise; sums beyond 63 bits
+    stop there."""
+    top = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1])
+    if top >= 2.0 ** 53:
+        most = (1 << 63) - 1
+        return np.array([max(-most, min(most, sum(int(x) * int(y) for x, y in zip(q[i], c[j]))))
+                         for i, j in zip(rows, cols)], np.int64)
+    qf, cf = q.astype(np.float64), c.astype(np.float64)
+    if DENSE * len(rows) > len(q) * len(c):
+        return (qf @ cf.T)[rows, cols].astype(np.int64)
+    parts = [np.einsum("ij,ij->i", qf[rows[a:a + SLICE]], cf[cols[a:a + SLICE]])
+             for a in range(0, len(rows), SLICE)]
+    return np.concatenate([np.empty(0), *parts]).astype(np.int64)
 
 
 def block_top(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k: int):
@@ -89,13 +97,14 @@ def block_top(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray
                             * np.linalg.norm(own, axis=1)[None, :])
             alive &= stat @ own.T + slack >= floor[:, None]
         rows, cols = np.nonzero(alive)
-        scores = np.concatenate([none, *[
-            products(q[rows[a:a + SLICE]], part[cols[a:a + SLICE]])
-            for a in range(0, len(rows), SLICE)]])
+        scores = products(q, part, rows, cols)
         cut = np.searchsorted(rows, np.arange(len(q) + 1))
         for i in np.flatnonzero(cut[1:] > cut[:-1]):
             s = np.concatenate([best[i][0], scores[cut[i]:cut[i + 1]]])
             d = np.concatenate([best[i][1], ids[cols[cut[i]:cut[i + 1]]]])
+            if len(s) > 4 * k:  # ties with the k-th best stay in
+                near = s >= np.partition(s, len(s) - k)[len(s) - k]
+                s, d = s[near], d[near]
             order = np.lexsort((d, -s))[:k]
             best[i] = (s[order], d[order])
             if len(order) == k:
