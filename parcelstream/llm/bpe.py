@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame
 
 from parcelstream.llm import common
 
-STATES = 100_000       # states a worker keeps before starting afresh
-WORDS = 400_000        # short words whose tokens a worker remembers
+STATES = 60_000        # states a worker keeps before starting afresh
+WORDS = 250_000        # short words whose tokens a worker remembers
 WORD_CHARS = 40        # longer words are encoded anew each time
 
 

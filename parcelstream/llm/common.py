@@ -13,11 +13,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-# An Arrow batch holds at most this many bytes of text, so a worker's memory
+# An Arrow batch holds at most so many bytes and rows, so that a worker's memory
 # does not depend on how long the documents of a batch happen to be.
-ARROW_BYTES = str(16 << 20)
+ARROW_BOUNDS = {"spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+                "spark.sql.execution.arrow.maxRecordsPerBatch": "3000"}
 # Distinct words whose hash a worker keeps; further words are hashed again.
-WORD_CACHE = 400_000
+WORD_CACHE = 250_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    for key in ("spark.sql.execution.arrow.maxBytesPerBatch",):
+    for key, value in ARROW_BOUNDS.items():
         try:
-            spark.conf.set(key, ARROW_BYTES)
-        except Exception:  # noqa: BLE001 - a session without this setting keeps its row bound
+            spark.conf.set(key, value)
+        except Exception:  # noqa: BLE001 - a session without a setting keeps its own bound
             pass
 
 
@@ -49,11 +50,15 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
 
 
 def kept(key: tuple, make: Callable):
-    """What ``make()`` returned in this Python worker's first task; a worker
-    keeps it for its later ones.  Only for caches, which change no result."""
+    """What ``make()`` returned in this Python worker's first task with this
+    key.  A worker keeps one such value, so what an earlier stage remembered
+    goes when the next one starts.  Only for caches, which change no result."""
     held = sys.modules.setdefault("llm_worker_caches", types.ModuleType("llm_worker_caches"))
-    return held.__dict__.setdefault(repr(key), None) or held.__dict__.update(
-        {repr(key): make()}) or held.__dict__[repr(key)]
+    if getattr(held, "key", None) != key:
+        held.key = held.value = None
+        pa.default_memory_pool().release_unused()
+        held.key, held.value = key, make()
+    return held.value
 
 
 class WordHashes(dict):
