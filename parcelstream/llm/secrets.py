@@ -1,13 +1,21 @@
 """Secret scans: fixed rules, and novelty under dictionary-primed zstandard.
 
 The rules find assignments to secret-like names, access keys and long hex runs.
-The method proposes every other long token that mixes character kinds within
-``REACH`` characters after a sensitive word.  It compresses the token with a
-dictionary made of common identifiers and the token's own surroundings, and
-takes off what an empty text costs: what is left are the marginal bytes that
-neither the surroundings nor the identifiers explain.  A token that keeps at
-least ``NOVELTY`` of its length is reported; words, paths, identifiers and
-repeated strings compress and are not.
+The method proposes every other long token within ``REACH`` characters after a
+sensitive word that has letters and a second kind of character (upper case,
+lower case, digits, symbols).  It measures the token twice, each time against
+what a random token of the same alphabet and length costs:
+
+* the marginal bytes under a dictionary made of common identifiers and the
+  token's own surroundings, beyond what an empty text costs;
+* the bits under a model of neighbouring characters in identifiers, as short
+  texts give zstandard nothing to count.
+
+A token that keeps at least ``NOVELTY`` of the first and ``LETTERS`` of the
+second is reported; words, paths, identifiers and repeated strings don't.
+Tokens over ``PIECE`` characters are measured in pieces, and adjacent novel
+pieces are one span.  A hit at the end of a line extends over directly following
+lines that are nothing but a novel token, and over a shorter last one.
 
 Positions count code points, ends are exclusive.  Defined cases: null text is
 empty; texts are read whole; repeated rows give equal results; only the id and
@@ -16,9 +24,13 @@ the text are read, so other columns play no part.
 
 from __future__ import annotations
 
+import functools
+import random
 import re
+import string
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -42,8 +54,12 @@ STEMS = ("bearer", "auth", "credential", "private", "secret", "pass", "access",
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 REACH = 48             # characters after a sensitive word
 AROUND = 256           # characters of surroundings on either side
-NOVELTY = 0.8          # marginal bytes against the token's length
-LONGEST = 4096         # what a single token may weigh; longer runs are data, not keys
+NOVELTY = 0.8          # marginal bytes against those of a random token
+LETTERS = 0.75         # bits of neighbouring characters against those of a random token
+PIECE = 4096           # characters measured at a time
+# What follows a hit on the next line: a token alone, indented or not.
+NEXT_LINE = re.compile(r"\r?\n[\x20\t]*+([A-Za-z0-9+/_=-]++)(?=[\x20\t\r]*+(?:\n|\Z))")
+WRAPPED = 32           # width from which on a line may be followed by a shorter last one
 
 # Fixed list of identifiers that code is full of.
 IDENTIFIERS = """
@@ -66,25 +82,102 @@ while width window writer
 """.strip().encode()
 
 
+# Alphabets of keys, smallest first; a token counts as drawn from the first that has all of it.
+ALPHABETS = [string.digits + "abcdef", string.digits + "ABCDEF", string.digits + string.ascii_lowercase,
+             string.digits + string.ascii_uppercase, string.ascii_letters,
+             string.digits + string.ascii_letters, string.digits + string.ascii_letters + "+/_=-"]
+
+
+def _alphabet(token: str) -> str:
+    own = set(token)
+    return next(a for a in ALPHABETS if own <= set(a))
+
+
+def _neighbours() -> np.ndarray:
+    """Bits of each character after each other one, in identifiers of usual styles."""
+    words = IDENTIFIERS.decode().replace("_", " ").split()
+    pairs = list(zip(words, words[1:] + words[:1]))
+    texts = [f"{a}{sep}{b}" for a, b in pairs for sep in "_-/"]
+    texts += [a + b.title() for a, b in pairs] + [a.title() + b.title() for a, b in pairs]
+    texts += [f"{a}_{b}".upper() for a, b in pairs] + [f"{a}{i % 10}" for i, (a, _) in enumerate(pairs)]
+    counts = np.zeros((128, 128))
+    chars = [ord(c) for c in ALPHABETS[-1]]
+    counts[np.ix_(chars, chars)] = 0.5
+    for t in texts:
+        raw = np.frombuffer(t.encode(), np.uint8)
+        np.add.at(counts, (raw[:-1], raw[1:]), 1)
+    total = counts.sum(1, keepdims=True)
+    return -np.log2(np.maximum(counts, 1e-9) / np.maximum(total, 1e-9))
+
+
 class Novelty:
-    """Marginal compressed bytes of a token under a primed dictionary."""
+    """What a token costs under a primed dictionary and after its neighbours,
+    as shares of what random tokens of its alphabet and length cost."""
 
     def __init__(self) -> None:
         self.plain = len(zstandard.ZstdCompressor(level=3).compress(b""))
+        self.bits = _neighbours()
+        self.random = functools.lru_cache(4096)(self._random)
 
-    def share(self, text: str, start: int, end: int) -> float:
-        token = text[start:end].encode()
-        around = text[max(0, start - AROUND):start] + " " + text[end:end + AROUND]
+    def cost(self, token: bytes, around: bytes) -> int:
         primed = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(
-            IDENTIFIERS + b" " + around.encode("utf-8", "replace"),
-            dict_type=zstandard.DICT_TYPE_RAWCONTENT))
-        return (len(primed.compress(token)) - self.plain) / len(token)
+            IDENTIFIERS + b" " + around, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+        return len(primed.compress(token)) - self.plain
+
+    def letters(self, token: bytes) -> float:
+        raw = np.frombuffer(token, np.uint8)
+        return float(self.bits[raw[:-1], raw[1:]].mean())
+
+    def _random(self, alphabet: str, length: int) -> tuple[float, float]:
+        draw = random.Random(length)
+        drawn = ["".join(draw.choices(alphabet, k=length)).encode() for _ in range(3)]
+        chars = [ord(c) for c in alphabet]
+        return (sum(self.cost(t, b"") for t in drawn) / 3,
+                float(self.bits[np.ix_(chars, chars)].mean()))
+
+    def shares(self, text: str, start: int, end: int) -> tuple[float, float]:
+        token = text[start:end]
+        around = text[max(0, start - AROUND):start] + " " + text[end:end + AROUND]
+        bytes_, bits = self.random(_alphabet(token), len(token))
+        raw = token.encode()
+        return (self.cost(raw, around.encode("utf-8", "replace")) / bytes_, self.letters(raw) / bits)
+
+    def novel(self, text: str, start: int, end: int) -> bool:
+        if not _mixed(text[start:end]):
+            return False
+        share, letters = self.shares(text, start, end)
+        return share >= NOVELTY and letters >= LETTERS
+
+    def spans(self, text: str, start: int, end: int) -> list[tuple[int, int]]:
+        """The novel parts of a token: all of it or nothing up to ``PIECE``."""
+        out: list[tuple[int, int]] = []
+        pieces = max(1, round((end - start) / PIECE))
+        cuts = [start + (end - start) * i // pieces for i in range(pieces + 1)]
+        for a, b in zip(cuts, cuts[1:]):
+            if self.novel(text, a, b):
+                out[-1:] = [(out[-1][0], b)] if out and out[-1][1] == a else [*out[-1:], (a, b)]
+        return out
 
 
 def _mixed(token: str) -> bool:
-    """At least three letters and three digits, as keys have and words don't."""
-    digits = sum(c.isdigit() for c in token)
-    return digits >= 3 and sum(c.isalpha() for c in token) >= 3
+    """Letters and at least one more kind of character, upper and lower case
+    counting as two."""
+    kinds = [any(c.islower() for c in token), any(c.isupper() for c in token),
+             any(c.isdigit() for c in token), any(not c.isalnum() for c in token)]
+    return any(kinds[:2]) and sum(kinds) >= 2
+
+
+def _extended(text: str, start: int, end: int, limit: int, novelty: Novelty) -> int:
+    """Where a hit ends that goes on over directly following lines, before ``limit``."""
+    width = end - start
+    while (m := NEXT_LINE.match(text, end)) and m.end() <= limit:
+        size = len(m[1])
+        if size >= 16 and novelty.spans(text, *m.span(1)) == [m.span(1)]:
+            end, width = m.end(), size
+        else:
+            short = size < width and width >= WRAPPED and (m[1][-1] == "=" or _mixed(m[1]))
+            return m.end() if short and (size < 16 or m[1][-1] == "=") else end
+    return end
 
 
 def scan(text: str, novelty: Novelty) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -104,9 +197,14 @@ def scan(text: str, novelty: Novelty) -> tuple[list[tuple[int, int, int]], list[
             while at < len(base) and base[at][0] < m.end():
                 reach = max(reach, base[at][2])
                 at += 1
-            if (reach <= m.start() and len(m[0]) < LONGEST and _mixed(m[0])
-                    and novelty.share(text, *m.span()) >= NOVELTY):
-                more.append((m.start(), 3, m.end()))
+            if reach > m.start():
+                continue
+            spans = novelty.spans(text, *m.span())
+            if spans and spans[-1][1] == m.end():
+                limit = base[at][0] if at < len(base) else len(text)
+                seen = _extended(text, m.start(), m.end(), limit, novelty)
+                spans[-1] = (spans[-1][0], seen)
+            more += [(a, 3, b) for a, b in spans]
     return base, more
 
 
