@@ -38,8 +38,11 @@ GENERATORS = [
     ("email", False, r"(?i)[\[({]\x20?at\x20?[\])}]",
      r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[\[({]\x20?(?i:at)\x20?[\])}]\x20?"
      r"[A-Za-z0-9-]{1,63}(?:(?:\x20?[\[({]\x20?(?i:dot)\x20?[\])}]\x20?|\.)[A-Za-z0-9-]{1,63}){1,6}"),
-    ("phone", False, r"[0-9]{3}[\x20.-][0-9]{4}",
-     r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])"),
+    # National numbers: 3-3-4 with or without a 1 before it, else 7-15 digits with
+    # separators whose last group has two and more; the trees do the rejecting.
+    ("phone", False, r"[0-9](?:[\x20()./-]{0,2}[0-9]){6}",
+     r"(?<![0-9+])(?<![0-9][.-])(?:(?:1[\x20.-])?\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}"
+     r"|\(?[0-9](?:[\x20()./-]{0,2}[0-9]){6,14}(?<=[0-9]{2}))(?![0-9]|[.-][0-9])"),
     ("id", False, r"[0-9]-[0-9]{2}-[0-9]", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     ("iban", False, r"[A-Z]{2}[0-9]{2}",
      r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
@@ -59,6 +62,11 @@ CUES = {
 }
 AGAINST = (r"(?i)(\b(order|invoice|version|serial|part|isbn|issue|page|lot|ref|ticket|build|"
            r"tracking|sku|model|total|date|no)\b|#)")
+# Dates, spans of years and dotted quads; for phones also the grouping of ids.
+FORMATS = (r"^(?:(?:19|20)[0-9]{2}([./\x20-])[0-9]{1,2}\1[0-9]{1,2}\b|"
+           r"[0-9]{1,2}([./\x20-])[0-9]{1,2}\2(?:19|20)[0-9]{2}\b|"
+           r"(?:19|20)[0-9]{2}\x20?-\x20?(?:19|20)[0-9]{2}$|[0-9]{1,3}(?:\.[0-9]{1,3}){3}$)")
+ID_FORMAT = r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"
 
 Lambda = Callable[[Column], Column]
 
@@ -113,7 +121,7 @@ def base_rule(kind: str) -> Lambda:
 
 
 FEATURES = ["rank", "length", "digits", "separators", "digit_share", "luhn", "cue_left",
-            "cue_right", "against", "touches", "repeats"]
+            "cue_right", "against", "touches", "repeats", "other_format"]
 
 
 def features(kind: Column, text: Column, left: Column, right: Column) -> list[Column]:
@@ -128,7 +136,8 @@ def features(kind: Column, text: Column, left: Column, right: Column) -> list[Co
             cast(n) / F.greatest(F.length(text), F.lit(1)), cast(luhn(_digits(text))),
             cast(cue(left)), cast(cue(right)), cast(left.rlike(AGAINST)),
             cast(left.rlike("[A-Za-z0-9_=]$") | right.rlike("^[A-Za-z0-9_]")),
-            cast(text.rlike(r"([0-9])\1{4}"))]
+            cast(text.rlike(r"([0-9])\1{4}")),
+            cast(text.rlike(FORMATS) | ((kind == "phone") & text.rlike(ID_FORMAT)))]
 
 
 # ---- the model -----------------------------------------------------------
@@ -144,6 +153,7 @@ def labelled(spark: SparkSession) -> DataFrame:
     rnd = lambda salt, n: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n))
     num = lambda salt, n: F.lpad(rnd(salt, 10 ** n).cast("string"), n, "0")
     pick = lambda salt, xs: F.element_at(F.array(*map(F.lit, xs)), (rnd(salt, len(xs)) + 1).cast("int"))
+    shape = lambda salt, xs: F.element_at(F.array(*xs), (rnd(salt, len(xs)) + 1).cast("int"))
     sep = pick(11, ["-", ".", " "])
     name = F.concat(pick(12, ["anna", "j.miller", "info", "sales.team", "kim77"]), num(13, 2))
     host = F.concat(pick(14, ["mailbox", "post", "corp", "web"]), num(15, 2))
@@ -152,7 +162,16 @@ def labelled(spark: SparkSession) -> DataFrame:
                           pick(17, [" [dot] ", ".", " (dot) "]), pick(18, ["com", "org", "net"])),
         "ip": F.concat_ws(".", num(21, 3), num(22, 3), num(23, 3), num(24, 3)),
         "card": F.concat(num(31, 4), sep, num(32, 4), sep, num(33, 4), sep, num(34, 4)),
-        "phone": F.concat(F.lit("("), num(41, 3), F.lit(") "), num(42, 3), sep, num(43, 4)),
+        "phone": shape(40, [
+            F.concat(F.lit("("), num(41, 3), F.lit(") "), num(42, 3), sep, num(43, 4)),
+            F.concat(num(41, 3), sep, num(42, 3), sep, num(43, 4)),
+            F.concat(F.lit("1"), sep, num(41, 3), sep, num(42, 3), sep, num(43, 4)),
+            F.concat(F.lit("0"), num(44, 2), sep, num(45, 7)),
+            F.concat(F.lit("0"), num(44, 3), F.lit("/"), num(45, 7)),
+            F.concat_ws(" ", F.concat(F.lit("0"), num(44, 1)), num(46, 2), num(47, 2), num(48, 2), num(49, 2)),
+            F.concat(F.lit("0"), num(44, 3), sep, num(42, 3), sep, num(41, 3), sep, num(46, 2)),
+            F.concat(F.lit("(0"), num(44, 2), F.lit(") "), num(43, 4), sep, num(40, 4)),
+            F.concat(num(42, 3), sep, num(43, 4)), num(39, 10), F.concat(F.lit("0"), num(39, 11))]),
         "id": F.concat(num(51, 3), F.lit("-"), num(52, 2), F.lit("-"), num(53, 4)),
         "iban": F.concat(pick(61, ["DE", "FR", "ES", "GB"]), num(62, 2), F.lit(" "), num(63, 4),
                          F.lit(" "), num(64, 4), F.lit(" "), num(65, 4), F.lit(" "), num(66, 4)),
@@ -162,7 +181,12 @@ def labelled(spark: SparkSession) -> DataFrame:
                           F.lit("."), pick(72, ["Then", "It", "3"])),
         "ip": F.concat_ws(".", num(73, 3), num(74, 1), num(75, 4), num(76, 3)),
         "card": num(77, 16),
-        "phone": F.concat(num(78, 3), sep, num(79, 3), sep, num(80, 4)),
+        "phone": shape(92, [
+            F.concat(num(78, 3), sep, num(79, 3), sep, num(80, 4)),
+            F.concat(F.lit("20"), num(93, 2), sep, pick(94, ["01", "07", "12"]), sep, pick(95, ["03", "14", "28"])),
+            F.concat(pick(95, ["3", "14", "28"]), sep, pick(94, ["1", "07", "12"]), sep, F.lit("20"), num(93, 2)),
+            F.concat(F.lit("19"), num(93, 2), F.lit("-"), F.lit("20"), num(78, 2)),
+            F.concat(num(78, 3), F.lit("-"), num(93, 2), F.lit("-"), num(80, 4)), num(79, 8)]),
         "id": F.concat(num(81, 3), F.lit("-"), num(82, 2), F.lit("-"), num(83, 4)),
         "iban": F.concat(pick(84, ["AB", "SN", "ZX"]), num(85, 2), num(86, 4), num(87, 4), num(88, 4)),
     }
@@ -181,6 +205,9 @@ def labelled(spark: SparkSession) -> DataFrame:
     bare = F.col("kind").isin("email", "iban")
     left = (F.when((F.col("label") == 1) & (~bare | (rnd(4, 4) > 0)), cue)
             .when(F.col("label") == 1, pick(5, plain))
+            # Dates and ids follow cues of phones too.
+            .when((F.col("kind") == "phone") & (rnd(7, 2) == 1) & rnd(92, 6).between(1, 4)
+                  & (rnd(96, 2) == 0), cue)
             .when(rnd(4, 2) == 0, pick(6, against)).otherwise(pick(5, plain)))
     text = F.when(F.col("label") == 1, by_kind(value)).when(
         (rnd(7, 2) == 0) & ~bare, by_kind(value)).otherwise(by_kind(other))
@@ -238,14 +265,20 @@ def with_spans(docs: DataFrame, text_col: str, out: str) -> DataFrame:
         kind, is_base, *_ = GENERATORS[i]
         after = F.concat(F.col(hits[i]), F.array(F.lit(None).cast("struct<piece:string,match:string>")))
         follow = F.slice(after, F.lit(2), F.size(hits[i]))
+        before = F.concat(F.array(F.lit(None).cast("struct<piece:string,match:string>")), F.col(hits[i]))
         zipped = F.arrays_zip(F.col(hits[i]).alias("at"), F.col(ends[i]).alias("end"),
-                              follow.alias("next"))
+                              follow.alias("next"),
+                              F.slice(before, F.lit(1), F.size(hits[i])).alias("last"))
+        # Numbers of all groupings come close together: the cue may be before the last one.
+        near = lambda z: z["at"]["piece"] if kind != "phone" or is_base else F.concat(
+            F.coalesce(F.substring(z["last"]["piece"], -CONTEXT, CONTEXT), F.lit("")),
+            F.coalesce(z["last"]["match"], F.lit("")), z["at"]["piece"])
         return F.transform(zipped, lambda z: F.struct(
             (z["end"] - F.length(z["at"]["match"])).alias("start"),
             F.lit(KINDS.index(kind)).alias("rank"), z["end"].alias("end"),
             (base_rule(kind)(z["at"]["match"]) if is_base else F.lit(False)).alias("base"),
             z["at"]["match"].alias("match"),
-            F.substring(z["at"]["piece"], -CONTEXT, CONTEXT).alias("left"),
+            F.substring(near(z), -CONTEXT, CONTEXT).alias("left"),
             F.substring(F.coalesce(z["next"]["piece"], F.lit("")), 1, CONTEXT).alias("right")))
 
     def measured(c: Column) -> Column:
