@@ -43,12 +43,32 @@ class Rules:
     max_separator_percent: int = 20     # lines: words that only separate others
     max_symbol_percent: int = 30        # lines: symbol characters per word
     max_upper_percent: int = 80         # lines of 5 and more words: ASCII letters in capitals
-    min_distinct_percent: int = 30      # lines of 20 and more words: distinct words
+    min_distinct_percent: int = 30      # lines of 20 and more words: distinct words of a stretch
     boilerplate_words: int = 30         # lines up to this length are searched for phrases
     fragment_words: int = 3             # shorter lines without end punctuation fail
 
 
-def line_fails(line: bytes, words: list[bytes], rules: Rules) -> bool:
+def _stretches(n: int, size: int) -> Iterator[tuple[int, int]]:
+    """n words in equal parts of about ``size``."""
+    parts = max(1, round(n / size))
+    return ((n * i // parts, n * (i + 1) // parts) for i in range(parts))
+
+
+def repetitive(words: list[bytes], cache: common.WordHashes, rules: Rules) -> bool:
+    """Whether a line has few distinct words.  Clean prose of any length has fewer
+    the longer it is, so they are counted in stretches of ``STRETCH`` words, and
+    what recurs later than that as 5-word windows in stretches of ``FAR_STRETCH``."""
+    n = len(words)
+    if 100 * sum(len(set(words[a:b])) for a, b in _stretches(n, STRETCH)) < rules.min_distinct_percent * n:
+        return True
+    if n <= STRETCH:
+        return False
+    hashes = cache.array(words)
+    again = sum(repeated_words(hashes[a:b]) for a, b in _stretches(n, FAR_STRETCH))
+    return 100 * again > (100 - rules.min_distinct_percent) * n
+
+
+def line_fails(line: bytes, words: list[bytes], cache: common.WordHashes, rules: Rules) -> bool:
     n = len(words)
     if n < rules.fragment_words and not words[-1].endswith(TERMINAL):
         return True
@@ -61,11 +81,12 @@ def line_fails(line: bytes, words: list[bytes], rules: Rules) -> bool:
         lower = len(line) - len(line.translate(None, _LOWER))
         if 100 * upper > rules.max_upper_percent * (upper + lower):
             return True
-    if n >= 20 and 100 * len(set(words)) < rules.min_distinct_percent * n:
+    if n >= 20 and repetitive(words, cache, rules):
         return True
     return n <= rules.boilerplate_words and bool(BOILERPLATE.search(line.lower()))
 
 
+STRETCH, FAR_STRETCH = 100, 1000  # words within which a line's repetition is judged
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 
@@ -99,7 +120,7 @@ def judge(text: bytes, cache: common.WordHashes, rules: Rules):
         n_words += len(words)
         if line in seen:
             n_dup += 1
-        elif not line_fails(line, words, rules):
+        elif not line_fails(line, words, cache, rules):
             kept_words += len(words)
             good.append(line)
         seen.add(line)
