@@ -15,9 +15,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.clean(docs)
 
 
+NEAR_PERCENT = 80  # of the five-word windows of two documents; op2's contract has its own
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
-    return neardup.deduplicate(docs)
+    return neardup.deduplicate(docs, percent=NEAR_PERCENT)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
