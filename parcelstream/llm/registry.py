@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelstream.llm import bpe, common, langid, mixing, neardup, pii, quality, repeats, secrets, topk, urls
+from parcelstream.llm import (bpe, common, langid, linedup, mixing, neardup, oracles as sql, pii,
+                              quality, repeats, search, secrets, topk, urls, variants)
 
 
 def tokenizer(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
@@ -89,9 +90,26 @@ def op10_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
         digest(spans, secrets.KINDS).alias("spans"))
 
 
+def op11_trie_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(common.table(spark, sf_dir, "documents"))
+
+
+def op12_range_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    bitmaps = common.stored(linedup.keep_bitmaps(docs), "bitmaps")
+    return linedup.cleaned(docs, bitmaps).select(
+        F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(common.table(spark, sf_dir, "documents"),
+                         common.table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op6_topk_segments": sql.OP6, "op11_trie_variants": sql.OP11,
+            "op12_range_line_dedup": sql.OP12, "op13_best_position_search": sql.OP13}
