@@ -31,7 +31,7 @@ def test_random_keys_are_found(alphabet, length):
 
 
 def test_identifiers_and_repeats_are_not():
-    for t in ("getElementByIdFromDocument", "some_unusual_thingy_here", "com/apple/tms/realtime/Main",
+    for t in ("getElementByIdFromDocument", "some_unusual_thingy_here", "org/example/orders/stream/Main",
               "CorrectHorseBatteryStaple", "PERSONAL_ACCESS_SETTINGS", "state-of-the-art-technology",
               "AbstractSingletonProxyFactoryBean", "abcd1234" * 1000, "-" * 30 + "a"):
         assert found(f"private {t} ok") == [], t
