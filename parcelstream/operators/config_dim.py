@@ -140,4 +140,5 @@ def table_plan(changes: DataFrame) -> DataFrame:
 def fk_columns(cfg: DataFrame) -> DataFrame:
     """Foreign-key columns declared per source table."""
     return cfg.filter(F.col("foreign_keys").isNotNull()).select(
-        "source_table", F.explode(F.split("foreign_keys", ",")).alias("fk_column"))
+        "source_table", "sink_table",
+        F.explode(F.split("foreign_keys", ",")).alias("fk_column"))

@@ -7,18 +7,19 @@ state is the latest value per ``(sink_table, row_key, column)`` by
 ``(ts, part, offset)`` — a ``max_by`` aggregation, combined map-side before
 the shuffle, so a hot row or table does not land in one task.
 
-A micro-batch appends only its own cells (partition ``batch=<id>``,
-overwritten on replay, so the sink is idempotent); readers merge on read
-with the same rule.  Folding old batches is the table store's work (``MERGE
-INTO`` where there is one), not this module's.
+A micro-batch appends only its own cells (replaced as a whole on replay, so the
+sink is idempotent); ``fold`` merges older batches into a sorted base, and
+readers merge that base with the batches since (``upsert_store``).
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelstream.operators import upsert_store
+from parcelstream.operators.upsert_store import Store
+
 
 def cells(routed: DataFrame) -> DataFrame:
     """One row per written cell: ``sink_table, row_key, column, value, ts,
@@ -56,24 +57,34 @@ def route_counts(routed: DataFrame) -> DataFrame:
 
 
 CELL_COLS = ["sink_table", "row_key", "column", "value", "ts", "part", "offset"]
+CELL_DDL = ("sink_table string, row_key string, column string, value string, ts long, part int, "
+            "offset long")
+
+
+def store(root: str) -> Store:
+    """The dimension store: cells by table, row and column, all versions kept for
+    lookups at a point in time."""
+    return Store(root, CELL_DDL, keys=("sink_table", "row_key", "column"),
+                 order=("ts", "part", "offset"), partition="sink_table", log="_cells", history=True)
+
 
+def append_cells(batch_cells: DataFrame, root: str, batch_id: int, stream: str = "dim") -> None:
+    """Store one micro-batch's cells, and only those; a replayed batch replaces
+    its own, tables that it no longer writes to included."""
+    upsert_store.append(batch_cells.select(*CELL_COLS), store(root), batch_id, stream)
 
-def append_cells(batch_cells: DataFrame, root: str, batch_id: int) -> None:
-    """Store one micro-batch's cells under ``cells/batch=<id>`` per sink
-    table (overwrite of that one partition: a replayed batch replaces its
-    own files).  Only the batch's cells are written, never the table."""
-    (batch_cells.select(*CELL_COLS).withColumn("batch", F.lit(batch_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("sink_table", "batch").parquet(f"{root.rstrip('/')}/_cells"))
+
+def fold(spark, root: str, upto: int, stream: str = "dim") -> upsert_store.Manifest:
+    """Fold the batches up to ``upto``, none of which will be replayed."""
+    return upsert_store.fold(spark, store(root), {stream: upto})
 
 
 def read_current(spark, root: str, sink_table: str) -> DataFrame | None:
-    """Merged state of one sink table over all batches, by the ``max_by`` rule;
+    """Merged state of one sink table: the folded base and the batches since;
     None where nothing has been written yet.  Any other failure is raised."""
-    try:
-        found = spark.read.parquet(f"{root.rstrip('/')}/_cells")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return merge(found.filter(F.col("sink_table") == sink_table).select(*CELL_COLS))
+    return upsert_store.read(spark, store(root), sink_table)
+
+
+def read_history(spark, root: str, sink_table: str) -> DataFrame | None:
+    """Every cell version of one sink table."""
+    return upsert_store.read_history(spark, store(root), sink_table)

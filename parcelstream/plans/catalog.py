@@ -6,6 +6,7 @@ Names follow the operator inventory.  Each entry reads the given tables
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,11 @@ from pyspark.sql import functions as F
 from parcelstream import schemas
 from parcelstream.functions import timefn
 from parcelstream.functions.text import mask_name
-from parcelstream.operators import config_dim, dim_store, dws, lookups, ods, orders, transit
+from parcelstream.operators import (config_dim, dim_store, dws, lookups, ods, orders, transit,
+                                    upsert_store)
 from parcelstream.operators.keyed_scan import asof_last
 from parcelstream.plans.materialize import materialized
+from parcelstream.session import ensure_checkpoint_dir
 from parcelstream.sources import changelog, dims, domain
 from parcelstream.sources import config as config_src
 from parcelstream.sources.tables import epoch_ms, read
@@ -475,14 +478,56 @@ def q_dim_hierarchy_join(spark, sf):
 
 @register("dim_fk_lookup")
 def q_dim_fk_lookup(spark, sf):
-    """Lookup through the foreign key the configuration declares for
-    ``user_info`` (read from the configuration, not hard-wired)."""
-    fks = config_dim.fk_columns(config_src.config_table(spark))
-    fk = fks.filter(F.col("source_table") == "user_info").first()["fk_column"]
-    users = dims.user_info(spark, sf).select("id", fk)
-    out = lookups.fk_lookup(users, fk, dims.base_region_info(spark, sf).select(
-        F.col("id").alias("rid"), F.col("name").alias("region_name")), "rid", ["region_name"])
-    return out.select("id", F.col(fk).alias("fk_value"), "region_name")
+    """Every foreign key that the configuration declares, of every dimension row,
+    looked up in the dimension it points to."""
+    merged = dim_store.merge(dim_store.cells(routed(spark, sf)))
+    return lookups.declared_keys(merged, config_dim.fk_columns(config_src.config_table(spark)))
+
+
+# --------------------------------------------------- the dimension store -----
+def dim_history_store(spark, sf) -> str:
+    """A dimension store filled batch by batch and folded once: the snapshot, the
+    changes of every second partition offset (folded with it), and the rest."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stores/dim-{uuid.uuid4().hex}"
+    cells = dim_store.cells(routed(spark, sf))
+    later = F.col("ts") >= config_src.CONFIG_CHANGE_MS
+    odd = F.pmod("offset", F.lit(2)) == 1
+    for batch, rows in enumerate((cells.filter(~later), cells.filter(later & odd),
+                                  cells.filter(later & ~odd))):
+        dim_store.append_cells(rows, root, batch)
+    dim_store.fold(spark, root, upto=1)
+    return root
+
+
+@register("dim_store_folded")
+def q_dim_store_folded(spark, sf):
+    """The merged cells read back from the folded base and the batch after it."""
+    root = dim_history_store(spark, sf)
+    return upsert_store.read(spark, dim_store.store(root)).select(
+        "sink_table", "row_key", "column", "value")
+
+
+USER_ATTRS = {"login_name": "login_name", "user_level": "user_level", "region_id": "region_id"}
+
+
+def user_events(spark, sf):
+    return read(spark, sf, "events", "event_id", "ts", "user_id").select(
+        "event_id", F.col("user_id").cast("string").alias("user_id"), epoch_ms("ts").alias("ts"))
+
+
+@register("dim_asof_lookup")
+def q_dim_asof_lookup(spark, sf):
+    """Each event with its user as the user was at the time of the event."""
+    history = dim_store.read_history(spark, dim_history_store(spark, sf), "dim_user_info")
+    return lookups.as_of(user_events(spark, sf), "user_id", "ts", history, USER_ATTRS).select(
+        "event_id", "user_id", *USER_ATTRS)
+
+
+@register("dim_asof_intervals")
+def q_dim_asof_intervals(spark, sf):
+    """The validity intervals of the users, as the stream-static lookup reads them."""
+    history = dim_store.read_history(spark, dim_history_store(spark, sf), "dim_user_info")
+    return lookups.validity(history, list(USER_ATTRS))
 
 
 # ----------------------------------------------------- scalar functions -----

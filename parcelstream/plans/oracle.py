@@ -897,10 +897,44 @@ FROM (SELECT id AS org_id FROM organ) a {ORG_GEO}""")
 
 
 def q_dim_fk_lookup() -> str:
-    return with_(REGION_INFO, body="""
-SELECT CAST(c.c_custkey AS VARCHAR) AS id, CAST(c.c_nationkey AS VARCHAR) AS fk_value,
-       r.name AS region_name
-FROM customer c LEFT JOIN region_info r ON r.id = CAST(c.c_nationkey AS VARCHAR)""")
+    return with_(*DIM_CTES, body="""
+SELECT m.sink_table, m.row_key AS id, m."column" AS fk_column, m.value AS fk_value,
+       k.target_table, t.value AS target_name
+FROM merged_cells m
+JOIN (VALUES ('dim_user_info', 'region_id', 'dim_base_region_info', 'name'),
+             ('dim_base_organ', 'org_parent_id', 'dim_base_organ', 'org_name'),
+             ('dim_base_organ', 'region_id', 'dim_base_region_info', 'name'),
+             ('dim_base_region_info', 'parent_id', 'dim_base_region_info', 'name'),
+             ('dim_truck_info', 'truck_model_id', 'dim_truck_model', 'model_name'))
+     AS k(sink_table, fk_column, target_table, name_column)
+  ON m.sink_table = k.sink_table AND m."column" = k.fk_column
+LEFT JOIN merged_cells t
+  ON t.sink_table = k.target_table AND t.row_key = m.value AND t."column" = k.name_column""")
+
+
+def q_dim_asof_lookup() -> str:
+    return f"""
+WITH e AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, user_id AS k,
+         CAST(epoch_ms(ts) AS BIGINT) AS ts FROM events)
+SELECT event_id, user_id,
+       CASE WHEN ts >= {TU} AND c_acctbal < 0 THEN upper(c_name) WHEN ts >= {T0} THEN c_name END
+         AS login_name,
+       CASE WHEN ts >= {T0} THEN c_mktsegment END AS user_level,
+       CASE WHEN ts >= {T0} THEN CAST(c_nationkey AS VARCHAR) END AS region_id
+FROM e LEFT JOIN customer ON c_custkey = k"""
+
+
+def q_dim_asof_intervals() -> str:
+    return f"""
+SELECT CAST(c_custkey AS VARCHAR) AS row_key, {T0} AS valid_from,
+       CASE WHEN c_acctbal < 0 THEN {TU} END AS valid_to, c_name AS login_name,
+       c_mktsegment AS user_level, CAST(c_nationkey AS VARCHAR) AS region_id
+FROM customer
+UNION ALL
+SELECT CAST(c_custkey AS VARCHAR), {TU}, NULL, upper(c_name), c_mktsegment,
+       CAST(c_nationkey AS VARCHAR)
+FROM customer WHERE c_acctbal < 0"""
 
 
 def q_fn_to_ts() -> str:
@@ -939,6 +973,9 @@ def _late_oracles() -> dict[str, str]:  # noqa: F811
         "dim_lookup_join": q_dim_lookup_join(),
         "dim_hierarchy_join": q_dim_hierarchy_join(),
         "dim_fk_lookup": q_dim_fk_lookup(),
+        "dim_store_folded": q_cell_merge(),
+        "dim_asof_lookup": q_dim_asof_lookup(),
+        "dim_asof_intervals": q_dim_asof_intervals(),
         "fn_to_ts": q_fn_to_ts(),
         "fn_to_date": q_fn_events("d", "%Y-%m-%d"),
         "fn_to_partition_date": q_fn_events("dt", "%Y%m%d"),
