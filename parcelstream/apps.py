@@ -1,9 +1,10 @@
-"""Runnable jobs: ``python -m parcelstream.apps {ods,dim,dwd,transit,dws} [options]``.
+"""Runnable jobs: ``python -m parcelstream.apps {ods,dim,dwd,transit,daily,dws} [options]``.
 
 * ``ods`` — captured change records -> cleaned, keyed ODS records, and a quarantine.
 * ``dim`` — ODS records -> configuration routing -> dimension cell store.
 * ``dwd`` — ODS records -> per-order state -> one table per fact.
 * ``transit`` — ODS records -> bound and transport facts, one table each.
+* ``daily`` — fact tables as streams -> daily aggregates, upserted by grain.
 * ``dws`` — fact tables + dimension store -> daily aggregates (batch).
 
 Settings are one small object per pipeline (no global overrides), one
@@ -20,10 +21,13 @@ import argparse
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
-from parcelstream.operators import config_dim, dim_store, dws, ods
+from parcelstream.operators import config_dim, dim_store, dws, ods, transit
+from parcelstream.operators.upsert_store import Files
 from parcelstream.session import configure_for_scale
-from parcelstream.streaming import jobs, order_state
+from parcelstream.streaming import daily, jobs, order_state
 
+CLEAN_DDL = ("part int, offset long, op string, ts long, table string, before variant, "
+             "after variant")
 ODS_RECORD_DDL = "key string, value string, part int, offset long, table string"
 
 
@@ -63,6 +67,30 @@ def _facts(spark: SparkSession, root: str, name: str):
         return None
 
 
+def fact_schema(spark: SparkSession, fact: str):
+    """The columns of a fact table, whether or not it has been written yet."""
+    if fact in transit.FACT_TABLE:
+        clean = spark.createDataFrame([], CLEAN_DDL)
+        return transit.facts_of(clean)[fact].schema
+    return order_state.facts_from_output(
+        spark.createDataFrame([], order_state.OUTPUT_DDL), fact).schema
+
+
+def daily_queries(spark: SparkSession, a) -> list:
+    """One query an aggregate; facts that no job has written yet are waited for."""
+    queries = []
+    for name in a.only or sorted(daily.DAILY):
+        fact = daily.DAILY[name].fact
+        folder = f"{a.source.rstrip('/')}/{fact}"
+        Files(spark, a.source).make(fact)
+        reader = spark.readStream.schema(fact_schema(spark, fact)).option("basePath", folder)
+        if a.max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", a.max_files_per_trigger)
+        queries.append(daily.query(reader.parquet(folder), a.sink, name, f"{a.checkpoint}/{name}",
+                                   a.watermark, a.available_now, a.trigger_seconds))
+    return queries
+
+
 def run_dws(spark: SparkSession, facts_root: str, store_root: str, out_root: str) -> list[str]:
     """Daily aggregates from the DWD fact tables, looked up in the DIM store.
     Returns the aggregates written; one whose facts have no row yet is skipped."""
@@ -103,7 +131,7 @@ def run_dws(spark: SparkSession, facts_root: str, store_root: str, out_root: str
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="parcelstream.apps")
-    p.add_argument("job", choices=["ods", "dim", "dwd", "transit", "dws"])
+    p.add_argument("job", choices=["ods", "dim", "dwd", "transit", "daily", "dws"])
     p.add_argument("--source", help="input folder (file formats)")
     p.add_argument("--source-format", default="parquet")
     p.add_argument("--kafka-servers")
@@ -114,7 +142,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--trigger-seconds", type=int, default=6)
     p.add_argument("--window-ms", type=int, default=5000)
     p.add_argument("--watermark",
-                   help="event-time mode only, and required there: the disorder to accept before "
+                   help="required by daily and by dwd --event-time: the disorder to accept before "
                         "rows count as late and are dropped")
     p.add_argument("--quarantine", help="folder of rejected records (default: SINK_quarantine)")
     p.add_argument("--config", help="dim: path of the configuration table")
@@ -127,6 +155,8 @@ def main(argv: list[str] | None = None) -> None:
                    help="measure the order's waiting window in event time (replays); the "
                         "default is arrival time, like the reference, and drops nothing")
     p.add_argument("--available-now", action="store_true")
+    p.add_argument("--only", action="append", choices=sorted(daily.DAILY),
+                   help="daily: this aggregate alone (may be given several times)")
     a = p.parse_args(argv)
     if a.job != "dws" and not a.checkpoint:
         p.error("--checkpoint is required for the streaming jobs")
@@ -134,6 +164,8 @@ def main(argv: list[str] | None = None) -> None:
         p.error("dim needs --config and --config-changes")
     if a.job == "dwd" and a.event_time and not a.watermark:
         p.error("--event-time needs --watermark")
+    if a.job == "daily" and not a.watermark:
+        p.error("daily needs --watermark")
     if a.job == "dwd" and a.available_now and not a.event_time:
         p.error("--available-now ends only with --event-time: processing-time timers never do")
     rejected = a.quarantine or f"{a.sink.rstrip('/')}_quarantine"
@@ -154,6 +186,8 @@ def main(argv: list[str] | None = None) -> None:
             lambda: config_dim.read_config(spark, a.config, a.config_format),
             lambda: config_dim.read_config_changes(spark, a.config_changes, a.config_format),
             available_now=a.available_now)]
+    elif a.job == "daily":
+        qs = daily_queries(spark, a)
     elif a.job == "transit":
         qs = [jobs.transit_query(_ods_stream(spark, a, "dwd"), a.sink, a.checkpoint,
                                  a.available_now, a.trigger_seconds)]

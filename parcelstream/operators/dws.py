@@ -27,17 +27,27 @@ def drop_transient(df: DataFrame, *cols: str) -> DataFrame:
     return df.drop(*cols)
 
 
-def cargo_type_order_day(place_facts: DataFrame, base_dic: DataFrame,
-                         tz: str = DEFAULT_TZ) -> DataFrame:
-    agg = with_day(place_facts, tz).groupBy("cur_date", "cargo_type").agg(
+# Each aggregate has two steps: ``*_grain`` counts facts per local day and grain,
+# on the few columns it needs, and ``*_named`` looks the small result up in the
+# dimensions.  The streams keep the first and apply the second when read.
+def cargo_type_grain(place_facts: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
+    return with_day(place_facts, tz).groupBy("cur_date", "cargo_type").agg(
         F.sum("amount").cast(SUM).alias("order_amount_base"),
         F.count(F.lit(1)).alias("order_count_base"),
         F.max("ts").alias("ts"))
+
+
+def cargo_type_named(agg: DataFrame, base_dic: DataFrame) -> DataFrame:
     out = dim_lookup(agg, "cargo_type", base_dic, "id", {"name": "cargo_type_name"})
     return out.select("cur_date", "cargo_type", "cargo_type_name", "order_amount_base",
                       "order_count_base", "ts")
 
 
+def cargo_type_order_day(place_facts: DataFrame, base_dic: DataFrame,
+                         tz: str = DEFAULT_TZ) -> DataFrame:
+    return cargo_type_named(cargo_type_grain(place_facts, tz), base_dic)
+
+
 def _district_then_org(agg: DataFrame, district: str, organ: DataFrame,
                        measures: dict[str, str]) -> DataFrame:
     """Re-key a per-(day, district) aggregate to the district's centre."""
@@ -47,16 +57,17 @@ def _district_then_org(agg: DataFrame, district: str, organ: DataFrame,
         F.max("ts").alias("ts"))
 
 
-def org_order_day(place_facts: DataFrame, organ: DataFrame, region: DataFrame,
-                  tz: str = DEFAULT_TZ) -> DataFrame:
-    """Orders and their amounts per centre and day.  A place-order fact is one
-    cargo row; an order counts once a day, with its amount, however many cargo
-    rows it has."""
+def org_order_grain(place_facts: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
+    """A place-order fact is one cargo row; an order counts once a day, with its
+    amount, however many cargo rows it has."""
     once = with_day(place_facts, tz).groupBy("cur_date", "sender_district_id", "order_id").agg(
         F.max("amount").alias("amount"), F.max("ts").alias("ts"))
-    agg = once.groupBy("cur_date", "sender_district_id").agg(
+    return once.groupBy("cur_date", "sender_district_id").agg(
         F.sum("amount").cast(SUM).alias("order_amount_base"),
         F.count(F.lit(1)).alias("order_count_base"), F.max("ts").alias("ts"))
+
+
+def org_order_named(agg: DataFrame, organ: DataFrame, region: DataFrame) -> DataFrame:
     by_org = _district_then_org(agg, "sender_district_id", organ,
                                 {"order_amount_base": "sum", "order_count_base": "sum"})
     by_org = by_org.withColumn("order_amount_base", F.col("order_amount_base").cast(SUM))
@@ -65,13 +76,20 @@ def org_order_day(place_facts: DataFrame, organ: DataFrame, region: DataFrame,
                       "order_amount_base", "order_count_base", "ts")
 
 
-def org_receive_day(receive_facts: DataFrame, organ: DataFrame, region: DataFrame,
-                    tz: str = DEFAULT_TZ) -> DataFrame:
-    """Receipts per centre and day; one order counts once per day."""
+def org_order_day(place_facts: DataFrame, organ: DataFrame, region: DataFrame,
+                  tz: str = DEFAULT_TZ) -> DataFrame:
+    """Orders and their amounts per centre and day."""
+    return org_order_named(org_order_grain(place_facts, tz), organ, region)
+
+
+def org_receive_grain(receive_facts: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
     once = with_day(receive_facts, tz).groupBy("cur_date", "sender_district_id", "order_id") \
         .agg(F.max("ts").alias("ts"))
-    agg = once.groupBy("cur_date", "sender_district_id").agg(
+    return once.groupBy("cur_date", "sender_district_id").agg(
         F.count(F.lit(1)).alias("receive_order_count_base"), F.max("ts").alias("ts"))
+
+
+def org_receive_named(agg: DataFrame, organ: DataFrame, region: DataFrame) -> DataFrame:
     by_org = _district_then_org(agg, "sender_district_id", organ,
                                 {"receive_order_count_base": "sum"})
     out = org_city_province(by_org, "org_id", organ, region)
@@ -79,6 +97,12 @@ def org_receive_day(receive_facts: DataFrame, organ: DataFrame, region: DataFram
                       "province_name", "receive_order_count_base", "ts")
 
 
+def org_receive_day(receive_facts: DataFrame, organ: DataFrame, region: DataFrame,
+                    tz: str = DEFAULT_TZ) -> DataFrame:
+    """Receipts per centre and day; one order counts once per day."""
+    return org_receive_named(org_receive_grain(receive_facts, tz), organ, region)
+
+
 def orders_per_day(facts: DataFrame, measure: str, tz: str = DEFAULT_TZ) -> DataFrame:
     """Distinct orders per day (dispatch, bound finish)."""
     once = with_day(facts, tz).groupBy("cur_date", "order_id").agg(F.max("ts").alias("ts"))
@@ -86,10 +110,12 @@ def orders_per_day(facts: DataFrame, measure: str, tz: str = DEFAULT_TZ) -> Data
                                         F.max("ts").alias("ts"))
 
 
-def org_deliver_suc_day(deliver_facts: DataFrame, organ: DataFrame, region: DataFrame,
-                        tz: str = DEFAULT_TZ) -> DataFrame:
-    agg = with_day(deliver_facts, tz).groupBy("cur_date", "receiver_district_id").agg(
+def org_deliver_suc_grain(deliver_facts: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
+    return with_day(deliver_facts, tz).groupBy("cur_date", "receiver_district_id").agg(
         F.count(F.lit(1)).alias("deliver_suc_count_base"), F.max("ts").alias("ts"))
+
+
+def org_deliver_suc_named(agg: DataFrame, organ: DataFrame, region: DataFrame) -> DataFrame:
     by_org = _district_then_org(agg, "receiver_district_id", organ,
                                 {"deliver_suc_count_base": "sum"})
     out = org_city_province(by_org, "org_id", organ, region)
@@ -97,24 +123,38 @@ def org_deliver_suc_day(deliver_facts: DataFrame, organ: DataFrame, region: Data
                       "province_name", "deliver_suc_count_base", "ts")
 
 
-def org_sort_day(sort_facts: DataFrame, organ: DataFrame, region: DataFrame,
-                 tz: str = DEFAULT_TZ) -> DataFrame:
-    agg = with_day(sort_facts, tz).groupBy("cur_date", "org_id").agg(
+def org_deliver_suc_day(deliver_facts: DataFrame, organ: DataFrame, region: DataFrame,
+                        tz: str = DEFAULT_TZ) -> DataFrame:
+    return org_deliver_suc_named(org_deliver_suc_grain(deliver_facts, tz), organ, region)
+
+
+def org_sort_grain(sort_facts: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
+    return with_day(sort_facts, tz).groupBy("cur_date", "org_id").agg(
         F.count(F.lit(1)).alias("sort_count_base"), F.max("ts").alias("ts"))
+
+
+def org_sort_named(agg: DataFrame, organ: DataFrame, region: DataFrame) -> DataFrame:
     out = org_city_province(agg, "org_id", organ, region)
     out = drop_transient(out, "join_org_id")
     return out.select("cur_date", "org_id", "org_name", "city_id", "city_name", "province_id",
                       "province_name", "sort_count_base", "ts")
 
 
-def org_truck_model_finish_day(finish_facts: DataFrame, trucks: DataFrame, models: DataFrame,
-                               organ: DataFrame, region: DataFrame,
-                               tz: str = DEFAULT_TZ) -> DataFrame:
-    agg = with_day(finish_facts, tz).groupBy("cur_date", "start_org_id", "truck_id").agg(
+def org_sort_day(sort_facts: DataFrame, organ: DataFrame, region: DataFrame,
+                 tz: str = DEFAULT_TZ) -> DataFrame:
+    return org_sort_named(org_sort_grain(sort_facts, tz), organ, region)
+
+
+def truck_finish_grain(finish_facts: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
+    return with_day(finish_facts, tz).groupBy("cur_date", "start_org_id", "truck_id").agg(
         F.count(F.lit(1)).alias("trans_finish_count_base"),
         F.sum("actual_distance").cast(SUM).alias("trans_finish_distance_base"),
         F.sum("transport_time").alias("trans_finish_dur_time_base"),
         F.max("ts").alias("ts"))
+
+
+def truck_finish_named(agg: DataFrame, trucks: DataFrame, models: DataFrame,
+                       organ: DataFrame, region: DataFrame) -> DataFrame:
     agg = dim_lookup(agg, "truck_id", trucks, "id", {"truck_model_id": "truck_model_id"})
     by_model = agg.groupBy("cur_date", F.col("start_org_id").alias("org_id"),
                            "truck_model_id").agg(
@@ -129,6 +169,12 @@ def org_truck_model_finish_day(finish_facts: DataFrame, trucks: DataFrame, model
                       "trans_finish_distance_base", "trans_finish_dur_time_base", "ts")
 
 
+def org_truck_model_finish_day(finish_facts: DataFrame, trucks: DataFrame, models: DataFrame,
+                               organ: DataFrame, region: DataFrame,
+                               tz: str = DEFAULT_TZ) -> DataFrame:
+    return truck_finish_named(truck_finish_grain(finish_facts, tz), trucks, models, organ, region)
+
+
 # --------------------------------------------------------------------------
 # Streaming form: local-day tumbling windows with a watermark
 # --------------------------------------------------------------------------

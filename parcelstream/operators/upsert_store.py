@@ -73,6 +73,9 @@ class Files:
         if self._fs.exists(target) or not self._fs.rename(self._path(name), target):
             raise OSError(f"could not rename {self.root}/{name} to {to}")
 
+    def make(self, folder: str) -> None:
+        self._fs.mkdirs(self._path(folder))
+
     def remove(self, name: str) -> None:
         self._fs.delete(self._path(name), True)
 
