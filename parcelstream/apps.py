@@ -35,7 +35,7 @@ def _settings(a) -> jobs.StreamSettings:
     return jobs.StreamSettings(
         source_format=a.source_format, source_path=a.source, kafka_servers=a.kafka_servers,
         topic=a.topic, start_mode=a.start_mode, trigger_seconds=a.trigger_seconds,
-        max_files_per_trigger=a.max_files_per_trigger)
+        max_files_per_trigger=a.max_files_per_trigger, exact_numbers=a.exact_numbers)
 
 
 def _ods_stream(spark: SparkSession, a, group: str) -> "DataFrame":  # noqa: F821
@@ -155,6 +155,8 @@ def main(argv: list[str] | None = None) -> None:
                    help="measure the order's waiting window in event time (replays); the "
                         "default is arrival time, like the reference, and drops nothing")
     p.add_argument("--available-now", action="store_true")
+    p.add_argument("--exact-numbers", action="store_true",
+                   help="ods: hand on the row images' numbers as the text they came in")
     p.add_argument("--only", action="append", choices=sorted(daily.DAILY),
                    help="daily: this aggregate alone (may be given several times)")
     a = p.parse_args(argv)

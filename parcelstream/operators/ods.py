@@ -29,15 +29,32 @@ def is_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
 
 
-def parse(raw: DataFrame, value: str = "value", ddl: str = ENVELOPE_DDL) -> DataFrame:
+# A number outside of string literals, after what lies before it since the last one.
+_NUMBER = (r'\G([^"\d-]*+(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"[^"\d-]*+)*+)(-?\d[\d.eE+-]*+)')
+
+
+def quoted_numbers(text: Column) -> Column:
+    """JSON text whose numbers stand as strings, digit for digit: ``1.50`` stays
+    ``1.50`` where a parsed number would become ``1.5``."""
+    return F.regexp_replace(text, _NUMBER, '$1"$2"')
+
+
+def parse(raw: DataFrame, value: str = "value", ddl: str = ENVELOPE_DDL,
+          exact_numbers: bool = False) -> DataFrame:
     """Add the parsed envelope ``e`` (PERMISSIVE: bad text gives nulls).
 
     The text is parsed exactly once per record.  A plain projection would
     let predicate pushdown substitute ``from_json`` into every later filter
     (one parse per predicate); producing ``e`` from a one-row generator is a
     barrier the optimizer does not inline through, while nested-field
-    pruning still narrows the parse schema to the fields used."""
-    parsed = F.struct(F.from_json(F.col(value), ddl).alias("e"))
+    pruning still narrows the parse schema to the fields used.
+
+    ``exact_numbers`` keeps numbers (``e.ts_ms`` as well) as the text they came
+    in; typed decoding reads the same values from it."""
+    text = F.col(value)
+    if exact_numbers:
+        text, ddl = quoted_numbers(text), ddl.replace("ts_ms bigint", "ts_ms string")
+    parsed = F.struct(F.from_json(text, ddl).alias("e"))
     return raw.select("*", F.inline(F.array(parsed)))
 
 
@@ -65,13 +82,13 @@ def reason(e: Column | None = None, value: Column | None = None) -> Column:
             .when(no_id, F.lit(NO_KEY)))
 
 
-def clean(raw: DataFrame) -> DataFrame:
+def clean(raw: DataFrame, exact_numbers: bool = False) -> DataFrame:
     """Forwarded records: ``part, offset, op, ts, table, before, after``
     (``ts_ms`` renamed to ``ts``; ``source`` lifted to ``table``;
     ``transaction`` dropped)."""
-    p = parse(raw)
+    p = parse(raw, exact_numbers=exact_numbers)
     return p.filter(reason().isNull()).select(
-        "part", "offset", F.col("e.op").alias("op"), F.col("e.ts_ms").alias("ts"),
+        "part", "offset", F.col("e.op").alias("op"), F.col("e.ts_ms").try_cast("bigint").alias("ts"),
         F.col("e.source.table").alias("table"), F.col("e.before").alias("before"),
         F.col("e.after").alias("after"))
 

@@ -257,6 +257,18 @@ def q_cdc_decimal_decode(spark, sf):
     return c.select("table", F.inline(pairs))
 
 
+@register("cdc_number_text")
+def q_cdc_number_text(spark, sf):
+    """The money columns of the generic row image, digit for digit as captured."""
+    c = ods.dwd_filter(ods.clean(raw_log(spark, sf), exact_numbers=True))
+    image = config_dim.row_map(F.col("after"))
+    fields = F.when(F.col("table") == "order_info", F.array(F.lit("amount"), F.lit("distance"))) \
+        .otherwise(F.array(F.lit("weight")))
+    cells = c.select("table", image.alias("image"), F.explode(fields).alias("field"))
+    return cells.select("table", F.element_at("image", F.lit("id")).alias("id"), "field",
+                        F.element_at("image", F.col("field")).alias("value"))
+
+
 @register("cdc_tombstone_filter")
 def q_cdc_tombstone_filter(spark, sf):
     return ods.drop_tombstones(raw_log(spark, sf)).groupBy("part").agg(

@@ -529,6 +529,11 @@ UNION ALL SELECT 'order_cargo', CAST(seq AS VARCHAR), 'weight', CAST(value AS DE
   FROM ev WHERE tbl = 'order_cargo'""")
 
 
+def q_number_text() -> str:
+    return f"""SELECT "table", id, field, CAST(CAST(value AS DECIMAL(16,2)) AS VARCHAR) AS value
+FROM ({q_decimal_decode()}) t"""
+
+
 def q_tombstone_filter() -> str:
     return with_(*LOG_CTES, body="""
 SELECT part, count(*) AS n FROM (
@@ -659,6 +664,7 @@ def _ods_oracles() -> dict[str, str]:
         "cdc_table_group_filter": q_table_group_filter(),
         "cdc_initial_snapshot_union": q_initial_snapshot_union(),
         "cdc_decimal_decode": q_decimal_decode(),
+        "cdc_number_text": q_number_text(),
         "cdc_tombstone_filter": q_tombstone_filter(),
         "ods_clean": q_ods_clean(),
         "ods_malformed_quarantine": q_quarantine(),

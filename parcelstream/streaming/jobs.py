@@ -37,6 +37,7 @@ class StreamSettings:
     trigger_seconds: int = 6              # reference checkpoint interval
     max_files_per_trigger: int | None = None
     options: dict = field(default_factory=dict)
+    exact_numbers: bool = False           # row images keep the text of their numbers
 
     @property
     def clean_topic(self) -> str:
@@ -76,7 +77,8 @@ def ods_records(clean: DataFrame, for_topic: bool) -> DataFrame:
 
 def ods_query(spark: SparkSession, s: StreamSettings, sink_path: str, checkpoint: str,
               available_now: bool = False):
-    records = ods_records(ods.clean(read_raw(spark, s)), for_topic=s.source_format == "kafka")
+    records = ods_records(ods.clean(read_raw(spark, s), s.exact_numbers),
+                          for_topic=s.source_format == "kafka")
     w = records.writeStream.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=f"{s.trigger_seconds} seconds")

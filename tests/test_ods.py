@@ -1,6 +1,7 @@
 """Clean / quarantine classes of captured records."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelstream.operators import ods
 
@@ -101,3 +102,41 @@ def test_group_pruning_reads_own_tables_only(spark, scratch):
     assert {r["table"] for r in rows.select("table").collect()} == {"order_info"}
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [table" in plan
+
+
+def test_numbers_keep_their_text(spark):
+    """Exact numbers: digits stay as captured, strings that look like numbers and
+    malformed records stay what they are, typed decoding reads the same values."""
+    from parcelstream.operators import config_dim, dim_store
+    from parcelstream.sources import config as config_src
+    image = ('"after": {"id": 7, "truck_model_id": 1.50, "a": 12345678901234567.89, "b": -0.10, "c": 1e3, '
+             '"d": "x\\" 1.50: 2, \\\\", "e": true, "f": null, "g": "5"}')
+    values = [f'{{"op" : "r","ts_ms": 17,{image},"source":{{"table":"truck_info"}}}}', "text 12 -3", "12", "",
+              None, '{"op":"u","ts_ms":1,"after":5.0,"source":{"table":"t"}}',
+              '{"op":"r","ts_ms":"x","after":{"id":1},"source":{"table":"t"}}']
+    raw = spark.createDataFrame([(0, i, v) for i, v in enumerate(values)],
+                                "part int, offset long, value string")
+    got = ods.clean(raw, exact_numbers=True)
+    rows = got.select("offset", "ts", config_dim.row_map(F.col("after")).alias("m")).collect()
+    assert [(r.offset, r.ts) for r in rows] == [(0, 17), (6, None)]
+    assert rows[0].m == {"id": "7", "truck_model_id": "1.50", "a": "12345678901234567.89", "b": "-0.10",
+                         "c": "1e3", "d": 'x" 1.50: 2, \\', "e": "true", "f": None, "g": "5"}
+    typed = ods.decode(F.col("after"), T.StructType.fromDDL("id int, a decimal(19,2), b double, c double"))
+    for exact in (False, True):
+        one = ods.clean(raw, exact_numbers=exact).filter("offset = 0").select(typed.alias("t")).first().t
+        assert (one.id, str(one.a), one.b, one.c) == (7, "12345678901234567.89", -0.1, 1000.0)
+    versions = config_dim.config_versions(
+        spark, config_dim.preload(config_src.config_table(spark)), config_src.config_changelog(spark))
+    cells = dim_store.cells(config_dim.routed_rows(got, versions)).collect()
+    assert [(c.sink_table, c.row_key, c.column, c.value) for c in cells] == [
+        ("dim_truck_info", "7", "truck_model_id", "1.50")]
+
+
+def test_long_texts_and_many_numbers_keep_their_text(spark):
+    long = "9.90 " * 20_000
+    value = ('{"op":"r","ts_ms":1,"after":{"id":"' + long + '",' + ",".join(
+        f'"n{i}":{i}.10' for i in range(3000)) + '},"source":{"table":"t"}}')
+    raw = spark.createDataFrame([(0, 0, value)], "part int, offset long, value string")
+    from parcelstream.operators import config_dim
+    m = ods.clean(raw, exact_numbers=True).select(config_dim.row_map(F.col("after")).alias("m")).first().m
+    assert m["id"] == long and all(m[f"n{i}"] == f"{i}.10" for i in range(3000))
