@@ -7,9 +7,10 @@ expected copies are summed in order, one random offset is added, and a document
 is emitted once for each integer boundary its own part crosses.
 
 The order goes by size, largest first, in levels (a document's size against
-its source's target, halved from level to level).  Each level's expected copies
-are what is still missing from the target over what is left to take from, so
-the whole-document rounding of large documents is made up for by smaller ones.
+its source's target, halved from level to level).  A level's documents expect
+what is still missing from the target over what is left to take from, so the
+whole-document rounding of large documents is made up for by smaller ones; the
+running sum and its one offset go on through all levels of a source.
 
 No group meets in one task: a running position inside a (source, level) is the
 count of the hash buckets before, plus the place inside the bucket, and only
@@ -117,20 +118,23 @@ def rates(sized: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     before = counts.select("source", "level", "bucket", F.coalesce(F.sum("rows").over(
         Window.partitionBy("source", "level").orderBy("bucket").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).cast("long").alias("before"))
-    held = counts.groupBy("source", "level").agg(F.sum("words").alias("words"))
+    held = counts.groupBy("source", "level").agg(F.sum("words").alias("words"),
+                                                 F.sum("rows").alias("rows"))
     heads = common.stored(rows.filter(F.col("level") < LEVELS - 1), "heads")
     present = {r["level"] for r in counts.select("level").distinct().collect()}
 
+    # One random offset a source; the running sum goes on from level to level.
+    start = F.pmod(F.xxhash64("source", F.lit(SEED)), F.lit(1 << 20)) / (1 << 20)
     state = goal.select("source", F.col("target").alias("missing"),
-                        F.col("source_size").alias("words"))
+                        F.col("source_size").alias("words"), start.alias("offset"))
     found = []
     for n in sorted(present):
-        own = held.filter(F.col("level") == n).select("source", F.col("words").alias("own"))
+        own = held.filter(F.col("level") == n).select("source", F.col("words").alias("own"),
+                                                      F.col("rows").alias("own_rows"))
         rate = state.withColumn("rate", F.when(F.col("words") > 0, F.greatest(F.lit(0.0), F.least(
             F.lit(float(MOST)), F.col("missing") / F.col("words")))).otherwise(0.0))
-        rate = common.stored(rate.select("source", F.lit(n).alias("level"), "rate", (F.pmod(
-            F.xxhash64("source", F.lit(n), F.lit(SEED)), F.lit(1 << 20)) / (1 << 20)).alias("offset"),
-            "missing", "words"), "rate")
+        rate = common.stored(rate.select(
+            "source", F.lit(n).alias("level"), "rate", "offset", "missing", "words"), "rate")
         found.append(rate.select("source", "level", "rate", "offset"))
         if n < max(present):
             took = _same(placed(heads.filter(F.col("level") == n), before),
@@ -142,7 +146,9 @@ def rates(sized: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             both = both.withColumnRenamed("source", "s")
             state = (rate.join(both, F.col("source").eqNullSafe(F.col("s")), "left")
                      .select("source", (F.col("missing") - F.coalesce("took", F.lit(0))).alias("missing"),
-                             (F.col("words") - F.coalesce("own", F.lit(0))).alias("words")))
+                             (F.col("words") - F.coalesce("own", F.lit(0))).alias("words"),
+                             ((F.col("offset") + F.col("rate") * F.coalesce("own_rows", F.lit(0)))
+                              % 1.0).alias("offset")))
     every = found[0] if found else state.select(
         "source", F.lit(0).alias("level"), F.lit(0.0).alias("rate"), F.lit(0.0).alias("offset"))
     for more in found[1:]:
@@ -163,10 +169,19 @@ def copies(sized: DataFrame, rows: DataFrame | None = None) -> DataFrame:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
-    """The mix itself: every document as often as it was drawn, all columns."""
-    keys = [F.col(id_col).alias("key"), F.col(source_col).alias("source"),
-            words(text_col).alias("size")]
-    sized = common.stored(docs.select(*keys), "sizes")
-    rows = docs.select(*keys, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return (copies(sized, rows).filter("copies > 0")
-            .select(F.explode(F.array_repeat("row", F.col("copies"))).alias("row")).select("row.*"))
+    """The mix itself: every document as often as it was drawn, all columns.
+    Copies are worked out on hashes and sizes alone and joined to the rows, which
+    move once, by their place in a stored table."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = common.stored(docs.select(F.monotonically_increasing_id().alias("place"),
+                                     whole.alias("row")), "rows")
+    field = lambda c: F.col("row").getField(c)
+    sized = common.stored(rows.select(
+        "place", F.xxhash64(field(id_col), field(text_col)).alias("key"),
+        field(source_col).alias("source"), words(field(text_col)).alias("size")), "sizes")
+    narrow = sized.select("key", "source", "size", F.col("place").alias("row_place"))
+    drawn = copies(sized, narrow).filter("copies > 0").select(
+        F.col("row_place").alias("place"), "copies")
+    return (rows.join(drawn, "place")
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+            .select("row.*"))
