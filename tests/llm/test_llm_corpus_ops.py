@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from parcelstream.llm import common, components, mixing, neardup, registry, repeats, topk, urls
 
@@ -20,8 +21,8 @@ def shingles(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
 
 
-def plain_components(rows):
-    """{id: (set size, smallest id reachable)}; rows of one id share its class."""
+def plain_components(rows, percent=85):
+    """{id: smallest id reachable}; rows of one id share its class."""
     up = {i: i for i, _ in rows}
 
     def find(x):
@@ -31,7 +32,7 @@ def plain_components(rows):
 
     sets = [(i, shingles(t)) for i, t in rows]
     for (i, a), (j, b) in itertools.combinations(sets, 2):
-        if a and b and 100 * len(a & b) >= 85 * len(a | b):
+        if a and b and 100 * len(a & b) >= percent * len(a | b):
             x, y = find(i), find(j)
             up[max(x, y)] = min(x, y)
     return {i: find(i) for i in up}
@@ -67,6 +68,14 @@ def check_near(spark, rows):
     return found
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """An id that holds several texts links their classes."""
+    a, b, c = (" ".join(f"{w}{i}" for i in range(30)) for w in "abc")
+    rows = [(5, a), (7, a), (7, b), (9, b), (11, c), (11, "short text"), (12, c), (12, None), (13, None)]
+    found = check_near(spark, rows)
+    assert {r.doc_id: r.component_id for r in found} == {5: 5, 7: 5, 9: 5, 11: 11, 12: 11, 13: 13}
+
+
 def test_near_duplicates_edges(spark):
     rows = [(7, "A b c"), (3, "a B  c"), (5, None), (6, ""), (None, "a b c"), (9, "a b"),
             (10, "x " * 20), (11, "x x x x x"), (12, "q w e r t y"), (12, "q w e r t y"), (13, " \n")]
@@ -277,10 +286,40 @@ def test_urls(spark):
 def test_url_names_are_split_by_viterbi():
     pieces = [(0, 3, 100), (3, 5, 20), (8, 3, 10), (0, 2, 5)]
     assert urls.split_name("thequickfox", pieces, 1000) == ["the", "quick", "fox"]
-    assert urls.split_name("zzthe", [(2, 3, 100)], 1000) == ["z", "z", "the"]
+    assert urls.split_name("zzthe", [(2, 3, 100)], 1000) == ["zz", "the"]
+    assert urls.split_name("thezzqx", [(0, 3, 100)], 1000) == ["the", "zzqx"]
+    assert urls.split_name("unheardof", [], 1000) == ["unheardof"]
+    assert urls.split_name("q" * 5000, [], 10) == ["q" * 5000]
     assert urls.split_name("", [], 1) == []
 
 
+def test_names_hold_words_of_any_length(spark):
+    """A compound's parts are words of 24 and 30 letters."""
+    parts = ["donaudampfschifffahrtsge", "sellschaftskapitaensmuetzenxyz"]
+    rows = [(0, f"http://{''.join(parts)}.com/", f"<p>{' '.join(parts)}</p>"), (1, "http://x.com/", "x y"),
+            (2, "http://" + "nosuchname" * 30 + ".org/", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    named = spark.createDataFrame([("h", "".join(parts)), ("u", "nosuchname" * 30)], "host string, name string")
+    got = {r.host: r.words for r in urls.segmented(named, pages, "html").collect()}
+    assert got == {"h": parts, "u": ["nosuchname" * 30]}
+
+
+@pytest.mark.parametrize("sf, least, each", [("/root/testdata/sf0.01", 0.85, 0.5),
+                                             ("/root/testdata/sf0.1", 0.95, 0.85)])
+def test_url_model_agrees_with_rules_it_has_not_seen(spark, sf, least, each):
+    """Learning from two thirds of the urls with a rule, by hash of the id."""
+    pages = common.table(spark, sf, "pages")
+    seen = F.crc32(F.col("page_id").cast("string")) % 3 != 1
+    found = urls.judge(pages, learn=seen).filter(F.crc32(F.col("page_id").cast("string")) % 3 == 1)
+    rows = [("block" if r.score < 0 else "allow", plain_url(r.url)[3]) for r in found.join(
+        pages.select("page_id", "url"), "page_id").collect()]
+    rows = [(says, rule) for says, rule in rows if rule]
+    most = max(sum(rule == v for _, rule in rows) for v in ("allow", "block")) / len(rows)
+    right = {v: [says == v for says, rule in rows if rule == v] for v in ("allow", "block")}
+    assert sum(says == rule for says, rule in rows) / len(rows) >= max(least, most + 0.1)
+    assert all(sum(r) >= each * len(r) for r in right.values())
+
+
 def test_urls_whole_table(spark):
     pages = common.table(spark, SF, "pages")
     found = {r.page_id: r for r in registry.op9_url_words(spark, SF).collect()}
