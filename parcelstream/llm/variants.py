@@ -24,9 +24,9 @@ Words beyond ``LONG`` letters make their edit and take the whole remainder in
 one step, as a hash of (prefix, remainder), so that the number of levels is
 bounded and their states stay linear in their letters.
 
-Nodes that more than one state in ``HOT_SHARE`` asks for (so at most
-``HOT_SHARE`` of them, with at most 90 children each) are joined by broadcast;
-the others are shuffled by node.  Every level is a stored table.
+States and edges are shuffled by node.  A node has at most 90 edges, so where very
+many states ask for one, the skew join splits the states and copies its edges.
+Edges are combined in every task first, and every level is a stored table.
 
 Defined cases: null or empty text has no words; a null id counts as the empty
 text in the hash that picks damaged runs; rows that repeat an id all count; very
@@ -107,51 +107,29 @@ def _node(back: Column, length: Column) -> Column:
 
 
 def _letter(pos: Column) -> Column:
-    """The word's letter at ``pos`` from 0, empty beyond its ends."""
-    return F.when(pos >= 0, F.substring(F.col("word"), pos + 1, F.lit(1))).otherwise("")
+    """The code of the word's letter at ``pos`` from 0; 0 beyond its ends."""
+    return F.when(pos >= 0, F.ascii(F.substring(F.col("word"), pos + 1, F.lit(1)))).otherwise(0)
 
 
 def own_states(short: DataFrame, depth: int) -> DataFrame:
-    """(word, back, pos, node, ch, child, ends): the step that every word itself
-    takes at this depth, if beyond its middle, in both directions.  These steps
-    are the edges of the level as well."""
+    """(word, back, pos, node, ch, child, ends, skip, last) of every word at this
+    depth, if beyond its middle, in both directions: its own step to the child,
+    the letter ``skip`` that follows if its next one is left out (0: not here),
+    and whether its last one may be.  These steps are the level's edges as well."""
     both = short.select("word", F.lit(False).alias("back")).unionAll(
         short.select(F.reverse("word").alias("word"), F.lit(True)))
-    size, pos = F.length("word"), F.lit(depth)
+    size, pos, back = F.length("word"), F.lit(depth), F.col("back")
     half = F.floor(size / 2)
-    rows = both.filter((F.when(F.col("back"), size - half).otherwise(half) <= pos) & (pos < size))
-    return rows.select("word", "back", pos.alias("pos"), _node(F.col("back"), pos).alias("node"),
-                       _letter(pos).alias("ch"), _node(F.col("back"), pos + 1).alias("child"),
-                       F.when(pos == size - 1, F.col("word")).alias("ends"))
-
-
-def probe(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
-    """``rows`` joined with ``side``, which holds a bounded number of rows for
-    each key.  Keys of more than one row in ``HOT_SHARE``, so fewer than that,
-    are joined by broadcast, the others by a shuffle."""
-    least = max(rows.count() // HOT_SHARE, 1000)
-    hot = [r[key] for r in rows.groupBy(key).agg(F.count("*").alias("n"))
-           .filter(F.col("n") > least).select(key).collect()]
-    if not hot:
-        return rows.join(side, key)
-    often = F.col(key).isin(hot)
-    return rows.filter(~often).join(side.filter(~often), key).unionByName(
-        rows.filter(often).join(F.broadcast(side.filter(often)), key))
-
-
-def _moves() -> Column:
-    """Where a joined row leads: an array of new positions."""
-    pos, ch, size = F.col("pos"), F.col("ch"), F.length("word")
+    rows = both.filter((F.when(back, size - half).otherwise(half) <= pos) & (pos < size))
     here, after, before = _letter(pos), _letter(pos + 1), _letter(pos - 1)
     # Of equal letters in a row only the last one, as the word is written, is skipped.
-    may_skip = F.when(F.col("back"), here != before).otherwise(here != after)
+    may_skip = F.when(back, here != before).otherwise(here != after)
     # The last letter has no edge after it: it is skipped one step earlier.
-    end_skip = F.when(F.col("back"), after != here).otherwise(F.lit(True))
-    own = F.array(F.when(ch > here, pos + 1),
-                  F.when(may_skip & (after != "") & (ch == after), pos + 2),
-                  F.when(end_skip & (pos == size - 2) & (ch == here), size))
-    return F.array_compact(F.when(F.col("own"), own).otherwise(
-        F.array(F.when(ch == here, pos + 1))))
+    last = (pos == size - 2) & (~back | (here != after))
+    return rows.select(
+        "word", "back", pos.alias("pos"), _node(back, pos).alias("node"), here.alias("ch"),
+        _node(back, pos + 1).alias("child"), F.when(pos == size - 1, F.col("word")).alias("ends"),
+        F.when(may_skip, after).otherwise(0).alias("skip"), last.alias("last"))
 
 
 def short_pairs(short: DataFrame) -> DataFrame:
@@ -159,16 +137,24 @@ def short_pairs(short: DataFrame) -> DataFrame:
     straight = lambda c: F.when(F.col("back"), F.reverse(c)).otherwise(F.col(c))
     low, high = short.agg(F.min(F.length("word")), F.max(F.length("word"))).first()
     pairs = short.select(F.col("word").alias("a"), F.col("word").alias("b")).limit(0)
+    pos, ch, want, own = F.col("pos"), F.col("ch"), F.col("want"), F.col("own")
+    replaced, skipped = own & (ch > want), own & (ch == F.col("skip"))
+    ended, followed = F.col("last") & (ch == want), ~own & (ch == want)
+    moves = F.array_compact(F.array(
+        F.when(replaced | followed, pos + 1), F.when(skipped, pos + 2), F.when(ended, pos + 2)))
+    done = F.col("pos") == F.length("word")
     frontier = None
     for depth in range(low // 2, high) if low else ():
-        own = own_states(short, depth)
-        edges = own.groupBy("node", "ch", "child").agg(F.max("ends").alias("ends"))
-        asks = own.select("node", "word", "back", "pos", F.lit(True).alias("own"))
+        states = own_states(short, depth)
+        edges = states.groupBy("node", "ch", "child").agg(F.max("ends").alias("ends"))
+        asks = states.select("node", "word", "back", "pos", F.col("ch").alias("want"),
+                             F.lit(True).alias("own"), "skip", "last")
         if frontier is not None:
             asks = asks.unionByName(frontier.filter("ends is null").select(
-                "node", "word", "back", "pos", F.lit(False).alias("own")))
-        step = probe(asks, edges, "node").withColumn("pos", F.explode(_moves()))
-        done = F.col("pos") == F.length("word")
+                "node", "word", "back", "pos", _letter(pos).alias("want"), F.lit(False).alias("own"),
+                F.lit(0).alias("skip"), F.lit(False).alias("last")))
+        step = asks.join(edges, "node").filter(replaced | skipped | ended | followed)
+        step = step.withColumn("pos", F.explode(moves))
         frontier = common.stored(step.filter(~done | F.col("ends").isNotNull()).select(
             "word", "back", "pos", F.col("child").alias("node"),
             F.when(done, F.col("ends")).alias("ends")), "frontier")
@@ -177,6 +163,20 @@ def short_pairs(short: DataFrame) -> DataFrame:
     return pairs.filter(F.levenshtein("a", "b") == 1)
 
 
+def probe(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with ``side``, which holds a bounded number of rows for
+    each key.  Keys of more than one row in ``HOT_SHARE``, so fewer than that,
+    are joined by broadcast, the others by a shuffle."""
+    least = max(rows.count() // HOT_SHARE, 1000)
+    hot = [r[key] for r in rows.groupBy(key).agg(F.count("*").alias("n"))
+           .filter(F.col("n") > least).select(key).collect()]
+    if not hot:
+        return rows.join(side, key)
+    often = F.col(key).isin(hot)
+    return rows.filter(~often).join(side.filter(~often), key).unionByName(
+        rows.filter(often).join(F.broadcast(side.filter(often)), key))
+
+
 def remainders(long: DataFrame) -> DataFrame:
     """(whole, at, size, word digest) states of long words: ``at`` >= 0 is the
     word without that letter, -1 the word itself; whole = hash of the letters."""
