@@ -4,11 +4,11 @@ A rule fits its host and all subdomains, on paths that start with the rule's;
 the longest rule wins.  Urls without a rule go to a multinomial naive Bayes model
 that learns from all urls with one.  Its tokens are the words of the host and of
 the path; runs of letters in the host are split into words by Viterbi over
-unigram counts of all words in the pages' own text, where an unknown piece costs
-more the longer it is.
+unigram counts of all words in the pages' own text; an unknown piece of any
+length is one word, which costs more the longer it is.
 
 Only the counts of words that occur inside some host name reach the splitting,
-by a join on the names' substrings, and each distinct name is split once however
+by a join on the names' substrings of the lengths that words have, and each distinct name is split once however
 many pages it has.  Tokens are hashed to ``BUCKETS`` places, which bounds the
 model whatever the vocabulary.
 
@@ -41,8 +41,8 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 BUCKETS = 1 << 16
-WORD_CHARS = 20        # longest word the dictionary may propose
-SMOOTH = 1.0
+SMOOTH = 0.1           # added to the counts of the places that some url with a rule has
+LETTER = math.log(1 / 20)  # what each letter of an unknown piece costs
 RUNS = r"\p{L}+|#"
 
 
@@ -76,13 +76,16 @@ def split_name(name: str, pieces: list[tuple[int, int, int]], total: int) -> lis
     logs: dict[int, list[tuple[int, float]]] = {}
     for start, length, count in pieces:
         logs.setdefault(start + length, []).append((start, math.log(count / total)))
-    best: list[tuple[float, int, int]] = [(0.0, 0, 0)]  # (log, minus words, from)
-    unknown = math.log(1.0 / total)
+    opened = math.log(1.0 / (total + 1))
+    # Per end, the best split as (log, minus words, start of its last piece).  The
+    # last piece is a word or an unknown run; two runs side by side cost more than one.
+    best: list[tuple[float, int, int]] = [(0.0, 0, 0)]
+    run = (-math.inf, 0, 0)
     for end in range(1, len(name) + 1):
-        # An unknown piece: a single character, or one more on an unknown piece.
-        options = [(best[end - 1][0] + unknown - 3.0, best[end - 1][1] - 1, end - 1)]
-        options += [(best[s][0] + p, best[s][1] - 1, s) for s, p in logs.get(end, ())]
-        best.append(max(options))
+        log, words, _ = best[end - 1]
+        run = max((log + opened + LETTER, words - 1, end - 1), (run[0] + LETTER, *run[1:]))
+        options = [(best[s][0] + p, best[s][1] - 1, s) for s, p in logs.get(end, ())]
+        best.append(max([run, *options]))
     words, end = [], len(name)
     while end:
         start = best[end][2]
@@ -91,22 +94,25 @@ def split_name(name: str, pieces: list[tuple[int, int, int]], total: int) -> lis
     return words[::-1]
 
 
-def word_counts(pages: DataFrame, html_col: str) -> DataFrame:
-    """(word, count) over the text of all pages."""
+def word_counts(pages: DataFrame, html_col: str, longest: int) -> DataFrame:
+    """(word, count) over the text of all pages, of words that fit into a name."""
     text = F.lower(F.regexp_replace(F.coalesce(html_col, F.lit("")), r"<[^>]*+>", " "))
     return (pages.select(F.explode(F.split(text, r"\P{L}+")).alias("word"))
-            .filter(F.length("word").between(1, WORD_CHARS))
+            .filter(F.length("word").between(1, longest))
             .groupBy("word").agg(F.count("*").alias("count")))
 
 
-def segmented(hosts: DataFrame, counts: DataFrame) -> DataFrame:
-    """(host, words): every run of letters of ``hosts(host)`` split into words."""
-    named = hosts.select("host", F.explode(runs(F.col("host"))).alias("name"))
+def segmented(named: DataFrame, pages: DataFrame, html_col: str) -> DataFrame:
+    """(host, words): every run of letters of ``named(host, name)`` split into
+    words.  A name is cut at each place into substrings of the lengths that words
+    have, which are no longer than the longest name."""
     names = named.select("name").distinct()
-    subs = (names.select("name", F.explode(F.expr(
-                "sequence(1, length(name))")).alias("start"))
-            .select("name", "start", F.explode(F.expr(
-                f"sequence(1, least({WORD_CHARS}, length(name) - start + 1))")).alias("length"))
+    longest = names.agg(F.max(F.length("name"))).first()[0] or 0
+    counts = common.stored(word_counts(pages, html_col, longest), "words")
+    sizes = [r[0] for r in counts.select(F.length("word")).distinct().collect()]  # up to ``longest``
+    subs = (names.select("name", F.explode(F.expr("sequence(1, length(name))")).alias("start"))
+            .select("name", "start", F.explode(F.lit(sizes or [1])).alias("length"))
+            .filter("start + length - 1 <= length(name)")
             .withColumn("word", F.expr("substring(name, start, length)")))
     total = counts.agg(F.sum("count")).first()[0] or 1
     found = (names.join(subs.join(counts, "word").groupBy("name").agg(F.collect_list(
@@ -124,33 +130,39 @@ def segmented(hosts: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-          rules=RULES) -> DataFrame:
+          rules=RULES, learn: Column | None = None) -> DataFrame:
     """(id, host, path, rule, verdict, score) of every page; the score is the
-    model's log odds of allow."""
+    model's log odds of allow.  ``learn`` narrows down the pages with a rule that
+    the model learns from."""
     common.bound_batches(pages.sparkSession)
     h, p = host(F.col(url_col)), path(F.col(url_col))
-    rows = pages.select(F.col(id_col).alias("id"), h.alias("host"), p.alias("path"))
+    learn = F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))
+    rows = pages.select(F.col(id_col).alias("id"), h.alias("host"), p.alias("path"), learn.alias("learn"))
     text, says = rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": text, "says": says})
-    hosts = common.stored(segmented(rows.select("host").distinct(), common.stored(
-        word_counts(pages, html_col), "words")), "hosts")
+    named = common.stored(rows.select("host").distinct().select(
+        "host", F.explode(runs(F.col("host"))).alias("name")), "names")
+    hosts = common.stored(segmented(named, pages, html_col), "hosts")
     place = lambda ws: F.transform(ws, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
     none = F.array().cast("array<string>")
     rows = common.stored(rows.join(hosts, "host", "left").select(
-        "id", "host", "path", "rule", "says",
+        "id", "host", "path", "rule", "says", "learn",
         place(F.concat(F.coalesce("words", none), runs(F.col("path")))).alias("places")), "urls")
 
-    known = rows.filter("says is not null")
+    known = rows.filter("says is not null and learn")
     seen = known.select("says", F.explode("places").alias("place")).groupBy("place", "says").agg(
         F.count("*").alias("n")).collect()  # two rows a bucket at most
     prior = dict(known.groupBy("says").count().collect())
-    n = {k: np.full(BUCKETS, SMOOTH) for k in ("allow", "block")}
+    n = {k: np.zeros(BUCKETS) for k in ("allow", "block")}
     for r in seen:
         n[r["says"]][r["place"]] += r["n"]
-    odds = np.log(n["allow"] / n["allow"].sum()) - np.log(n["block"] / n["block"].sum())
+    # Only places that some url with a rule has are smoothed and weighed: a token
+    # seen in neither class says nothing, and a class's size plays no part in it.
+    used = (n["allow"] + n["block"]) > 0
+    share = {k: (v[used] + SMOOTH) / (v.sum() + SMOOTH * used.sum()) for k, v in n.items()}
+    odds = np.zeros(BUCKETS)
+    odds[used] = np.log(share["allow"]) - np.log(share["block"])
     first = math.log((prior.get("allow", 0) + SMOOTH) / (prior.get("block", 0) + SMOOTH))
-    if not prior:
-        first, odds = 0.0, np.zeros(BUCKETS)
     model = pages.sparkSession.sparkContext.broadcast((first, odds))  # BUCKETS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
