@@ -1,18 +1,19 @@
 """Secret scans: fixed rules, and novelty under dictionary-primed zstandard.
 
 The rules find assignments to secret-like names, access keys and long hex runs.
-The method proposes every other long token within ``REACH`` characters after a
-sensitive word that has letters and a second kind of character (upper case,
-lower case, digits, symbols).  It measures the token twice, each time against
-what a random token of the same alphabet and length costs:
+The method proposes every other token of at least ``SHORT`` characters, whatever
+they are (without a letter: ``NUMBER``, as shorter ones are times and telephone
+numbers; dates are none), within ``REACH`` characters after a sensitive word.  It
+measures the token twice, each time against what a random token of the same
+alphabet and length costs:
 
 * the marginal bytes under a dictionary made of common identifiers and the
   token's own surroundings, beyond what an empty text costs;
 * the bits under a model of neighbouring characters in identifiers, as short
   texts give zstandard nothing to count.
 
-A token that keeps at least ``NOVELTY`` of the first and ``LETTERS`` of the
-second is reported; words, paths, identifiers and repeated strings don't.
+A token whose two shares together reach ``NOVELTY`` is reported, so neither
+decides alone; words, paths, identifiers and repeated strings don't reach it.
 Tokens over ``PIECE`` characters are measured in pieces, and adjacent novel
 pieces are one span.  A hit at the end of a line extends over directly following
 lines that are nothing but a novel token, and over a shorter last one.
@@ -51,11 +52,12 @@ SENSITIVE = re.compile(r"(?i:bearer|authorization|credential|private|client_?sec
 # A text without any of these, lower-cased, has no sensitive word.
 STEMS = ("bearer", "auth", "credential", "private", "secret", "pass", "access", "api",
          "signature", "token")
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-REACH = 48             # characters after a sensitive word
+SHORT, NUMBER = 12, 16
+TOKEN = re.compile(r"[A-Za-z0-9+/_=!@#$%^&*()~-]{12,}")
+DATE = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}")
+REACH = 128            # characters after a sensitive word within which a token begins
 AROUND = 256           # characters of surroundings on either side
-NOVELTY = 0.8          # marginal bytes against those of a random token
-LETTERS = 0.75         # bits of neighbouring characters against those of a random token
+NOVELTY = 1.72         # of the two shares' sum, 2 being that of a random token
 PIECE = 4096           # characters measured at a time
 # What follows a hit on the next line: a token alone, indented or not.
 NEXT_LINE = re.compile(r"\r?\n[\x20\t]*+([A-Za-z0-9+/_=-]++)(?=[\x20\t\r]*+(?:\n|\Z))")
@@ -83,9 +85,11 @@ while width window writer
 
 
 # Alphabets of keys, smallest first; a token counts as drawn from the first that has all of it.
-ALPHABETS = [string.digits + "abcdef", string.digits + "ABCDEF", string.digits + string.ascii_lowercase,
+ALPHABETS = [string.digits, string.digits + "abcdef", string.digits + "ABCDEF", string.ascii_lowercase,
+             string.ascii_uppercase, string.digits + string.ascii_lowercase,
              string.digits + string.ascii_uppercase, string.ascii_letters,
-             string.digits + string.ascii_letters, string.digits + string.ascii_letters + "+/_=-"]
+             string.digits + string.ascii_letters, string.digits + string.ascii_letters + "+/_=-",
+             string.digits + string.ascii_letters + "+/_=-!@#$%^&*()~"]
 
 
 def _alphabet(token: str) -> str:
@@ -143,10 +147,7 @@ class Novelty:
         return (self.cost(raw, around.encode("utf-8", "replace")) / bytes_, self.letters(raw) / bits)
 
     def novel(self, text: str, start: int, end: int) -> bool:
-        if not _mixed(text[start:end]):
-            return False
-        share, letters = self.shares(text, start, end)
-        return share >= NOVELTY and letters >= LETTERS
+        return sum(self.shares(text, start, end)) >= NOVELTY
 
     def spans(self, text: str, start: int, end: int) -> list[tuple[int, int]]:
         """The novel parts of a token: all of it or nothing up to ``PIECE``."""
@@ -167,6 +168,15 @@ def _mixed(token: str) -> bool:
     return any(kinds[:2]) and sum(kinds) >= 2
 
 
+def _bare(text: str, start: int, end: int) -> tuple[int, int]:
+    """The token without brackets that only enclose it."""
+    while end > start and text[end - 1] == ")" and text.count(")", start, end) > text.count("(", start, end):
+        end -= 1
+    while end > start and text[start] == "(" and text.count("(", start, end) > text.count(")", start, end):
+        start += 1
+    return start, end
+
+
 def _extended(text: str, start: int, end: int, limit: int, novelty: Novelty) -> int:
     """Where a hit ends that goes on over directly following lines, before ``limit``."""
     width = end - start
@@ -191,18 +201,22 @@ def scan(text: str, novelty: Novelty) -> tuple[list[tuple[int, int, int]], list[
     more, seen, at, reach = [], 0, 0, 0
     for cue in SENSITIVE.finditer(text) if cued else ():
         last = cue.end() + REACH
-        while m := TOKEN.search(text, max(cue.end(), seen), last + 16):
+        while m := TOKEN.search(text, max(cue.end(), seen), last + SHORT):
             m = TOKEN.match(text, m.start())  # all of it, beyond the reach too
             seen = m.end()
-            while at < len(base) and base[at][0] < m.end():
+            start, end = _bare(text, *m.span())
+            number = not any(map(str.isalpha, text[start:end]))
+            if end - start < (NUMBER if number else SHORT) or DATE.match(text, start):
+                continue
+            while at < len(base) and base[at][0] < end:
                 reach = max(reach, base[at][2])
                 at += 1
-            if reach > m.start():
+            if reach > start:
                 continue
-            spans = novelty.spans(text, *m.span())
+            spans = novelty.spans(text, start, end)
             if spans and spans[-1][1] == m.end():
                 limit = base[at][0] if at < len(base) else len(text)
-                seen = _extended(text, m.start(), m.end(), limit, novelty)
+                seen = _extended(text, start, end, limit, novelty)
                 spans[-1] = (spans[-1][0], seen)
             more += [(a, 3, b) for a, b in spans]
     return base, more
