@@ -5,13 +5,15 @@ Every prefix of a piece has one BPE encoding, and dropping that encoding's last
 token gives the encoding of a shorter prefix.  So the encoding of a prefix is
 known from its last token, and a token may follow another exactly if no merge
 across their border would come before the merges that make the two.  The
-transducer reads bytes; its state holds, for every position whose following
-bytes could still begin a token, that beginning (a vertex of the token trie)
-and the token that ends at the position.  Each byte gives the last token of the
-prefix read so far.  Where only the current position is left, nothing can reach
-back any more, and the tokens up to here are emitted.  A beginning is shorter
-than the longest token, which bounds the lookahead.  States and transitions are
-made when first needed, and forgotten together beyond ``STATES``.
+transducer reads bytes; its state is the longest beginning of a token that the
+bytes read so far end with, so there are no more states than such beginnings.  A
+transition carries the tokens that may end there, longest first, and the first
+that may follow the last token of the prefix before it is the last token of the
+prefix read so far; such checks are remembered by pair of tokens.  Where no
+beginning is open, nothing can reach back any more, and the tokens up to here
+are emitted.  A beginning is shorter than the longest token, which bounds the
+lookahead.  Transitions are made when first needed; a worker forgets them beyond
+``MOVES`` and pairs beyond ``PAIRS``, which are made again when needed.
 
 Text is split by the tokenizer's pattern and each piece goes through the
 transducer on its own; special-token strings are ordinary text.
@@ -35,8 +37,9 @@ from pyspark.sql import DataFrame
 
 from parcelstream.llm import common
 
-STATES = 60_000        # states a worker keeps before starting afresh
-WORDS = 250_000        # short words whose tokens a worker remembers
+MOVES = 300_000        # transitions a worker remembers
+PAIRS = 600_000        # pairs of tokens whose check a worker remembers
+WORDS = 400_000        # short words whose tokens a worker remembers
 WORD_CHARS = 40        # longer words are encoded anew each time
 
 
@@ -59,14 +62,7 @@ def last_merge(ranks: dict[bytes, int], token: bytes) -> list[bytes]:
     return parts
 
 
-class State:
-    __slots__ = ("threads", "next")
-
-    def __init__(self, threads: tuple[int, ...]):
-        self.threads, self.next = threads, {}
-
-
-_LAST = 20                    # bits of a thread's last token; above them, the trie vertex
+_LAST = 20                    # bits of a pair's right token; above them, the left one
 _NONE = (1 << _LAST) - 1      # at the start there is none
 _EVER = 1 << 60
 
@@ -76,36 +72,30 @@ class Transducer:
         self.ranks = ranks
         self.bytes = {i: t for t, i in ranks.items()}
         self.size = {i: len(t) for t, i in ranks.items()}
-        # Trie vertices are numbered when first met; vertex 0 is the empty beginning.
         self.begins = {t[:i] for t in ranks for i in range(len(t))}
-        self.vertex: dict[bytes, int] = {b"": 0}
-        self.spelled = [b""]
-        self.child: dict[int, tuple[int, int]] = {}
         self.edges: dict[int, tuple[list, list] | None] = {}
         self.pairs: dict[int, bool] = {}
         self.single = {c: (ranks[c.encode()],) for c in ".,;:!?"}
         self.reset()
 
     def reset(self) -> None:
-        self.states: dict[tuple, State] = {}
-        self.start = self._state((_NONE,))
-
-    def _state(self, threads: tuple[int, ...]) -> State:
-        state = self.states.get(threads)
-        if state is None:
-            state = self.states[threads] = State(threads)
-        return state
-
-    def _child(self, key: int) -> tuple[int, int]:
-        """(vertex, token) after one more byte, -1 where there is none."""
-        spelled = self.spelled[key >> 8] + bytes((key & 255,))
-        vertex = -1
-        if spelled in self.begins:
-            vertex = self.vertex.setdefault(spelled, len(self.spelled))
-            if vertex == len(self.spelled):
-                self.spelled.append(spelled)
-        found = self.child[key] = (vertex, self.ranks.get(spelled, -1))
-        return found
+        """Forgets the determinised part: state 0 has read nothing that is open."""
+        self.state: dict[bytes, int] = {b"": 0}
+        self.spelled = [b""]
+        self.moves: dict[int, tuple[int, tuple]] = {}
+
+    def _move(self, state: int, byte: int) -> tuple[int, tuple]:
+        """(next state, tokens that may end here as (size, token), longest first):
+        the next state is the longest beginning of a token that ends here."""
+        read = self.spelled[state] + bytes((byte,))
+        ends = [read[i:] for i in range(len(read) + 1)]
+        open_part = next(e for e in ends if e in self.begins)
+        to = self.state.setdefault(open_part, len(self.spelled))
+        if to == len(self.spelled):
+            self.spelled.append(open_part)
+        tokens = tuple((len(e), self.ranks[e]) for e in ends if e in self.ranks)
+        move = self.moves[(state << 8) + byte] = (to, tokens)
+        return move
 
     def _sides(self, token: int) -> tuple[list, list] | None:
         """The parts at the token's left and right border while it is made, as
@@ -126,16 +116,9 @@ class Transducer:
             self.edges[token] = sides
         return self.edges[token]
 
-    def _follows(self, last: int, token: int) -> bool:
-        key = (last << _LAST) + token
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) > 8 * STATES:
-                self.pairs.clear()
-            known = self.pairs[key] = self._apart(last, token)
-        return known
-
     def _apart(self, last: int, token: int) -> bool:
+        """Whether ``token`` may follow ``last``: no merge across their border
+        comes before those that make the two."""
         right = self._sides(token)
         if right is None or last == _NONE:
             return right is not None
@@ -150,47 +133,41 @@ class Transducer:
                         return False
         return True
 
-    def _step(self, state: State, byte: int) -> tuple[State, int, bool]:
-        """The next state, the last token of what has been read, and whether
-        all tokens up to here are decided."""
-        moved, here = [], -1
-        for thread in state.threads:
-            key = (thread >> _LAST << 8) + byte
-            vertex, token = self.child.get(key) or self._child(key)
-            if here < 0 <= token and self._follows(thread & _NONE, token):
-                here = token
-            if vertex >= 0:
-                moved.append((vertex << _LAST) + (thread & _NONE))
-        moved.append(here)
-        return self._state(tuple(moved)), here, len(moved) == 1
-
     def encode(self, piece: bytes) -> list[int]:
         if piece in self.ranks:
             return [self.ranks[piece]]
-        if len(self.states) > STATES:
+        if len(self.moves) > MOVES:
             self.reset()
-        out: list[int] = []
-        ends: list[int] = []  # the last token at each position not yet emitted
-        state = self.start
+        if len(self.pairs) > PAIRS:
+            self.pairs.clear()
+        moves, pairs, out = self.moves, self.pairs, []
+        ends = [_NONE]        # the last token at each position not yet emitted
+        state = 0
         for byte in piece:
-            step = state.next.get(byte)
-            if step is None:
-                if len(self.states) > 2 * STATES:  # one long piece with many states
-                    threads = state.threads
-                    self.reset()
-                    state = self._state(threads)
-                step = state.next[byte] = self._step(state, byte)
-            state, token, decided = step
-            ends.append(token)
-            if decided:
+            move = moves.get((state << 8) + byte) or self._move(state, byte)
+            state, tokens = move
+            for size, token in tokens:
+                last = ends[-size]
+                key = (last << _LAST) + token
+                fits = pairs.get(key)
+                if fits is None:
+                    fits = pairs[key] = self._apart(last, token)
+                if fits:
+                    ends.append(token)
+                    break
+            if not state:     # no beginning is open: all tokens up to here are decided
                 out += self._trace(ends)
-                ends = []
+                ends = [token]
+                if len(moves) > 2 * MOVES or len(pairs) > 2 * PAIRS:  # one very long piece
+                    self.reset()
+                    moves = self.moves
+                    pairs.clear()
         return out + self._trace(ends)
 
     def _trace(self, ends: list[int]) -> list[int]:
-        out, at, size = [], len(ends), self.size
+        out, at, size = [], len(ends) - 1, self.size
         while at:
-            token = ends[at - 1]
+            token = ends[at]
             out.append(token)
             at -= size[token]
         return out[::-1]
@@ -237,33 +214,60 @@ class Encoder(dict):
         return np.array(self._ids(text), np.int32)
 
 
+# Fixed values, the well-formed UTF-8 sequences: lead bytes from and to, bytes
+# that follow, and the range of the first of them (the others: 80 to BF).
+UTF8 = [(0xC2, 0xDF, 1, 0x80, 0xBF), (0xE0, 0xE0, 2, 0xA0, 0xBF), (0xE1, 0xEC, 2, 0x80, 0xBF),
+        (0xED, 0xED, 2, 0x80, 0x9F), (0xEE, 0xEF, 2, 0x80, 0xBF), (0xF0, 0xF0, 3, 0x90, 0xBF),
+        (0xF1, 0xF3, 3, 0x80, 0xBF), (0xF4, 0xF4, 3, 0x80, 0x8F)]
+_AFTER = {lead: (more, low, high) for first, last, more, low, high in UTF8
+          for lead in range(first, last + 1)}
+_DONE = (0, 0, 0)
+
+
 class Utf8Stream:
-    """Bytes in, complete characters out; the tail of an incomplete character
-    waits for the next chunk.  The state is that tail and the number of bytes
-    its lead byte still asks for."""
+    """Bytes in, complete characters out.  The state is what an open character
+    still needs: how many bytes, and the range of the next one.  Bytes that are
+    no part of a character pass through as they are.  Of a chunk only its first
+    bytes, which may close an open character, and its last character are
+    stepped through; what lies between is complete."""
 
     def __init__(self) -> None:
-        self.tail, self.missing = b"", 0
+        self.tail, self.state = b"", _DONE
+
+    @property
+    def missing(self) -> int:
+        return self.state[0]
 
-    @staticmethod
-    def _length(lead: int) -> int:
-        return 1 if lead < 0xC2 or lead > 0xF4 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
+    def _step(self, byte: int) -> bool:
+        """Moves on by one byte; whether it belongs to the open character."""
+        more, low, high = self.state
+        if more and low <= byte <= high:
+            self.state = (more - 1, 0x80, 0xBF) if more > 1 else _DONE
+            return True
+        self.state = _AFTER.get(byte, _DONE)
+        return False
 
     def feed(self, chunk: bytes) -> bytes:
-        data = self.tail + chunk
-        self.tail, self.missing = b"", 0
-        for back in range(1, min(4, len(data)) + 1):
-            byte = data[-back]
-            if byte & 0xC0 != 0x80:
-                need = self._length(byte)
-                if need > back:
-                    self.tail, self.missing = data[-back:], need - back
-                    return data[:-back]
+        at, head = 0, self.tail
+        while self.state != _DONE and at < len(chunk):
+            if not self._step(chunk[at]):
+                self.state = _DONE   # the open one was none; this byte is looked at below
                 break
-        return data
+            at += 1
+        if self.state != _DONE:
+            self.tail = head + chunk
+            return b""
+        data = head + chunk
+        begin = next((i for i in range(len(data) - 1, max(len(data) - 4, -1), -1)
+                      if data[i] & 0xC0 != 0x80), len(data))
+        for byte in data[begin:]:
+            self._step(byte)
+        keep = begin if self.state != _DONE else len(data)
+        self.tail = data[keep:]
+        return data[:keep]
 
     def close(self) -> bytes:
-        tail, self.tail, self.missing = self.tail, b"", 0
+        tail, self.tail, self.state = self.tail, b"", _DONE
         return tail
 
 

@@ -204,13 +204,84 @@ def test_bpe_equals_plain_merging(reference_bpe, text):
 def test_bpe_forgets_states(reference_bpe, monkeypatch):
     known, _ = reference_bpe
     path, pattern = registry.tokenizer()
-    monkeypatch.setattr(bpe, "STATES", 20)
+    monkeypatch.setattr(bpe, "MOVES", 20)
+    monkeypatch.setattr(bpe, "PAIRS", 20)
     monkeypatch.setattr(bpe, "WORDS", 5)
     ours = bpe.Encoder(bpe.read_ranks(bpe.vocabulary(path)), pattern)
     text = "antidisestablishmentarianism zzqxj " + "abcabd" * 500
     assert ours.ids(text).tolist() == known.encode_ordinary(text)
 
 
+def test_bpe_machine_is_finite(reference_bpe):
+    """States are beginnings of tokens alone: text of the same bytes adds few."""
+    known, ours = reference_bpe
+    machine = bpe.Transducer(ours.machine.ranks)
+    rnd, seen = __import__("random").Random(3), []
+    for _ in range(20):
+        piece = "".join(rnd.choices("abcdefghij", k=10_000))
+        assert machine.encode(piece.encode()) == known.encode_ordinary(piece)
+        seen.append(len(machine.moves))
+    assert seen[-1] <= 10 * len(machine.spelled) and seen[-1] - seen[-2] <= 0.01 * seen[-1]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(max_size=40) | st.text(alphabet="aé你\U0001F600", max_size=12).map(str.encode),
+       st.lists(st.integers(1, 6), min_size=1, max_size=20))
+def test_utf8_stream_equals_the_standard_decoder(data, sizes):
+    """What is handed on is what a strict incremental decoder has completed."""
+    import codecs
+    stream, out, at, i = bpe.Utf8Stream(), b"", 0, 0
+    strict = codecs.getincrementaldecoder("utf-8")()
+    try:
+        whole = data.decode()
+    except UnicodeDecodeError:
+        whole = None
+    while at < len(data):
+        chunk = data[at:at + sizes[i % len(sizes)]]
+        part = stream.feed(chunk)
+        if whole is not None:
+            assert part.decode() == strict.decode(chunk)
+        out += part
+        at, i = at + len(chunk), i + 1
+    assert out + stream.close() == data
+
+
+@pytest.mark.parametrize("lost", ["\xe2\x82", "\xe0\x80", "\xed\xa0", "\xf4\x90", "\xc0", "\xf0\x9f\x98"])
+def test_utf8_stream_waits_for_open_characters_only(lost):
+    raw = lost.encode("latin-1")
+    is_open = raw in (b"\xe2\x82", b"\xf0\x9f\x98")
+    assert bpe.Utf8Stream().feed(b"a" + raw) == (b"a" if is_open else b"a" + raw)
+
+
+def test_bpe_whole_table(spark, reference_bpe):
+    """The query's digests against the tiktoken library, on every document."""
+    import hashlib
+    known, _ = reference_bpe
+    texts = {r.doc_id: r.text or "" for r in common.table(spark, SF, "documents").collect()}
+    rows = registry.op4_byte_bpe(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = known.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def plain_digest(spans, kinds):
+    import hashlib
+    return hashlib.sha256(",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in spans).encode()).hexdigest()
+
+
+def test_pii_digests_of_the_whole_table(spark):
+    texts = {r.doc_id: r.text or "" for r in common.table(spark, SF, "documents").collect()}
+    for r in registry.op1_pii_boosted(spark, SF).collect():
+        base = plain_pii(texts[r.doc_id])
+        assert r.base_sha256 == plain_digest(base, pii.KINDS)
+        starts = [int(s.split(":")[1]) for s in r.spans.split(",") if s]
+        assert starts == sorted(starts)
+        assert {f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in base} <= set(r.spans.split(","))
+
+
 def test_utf8_stream():
     raw = ("aé你\U0001F600" * 5).encode()
     stream, out = bpe.Utf8Stream(), b""
