@@ -24,7 +24,7 @@ from pyspark.sql import SparkSession
 from parcelstream.operators import config_dim, dim_store, dws, ods, transit
 from parcelstream.operators.upsert_store import Files
 from parcelstream.session import configure_for_scale
-from parcelstream.streaming import daily, jobs, order_state
+from parcelstream.streaming import config_state, daily, jobs, order_state
 
 CLEAN_DDL = ("part int, offset long, op string, ts long, table string, before variant, "
              "after variant")
@@ -34,7 +34,8 @@ ODS_RECORD_DDL = "key string, value string, part int, offset long, table string"
 def _settings(a) -> jobs.StreamSettings:
     return jobs.StreamSettings(
         source_format=a.source_format, source_path=a.source, kafka_servers=a.kafka_servers,
-        topic=a.topic, start_mode=a.start_mode, trigger_seconds=a.trigger_seconds,
+        topic=a.topic, start_mode=a.start_mode or (
+            "latest" if a.source_format == "kafka" else "initial"), trigger_seconds=a.trigger_seconds,
         max_files_per_trigger=a.max_files_per_trigger, exact_numbers=a.exact_numbers)
 
 
@@ -148,7 +149,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--config", help="dim: path of the configuration table")
     p.add_argument("--config-changes", help="dim: path of its captured change log (JSON envelopes)")
     p.add_argument("--config-format", default="parquet")
-    p.add_argument("--start-mode", choices=["latest", "initial"], default="latest")
+    p.add_argument("--config-keep-days", type=int, default=7,
+                   help="dim: how late a record may come and be routed by the configuration of its time")
+    p.add_argument("--start-mode", choices=["latest", "initial", "snapshot"],
+                   help="what an ods job starts with: later records alone, all records, or the rows "
+                        "as they stand and then later records (default: files initial, topics latest)")
     p.add_argument("--max-files-per-trigger", type=int, default=1000,
                    help="bounds a micro-batch, the first one over a backlog too")
     p.add_argument("--event-time", action="store_true",
@@ -180,13 +185,15 @@ def main(argv: list[str] | None = None) -> None:
         return
     if a.job == "ods":
         s = _settings(a)
-        qs = [jobs.ods_query(spark, s, a.sink, a.checkpoint, available_now=a.available_now),
-              jobs.ods_quarantine_query(spark, s, rejected, also, available_now=a.available_now)]
+        start = f"{a.checkpoint.rstrip('/')}_start"   # shared: both start at one place
+        qs = [jobs.ods_query(spark, s, a.sink, a.checkpoint, a.available_now, start),
+              jobs.ods_quarantine_query(spark, s, rejected, also, a.available_now, start)]
     elif a.job == "dim":
         qs = [jobs.dim_query(
             spark, _ods_stream(spark, a, "realtime_dim"), a.sink, a.checkpoint,
             lambda: config_dim.read_config(spark, a.config, a.config_format),
-            lambda: config_dim.read_config_changes(spark, a.config_changes, a.config_format),
+            lambda: config_state.refresh(spark, a.config_changes, f"{a.sink.rstrip('/')}/_config",
+                                         a.config_format, a.config_keep_days * config_state.DAY_MS),
             available_now=a.available_now)]
     elif a.job == "daily":
         qs = daily_queries(spark, a)

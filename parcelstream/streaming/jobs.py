@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelstream.operators import config_dim, dim_store, ods, transit
-from parcelstream.streaming import order_state
+from parcelstream.streaming import handover, order_state
 
 RAW_DDL = "part int, offset long, value string"
 
@@ -33,7 +33,8 @@ class StreamSettings:
     source_path: str | None = None
     kafka_servers: str | None = None      # one field for source and sink
     topic: str = "ods_changes"            # raw records; the clean ones go to ``clean_topic``
-    start_mode: str = "latest"            # or "initial": what is already there, then changes
+    start_mode: str = "latest"            # or "initial": what is already there, then changes;
+    #                                       files also "snapshot": rows as they stand, then changes
     trigger_seconds: int = 6              # reference checkpoint interval
     max_files_per_trigger: int | None = None
     options: dict = field(default_factory=dict)
@@ -46,7 +47,12 @@ class StreamSettings:
 
     @property
     def starting_offsets(self) -> str:
-        return {"latest": "latest", "initial": "earliest"}[self.start_mode]
+        return {"latest": "latest", "initial": "earliest", "snapshot": "earliest"}[self.start_mode]
+
+    @property
+    def handover(self) -> str:
+        """The start mode of a file source."""
+        return {"initial": "earliest"}.get(self.start_mode, self.start_mode)
 
 
 def read_raw(spark: SparkSession, s: StreamSettings, topic: str | None = None) -> DataFrame:
@@ -65,6 +71,23 @@ def read_raw(spark: SparkSession, s: StreamSettings, topic: str | None = None) -
     return reader.options(**s.options).load(s.source_path)
 
 
+def read_started(spark: SparkSession, s: StreamSettings, root: str) -> DataFrame:
+    """Captured records from where the start mode says; ``root`` keeps the positions
+    (and the snapshot) of the first start.  A topic has offsets of its own."""
+    if s.source_format == "kafka" and s.start_mode != "snapshot":
+        return read_raw(spark, s)
+
+    def log() -> DataFrame:
+        if s.source_format == "kafka":
+            df = (spark.read.format("kafka").option("kafka.bootstrap.servers", s.kafka_servers)
+                  .option("subscribe", s.topic).options(**s.options).load())
+            return df.select(F.col("partition").alias("part"), "offset",
+                             F.col("value").cast("string").alias("value"))
+        return spark.read.format(s.source_format).schema(RAW_DDL).options(**s.options).load(s.source_path)
+
+    return handover.stream(spark, read_raw(spark, s), log, s.handover, root)
+
+
 def ods_records(clean: DataFrame, for_topic: bool) -> DataFrame:
     """Sink records.  A topic partitions by key, and one writer a key and
     micro-batch keeps a key's records together; consumers order by time and
@@ -76,8 +99,11 @@ def ods_records(clean: DataFrame, for_topic: bool) -> DataFrame:
 
 
 def ods_query(spark: SparkSession, s: StreamSettings, sink_path: str, checkpoint: str,
-              available_now: bool = False):
-    records = ods_records(ods.clean(read_raw(spark, s), s.exact_numbers),
+              available_now: bool = False, start_root: str | None = None):
+    """``start_root``: where the first start is recorded, for start modes other than
+    reading everything."""
+    raw = read_started(spark, s, start_root) if start_root else read_raw(spark, s)
+    records = ods_records(ods.clean(raw, s.exact_numbers),
                           for_topic=s.source_format == "kafka")
     w = records.writeStream.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else \
@@ -89,10 +115,11 @@ def ods_query(spark: SparkSession, s: StreamSettings, sink_path: str, checkpoint
 
 
 def ods_quarantine_query(spark: SparkSession, s: StreamSettings, path: str, checkpoint: str,
-                         available_now: bool = False):
+                         available_now: bool = False, start_root: str | None = None):
     """What :func:`ods_query` doesn't forward, with the reason: a consumer of
     its own with its own checkpoint, so either can be restarted alone."""
-    w = ods.quarantine(read_raw(spark, s)).writeStream.option("checkpointLocation", checkpoint)
+    raw = read_started(spark, s, start_root) if start_root else read_raw(spark, s)
+    w = ods.quarantine(raw).writeStream.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=f"{s.trigger_seconds} seconds")
     return w.format("parquet").option("path", path).start()
@@ -170,14 +197,14 @@ def transit_writer(root: str):
     """``foreachBatch`` body: bound and transport facts of a batch of clean
     records, one table per fact, under ``batch=<id>`` with overwrite."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        for fact, rows in transit.facts_of(batch).items():
-            rows = rows.persist()
-            try:
+        batch.persist()   # read and parsed once for the four facts
+        try:
+            for fact, rows in transit.facts_of(batch).items():
                 if not rows.isEmpty():
                     rows.write.mode("overwrite").parquet(
                         f"{root.rstrip('/')}/{fact}/batch={batch_id}")
-            finally:
-                rows.unpersist()
+        finally:
+            batch.unpersist()
     return run
 
 
