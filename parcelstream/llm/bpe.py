@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame
 from parcelstream.llm import common
 
 MOVES = 300_000        # transitions a worker remembers
-PAIRS = 600_000        # pairs of tokens whose check a worker remembers
-WORDS = 400_000        # short words whose tokens a worker remembers
+PAIRS = 400_000        # pairs of tokens whose check a worker remembers
+WORDS = 250_000        # short words whose tokens a worker remembers
 WORD_CHARS = 40        # longer words are encoded anew each time
 
 
