@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,9 +68,11 @@ def as_struct(df: DataFrame, fields: list[str]) -> Column:
     return F.struct(*[F.col(n) for n in fields])
 
 
-def place_order_facts(order_info: DataFrame, order_cargo: DataFrame,
-                      tz: str = DEFAULT_TZ) -> DataFrame:
+def place_order_facts(order_info: DataFrame, order_cargo: DataFrame, tz: str = DEFAULT_TZ,
+                      columns: Sequence[str] | None = None) -> DataFrame:
     """Batch form of the order ⋈ cargo join: every cargo row with its order.
+    ``columns`` names the fact columns wanted; only the image fields that they
+    come from enter the join (the planner does not see through the images).
 
     Equals the stream result whenever each cargo row arrives inside the
     order's waiting window.  A shuffle (sort-merge) join on the order id;
@@ -78,10 +82,23 @@ def place_order_facts(order_info: DataFrame, order_cargo: DataFrame,
     # text form, so the result is the same; hashing and sorting longs is
     # cheaper than strings), else on the text ids.
     numeric = "order_key" in order_info.columns and "order_key" in order_cargo.columns
-    o = order_info.select(F.col("order_key" if numeric else "id").alias("__oid"),
-                          mask_order(as_struct(order_info, ORDER_FIELDS)).alias("order"))
-    c = order_cargo.select(F.col("order_key" if numeric else "order_id").alias("__cid"),
-                           as_struct(order_cargo, CARGO_FIELDS).alias("cargo"))
+    oid = F.col("order_key" if numeric else "id").alias("__oid")
+    cid = F.col("order_key" if numeric else "order_id").alias("__cid")
+    if columns is not None:
+        order = [n for n in ORDER_OUT if n in columns]
+        masked = {n: mask_name(n) for n in ("sender_name", "receiver_name") if n in order}
+        cargo = [src for out, src in CARGO_OUT if out in columns]
+        o = order_info.withColumns(masked).select(oid, *[F.col(n).alias(f"__o_{n}") for n in order])
+        c = order_cargo.select(cid, *[F.col(n).alias(f"__c_{n}") for n in cargo],
+                               F.col("create_time").alias("__c_create_time"))
+        ms = iso_to_millis(F.col("__c_create_time"))
+        made = {out: F.col(f"__c_{src}") for out, src in CARGO_OUT if out in columns}
+        made |= {n: estimate_arrive_text(F.col(f"__o_{n}"), tz) if n == "estimate_arrive_time"
+                 else F.col(f"__o_{n}") for n in order}
+        made |= {schemas.PLACE_FACT[1]: millis_to_ymd_hms(ms, tz), "ts": ms}
+        return c.join(o, c["__cid"] == o["__oid"]).select(*[made[n].alias(n) for n in columns])
+    o = order_info.select(oid, mask_order(as_struct(order_info, ORDER_FIELDS)).alias("order"))
+    c = order_cargo.select(cid, as_struct(order_cargo, CARGO_FIELDS).alias("cargo"))
     j = c.join(o, c["__cid"] == o["__oid"])
     return j.select(
         *fact_columns(F.col("cargo"), F.col("order"), schemas.PLACE_FACT[1], "cargo", tz))

@@ -7,8 +7,11 @@ updates whose time column goes from null to set.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelstream import schemas
 from parcelstream.functions.timefn import DEFAULT_TZ, iso_to_millis, iso_to_local_text
@@ -62,13 +65,35 @@ FACT_TABLE = {"dwd_bound_inbound": "order_org_bound", "dwd_bound_sort": "order_o
               "dwd_bound_outbound": "order_org_bound", "dwd_trans_finish": "transport_task"}
 
 
-def typed_log(clean: DataFrame, table: str) -> DataFrame:
-    """One table's clean change records with typed row images: op, before, after."""
+def typed_log(clean: DataFrame, table: str, before: Sequence[str] | None = None,
+              after: Sequence[str] | None = None) -> DataFrame:
+    """One table's clean change records with typed row images: op, before, after.
+    ``before`` and ``after`` name the fields to decode, all by default."""
     schema = {"order_org_bound": schemas.ORDER_ORG_BOUND,
               "transport_task": schemas.TRANSPORT_TASK}[table]
+    some = lambda names: schema if names is None else T.StructType([schema[n] for n in names])
     return clean.filter(F.col("table") == table).select(
-        "op", ods.decode(F.col("before"), schema).alias("before"),
-        ods.decode(F.col("after"), schema).alias("after"))
+        "op", ods.decode(F.col("before"), some(before)).alias("before"),
+        ods.decode(F.col("after"), some(after)).alias("after"))
+
+
+def sorts(clean: DataFrame) -> DataFrame:
+    """What the daily sorts need of the sort facts: ``org_id, ts``."""
+    log = typed_log(clean, "order_org_bound", ["sort_time"], ["org_id", "sort_time"])
+    return log.filter(became_set("sort_time")).select(
+        F.col("after.org_id").alias("org_id"), iso_to_millis(F.col("after.sort_time")).alias("ts"))
+
+
+def finishes(clean: DataFrame) -> DataFrame:
+    """What the daily transports need of the finish facts."""
+    fields = ["start_org_id", "truck_id", "actual_start_time", "actual_end_time", "actual_distance"]
+    log = typed_log(clean, "transport_task", ["actual_end_time"], fields)
+    a = lambda n: F.col(f"after.{n}")
+    end_ms = iso_to_millis(a("actual_end_time"))
+    return log.filter(became_set("actual_end_time")).select(
+        a("start_org_id").alias("start_org_id"), a("truck_id").alias("truck_id"),
+        a("actual_distance").alias("actual_distance"),
+        (end_ms - iso_to_millis(a("actual_start_time"))).alias("transport_time"), end_ms.alias("ts"))
 
 
 def facts_of(clean: DataFrame, tz: str = DEFAULT_TZ) -> dict[str, DataFrame]:

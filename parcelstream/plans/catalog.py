@@ -36,9 +36,10 @@ def register(name: str):
 
 
 # ---------------------------------------------------------------- facts -----
-def place_facts(spark: SparkSession, sf: str) -> DataFrame:
+def place_facts(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """The place-order facts, or the given columns of them."""
     return orders.place_order_facts(domain.order_info_rows(spark, sf),
-                                    domain.order_cargo_rows(spark, sf))
+                                    domain.order_cargo_rows(spark, sf), columns=columns or None)
 
 
 @register("dwd_trade_order_detail")
@@ -56,13 +57,14 @@ def q_mask_names(spark, sf):
 # ----------------------------------------------------------- aggregates -----
 @register("dws_trade_cargo_type_order_day")
 def q_dws_trade_cargo_type_order_day(spark, sf):
-    return dws.cargo_type_order_day(place_facts(spark, sf), dims.base_dic(spark, sf))
+    return dws.cargo_type_order_day(place_facts(spark, sf, "cargo_type", "amount", "ts"),
+                                    dims.base_dic(spark, sf))
 
 
 @register("dws_trade_org_order_day")
 def q_dws_trade_org_order_day(spark, sf):
-    return dws.org_order_day(place_facts(spark, sf), dims.base_organ(spark, sf),
-                             dims.base_region_info(spark, sf))
+    facts = place_facts(spark, sf, "order_id", "sender_district_id", "amount", "ts")
+    return dws.org_order_day(facts, dims.base_organ(spark, sf), dims.base_region_info(spark, sf))
 
 
 # ------------------------------------------------- order state machine -----
@@ -458,13 +460,13 @@ def q_dwd_trans_finish(spark, sf):
 
 @register("dws_bound_org_sort_day")
 def q_dws_bound_org_sort_day(spark, sf):
-    facts = transit.bound_sort(transit.typed_log(transit_topic(spark, sf), "order_org_bound"))
-    return dws.org_sort_day(facts, dims.base_organ(spark, sf), dims.base_region_info(spark, sf))
+    return dws.org_sort_day(transit.sorts(transit_topic(spark, sf)), dims.base_organ(spark, sf),
+                            dims.base_region_info(spark, sf))
 
 
 @register("dws_trans_org_truck_model_finish_day")
 def q_dws_trans_org_truck_model_finish_day(spark, sf):
-    facts = transit.trans_finish(transit.typed_log(transit_topic(spark, sf), "transport_task"))
+    facts = transit.finishes(transit_topic(spark, sf))
     return dws.org_truck_model_finish_day(facts, dims.truck_info(spark, sf),
                                           dims.truck_model(spark, sf),
                                           dims.base_organ(spark, sf),
@@ -474,7 +476,7 @@ def q_dws_trans_org_truck_model_finish_day(spark, sf):
 # ------------------------------------------------------------- lookups -----
 @register("dim_lookup_join")
 def q_dim_lookup_join(spark, sf):
-    facts = place_facts(spark, sf).select("id", "cargo_type")
+    facts = place_facts(spark, sf, "id", "cargo_type")
     return lookups.dim_lookup(facts, "cargo_type", dims.base_dic(spark, sf), "id",
                               {"name": "cargo_type_name"})
 
