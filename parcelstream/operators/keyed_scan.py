@@ -18,21 +18,28 @@ every row of a hot key into one task, so the scan is salted by time:
    partitioning, only the summary moves — and fills rows whose slice had no
    earlier value.
 
+A slice that holds more than ``MAX_ROWS`` rows of one key (an order busy within
+one hour) is cut further, at points taken from a range partitioning of the busy
+slices' rows by the scan's own order, so equal times are cut by what comes after
+them.  Inputs of fewer rows have no such slice and are only counted.
+
 Everything is built-in expressions, so the scan stays JVM-side.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelstream.session import ensure_checkpoint_dir
+
 DEFAULT_BUCKET_MS = 60 * 60 * 1000
-# Session setting overriding the bucket width.  The largest window task
-# holds the rows one key produces in one bucket, so on a cluster choose the
-# width from the peak change rate of the hottest key (e.g. 1 minute when a
-# single order can produce tens of GB per hour).
+MAX_ROWS = 1 << 20        # rows of one key in one slice
+MAX_CUTS = 1 << 16        # cut points, which are broadcast: some 50 bytes each
+# Session setting overriding the bucket width (busier slices are cut further).
 BUCKET_CONF = "spark.parcelstream.scan.bucketMs"
 
 
@@ -44,9 +51,42 @@ def bucket_width(df: DataFrame, default: int | None = None) -> int:
 BUCKET = "__scan_bucket"
 
 
+def cut_busy(df: DataFrame, key: str, order: Sequence[str], max_rows: int | None = None) -> DataFrame:
+    """``df`` with its bucket ``__b`` made a (bucket, part): the parts of a bucket
+    hold consecutive rows of a key, about ``max_rows`` of them at most.  Unchanged
+    where no bucket holds more."""
+    max_rows = max_rows or MAX_ROWS
+    total = df.count()
+    if total <= max_rows:
+        return df
+    # At most MAX_CUTS slices are this busy, and as many points cut them.
+    max_rows = max(max_rows, -(-2 * total // MAX_CUTS))
+    busy = df.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows)
+    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/scans/{uuid.uuid4().hex}"
+    busy.write.parquet(f"{folder}/busy")
+    busy = df.sparkSession.read.schema(busy.schema).parquet(f"{folder}/busy")
+    rows = busy.agg(F.sum("n")).first()[0]
+    if not rows:
+        return df
+    mine = df.join(F.broadcast(busy.select(key, "__b")), [key, "__b"]).select(key, "__b", *order)
+    ranged = mine.repartitionByRange(-(-rows // max_rows) + 1, key, "__b", *order)
+    first = ranged.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.min(F.struct(key, "__b", F.struct(*order).alias("at"))).alias("m"))
+    # Stored, so that every reader of the plan cuts at the same points.
+    first.select("m.*").write.parquet(f"{folder}/cuts")
+    cuts = df.sparkSession.read.parquet(f"{folder}/cuts").groupBy(key, "__b").agg(
+        F.collect_list("at").alias("__cuts"))
+    part = F.size(F.filter("__cuts", lambda c: c <= F.struct(*order)))
+    joined = df.join(F.broadcast(cuts), [key, "__b"], "left")
+    return joined.withColumn("__b", F.struct(
+        F.col("__b").alias("bucket"), F.when(F.col("__cuts").isNull(), 0).otherwise(part).alias("part"))
+    ).drop("__cuts")
+
+
 def asof_last(df: DataFrame, key: str, order: Sequence[str],
               values: Mapping[str, Column], inclusive: bool = False,
-              bucket_ms: int | None = None, keep_bucket: bool = False) -> DataFrame:
+              bucket_ms: int | None = None, keep_bucket: bool = False,
+              max_rows: int | None = None) -> DataFrame:
     """Add one column per ``values`` entry: the last non-null value of that
     expression among rows with the same ``key`` that come before the row in
     ``order`` (``inclusive=True`` also counts the row itself).
@@ -61,10 +101,12 @@ def asof_last(df: DataFrame, key: str, order: Sequence[str],
     """
     names = list(values)
     bucket_ms = bucket_ms or bucket_width(df)
-    tmp = df.withColumns({f"__v_{n}": values[n] for n in names})
     if BUCKET not in df.columns:
-        tmp = tmp.withColumn(BUCKET, F.floor(F.col(order[0]) / F.lit(bucket_ms)).cast("long"))
-    tmp = tmp.withColumnRenamed(BUCKET, "__b")
+        sliced = df.withColumn("__b", F.floor(F.col(order[0]) / F.lit(bucket_ms)).cast("long"))
+        sliced = cut_busy(sliced, key, order, max_rows)
+    else:
+        sliced = df.withColumnRenamed(BUCKET, "__b")
+    tmp = sliced.withColumns({f"__v_{n}": values[n] for n in names})
     ordcols = [F.col(c) for c in order]
 
     frame = (Window.partitionBy(key, "__b").orderBy(*ordcols)
