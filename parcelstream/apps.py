@@ -162,6 +162,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--exact-numbers", action="store_true",
                    help="ods: hand on the row images' numbers as the text they came in")
+    p.add_argument("--fold-every", type=int, default=50,
+                   help="dim: fold the store's older batches every so many")
+    p.add_argument("--database", help="dim: create and publish the configured tables in this database")
     p.add_argument("--only", action="append", choices=sorted(daily.DAILY),
                    help="daily: this aggregate alone (may be given several times)")
     a = p.parse_args(argv)
@@ -194,7 +197,7 @@ def main(argv: list[str] | None = None) -> None:
             lambda: config_dim.read_config(spark, a.config, a.config_format),
             lambda: config_state.refresh(spark, a.config_changes, f"{a.sink.rstrip('/')}/_config",
                                          a.config_format, a.config_keep_days * config_state.DAY_MS),
-            available_now=a.available_now)]
+            available_now=a.available_now, fold_every=a.fold_every, database=a.database)]
     elif a.job == "daily":
         qs = daily_queries(spark, a)
     elif a.job == "transit":

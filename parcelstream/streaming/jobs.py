@@ -2,11 +2,10 @@
 
 * ODS:  captured records -> clean -> keyed records, exactly-once via the
   checkpointed file sink (or a Kafka topic when the connector is present).
-* DIM:  clean dimension records -> ``foreachBatch``: the configuration is
-  re-folded from its change log every micro-batch (live configuration),
-  rows are routed and projected, and the batch's cells are appended to the
-  store under ``batch=<id>`` (a replay rewrites that partition); readers
-  merge cell-wise.
+* DIM:  clean dimension records -> ``foreachBatch``: the configuration's state is
+  refreshed every micro-batch (live configuration), new tables are created, rows
+  are routed and projected, and the batch's cells are appended to the store (a
+  replay replaces the batch); older batches are folded, readers merge cell-wise.
 * DWD:  clean order/cargo records -> per-order state -> one output per fact.
 
 Source and sink formats are settings: ``parquet``/``json``/``text`` files
@@ -21,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelstream.operators import config_dim, dim_store, ods, transit
+from parcelstream.operators import config_dim, dim_store, dim_tables, ods, transit
 from parcelstream.streaming import handover, order_state
 
 RAW_DDL = "part int, offset long, value string"
@@ -125,24 +124,37 @@ def ods_quarantine_query(spark: SparkSession, s: StreamSettings, path: str, chec
     return w.format("parquet").option("path", path).start()
 
 
-def dim_batch_writer(spark: SparkSession, store_root: str, config_fn, config_changes_fn):
-    """``foreachBatch`` body of the DIM job: read the configuration and its
-    change log as they are now, route with the one in force at each record's
-    time, and append the batch's cells."""
+def dim_batch_writer(spark: SparkSession, store_root: str, config_fn, config_changes_fn,
+                     fold_every: int = 50, database: str | None = None):
+    """``foreachBatch`` body of the DIM job: the configuration as it is now creates the
+    tables that are new (given a ``database``), routes each record by the one in force
+    at its time, and the batch's cells are appended.  Every ``fold_every`` batches those
+    before are folded (they can't be replayed any more) and the tables are published."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        versions = config_dim.config_versions(spark, config_dim.preload(config_fn()),
-                                              config_changes_fn())
+        config, changes = config_dim.preload(config_fn()), config_changes_fn()
+        if database:
+            named = config.select("source_table", "sink_table", "sink_family").unionByName(
+                changes.filter("after is not null").select(
+                    "source_table", "after.sink_table", "after.sink_family"))
+            dim_tables.create(spark, named, store_root, database)
+        versions = config_dim.config_versions(spark, config, changes)
         dims_ = ods.table_group(batch, "realtime_dim")
         dim_store.append_cells(dim_store.cells(config_dim.routed_rows(dims_, versions)),
                                store_root, batch_id)
+        if batch_id and batch_id % fold_every == 0:
+            done = dim_store.fold(spark, store_root, upto=batch_id - 1)
+            for table in done.base if database else ():
+                dim_tables.publish(spark, store_root, table, database)
     return run
 
 
 def dim_query(spark: SparkSession, clean_stream: DataFrame, store_root: str, checkpoint: str,
-              config_fn, config_changes_fn, available_now: bool = False):
+              config_fn, config_changes_fn, available_now: bool = False, fold_every: int = 50,
+              database: str | None = None):
     w = clean_stream.writeStream.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="6 seconds")
-    return w.foreachBatch(dim_batch_writer(spark, store_root, config_fn, config_changes_fn)).start()
+    return w.foreachBatch(dim_batch_writer(spark, store_root, config_fn, config_changes_fn,
+                                           fold_every, database)).start()
 
 
 def dwd_query(order_log_stream: DataFrame, checkpoint: str, query_name: str,
