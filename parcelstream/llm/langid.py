@@ -114,7 +114,7 @@ def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     near = (rows.withColumn("u", uniform).join(F.broadcast(sizes) if sizes.count() < 10_000 else sizes, "lang")
             .filter(F.col("u") * F.col("rows") <= 2 * PER_LANGUAGE))
     sample = near.withColumn("place", F.row_number().over(
-        Window.partitionBy("lang").orderBy("u", "id"))).filter(F.col("place") <= PER_LANGUAGE)
+        Window.partitionBy("lang").orderBy("u", "id", "text"))).filter(F.col("place") <= PER_LANGUAGE)
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
         rows_ = [counts(t.encode("utf-8")) for t in group["text"]]

@@ -101,8 +101,10 @@ def test_near_duplicates_crowded_family(spark, monkeypatch):
 def test_near_duplicates_whole_table(spark):
     docs = common.table(spark, SF, "documents").select("doc_id", "text").collect()
     known = plain_components([tuple(d) for d in docs])
+    sizes = {d.doc_id: len(shingles(d.text)) for d in docs}
     for r in registry.op2_minhash_odd_sketch(spark, SF).collect():
-        assert r.component_id == known[r.doc_id]
+        assert (r.component_id, r.n_shingles) == (known[r.doc_id], sizes[r.doc_id])
+        assert r.kept == (r.doc_id == r.component_id)
 
 
 def test_odd_sketch_estimates_similarity():

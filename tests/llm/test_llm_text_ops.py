@@ -282,6 +282,68 @@ def test_pii_digests_of_the_whole_table(spark):
         assert {f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in base} <= set(r.spans.split(","))
 
 
+def test_secret_digests_of_the_whole_table(spark):
+    texts = {r.doc_id: r.text or "" for r in common.table(spark, SF, "documents").collect()}
+    for r in registry.op10_secret_novelty(spark, SF).collect():
+        base = plain_secrets(texts[r.doc_id])
+        assert r.base_sha256 == plain_digest(base, secrets.KINDS)
+        assert {f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in base} <= set(r.spans.split(","))
+
+
+def test_quality_counts_of_the_whole_table(spark):
+    texts = {r.doc_id: r.text or "" for r in common.table(spark, SF, "documents").collect()}
+    rows = registry.op7_quality_rules(spark, SF).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    for r in rows.collect():
+        if len(texts[r.doc_id]) < 60_000:        # the plain version is quadratic
+            assert tuple(r)[1:7] == plain_quality(texts[r.doc_id]), r.doc_id
+        assert not (r.base_failed and r.kept)
+
+
+def plain_grams(text):
+    """{place: count} of the hashed n-grams, byte by byte."""
+    folded, out = [], {}
+    for c in text.encode():
+        c = c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32
+        if c != 32 or not folded or folded[-1] != 32:
+            folded.append(c)
+    for n in range(1, 5):
+        for i in range(len(folded) - n + 1):
+            gram = int.from_bytes(bytes(folded[i:i + n]), "big") + (n << 40)
+            place = (gram * 0x9E3779B97F4A7C15 % (1 << 64)) >> 52
+            out[place] = out.get(place, 0) + 1
+    return out
+
+
+def test_language_equals_plain_nearest_centroid(spark):
+    """Every prediction of the whole table, from the same model, in plain Python."""
+    import math
+    docs = common.table(spark, SF, "documents")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = langid.fit(docs.filter(~held))
+    assert {lang: model["lang"].count(lang) for lang in model["lang"]} == {
+        lang: langid.CENTROIDS for lang in set(model["lang"])}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    shown = {r.doc_id: r for r in registry.op5_language_centroids(spark, SF).collect()}
+    checked = 0
+    for r in langid.predict(docs, model).collect():
+        text = texts[r.doc_id]
+        assert (shown[r.doc_id].lang_pred, shown[r.doc_id].rejected) == (r.lang_pred, r.rejected)
+        if not text or not any(map(str.isalpha, text)):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        if len(text) > 4000:
+            continue
+        x = {p: math.log1p(n) * float(model["idf"][p]) for p, n in plain_grams(text).items()}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        cos = [sum(v * float(c[p]) for p, v in x.items()) / norm for c in model["centroid"]]
+        best = max(cos)
+        near = {lang for lang, c in zip(model["lang"], cos) if best - c < 1e-5}
+        assert r.lang_pred in near and abs(r.score - min(1.0, max(0.0, best))) < 1e-4
+        checked += 1
+    assert checked > 100
+
+
 def test_utf8_stream():
     raw = ("aé你\U0001F600" * 5).encode()
     stream, out = bpe.Utf8Stream(), b""
