@@ -107,6 +107,15 @@ def test_near_duplicates_whole_table(spark):
         assert r.kept == (r.doc_id == r.component_id)
 
 
+def test_near_duplicates_without_the_broadcast(spark, monkeypatch):
+    """The shuffled form of the filters by id, in the operator and in the stage."""
+    rows = list(enumerate(families(5, 30, 60, 2)))
+    known = neardup.deduplicate(frame(spark, rows)).collect()
+    monkeypatch.setattr(neardup, "BROADCAST_ROWS", -1)
+    check_near(spark, rows)
+    assert sorted(map(tuple, neardup.deduplicate(frame(spark, rows)).collect())) == sorted(map(tuple, known))
+
+
 def test_odd_sketch_estimates_similarity():
     xor, mul = neardup._randoms(1, neardup.SAMPLES), neardup._randoms(2, neardup.SAMPLES) | np.uint64(1)
     for shared in (500, 460, 300):
@@ -238,6 +247,7 @@ def test_top_k(spark):
 def test_top_k_blocks_ties_and_edges(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATES", 16)
     monkeypatch.setattr(topk, "QUERIES", 2)
+    monkeypatch.setattr(topk, "TILE", 2)
     monkeypatch.setattr(topk, "CHUNK", 5)
     rnd = random.Random(5)
     rows = [(i, [rnd.choice([-1.0, 0.0, 0.5]) for _ in range(6)]) for i in range(100)]
@@ -255,6 +265,34 @@ def test_top_k_blocks_ties_and_edges(spark, monkeypatch):
     assert [tuple(r) for r in topk.top_k(few).orderBy("rank").collect()] == [(0, 1, 1, 64 * 128), (0, 2, 2, 0)]
 
 
+def test_top_k_bounds_remove_pairs(spark):
+    """The share of pairs that the bounds leave to be multiplied, once each query's
+    20th score is known; none of those that count is lost."""
+    rows = common.table(spark, "/root/testdata/sf0.1", "embeddings").select("embedding").collect()
+    v = np.floor(64 * np.array([r.embedding for r in rows], np.float64)).astype(np.int64)
+    q, scores = v[::20], v[::20] @ v.T
+    floor = np.sort(scores, axis=1)[:, -20].astype(float)
+    alive = topk.survivors(topk.levels(q), topk.levels(v), floor, np.ones(scores.shape, bool))
+    assert alive[scores >= floor[:, None]].all()
+    print(f"survivors on embeddings: {alive.mean():.3f}")
+    assert alive.mean() <= 0.7
+    # where segments differ between families, the coarse levels do most of it
+    rnd = np.random.default_rng(2)
+    family = np.repeat(rnd.integers(-60, 60, (40, 8)), 8, axis=1)
+    w = np.repeat(family, 50, axis=0) + rnd.integers(-3, 4, (2000, 64))
+    scores = w[::20] @ w.T
+    floor = np.sort(scores, axis=1)[:, -20].astype(float)
+    alive = topk.survivors(topk.levels(w[::20]), topk.levels(w), floor, np.ones(scores.shape, bool))
+    assert alive[scores >= floor[:, None]].all() and alive.mean() <= 0.06
+
+
+def test_top_k_scores_beyond_63_bits_raise():
+    big, at = np.full((1, 4), 1 << 30, np.int64), np.zeros(1, int)
+    assert topk.products(big, big, at, at)[0] == 1 << 62
+    with pytest.raises(OverflowError):
+        topk.products(2 * big, big, at, at)
+
+
 def plain_url(url):
     if url is None or "://" not in url:
         host = path = ""
