@@ -43,7 +43,8 @@ def _ods_stream(spark: SparkSession, a, group: str) -> "DataFrame":  # noqa: F82
     """The clean records of a table group, as ``run ods`` wrote them."""
     s = _settings(a)
     if a.source_format == "kafka":
-        return ods.table_group(ods.parse_ods_records(jobs.read_raw(spark, s, s.clean_topic)), group)
+        raw = ods.once(jobs.read_raw(spark, s, s.clean_topic, with_time=True), "timestamp", a.replay_window)
+        return ods.table_group(ods.parse_ods_records(raw), group)
     reader = spark.readStream.schema(ODS_RECORD_DDL).format(a.source_format)
     if s.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", s.max_files_per_trigger)
@@ -136,6 +137,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--source", help="input folder (file formats)")
     p.add_argument("--source-format", default="parquet")
     p.add_argument("--kafka-servers")
+    p.add_argument("--replay-window", default="1 hour",
+                   help="topics: how long after a record it may be written again by a replayed batch")
     p.add_argument("--topic", default="ods_changes")
     p.add_argument("--sink", required=True, help="output folder / store root")
     p.add_argument("--dims", help="dimension store root (dws)")

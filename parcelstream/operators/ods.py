@@ -143,21 +143,35 @@ def table_group(df: DataFrame, option: str, config_table: str | None = None) ->
 
 
 def sink_record(clean_df: DataFrame, with_position: bool = False,
-                with_table: bool = False) -> DataFrame:
+                with_table: bool = False, position_in_value: bool = False) -> DataFrame:
     """Message layout for the ODS topic: key = ``after.id`` so one row's
     changes stay in one partition; value = the cleaned envelope as JSON.
     ``with_position`` keeps the source ``part, offset`` (file sinks; a
     Kafka consumer gets its own partition/offset); ``with_table`` keeps the
-    table, to partition files by."""
-    value = F.to_json(F.struct(
-        "op", "ts", "before", "after", F.struct(F.col("table").alias("table")).alias("source")))
+    table, to partition files by; ``position_in_value`` puts the source position
+    into the message, by which a consumer tells a record written twice."""
+    own = [F.struct("part", "offset").alias("pos")] if position_in_value else []
+    value = F.to_json(F.struct("op", "ts", "before", "after", F.struct(
+        F.col("table").alias("table")).alias("source"), *own))
     pos = ["part", "offset"] if with_position else []
     pos += ["table"] if with_table else []
     return clean_df.select(record_id(clean_df).alias("key"), value.alias("value"), *pos)
 
 
 ODS_RECORD_DDL = ("op string, ts bigint, before variant, after variant, "
-                  "source struct<table:string>")
+                  "source struct<table:string>, pos struct<part:int,offset:bigint>")
+
+
+def once(records: DataFrame, arrived: str, within: str) -> DataFrame:
+    """Messages of a topic that is written at least once, each source position once
+    (the stream keeps positions for ``within`` of ``arrived``, the time of arrival,
+    which must cover the time a batch may take to be written again).  Rows without a
+    position pass."""
+    pos = F.from_json("value", "pos struct<part:int,offset:bigint>").getField("pos")
+    told = records.withColumn("__pos", pos)
+    seen = (told.filter("__pos is not null").withWatermark(arrived, within)
+            .dropDuplicatesWithinWatermark(["__pos"]))
+    return seen.unionByName(told.filter("__pos is null").withWatermark(arrived, within)).drop("__pos")
 
 
 def parse_ods_records(records: DataFrame, group: str | None = None) -> DataFrame:
@@ -168,7 +182,10 @@ def parse_ods_records(records: DataFrame, group: str | None = None) -> DataFrame
         records = table_group(records, group)
     parsed = F.struct(F.from_json(F.col("value"), ODS_RECORD_DDL).alias("r"))
     r = records.select("*", F.inline(F.array(parsed)))
+    # The source position, where the message carries it, orders a row's changes.
     return r.filter(F.col("r").isNotNull()).select(
-        "part", "offset", F.col("r.op").alias("op"), F.col("r.ts").alias("ts"),
+        F.coalesce("r.pos.part", "part").alias("part"),
+        F.coalesce("r.pos.offset", "offset").alias("offset"),
+        F.col("r.op").alias("op"), F.col("r.ts").alias("ts"),
         F.col("r.source.table").alias("table"), F.col("r.before").alias("before"),
         F.col("r.after").alias("after"))

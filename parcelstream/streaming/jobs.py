@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelstream.operators import config_dim, dim_store, dim_tables, ods, transit
+from parcelstream.operators.upsert_store import Files
 from parcelstream.streaming import handover, order_state
 
 RAW_DDL = "part int, offset long, value string"
@@ -54,8 +55,10 @@ class StreamSettings:
         return {"initial": "earliest"}.get(self.start_mode, self.start_mode)
 
 
-def read_raw(spark: SparkSession, s: StreamSettings, topic: str | None = None) -> DataFrame:
-    """Captured records as a stream of ``part, offset, value``."""
+def read_raw(spark: SparkSession, s: StreamSettings, topic: str | None = None,
+             with_time: bool = False) -> DataFrame:
+    """Captured records as a stream of ``part, offset, value`` (and the topic's own
+    ``timestamp``)."""
     if s.source_format == "kafka":
         df = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", s.kafka_servers)
@@ -63,7 +66,8 @@ def read_raw(spark: SparkSession, s: StreamSettings, topic: str | None = None) -
               .option("startingOffsets", s.starting_offsets)
               .options(**s.options).load())
         return df.select(F.col("partition").alias("part"), "offset",
-                         F.col("value").cast("string").alias("value"))
+                         F.col("value").cast("string").alias("value"),
+                         *(["timestamp"] if with_time else []))
     reader = spark.readStream.format(s.source_format).schema(RAW_DDL)
     if s.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", s.max_files_per_trigger)
@@ -93,10 +97,22 @@ def ods_records(clean: DataFrame, for_topic: bool) -> DataFrame:
     position.  A file sink keeps the source position and the table, by which it
     is partitioned, so a consumer reads its own tables only."""
     if for_topic:
-        return ods.sink_record(clean.repartition(ods.record_id(clean)))
+        return ods.sink_record(clean.repartition(ods.record_id(clean)), position_in_value=True)
     return ods.sink_record(clean, with_position=True, with_table=True)
 
 
+def topic_writer(write, ledger: str):
+    """``foreachBatch`` body of a topic sink.  A batch that the ledger lists has been
+    written whole and is not written again; one that was cut off is, and its consumers
+    take each source position once (:func:`ods.once`), so every record counts once."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        files = Files(batch.sparkSession, ledger)
+        if not files.exists(f"batch={batch_id}"):
+            write(batch)
+            files.write(f"batch={batch_id}", "written")
+    return run
+
+
 def ods_query(spark: SparkSession, s: StreamSettings, sink_path: str, checkpoint: str,
               available_now: bool = False, start_root: str | None = None):
     """``start_root``: where the first start is recorded, for start modes other than
@@ -108,8 +124,10 @@ def ods_query(spark: SparkSession, s: StreamSettings, sink_path: str, checkpoint
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=f"{s.trigger_seconds} seconds")
     if s.source_format == "kafka":
-        return (w.format("kafka").option("kafka.bootstrap.servers", s.kafka_servers)
-                .option("topic", s.clean_topic).start())
+        def write(batch: DataFrame) -> None:
+            (batch.write.format("kafka").option("kafka.bootstrap.servers", s.kafka_servers)
+             .option("topic", s.clean_topic).save())
+        return w.foreachBatch(topic_writer(write, f"{checkpoint.rstrip('/')}_ledger")).start()
     return w.format("parquet").option("path", sink_path).partitionBy("table").start()
 
 
