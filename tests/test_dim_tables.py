@@ -13,6 +13,14 @@ from parcelstream.streaming import jobs
 from conftest import SF_SMALL
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture()
 def database(spark):
     name = f"dims_{uuid.uuid4().hex[:8]}"

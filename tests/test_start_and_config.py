@@ -16,6 +16,14 @@ from parcelstream.streaming import config_state, handover, jobs
 RAW = "part int, offset long, value string"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def envelope(op, ts, key, v, table="user_info"):
     image = {"id": key, "login_name": v}
     return json.dumps({"op": op, "ts_ms": ts, "before": image if op in "ud" else None,

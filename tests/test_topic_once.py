@@ -11,6 +11,14 @@ from parcelstream.streaming import jobs
 from conftest import SF_SMALL
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def consumed(spark, topic, scratch, name):
     raw = spark.readStream.schema("key string, value string, part int, offset long").option(
         "maxFilesPerTrigger", 1).parquet(topic).withColumn(

@@ -12,6 +12,14 @@ from parcelstream.operators import dim_store, lookups, upsert_store
 CELLS = "sink_table string, row_key string, column string, value string, ts long, part int, offset long"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def cells(spark, rows):
     return spark.createDataFrame(rows, CELLS)
 
