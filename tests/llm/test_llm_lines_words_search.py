@@ -22,6 +22,14 @@ SF = "/root/testdata/sf0.001"
 LOW = {i: i + 32 for i in range(65, 91)}
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.mark.parametrize("name", sorted(registry.oracles()))
 def test_query_equals_sql(spark, name):
     ok, message = compare(registry.queries()[name](spark, SF), duck(SF), registry.oracles()[name])
@@ -111,7 +119,7 @@ def test_lines_with_a_hot_one(spark):
     assert cleaned(spark, rows, keep="line") == sorted(plain_lines(rows, one=True), key=repr)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(["a", "B", "ab", " a", "", "b\t", "Ab"]), max_size=6), max_size=12))
 def test_lines_random(spark, texts):
     rows = [(i % 7, "\n".join(t)) for i, t in enumerate(texts)]
@@ -187,7 +195,7 @@ def test_words_of_one_family(spark):
     assert set(map(tuple, _variants(spark, rows))) == plain_variants(plain_counts(rows))
 
 
-@settings(max_examples=3, deadline=None)
+@settings(max_examples=2, deadline=None)
 @given(st.lists(st.text(alphabet="abÀ", min_size=4, max_size=8), max_size=40))
 def test_words_random(spark, words):
     rows = [(i, f"{w} {w} {w}") for i, w in enumerate(words)]
