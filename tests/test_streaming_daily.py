@@ -2,7 +2,6 @@
 over restarts, replayed batches and folds."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from parcelstream.operators import dws, orders, transit, upsert_store
 from parcelstream.sources import dims, domain

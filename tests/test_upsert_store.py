@@ -5,7 +5,6 @@ import os
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from parcelstream.operators import dim_store, lookups, upsert_store
 
