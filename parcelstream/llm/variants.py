@@ -6,7 +6,7 @@ most frequent near word, if at least ``RATIO`` times as frequent, and its root
 is where its forms lead.
 
 The trie is a table of edges (node, ch, child, ends), a node being a hash of a
-prefix and ``ends`` the word that ends at the child.  Words stand in it twice,
+prefix and ``ends`` whether a word ends at the child.  Words stand in it twice,
 forwards and reversed: an edit in the second half of a word is found in the
 forward trie and one in the first half in the reversed one, so an edit is only
 tried where the trie has left its crowded top.  Level by level, the states
@@ -111,16 +111,19 @@ def _letter(pos: Column) -> Column:
     return F.when(pos >= 0, F.ascii(F.substring(F.col("word"), pos + 1, F.lit(1)))).otherwise(0)
 
 
+def both_ways(short: DataFrame) -> DataFrame:
+    return short.select("word", F.lit(False).alias("back")).unionAll(
+        short.select(F.reverse("word").alias("word"), F.lit(True)))
+
+
 def own_states(short: DataFrame, depth: int) -> DataFrame:
     """(word, back, pos, node, ch, child, ends, skip, last) of every word at this
     depth, if beyond its middle, in both directions: its own step to the child,
     the letter ``skip`` that follows if its next one is left out (0: not here),
     and whether its last one may be.  These steps are the level's edges as well."""
-    both = short.select("word", F.lit(False).alias("back")).unionAll(
-        short.select(F.reverse("word").alias("word"), F.lit(True)))
     size, pos, back = F.length("word"), F.lit(depth), F.col("back")
     half = F.floor(size / 2)
-    rows = both.filter((F.when(back, size - half).otherwise(half) <= pos) & (pos < size))
+    rows = both_ways(short).filter((F.when(back, size - half).otherwise(half) <= pos) & (pos < size))
     here, after, before = _letter(pos), _letter(pos + 1), _letter(pos - 1)
     # Of equal letters in a row only the last one, as the word is written, is skipped.
     may_skip = F.when(back, here != before).otherwise(here != after)
@@ -128,15 +131,15 @@ def own_states(short: DataFrame, depth: int) -> DataFrame:
     last = (pos == size - 2) & (~back | (here != after))
     return rows.select(
         "word", "back", pos.alias("pos"), _node(back, pos).alias("node"), here.alias("ch"),
-        _node(back, pos + 1).alias("child"), F.when(pos == size - 1, F.col("word")).alias("ends"),
+        _node(back, pos + 1).alias("child"), (pos == size - 1).alias("ends"),
         F.when(may_skip, after).otherwise(0).alias("skip"), last.alias("last"))
 
 
 def short_pairs(short: DataFrame) -> DataFrame:
     """(a, b), ``a`` one edit from ``b``, of words up to ``LONG`` letters."""
-    straight = lambda c: F.when(F.col("back"), F.reverse(c)).otherwise(F.col(c))
+    straight = F.when(F.col("back"), F.reverse("word")).otherwise(F.col("word"))
     low, high = short.agg(F.min(F.length("word")), F.max(F.length("word"))).first()
-    pairs = short.select(F.col("word").alias("a"), F.col("word").alias("b")).limit(0)
+    found = short.select(F.col("word").alias("a"), F.lit(0).cast("long").alias("node")).limit(0)
     pos, ch, want, own = F.col("pos"), F.col("ch"), F.col("want"), F.col("own")
     replaced, skipped = own & (ch > want), own & (ch == F.col("skip"))
     ended, followed = F.col("last") & (ch == want), ~own & (ch == want)
@@ -150,17 +153,19 @@ def short_pairs(short: DataFrame) -> DataFrame:
         asks = states.select("node", "word", "back", "pos", F.col("ch").alias("want"),
                              F.lit(True).alias("own"), "skip", "last")
         if frontier is not None:
-            asks = asks.unionByName(frontier.filter("ends is null").select(
+            asks = asks.unionByName(frontier.filter("not ends").select(
                 "node", "word", "back", "pos", _letter(pos).alias("want"), F.lit(False).alias("own"),
                 F.lit(0).alias("skip"), F.lit(False).alias("last")))
-        step = asks.join(edges, "node").filter(replaced | skipped | ended | followed)
-        step = step.withColumn("pos", F.explode(moves))
-        frontier = common.stored(step.filter(~done | F.col("ends").isNotNull()).select(
-            "word", "back", "pos", F.col("child").alias("node"),
-            F.when(done, F.col("ends")).alias("ends")), "frontier")
-        pairs = pairs.unionAll(frontier.filter("ends is not null").select(
-            straight("word").alias("a"), straight("ends").alias("b")))
-    return pairs.filter(F.levenshtein("a", "b") == 1)
+        # A task's edges are few beside its states: they are hashed, nothing is sorted.
+        step = asks.join(edges.hint("shuffle_hash"), "node").filter(
+            replaced | skipped | ended | followed)
+        step = step.withColumn("pos", F.explode(moves)).filter(~done | F.col("ends"))
+        frontier = common.stored(step.select(
+            "word", "back", "pos", F.col("child").alias("node"), done.alias("ends")), "frontier")
+        found = found.unionAll(frontier.filter("ends").select(straight.alias("a"), "node"))
+    whole = both_ways(short).select(_node(F.col("back"), F.length("word")).alias("node"),
+                                    straight.alias("b"))
+    return found.join(whole, "node").select("a", "b").filter(F.levenshtein("a", "b") == 1)
 
 
 def probe(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
