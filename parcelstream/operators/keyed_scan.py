@@ -3,7 +3,8 @@
 The order state machine needs, for every change row, the latest earlier
 value of some state within the same order (previous status, latest cargo
 row, the order waiting for cargo).  ``Window.partitionBy(key)`` would put
-every row of a hot key into one task, so the scan is salted by time:
+every row of a hot key into one task, so where a key has more than ``MAX_ROWS`` rows
+(counted first) the scan is salted by time:
 
 1. rows are grouped by ``(key, bucket)`` with ``bucket = time // bucket_ms``
    (a deterministic salt that keeps the order: a hot key's history is cut
@@ -21,7 +22,7 @@ every row of a hot key into one task, so the scan is salted by time:
 A slice that holds more than ``MAX_ROWS`` rows of one key (an order busy within
 one hour) is cut further, at points taken from a range partitioning of the busy
 slices' rows by the scan's own order, so equal times are cut by what comes after
-them.  Inputs of fewer rows have no such slice and are only counted.
+them.  Inputs without such a slice are only counted.
 
 Everything is built-in expressions, so the scan stays JVM-side.
 """
@@ -49,20 +50,47 @@ def bucket_width(df: DataFrame, default: int | None = None) -> int:
 
 
 BUCKET = "__scan_bucket"
+WHOLE = "__scan_whole"    # stands for the bucket where no key is sliced
+
+
+def _slice(order: Sequence[str], bucket_ms: int) -> Column:
+    return F.floor(F.col(order[0]) / F.lit(bucket_ms)).cast("long")
+
+
+def _cell(*keys: str) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(MAX_CUTS)).cast("int")
+
+
+def full_cells(df: DataFrame, keys: Sequence[str], max_rows: int | None, folder: str):
+    """The cells ``__c`` that may hold a group of more than ``max_rows`` rows, None if
+    there is none, and the bound, at which at most MAX_CUTS groups are that busy.
+
+    Groups are counted together, MAX_CUTS cells of them, in one pass that moves no
+    rows; a busy group makes its cell full, whatever else is in it."""
+    cells = df.groupBy(_cell(*keys).alias("__c")).agg(F.count(F.lit(1)).alias("n"))
+    cells.write.parquet(f"{folder}/cells")
+    cells = df.sparkSession.read.schema(cells.schema).parquet(f"{folder}/cells")
+    total, most = cells.agg(F.sum("n"), F.max("n")).first()
+    max_rows = max(max_rows or MAX_ROWS, -(-2 * (total or 0) // MAX_CUTS))
+    return (cells.filter(F.col("n") > max_rows).select("__c") if (most or 0) > max_rows else None), max_rows
+
+
+def short_keys(df: DataFrame, key: str, max_rows: int | None = None) -> bool:
+    """Whether no key has more rows than a slice may hold."""
+    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/scans/{uuid.uuid4().hex}"
+    return full_cells(df, (key,), max_rows, folder)[0] is None
 
 
 def cut_busy(df: DataFrame, key: str, order: Sequence[str], max_rows: int | None = None) -> DataFrame:
     """``df`` with its bucket ``__b`` made a (bucket, part): the parts of a bucket
     hold consecutive rows of a key, about ``max_rows`` of them at most.  Unchanged
     where no bucket holds more."""
-    max_rows = max_rows or MAX_ROWS
-    total = df.count()
-    if total <= max_rows:
-        return df
-    # At most MAX_CUTS slices are this busy, and as many points cut them.
-    max_rows = max(max_rows, -(-2 * total // MAX_CUTS))
-    busy = df.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows)
     folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/scans/{uuid.uuid4().hex}"
+    full, max_rows = full_cells(df, (key, "__b"), max_rows, folder)
+    if full is None:
+        return df
+    some = df.withColumn("__c", _cell(key, "__b")).join(F.broadcast(full), "__c", "left_semi")
+    busy = some.groupBy(key, "__b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows)
     busy.write.parquet(f"{folder}/busy")
     busy = df.sparkSession.read.schema(busy.schema).parquet(f"{folder}/busy")
     rows = busy.agg(F.sum("n")).first()[0]
@@ -95,19 +123,32 @@ def asof_last(df: DataFrame, key: str, order: Sequence[str],
     of one key unique (e.g. ``(ts_ms, seq)``); ``key`` must be non-null.  Wrap a possibly-null payload
     in a struct to make "present" explicit.
 
+    Where no key has more rows than a slice may hold, one window per key does it;
+    ``bucket_ms`` (or the session's setting) asks for slices anyway.
+
     ``keep_bucket=True`` leaves the bucket column on the output; a following
     scan over the same key then reuses it and inherits the partitioning by
     ``(key, bucket)`` instead of shuffling the data again.
     """
     names = list(values)
+    ordcols = [F.col(c) for c in order]
+    wide = bucket_ms is None and df.sparkSession.conf.get(BUCKET_CONF, None) is None
+    if BUCKET not in df.columns and (WHOLE in df.columns or (wide and short_keys(df, key, max_rows))):
+        if WHOLE not in df.columns:  # rows without a key are no one's: theirs are sliced
+            df = df.withColumn(WHOLE, F.when(F.col(key).isNull(), _slice(order, bucket_width(df))))
+        frame = (Window.partitionBy(key, WHOLE).orderBy(*ordcols)
+                 .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
+        out = df.withColumns({f"__v_{n}": values[n] for n in names})
+        out = out.withColumns({n: F.last(f"__v_{n}", ignorenulls=True).over(frame) for n in names})
+        return out.drop(*[f"__v_{n}" for n in names], *([] if keep_bucket else [WHOLE]))
+
     bucket_ms = bucket_ms or bucket_width(df)
     if BUCKET not in df.columns:
-        sliced = df.withColumn("__b", F.floor(F.col(order[0]) / F.lit(bucket_ms)).cast("long"))
+        sliced = df.withColumn("__b", _slice(order, bucket_ms))
         sliced = cut_busy(sliced, key, order, max_rows)
     else:
         sliced = df.withColumnRenamed(BUCKET, "__b")
     tmp = sliced.withColumns({f"__v_{n}": values[n] for n in names})
-    ordcols = [F.col(c) for c in order]
 
     frame = (Window.partitionBy(key, "__b").orderBy(*ordcols)
              .rowsBetween(Window.unboundedPreceding,

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelstream.operators.keyed_scan import asof_last
+from parcelstream.operators.keyed_scan import BUCKET, asof_last
 
 
 def dim_lookup(fact: DataFrame, key_col: str, dim: DataFrame, dim_key: str,
@@ -137,7 +137,7 @@ def validity(history: DataFrame, columns: Sequence[str], bucket_ms: int | None =
         *[F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"__p{i}")
           for i, c in enumerate(columns)])
     rows = asof_last(at, "row_key", ["ts"], {c: F.col(f"__p{i}") for i, c in enumerate(columns)},
-                     inclusive=True, bucket_ms=bucket_ms)
+                     inclusive=True, bucket_ms=bucket_ms, keep_bucket=True).drop(BUCKET)
     # The next change is the last one before in reversed time.
     rows = asof_last(rows.withColumn("__back", -F.col("ts")), "row_key", ["__back"],
                      {"valid_to": F.col("ts")}, bucket_ms=bucket_ms)
