@@ -33,6 +33,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelstream.session import open_writers
+
 
 class Files:
     """The file system of a path, whatever its scheme."""
@@ -120,7 +122,8 @@ def append(rows: DataFrame, store: Store, batch_id: int, stream: str = "main") -
     files = Files(rows.sparkSession, store.root)
     aside = f"_aside/{uuid.uuid4().hex}"
     cols = [f.name for f in _schema(rows.sparkSession, store.ddl)]
-    rows.select(*cols).write.partitionBy(store.partition).parquet(f"{files.root}/{aside}")
+    with open_writers(rows.sparkSession):
+        rows.select(*cols).write.partitionBy(store.partition).parquet(f"{files.root}/{aside}")
     target = f"{store.log}/stream={stream}/batch={batch_id}"
     files.remove(target)
     files.move(aside, target)

@@ -16,7 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelstream.session import ensure_checkpoint_dir
+from parcelstream.session import ensure_checkpoint_dir, open_writers
 
 _MEMO: dict[tuple, DataFrame] = {}
 # Re-entrant: building one derived table may read another one.
@@ -32,7 +32,9 @@ def materialized(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]
             root = ensure_checkpoint_dir(spark).rstrip("/")
             name = "_".join(str(k).strip("/").replace("/", "_") for k in key)
             path = f"{root}/tables/{name}"
-            build().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+            rows = build()
+            with open_writers(spark):
+                rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
             df = spark.read.parquet(path)
             _MEMO[memo_key] = df
         return df

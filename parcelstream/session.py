@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -83,6 +84,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+@contextmanager
+def open_writers(spark: SparkSession, most: int = 64):
+    """Writes partitioned by a column of few values keep one file open per value
+    instead of sorting each task's rows by it (beyond ``most`` they sort)."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    was = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory the cluster names.
 
