@@ -96,8 +96,26 @@ def finishes(clean: DataFrame) -> DataFrame:
         (end_ms - iso_to_millis(a("actual_start_time"))).alias("transport_time"), end_ms.alias("ts"))
 
 
+# The fields that each fact reads of ``before`` and ``after``.  Fields that are no
+# text stay among them: an image in which one can't be read is null as a whole.
+FACT_FIELDS = {
+    "dwd_bound_inbound": ((), ("id", "order_id", "org_id", "inbound_time", "inbound_emp_id")),
+    "dwd_bound_sort": (("sort_time",), ("id", "order_id", "org_id", "sort_time", "sorter_emp_id")),
+    "dwd_bound_outbound": (("outbound_time",),
+                           ("id", "order_id", "org_id", "outbound_time", "outbound_emp_id")),
+    "dwd_trans_finish": (("order_num", "actual_distance", "actual_end_time"),
+                         (*TASK_OUT, "actual_start_time", "actual_end_time", "actual_distance")),
+}
+
+
+def fact_log(clean: DataFrame, fact: str) -> DataFrame:
+    """The typed change records of a fact's table, with the fields that it reads."""
+    before, after = FACT_FIELDS[fact]
+    return typed_log(clean, FACT_TABLE[fact], before or ("id",), after)
+
+
 def facts_of(clean: DataFrame, tz: str = DEFAULT_TZ) -> dict[str, DataFrame]:
     """The four facts from clean records (batch, or one micro-batch)."""
     make = {"dwd_bound_inbound": bound_inbound, "dwd_bound_sort": bound_sort,
             "dwd_bound_outbound": bound_outbound, "dwd_trans_finish": trans_finish}
-    return {fact: make[fact](typed_log(clean, table), tz) for fact, table in FACT_TABLE.items()}
+    return {fact: make[fact](fact_log(clean, fact), tz) for fact in FACT_TABLE}

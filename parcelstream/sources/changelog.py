@@ -18,6 +18,8 @@ Records carry ``part`` (source partition) and ``offset`` like a Kafka topic;
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,18 +60,29 @@ def null_image() -> F.Column:
     return F.lit(None).cast("struct<id:string>")
 
 
-def fact_records(spark: SparkSession, sf_dir: str, order_log: DataFrame | None = None) -> DataFrame:
+def fact_records(spark: SparkSession, sf_dir: str, order_log: DataFrame | None = None,
+                 tables: Sequence[str] = ("order_info", "order_cargo")) -> DataFrame:
+    """The fact group, or the source partitions that hold records of ``tables``
+    (a reader subscribes to tables; the life-cycle partition holds both)."""
+    recs = {"order_info": _order_records, "order_cargo": _cargo_records}
+    return union_all([*(recs[t](spark, sf_dir) for t in recs if t in tables),
+                      event_records(spark, sf_dir, order_log)])
+
+
+def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     oi = domain.order_info_rows(spark, sf_dir)
     info_cols = [f.name for f in schemas.ORDER_INFO.fields]
-    orders_rec = _record(oi, PART["order_info"], F.col("id").cast("long"),
-                         envelope("c", F.col("ts_ms"), null_image(),
-                                  _struct_of(oi, info_cols), "order_info"))
+    return _record(oi, PART["order_info"], F.col("id").cast("long"),
+                   envelope("c", F.col("ts_ms"), null_image(),
+                            _struct_of(oi, info_cols), "order_info"))
+
+
+def _cargo_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     oc = domain.order_cargo_rows(spark, sf_dir)
     cargo_cols = [f.name for f in schemas.ORDER_CARGO.fields]
-    cargo_rec = _record(oc, PART["order_cargo"], F.xxhash64("id"),
-                        envelope("c", F.col("ts_ms"), null_image(),
-                                 _struct_of(oc, cargo_cols), "order_cargo"))
-    return union_all([orders_rec, cargo_rec, event_records(spark, sf_dir, order_log)])
+    return _record(oc, PART["order_cargo"], F.xxhash64("id"),
+                   envelope("c", F.col("ts_ms"), null_image(),
+                            _struct_of(oc, cargo_cols), "order_cargo"))
 
 
 def event_records(spark: SparkSession, sf_dir: str, order_log: DataFrame | None = None) -> DataFrame:
@@ -144,11 +157,15 @@ def dim_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(recs)
 
 
-def transit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captured changes of bound rows and transport tasks."""
+TRANSIT = {"order_org_bound": transit.bound_changelog, "transport_task": transit.task_changelog}
+
+
+def transit_records(spark: SparkSession, sf_dir: str,
+                    tables: Sequence[str] = tuple(TRANSIT)) -> DataFrame:
+    """Captured changes of bound rows and transport tasks, or of one of them."""
     recs = []
-    for table, log in (("order_org_bound", transit.bound_changelog(spark, sf_dir)),
-                       ("transport_task", transit.task_changelog(spark, sf_dir))):
+    for table in tables:
+        log = TRANSIT[table](spark, sf_dir)
         recs.append(_record(log, PART[table], F.xxhash64("after.id", "op", "ts_ms"), envelope(
             F.col("op"), F.col("ts_ms"), F.col("before"), F.col("after"), table)))
     return union_all(recs)
