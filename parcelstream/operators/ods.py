@@ -82,12 +82,22 @@ def reason(e: Column | None = None, value: Column | None = None) -> Column:
             .when(no_id, F.lit(NO_KEY)))
 
 
+def forwarded(e: Column | None = None) -> Column:
+    """Whether :func:`reason` is null, with one look into the row image: where
+    ``after.id`` is a text, ``after`` is there and an object (and a null record
+    has no table)."""
+    e = F.col("e") if e is None else e
+    return (e.getField("source").getField("table").isNotNull()
+            & ~e.getField("op").eqNullSafe(F.lit("d"))
+            & F.try_variant_get(e.getField("after"), "$.id", "string").isNotNull())
+
+
 def clean(raw: DataFrame, exact_numbers: bool = False) -> DataFrame:
     """Forwarded records: ``part, offset, op, ts, table, before, after``
     (``ts_ms`` renamed to ``ts``; ``source`` lifted to ``table``;
     ``transaction`` dropped)."""
     p = parse(raw, exact_numbers=exact_numbers)
-    return p.filter(reason().isNull()).select(
+    return p.filter(forwarded()).select(
         "part", "offset", F.col("e.op").alias("op"), F.col("e.ts_ms").try_cast("bigint").alias("ts"),
         F.col("e.source.table").alias("table"), F.col("e.before").alias("before"),
         F.col("e.after").alias("after"))
