@@ -3,7 +3,7 @@
 Every aggregate groups by the local day of the fact time plus its grain,
 aggregates *before* any dimension lookup (partial aggregation runs map-side,
 so a hot day/grain is combined in every task before the shuffle), then
-enriches the small result.  Columns marked transient in the declared schema
+enriches the small result (transports per truck model take the model first).  Columns marked transient in the declared schema
 (join helpers such as the district or the truck id) are dropped before output.
 """
 

@@ -73,7 +73,8 @@ def task_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
               "l_quantity", "l_extendedprice", "l_shipdate", spread=True)
     o = read(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).select(
+    # Orders grow with the line items: a broadcast of them would only fit small inputs.
+    j = li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey).select(
         cargo_id().alias("cid"), F.col("l_linenumber").cast("string").alias("ln"),
         F.col("l_suppkey").cast("string").alias("sup"),
         F.col("l_partkey").cast("string").alias("prt"),

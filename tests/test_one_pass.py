@@ -19,6 +19,12 @@ def test_snapshot_and_changes_come_from_one_pass(spark, tiny):  # noqa: F811
     assert not {t for t, _ in got} & {"order_info", "order_cargo"}
 
 
+def test_orders_are_never_broadcast(spark, tiny):  # noqa: F811
+    """The join of tasks with orders is the same at every size."""
+    plan = plan_text(E.queries()["dwd_trans_finish"](spark, tiny))
+    assert plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" not in plan
+
+
 @pytest.mark.parametrize("mode, ops", [("initial", ["None", "c", "r"]), ("latest", ["None", "c"])])
 def test_startup_keeps_a_null_op(spark, mode, ops):
     from parcelstream.plans.catalog import startup
