@@ -53,6 +53,13 @@ BUCKET = "__scan_bucket"
 WHOLE = "__scan_whole"    # stands for the bucket where no key is sliced
 
 
+def whole(key: Column, slice_: Column | None = None) -> Column:
+    """Rows with a key are in one part each; the ones without are no one's: theirs are
+    sliced.  A table with one row per key joined on the key and this finds the scan's
+    rows where they are."""
+    return F.when(key.isNull(), F.lit(-1) if slice_ is None else slice_).otherwise(0).cast("long")
+
+
 def _slice(order: Sequence[str], bucket_ms: int) -> Column:
     return F.floor(F.col(order[0]) / F.lit(bucket_ms)).cast("long")
 
@@ -134,8 +141,9 @@ def asof_last(df: DataFrame, key: str, order: Sequence[str],
     ordcols = [F.col(c) for c in order]
     wide = bucket_ms is None and df.sparkSession.conf.get(BUCKET_CONF, None) is None
     if BUCKET not in df.columns and (WHOLE in df.columns or (wide and short_keys(df, key, max_rows))):
-        if WHOLE not in df.columns:  # rows without a key are no one's: theirs are sliced
-            df = df.withColumn(WHOLE, F.when(F.col(key).isNull(), _slice(order, bucket_width(df))))
+        if WHOLE not in df.columns:  # moved here, before columns are added
+            df = df.withColumn(WHOLE, whole(F.col(key), _slice(order, bucket_width(df))))
+            df = df.repartition(key, WHOLE)
         frame = (Window.partitionBy(key, WHOLE).orderBy(*ordcols)
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
         out = df.withColumns({f"__v_{n}": values[n] for n in names})

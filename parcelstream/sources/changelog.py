@@ -70,7 +70,11 @@ def fact_records(spark: SparkSession, sf_dir: str, order_log: DataFrame | None =
 
 
 def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    oi = domain.order_info_rows(spark, sf_dir)
+    oi = domain.order_info_rows(spark, sf_dir, merge=True)
+    # Orders with a key are read and moved once, here and where events look them up
+    # (a join keeps no rows without a key, so those are put beside).
+    key = F.col("order_key")
+    oi = oi.filter(key.isNotNull()).unionByName(oi.filter(key.isNull()))
     info_cols = [f.name for f in schemas.ORDER_INFO.fields]
     return _record(oi, PART["order_info"], F.col("id").cast("long"),
                    envelope("c", F.col("ts_ms"), null_image(),
@@ -78,7 +82,7 @@ def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cargo_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    oc = domain.order_cargo_rows(spark, sf_dir)
+    oc = domain.order_cargo_rows(spark, sf_dir, merge=True)
     cargo_cols = [f.name for f in schemas.ORDER_CARGO.fields]
     return _record(oc, PART["order_cargo"], F.xxhash64("id"),
                    envelope("c", F.col("ts_ms"), null_image(),
@@ -88,7 +92,7 @@ def _cargo_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_records(spark: SparkSession, sf_dir: str, order_log: DataFrame | None = None) -> DataFrame:
     """Order life-cycle records; capture errors for ``error`` events.
     ``order_log`` may pass an already stored order change log."""
-    log = order_log if order_log is not None else domain.order_change_log(spark, sf_dir)
+    log = order_log if order_log is not None else domain.order_change_log(spark, sf_dir, merge=True)
     is_order = F.col("table") == "order_info"
     good = log.select(
         F.lit(PART["events"]).alias("part"), F.col("seq").alias("offset"),

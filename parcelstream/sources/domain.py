@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelstream import schemas
-from parcelstream.operators.keyed_scan import asof_last
+from parcelstream.operators.keyed_scan import WHOLE, asof_last, whole
 from parcelstream.sources.tables import epoch_ms, iso_text, read
 
 DAY_MS = 24 * 60 * 60 * 1000
@@ -29,18 +29,26 @@ def nation_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
 
 
-def order_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``order_info`` row image per order key (``o_orderkey``), status 60010."""
+def order_sources(spark: SparkSession, sf_dir: str, merge: bool = False) -> DataFrame:
+    """The given columns an ``order_info`` image is made of, one row per order that
+    has its customer and nation.  ``merge`` joins customers the same way at every size,
+    so that what is moved has no step where they no longer fit a broadcast."""
     o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
              "o_totalprice", "o_orderdate", "o_orderpriority", spread=True)
     c = read(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal",
              "c_mktsegment")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(
+    j = o.join(c.hint("merge") if merge else c, o.o_custkey == c.c_custkey).join(
         nation_geo(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+    return j.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                    "o_orderpriority", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
+                    "n_regionkey")
+
+
+def order_attributes() -> list[F.Column]:
+    """The attributes of an order (``order_sources``), status 60010."""
     district, province = _s("c_nationkey"), _s("n_regionkey")
     created = iso_text("o_orderdate")
-    return j.select(
-        F.col("o_orderkey").alias("order_key"),
+    return [
         _s("o_orderkey").alias("id"),
         F.concat(F.lit("WB"), F.lpad(_s("o_orderkey"), 10, "0")).alias("order_no"),
         F.lit(schemas.ST_CREATED).alias("status"),
@@ -64,22 +72,24 @@ def order_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
         created.alias("create_time"),
         created.alias("update_time"),
         F.lit("0").alias("is_deleted"),
-        epoch_ms("o_orderdate").alias("ts_ms"),
-    )
+    ]
 
 
-def order_info_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_info_rows(spark: SparkSession, sf_dir: str, merge: bool = False) -> DataFrame:
     """Typed ``order_info`` images (creation) plus ``ts_ms`` and the numeric
     ``order_key`` (``id`` is its text form) for joins."""
-    return order_attributes(spark, sf_dir)
+    return order_sources(spark, sf_dir, merge).select(
+        F.col("o_orderkey").alias("order_key"), *order_attributes(),
+        epoch_ms("o_orderdate").alias("ts_ms"))
 
 
-def order_cargo_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``order_cargo`` images: one cargo per line item, typed by its part."""
+def order_cargo_rows(spark: SparkSession, sf_dir: str, merge: bool = False) -> DataFrame:
+    """``order_cargo`` images: one cargo per line item, typed by its part
+    (``merge`` as in ``order_sources``)."""
     li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
               "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate", spread=True)
     p = read(spark, sf_dir, "part", "p_partkey", "p_type", "p_size")
-    j = li.join(p, li.l_partkey == p.p_partkey)
+    j = li.join(p.hint("merge") if merge else p, li.l_partkey == p.p_partkey)
     created = iso_text("l_shipdate")
     return j.select(
         cargo_id().alias("id"),
@@ -119,36 +129,44 @@ EVENT_OP = {"signup": "c", "view": "u", "click": "u", "purchase": "c"}
 
 def event_status() -> F.Column:
     """Status after the change: the ``k``-th status code, ``k = props.k mod 9``."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k")
     codes = F.array(*[F.lit(c) for c in schemas.STATUS_CODES])
     return F.element_at(codes, F.pmod(k, F.lit(len(schemas.STATUS_CODES))) + 1)
 
 
-def order_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_change_log(spark: SparkSession, sf_dir: str, merge: bool = False) -> DataFrame:
     """Clean change log of ``order_info``/``order_cargo`` derived from events.
 
     Columns: ``seq, ts_ms, op, table, order_key, status, before_status``
     plus ``before``/``after`` images typed as ORDER_INFO / ORDER_CARGO.
     ``before_status`` is the status of the previous order change of the same
-    order (skew-safe scan), null for the first one.
+    order (skew-safe scan), null for the first one.  ``merge`` as in ``order_sources``.
     """
+    # What is moved are the given columns; all that is derived from them comes after.
     ev = read(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value",
-              "props", spread=True).filter(F.col("event_type") != "error")
+              "props", spread=True).filter(F.col("event_type") != "error").select(
+        F.col("event_id").alias("seq"), epoch_ms("ts").alias("ts_ms"),
+        F.col("user_id").alias("order_key"), "event_type",
+        F.get_json_object("props", "$.k").cast("int").alias("k"), "value")
     table = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in EVENT_TABLE.items()])
     op = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in EVENT_OP.items()])
-    ev = ev.select(
-        F.col("event_id").alias("seq"), epoch_ms("ts").alias("ts_ms"),
-        iso_text("ts").alias("change_time"),
-        F.col("user_id").alias("order_key"), table.alias("table"), op.alias("op"),
-        event_status().alias("status"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"), F.col("value"))
-    is_order = F.col("table") == "order_info"
     ev = asof_last(ev, "order_key", ["ts_ms", "seq"],
-                   {"prev": F.when(is_order, F.struct(F.col("status").alias("s")))})
+                   {"prev": F.when(table == "order_info", F.struct(event_status().alias("s")))},
+                   keep_bucket=True)
     ev = ev.withColumn("before_status", F.col("prev.s")).drop("prev")
 
-    attrs = order_attributes(spark, sf_dir).drop("status", "update_time", "ts_ms")
-    j = ev.join(attrs, "order_key", "left")
+    on = ["order_key"]
+    src = order_sources(spark, sf_dir, merge).withColumn("order_key", F.col("o_orderkey"))
+    if WHOLE in ev.columns:      # the join keeps the scan's partitions: rows move once
+        on, src = [*on, WHOLE], src.withColumn(WHOLE, whole(F.col("order_key")))
+    j = ev.join(src, on, "left")
+    is_order, known = F.col("table") == "order_info", F.col("o_custkey").isNotNull()
+    attrs = order_attributes()
+    names = src.select(attrs).columns
+    j = j.select(
+        "seq", "ts_ms", "order_key", "k", "value", "before_status", event_status().alias("event_status"),
+        table.alias("table"), op.alias("op"), iso_text(F.timestamp_millis("ts_ms")).alias("change_time"),
+        *[F.when(known, a).alias(n) for n, a in zip(names, attrs) if n not in ("status", "update_time")])
     info_fields = [f.name for f in schemas.ORDER_INFO.fields]
 
     def info_image(status_col):
@@ -171,8 +189,8 @@ def order_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("change_time").alias("create_time"), F.col("change_time").alias("update_time"),
         F.lit("0").alias("is_deleted"))
     return j.select(
-        "seq", "ts_ms", "op", "table", "order_key", "status", "before_status",
-        F.when(is_order, info_image(F.col("status"))).alias("order_after"),
+        "seq", "ts_ms", "op", "table", "order_key", F.col("event_status").alias("status"), "before_status",
+        F.when(is_order, info_image(F.col("event_status"))).alias("order_after"),
         F.when(is_order & (F.col("op") == "u"), info_image(F.col("before_status")))
         .alias("order_before"),
         F.when(~is_order, cargo_after).alias("cargo_after"),
